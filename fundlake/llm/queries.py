@@ -37,9 +37,39 @@ FROM keyed LEFT JOIN hot USING (k) GROUP BY doc_id
 """
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP6_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, len(x) AS n, array_to_string(x, ' ') AS g FROM (
+    SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: list_slice(w, i, i + 9))) AS x
+    FROM iw WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+grams AS (
+  SELECT doc_id, n, p, array_to_string(list_slice(w, p, p + n - 1), ' ') AS g FROM (
+    SELECT doc_id, n, w, unnest(range(1, greatest(len(w) - n + 1, 0) + 1)) AS p FROM dw, sizes)),
+hits AS (SELECT doc_id, item_id, p, n FROM grams JOIN win USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_line_dedup": op7_line_dedup}
+    return {"op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": OP7_SQL}
+    return {"op6_decontaminate": OP6_SQL, "op7_line_dedup": OP7_SQL}
