@@ -37,6 +37,29 @@ FROM keyed LEFT JOIN hot USING (k) GROUP BY doc_id
 """
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.substring_dedup import window_report
+
+    return window_report(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(list_slice(w, p, p + 34), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 34, 0) + 1)) AS p FROM w)),
+dup AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY g) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM dup),
+word AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS q FROM w),
+kept AS (
+  SELECT doc_id, count(g.q) AS removed, string_agg(t, ' ' ORDER BY q) FILTER (WHERE g.q IS NULL) AS k
+  FROM word LEFT JOIN gone g USING (doc_id, q) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.llm.decontaminate import contamination
 
@@ -68,8 +91,12 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup}
+    return {f.__name__: f for f in (op1_substring_dedup, op6_decontaminate, op7_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": OP6_SQL, "op7_line_dedup": OP7_SQL}
+    return {
+        "op1_substring_dedup": OP1_SQL,
+        "op6_decontaminate": OP6_SQL,
+        "op7_line_dedup": OP7_SQL,
+    }
