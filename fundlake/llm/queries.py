@@ -60,6 +60,47 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.pii import report
+
+    return report(table(spark, sf_dir, "documents"))
+
+
+def _pii_sql() -> str:
+    """The kinds' plain patterns (possessive marks and lookarounds only save time or mean a word boundary)."""
+    kinds = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true", 0.9, "mail|contact|kontakt|correo|courriel"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "list_max(list_transform(string_split(m, '.'), lambda p: p::DOUBLE)) <= 255", 0.6, "ip|host|server|addr|login"),
+        ("card", r"[0-9]([\x20-]?[0-9])+", "length(d) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN i % 2 = 1 THEN substr(reverse(d), i, 1)::INT ELSE (substr(reverse(d), i, 1)::INT * 2) // 10 + (substr(reverse(d), i, 1)::INT * 2) % 10 END)) % 10 = 0", 0.8, "card|visa|master|credit|karte|carte|tarjeta"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 10 AND 15", 0.7, "phone|tel|call|mobil|fax"),
+        ("iban", r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)\b", "list_reduce(list_concat([0], list_transform(string_split(substr(replace(m, ' ', ''), 5) || substr(m, 1, 4), ''), lambda c: ord(c))), lambda a, c: CASE WHEN c < 58 THEN (a * 10 + c - 48) % 97 ELSE (a * 100 + c - 55) % 97 END) = 1", 0.8, "iban|bank|account|konto|compte|cuenta"),
+        ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "NOT regexp_matches(m, '^(000|666|9)|-00-|0000$')", 0.2, "ssn|social|security|tax|sozial"),
+    )
+    parts = [
+        f"""SELECT doc_id, '{k}' AS kind, {i} AS ord, s, s + length(m) AS e,
+              round({prior} + CASE WHEN regexp_matches(lower(substr(t, greatest(s - 40, 0) + 1, length(m) + 80)), '{words}') THEN 0.3 ELSE 0 END, 2) AS score
+            FROM (
+              SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS d,
+                     (sum(length(p) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m))::BIGINT AS s
+              FROM (
+                SELECT doc_id, t, unnest(ms) AS m, unnest(list_slice(ps, 1, len(ms))) AS p, unnest(range(1, len(ms) + 1)) AS i
+                FROM (SELECT doc_id, t, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS ps FROM docs)))
+            WHERE {valid}"""
+        for i, (k, p, valid, prior, words) in enumerate(kinds)
+    ]
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({' UNION ALL '.join(parts)}),
+spans AS (SELECT *, concat_ws(':', kind, s, e) AS x FROM found WHERE ord < 4 OR score >= 0.5)
+SELECT doc_id,
+       {', '.join(f"count(x) FILTER (WHERE kind = '{k[0]}')::BIGINT AS n_{k[0]}" for k in kinds)},
+       sha256(coalesce(string_agg(x, ',' ORDER BY s, ord) FILTER (WHERE ord < 4), '')) AS base_sha256,
+       coalesce(string_agg(x, ',' ORDER BY s, ord), '') AS spans,
+       coalesce(max(score), 0)::DOUBLE AS max_score
+FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.llm.decontaminate import contamination
 
@@ -91,12 +132,13 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op6_decontaminate, op7_line_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op5_pii, op6_decontaminate, op7_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": OP1_SQL,
+        "op5_pii": _pii_sql(),
         "op6_decontaminate": OP6_SQL,
         "op7_line_dedup": OP7_SQL,
     }
