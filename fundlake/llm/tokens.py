@@ -40,29 +40,43 @@ _BYTE = mix((np.arange(256, dtype=U64) + U64(1)) * _MULT)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+#: Values hashed at once; it bounds the memory of a pass.
+_PASS = 1 << 19
+
+
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n, grown on demand."""
+    """base**i and base**-i modulo 2**64 for i < n."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = 1 << max(12, (n - 1).bit_length())
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
-            x = np.full(size, b, dtype=U64)
+            x = np.full(max(n, 2 * _PASS), b, dtype=U64)
             x[0] = 1
             both.append(np.cumprod(x, dtype=U64))
-        if size > 1 << 24:
-            return both[0], both[1]  # an unusually long text: not worth keeping
-        have = _POWERS[base] = (both[0], both[1])
+        have = both[0], both[1]
+        if n <= 2 * _PASS:  # else an unusually long span: not worth keeping
+            _POWERS[base] = have
     return have
 
 
-def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
-    """Hash of values[s:e] for each (s, e): the same content gives the same hash wherever it stands."""
-    n = len(values)
-    up, down = powers(_BASES[family], n + 1)
-    prefix = np.zeros(n + 1, dtype=U64)
-    np.cumsum(values * up[:n], dtype=U64, out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(U64) * _MULT)
+def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0, table: np.ndarray | None = None) -> np.ndarray:
+    """Hash of values[s:e] (of table[values[s:e]]) for each (s, e), both ascending.
+
+    The same content gives the same hash wherever it stands."""
+    out = np.empty(len(starts), dtype=U64)
+    i = 0
+    while i < len(starts):
+        at = int(starts[i])
+        j = int(np.searchsorted(starts, at + _PASS))
+        s, e = starts[i:j] - at, ends[i:j] - at
+        n = int(e[-1])
+        up, down = powers(_BASES[family], n + 1)
+        part = values[at : at + n] if table is None else table[values[at : at + n]]
+        prefix = np.zeros(n + 1, dtype=U64)
+        np.cumsum(part * up[:n], dtype=U64, out=prefix[1:])
+        out[i:j] = (prefix[e] - prefix[s]) * down[s] + (e - s).astype(U64) * _MULT
+        i = j
+    return mix(out)
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +112,7 @@ class Words:
         self.off = np.searchsorted(self.start, doc_off)
 
     def hashes(self, family: int = 0) -> np.ndarray:
-        return span_hash(_BYTE[self.data], self.start, self.end, family)
+        return span_hash(self.data, self.start, self.end, family, _BYTE)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.off)
@@ -123,7 +137,5 @@ def windows(off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 def covered(starts: np.ndarray, length: int | np.ndarray, n: int) -> np.ndarray:
     """Which of n words lie in a span that begins at one of starts."""
-    step = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(step, starts, 1)
-    np.add.at(step, starts + length, -1)
+    step = np.bincount(starts, minlength=n + 1) - np.bincount(starts + length, minlength=n + 1)
     return np.cumsum(step[:n]) > 0
