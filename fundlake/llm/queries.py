@@ -60,6 +60,12 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.llm.pii import report
 
@@ -132,7 +138,7 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op5_pii, op6_decontaminate, op7_line_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
