@@ -137,8 +137,27 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.topk import top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors.where("vec_id % 20 = 0"), vectors, 20)
+
+
+OP9_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op9_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -147,4 +166,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_pii": _pii_sql(),
         "op6_decontaminate": OP6_SQL,
         "op7_line_dedup": OP7_SQL,
+        "op9_top_k": OP9_SQL,
     }
