@@ -156,8 +156,14 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.quality import report
+
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op9_top_k)}
+    return {f.__name__: f for f in (op1_substring_dedup, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op9_top_k, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
