@@ -137,6 +137,31 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.near_dedup import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS g
+  FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+linked AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
+reach(doc_id, r) AS (SELECT a, b FROM edges UNION SELECT reach.doc_id, e.b FROM reach JOIN edges e ON e.a = reach.r),
+comp AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(r, w.doc_id)) AS component_id,
+       least(w.doc_id, coalesce(r, w.doc_id)) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.llm.topk import top_k
 
@@ -163,7 +188,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op9_top_k, op10_quality)}
+    return {f.__name__: f for f in (op1_substring_dedup, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -172,5 +197,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_pii": _pii_sql(),
         "op6_decontaminate": OP6_SQL,
         "op7_line_dedup": OP7_SQL,
+        "op8_near_dedup": OP8_SQL,
         "op9_top_k": OP9_SQL,
     }
