@@ -30,11 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fundlake.llm import blocks as B
 from fundlake.llm.scratch import Scratch
-from fundlake.llm.tokens import NOT_ALNUM, covered, words_of
+from fundlake.llm.tokens import NOT_ALNUM, words_of
 
 WINDOW = 10
 #: Bytes of benchmark text whose phrases and terms are broadcast at once.
@@ -61,9 +60,9 @@ def _phrases(items: DataFrame, window: int) -> tuple[list[str], np.ndarray, list
     return rows["i"].to_pylist(), vocabulary, found
 
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray, work: Scratch) -> DataFrame:
+def build_index(packed: DataFrame, vocabulary: np.ndarray, work: Scratch) -> DataFrame:
     """One segment per block: for each term of the vocabulary that stands there, the positions of its words."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = packed.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
         terms = shared.value
@@ -84,7 +83,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray, work: Scratch) -> DataF
             names=["block", "doc_id", "word_off", "term", "post_off", "position"],
         )
 
-    return work.keep(B.each(B.pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), run, _SEGMENT), "postings")
+    return work.keep(B.each(packed, run, _SEGMENT), "postings")
 
 
 def frequencies(index: DataFrame, n: int) -> np.ndarray:
@@ -206,27 +205,28 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _hits(docs: DataFrame, benchmark: DataFrame, window: int, scope: str) -> tuple[DataFrame, DataFrame | None]:
+def _texts(docs: DataFrame) -> DataFrame:
+    return B.pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+
+
+def _hits(packed: DataFrame, chunks: list[DataFrame], window: int, work: Scratch) -> tuple[DataFrame, DataFrame | None]:
     """The index (of the last chunk; all have the same documents) and the spans hit by any chunk."""
-    work = Scratch(docs.sparkSession, scope)
     index, hits = None, None
-    blocks = docs
-    chunks = _chunks(benchmark)
-    if len(chunks) > 1:  # several indexes must see the same rows in the same blocks
-        blocks = work.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "decontaminate-docs")
     for items in chunks:
         names, vocabulary, found = _phrases(items, window)
-        index = build_index(blocks, vocabulary, work)
+        index = build_index(packed, vocabulary, work)
         some = _search(index, names, vocabulary, found)
         hits = some if hits is None else hits.unionByName(work.keep(some, "hits"))
-    if index is None:
-        index = build_index(docs, np.zeros(0, np.uint64), work)
-    return index, hits
+    return build_index(packed, np.zeros(0, np.uint64), work) if index is None else index, hits
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, scope: str = "op") -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each document."""
-    index, hits = _hits(docs, benchmark.select("item_id", "text"), window, scope)
+    work = Scratch(docs.sparkSession, scope)
+    chunks, packed = _chunks(benchmark.select("item_id", "text")), _texts(docs)
+    if len(chunks) > 1:  # several indexes must see the same rows in the same blocks
+        packed = work.keep(packed, "decontaminate-blocks")
+    index, hits = _hits(packed, chunks, window, work)
     meta = index.select("block", "doc_id", "word_off")
     if hits is None:
         empty = "array<long>"
@@ -240,7 +240,7 @@ def proximity(docs: DataFrame, terms: list[str], within: int) -> DataFrame:
     """doc_id and word position of the rarest term, wherever all other terms stand within so many words of it."""
     words = words_of(pa.array(terms, pa.string()), lower=True, parts=NOT_ALNUM)
     vocabulary, numbers = np.unique(words.hashes(), return_inverse=True)
-    index = build_index(docs, vocabulary, Scratch(docs.sparkSession))
+    index = build_index(_texts(docs), vocabulary, Scratch(docs.sparkSession))
     rarity = frequencies(index, len(vocabulary))
     wanted = [int(x) for x in dict.fromkeys(numbers[np.argsort(rarity[numbers], kind="stable")].tolist())]
 
@@ -256,10 +256,17 @@ def proximity(docs: DataFrame, terms: list[str], within: int) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, scope: str = "op") -> DataFrame:
-    """docs without the rows that hold any benchmark window; all columns pass unchanged.
-
-    Rows are told apart by a hash of doc_id and text, so rows that repeat share their fate."""
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
-    marked = docs.select(key.alias("doc_id"), "text")
-    bad = contamination(marked, benchmark, window, scope).where("contaminated").select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(bad, key == F.col("__hit"), "left_anti")
+    """docs without the rows that hold any benchmark window; all columns pass unchanged."""
+    work = Scratch(docs.sparkSession, scope)
+    chunks = _chunks(benchmark.select("item_id", "text"))
+    if not chunks:
+        return docs
+    packed = work.keep(B.pack(docs), "decontaminate-blocks")
+    _, hits = _hits(packed, chunks, window, work)
+
+    def run(block: int, table: pa.Table, row: pa.Scalar) -> Iterator[pa.RecordBatch]:
+        clean = np.ones(table.num_rows, bool)
+        clean[row.as_py() or []] = False
+        yield from table.filter(pa.array(clean)).combine_chunks().to_batches()
+
+    return B.each(B.reply(packed, hits.select("block", "row").distinct(), row="row"), run, docs.schema)

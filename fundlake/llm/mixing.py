@@ -129,11 +129,15 @@ def _threshold(tier: DataFrame, state: DataFrame, work: Scratch) -> DataFrame:
     return state
 
 
+def _tier(size: Column, due: Column) -> Column:
+    return sum(((size < share * due).cast("int") for share in TIERS), F.lit(0))
+
+
 def copies_of(docs: DataFrame, goals: DataFrame, most: int, work: Scratch) -> DataFrame:
-    """docs (g, size, u, ...) with copies; goals: (g, due, rate). u: a hash in [0, 2**32)."""
-    due = F.broadcast(goals.select("g", "due"))
-    tier = sum(((F.col("size") < share * F.col("due")).cast("int") for share in TIERS), F.lit(0))
-    tiered = docs.join(due, "g").withColumn("tier", tier)
+    """(g, tier, base, low) for docs (g, size, u) and goals (g, due, rate); u: a hash in [0, 2**32).
+
+    A document takes base copies, and one more if its hash is below low."""
+    tiered = docs.join(F.broadcast(goals.select("g", "due")), "g").withColumn("tier", _tier(F.col("size"), F.col("due")))
     tokens = work.keep(tiered.groupBy("g", "tier").agg(F.sum("size").alias("tokens")), "mix-tiers")
     carry, marks = goals.select("g", F.lit(0.0).alias("carry")), None
     for t in range(len(TIERS) + 1):
@@ -147,20 +151,26 @@ def copies_of(docs: DataFrame, goals: DataFrame, most: int, work: Scratch) -> Da
         carry = work.keep(carry.join(goals.select("g", "rate"), "g").join(tokens.where(F.col("tier") == t).select("g", "tokens"), "g", "left").join(left, "g", "left").select("g", missed.alias("carry")), "mix-carry")
         mark = done.select("g", F.lit(t).alias("tier"), "base", "low")
         marks = mark if marks is None else marks.unionByName(mark)
-    copies = F.least(F.col("base") + (F.col("u") < F.col("low")).cast("long"), F.lit(most))
-    return tiered.join(F.broadcast(marks), ["g", "tier"]).withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(copies).cast("int"))
+    return marks
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_COPIES, scope: str = "op") -> DataFrame:
-    """doc_id, size, source_size, target (its source's), taken, rate and copies for each document."""
+    """docs with size, source_size and target of the source, taken, rate and copies; columns of these names are replaced."""
     work = Scratch(docs.sparkSession, scope)
+    docs = docs.drop("size", "source_size", "target", "taken", "rate", "copies")
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
-    sized = work.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), F.shiftrightunsigned(key, 32).alias("u")), "mix-sizes")
-    g = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
+    g, u = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null")), F.shiftrightunsigned(key, 32)
+    sized = work.keep(docs.select(F.col("source").cast("string").alias("source"), word_count().alias("size"), u.alias("u")), "mix-sizes")
     sizes = work.keep(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most).withColumn("g", g), "mix-targets")
     cells = work.keep(sized.groupBy(g.alias("cell")).agg(F.sum("size").alias("tokens")).withColumn("groups", F.array("cell")), "mix-cells")
     multipliers = balance(cells, {r.g: r.target for r in sizes.select("g", "target").collect()})  # one row a source
     rates = docs.sparkSession.createDataFrame([(k, float(np.exp(v))) for k, v in multipliers.items()], "g string, rate double")
     goals = work.keep(sizes.join(F.broadcast(rates), "g", "left").select("g", "source_size", F.col("target").alias("due"), F.least(F.coalesce("rate", F.lit(0.0)), F.lit(float(most))).alias("rate")), "mix-rates")
-    mixed = copies_of(sized.select("doc_id", "size", "u", g.alias("g")), goals, most, work)
-    return mixed.drop("due").join(F.broadcast(goals), "g").select("doc_id", "size", "source_size", F.col("due").alias("target"), (F.col("size") * F.col("copies")).cast("long").alias("taken"), "rate", "copies")
+    marks = work.keep(copies_of(sized.select("size", "u", g.alias("g")), goals, most, work), "mix-marks")
+    # The documents meet only the few rows of goals and marks.
+    of = goals.select(F.col("g").alias("__g"), "source_size", F.col("due").alias("target"), "rate")
+    mark = marks.select(F.col("g").alias("__m"), F.col("tier").alias("__tier"), F.col("base").alias("__base"), F.col("low").alias("__low"))
+    met = docs.withColumn("size", word_count()).withColumn("__u", u).join(F.broadcast(of), g == F.col("__g"))
+    met = met.join(F.broadcast(mark), (F.col("__g") == F.col("__m")) & (_tier(F.col("size"), F.col("target")) == F.col("__tier")))
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.least(F.col("__base") + (F.col("__u") < F.col("__low")).cast("long"), F.lit(most))).cast("int")
+    return met.withColumn("copies", copies).withColumn("taken", (F.col("size") * F.col("copies")).cast("long")).drop("__g", "__m", "__tier", "__base", "__low", "__u")

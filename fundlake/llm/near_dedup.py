@@ -277,4 +277,19 @@ def _groups(packed: DataFrame, shingle: int, percent: int, work: Scratch) -> Dat
     names = named.where("size > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     full = named.join(names, "component", "left")
     component_id = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return full.select("block", "row", "doc_id", "size", component_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return full.select("block", "row", "doc_id", "size", "component", component_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, scope: str = "op") -> DataFrame:
+    """docs with one row of each group: that with the smallest id, of equal ones the first; rows without words all stay."""
+    work = Scratch(docs.sparkSession, scope)
+    packed = work.keep(B.pack(docs), "near-blocks")
+    rows = _groups(packed, shingle, percent, work)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "block", "row"))
+    stay = rows.where("size > 0").groupBy("component").agg(first.alias("x")).select("x.block", "x.row").union(rows.where("size = 0").select("block", "row"))
+
+    def run(block: int, table: pa.Table, row: pa.Scalar) -> Iterator[pa.RecordBatch]:
+        if row.is_valid:
+            yield from table.take(pa.array(sorted(row.as_py()), pa.int64())).combine_chunks().to_batches()
+
+    return B.each(B.reply(packed, stay, row="row"), run, docs.schema)

@@ -60,6 +60,12 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.chat import format_chats
+
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.llm.ctw import score
 
@@ -69,7 +75,7 @@ def op3_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.llm.mixing import mix_sources
 
-    return mix_sources(table(spark, sf_dir, "documents"))
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +200,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
