@@ -101,7 +101,7 @@ def total_cost(v: Column) -> Column:
 
 def basis_points(v: Column) -> Column:
     """NUM-14: 35 becomes '0.350%'."""
-    return F.format_string("%.3f%%", v / 100)
+    return F.when(v.isNotNull(), F.format_string("%.3f%%", v / 100))
 
 
 def thousands(c: Column) -> Column:

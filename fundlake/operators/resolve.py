@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundlake.functions.names import clean_name, packed_name
 
@@ -107,7 +108,7 @@ def match_unique(wanted: DataFrame, funds: DataFrame) -> DataFrame:
     return names.join(ranked.groupBy("name").agg(F.min_by("id", "rule").alias("id")), "name", "left")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """UDF-03: the matching-blocks ratio of two lower-cased strings (not an edit distance); null for null."""
     ratio = lambda x, y: None if x is None or y is None else difflib.SequenceMatcher(None, x.lower(), y.lower()).ratio()

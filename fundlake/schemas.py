@@ -1,15 +1,8 @@
-"""Declared schemas of the curated tables."""
+"""Declared schemas of the curated tables, as DDL that readers and createDataFrame take."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-FUNDS = _schema(
+FUNDS = (
     "id long NOT NULL, name string NOT NULL, category string, aum_euro_bn double, equity_allocation_pct double, equity_strategy_notes string, last_report_year int, website string, data_source string, "
     "dnb_beleids_dgr double, dnb_rente_afdekking_pct double, dnb_zakelijke_waarden_pct double, wtp_transitie_datum string, wtp_contract_type string, wtp_invaren string, wtp_deelnemers_k double, status string, "
     "fixed_income_pct double, real_estate_pct double, alternatives_pct double, vermogensbeheerkosten_pct double, transactiekosten_pct double, sfdr_article int, eu_taxonomy_pct double, "
@@ -19,15 +12,15 @@ FUNDS = _schema(
     "vermogensbeheerkosten string, transactiekosten string, beleggingsmix string, benchmarks string, downside_protection string, uitvoerder string, fiduciair_beheerder string, intern_beheer string, "
     "performance_fee_miljoenen double, annual_report_year int, annual_report_downloaded boolean, transitieplan_downloaded boolean, transitieplan_url string"
 )
-EQUITY_STRATEGIES = _schema("fund_id long, region string, weight_pct double")
-EQUITY_STRATEGY = _schema("id long, fund_id long, allocation_pct double, management_style string, factor_investing string, esg_focus string, geographic_allocation string, explicit_geographic_weights string")
-EQUITY_ALLOCATIONS = _schema("fund_id long, allocation_pct double, source_file string")
-HISTORICAL_METRICS = _schema("id long, fund_id long, year int, beleggingsrendement_pct double, economische_dekkingsgraad_pct double, nominale_dekkingsgraad_pct double, beleidsdekkingsgraad_pct double, reele_dekkingsgraad_pct double, indexatieverlening_pct double, cpi_pct double")
-ESG_METRICS = _schema("fund_id long, co2_reduction_goal string, esg_exclusions string, sfdr_classification string")
-SCRAPED_DOCUMENTS = _schema("id long, fund_id long, url string, title string, doc_type string, discovered_at timestamp")
-NEWS = _schema("id long, fund_id long, published_date string, title string, url string, content string")
-PORTFOLIO_FUNDS = _schema("fund_id long, fund_name string")
-PEOPLE = _schema("fund_id long, name string, role string, source_url string")
+EQUITY_STRATEGIES = "fund_id long, region string, weight_pct double"
+EQUITY_STRATEGY = "id long, fund_id long, allocation_pct double, management_style string, factor_investing string, esg_focus string, geographic_allocation string, explicit_geographic_weights string"
+EQUITY_ALLOCATIONS = "fund_id long, allocation_pct double, source_file string"
+HISTORICAL_METRICS = "id long, fund_id long, year int, beleggingsrendement_pct double, economische_dekkingsgraad_pct double, nominale_dekkingsgraad_pct double, beleidsdekkingsgraad_pct double, reele_dekkingsgraad_pct double, indexatieverlening_pct double, cpi_pct double"
+ESG_METRICS = "fund_id long, co2_reduction_goal string, esg_exclusions string, sfdr_classification string"
+SCRAPED_DOCUMENTS = "id long, fund_id long, url string, title string, doc_type string, discovered_at timestamp"
+NEWS = "id long, fund_id long, published_date string, title string, url string, content string"
+PORTFOLIO_FUNDS = "fund_id long, fund_name string"
+PEOPLE = "fund_id long, name string, role string, source_url string"
 TABLES = {
     "funds": FUNDS,
     "equity_strategies": EQUITY_STRATEGIES,
