@@ -237,7 +237,7 @@ def _confirmed(sets: DataFrame, percent: int, work: Scratch) -> DataFrame:
     members = dealt.select("cluster", "part", "cls", "shingles")
 
     def visit(chosen: DataFrame) -> DataFrame:
-        going = dealt.join(chosen.select("cls"), "cls", "left_semi").select("cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).cast("int").alias("part"), "cls", "shingles")
+        going = work.keep(dealt.join(chosen.select("cls"), "cls", "left_semi").select("cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "cls", "shingles"), "visitors")
         return work.keep(members.groupBy("cluster", "part").cogroup(going.groupBy("cluster", "part")).applyInArrow(_across(percent), schema), "visits")
 
     first = visit(local.where("centre"))
