@@ -12,17 +12,15 @@ from pyspark.sql.streaming import StreamingQuery
 from fundlake.operators.merge import insert_new
 
 
-def append_new(spark: SparkSession, found: DataFrame, path: str, key: str = "url") -> DataFrame:
-    """Append rows of unseen keys to the table at path and return them."""
+def append_new(spark: SparkSession, found: DataFrame, path: str, key: str = "url") -> None:
+    """Append rows of unseen keys to the table at path."""
     try:
         known = spark.read.parquet(path)
     except Exception as e:  # the table's first batch
         if "PATH_NOT_FOUND" not in str(e):
             raise
         known = spark.createDataFrame([], found.schema)
-    new = insert_new(known, found, [key]).select(*found.columns)
-    new.write.mode("append").parquet(path)
-    return new
+    insert_new(known, found, [key]).select(*found.columns).write.mode("append").parquet(path)
 
 
 def watch(source: DataFrame, path: str, checkpoint: str, key: str = "url", once: bool = True) -> StreamingQuery:
