@@ -395,3 +395,51 @@ def q_update_like(t: Tables) -> DataFrame:
     """SNK-14: of several patterns the last."""
     patterns = t.spark.createDataFrame([("1", 1.0, 1), ("2", 2.0, 2)], "pattern string, value double, ord int")
     return merge.update_like(t.part.select("p_partkey", "p_name", F.col("p_retailprice").alias("price")), patterns, "p_name", "price").select("p_partkey", "price")
+
+
+@query("SELECT c_mktsegment AS category, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS names FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1")
+def q_ordered_distinct(t: Tables) -> DataFrame:
+    """AGG-22, ARR-05: distinct names in order; the pairs are made distinct before they are gathered."""
+    pairs = t.orders.select("o_custkey", "o_orderpriority").distinct().join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    return pairs.groupBy(F.col("c_mktsegment").alias("category")).agg(F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ", ").alias("names"))
+
+
+@query("SELECT user_id, arg_min(event_type, ts) AS first_type, arg_max(event_type, ts) AS last_type FROM events GROUP BY 1")
+def q_first_last_wins(t: Tables) -> DataFrame:
+    """AGG-20, AGG-21, WIN-09."""
+    return t.events.groupBy("user_id").agg(F.min_by("event_type", "ts").alias("first_type"), F.max_by("event_type", "ts").alias("last_type"))
+
+
+@query("WITH c AS (SELECT user_id, event_type, count(*) AS n, min(ts) AS f FROM events GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, f) AS k FROM c) SELECT user_id, string_agg(event_type, ', ' ORDER BY k) FILTER (WHERE k <= 3) AS top FROM r GROUP BY 1")
+def q_most_common(t: Tables) -> DataFrame:
+    """AGG-13, AGG-14, ARR-01: by count, of equals the one seen first; counted before it is ranked."""
+    n = t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("ts").alias("f"))
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "f", "event_type")))
+    return n.groupBy("user_id").agg(F.array_join(F.transform(F.slice(ranked, 1, 3), lambda x: x.event_type), ", ").alias("top"))
+
+
+@query("SELECT o_orderkey, s FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS s FROM orders) ORDER BY s DESC NULLS LAST, o_orderkey LIMIT 50")
+def q_nulls_last(t: Tables) -> DataFrame:
+    """SRT-03 to SRT-05."""
+    return t.orders.selectExpr("o_orderkey", "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS s").orderBy(F.desc_nulls_last("s"), "o_orderkey").limit(50)
+
+
+@query("SELECT o_custkey FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) = 2")
+def q_subset(t: Tables) -> DataFrame:
+    """SET-02: keys that have all of a set of values."""
+    need = ["1-URGENT", "2-HIGH"]
+    has = F.collect_set("o_orderpriority").alias("has")
+    return t.orders.where(F.col("o_orderpriority").isin(need)).groupBy("o_custkey").agg(has).where(F.size(F.array_except(F.array(*map(F.lit, need)), F.col("has"))) == 0).select("o_custkey")
+
+
+@query("SELECT c_name, o_orderkey, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND (o_totalprice = 100.0 OR o_totalprice < 5000)")
+def q_anomalies(t: Tables) -> DataFrame:
+    """FLT-04, FLT-05, JN-05, JN-31, DQ-05."""
+    odd = t.orders.where((F.col("o_orderstatus") == "F") & ((F.col("o_totalprice") == 100.0) | (F.col("o_totalprice") < 5000)))
+    return odd.join(t.customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_orderkey", "o_totalprice")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND regexp_matches(c_name, '(?i)customer.*[13]$')")
+def q_headline_filter(t: Tables) -> DataFrame:
+    """FLT-12, FLT-14: a list, and a pattern in any case; no match for null."""
+    return t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY") & F.coalesce(F.col("c_name").rlike("(?iu)customer.*[13]$"), F.lit(False))).select("c_custkey", "c_name")
