@@ -17,9 +17,9 @@ a class; everything below works on classes, so exact copies meet only once.
 4. The components of these ties are candidate clusters. Links are then confirmed
    on full sets within each cluster: a class is tested against all others at
    once, beginning outside the largest component so far, until all untested
-   classes are in one component. A large cluster is dealt to parts; one class of
-   each part is sent to all parts, and whatever that leaves outside the largest
-   component is sent to all parts too. So every link that could join two
+   classes are in one component. A large cluster is dealt to parts; the classes
+   with most links in three of the parts are sent to all parts, and whatever that
+   leaves outside the largest component is sent to all parts too. So every link that could join two
    components is tested, and none within one needs to be.
 
 Rules (``near_groups``): A-Z is lower-cased, words are parted by ASCII white
@@ -158,7 +158,9 @@ def _candidates(classes: DataFrame, work: Scratch) -> DataFrame:
     counted = short.groupBy("item").agg(F.collect_list(F.struct("cls", "sig")).alias("posted")).where(F.size("posted") > 1).select("posted").mapInArrow(_count_collisions, "a long, b long")
     long = posted.where(F.col("df") > LIST)
     first = long.groupBy("item").agg(F.min("cls").alias("a"))
-    tied = long.join(first, "item").where("cls <> a").select("a", F.col("cls").alias("b"))
+    # A class is tied to the least of its lists' first members, and those to it: few ties, as many classes share their lists.
+    firsts = long.join(first, "item").groupBy("cls").agg(F.array_sort(F.collect_set("a")).alias("firsts"))
+    tied = firsts.select(F.explode(F.array_append("firsts", F.col("cls"))).alias("b"), F.col("firsts")[0].alias("a")).where("a <> b").select("a", "b")
     return counted.union(tied).distinct()
 
 
@@ -240,7 +242,8 @@ def _confirmed(sets: DataFrame, percent: int, work: Scratch) -> DataFrame:
         going = work.keep(dealt.join(chosen.select("cls"), "cls", "left_semi").select("cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "cls", "shingles"), "visitors")
         return work.keep(members.groupBy("cluster", "part").cogroup(going.groupBy("cluster", "part")).applyInArrow(_across(percent), schema), "visits")
 
-    first = visit(local.where("centre"))
+    centres = local.where("centre").groupBy("cluster").agg(F.array(F.min("cls"), F.max("cls"), F.min_by("cls", F.xxhash64("cls"))).alias("c"))
+    first = visit(centres.select(F.explode("c").alias("cls")).distinct())
     now = dealt.select("cluster", "cls").join(components(links.union(first), work).withColumnsRenamed({"node": "cls"}), "cls", "left").select("cluster", "cls", F.coalesce("label", "cls").alias("label"))
     sizes = now.groupBy("cluster", "label").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("x")).select("cluster", F.col("x.label").alias("largest"))
