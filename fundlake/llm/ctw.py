@@ -9,14 +9,14 @@ the estimates of all depths: with Pe a node's own block probability and Pw that
 of its subtree, Pw = (Pe + product of the children's Pw) / 2, so a node's own
 estimate has the weight Pe / (2 Pw) and its children the rest.
 
-1. Each block counts its training bytes with their contexts; Spark sums them.
-2. Subtrees from depth ``ROOT`` down are weighed where their counts are (buckets
-   of whole subtrees), bottom up; the few nodes above are weighed on the driver;
-   then each node gets the mixture's probability if the path ends there.
-3. These go to fixed hashed tables (``SLOTS`` per depth; of nodes that meet in a
-   slot the one with more data stays), so what is broadcast has a fixed size.
-4. A byte is scored decision by decision at the deepest node its context has in
-   the tables: a proper distribution over all texts.
+1. Each block lists its distinct bytes with their contexts and how often its
+   training texts have them, dealt to buckets of whole subtrees from ``ROOT`` down.
+2. A bucket sums its blocks' counts and weighs its subtrees, bottom up; the few
+   nodes above are weighed on the driver; then each node gets the mixture's
+   probability if the path ends there.
+3. A byte is scored decision by decision at the deepest node its context has: a
+   proper distribution over all texts. Its bucket has all these nodes, each by
+   its full key, so no node is dropped; it answers each block what it listed.
 
 The base score is that of smoothed word counts; they are summed over the corpus
 by word and asked for by block and distinct word.
@@ -29,7 +29,7 @@ training texts all counts are 0 and each byte costs 8 bits.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +42,11 @@ from fundlake.llm.scratch import Scratch
 from fundlake.llm.tokens import U64, Words, mix, words_of
 
 DEPTH, ROOT = 5, 3
-#: Slots of the tables, by depth from ROOT on.
+#: Slots of a Model's hashed tables, by depth from ROOT on; score() has no use for them.
 SLOTS = {3: 1 << 19, 4: 1 << 21, 5: 1 << 22}
-#: Slots of the table of whole grams, which spares known ones the walk down the tree.
-GRAM_SLOTS = 1 << 22
 #: Bytes of text looked at together.
 _PIECE = 1 << 20
-#: Distinct contexts that a task holds before it passes on its counts.
+#: Counts that a bucket holds before it sums those of equal contexts.
 HELD = 3_000_000
 _END, _BLANK = 10, 32
 _LOG_2 = math.log10(2)
@@ -177,25 +175,52 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return codes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts, held = [], 0
-
-    def out() -> pa.RecordBatch:
-        codes, counts = _summed(parts)
-        return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(counts)], names=["code", "n"])
+def _list(buckets: int) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """Of a block, for each bucket: its distinct grams, and how often its training texts have them."""
 
-    for batch in batches:
-        for payload in batch["payload"]:
-            table = B.decode(payload.as_buffer())
-            own = [np.unique(grams(*byte_string(words_of(x["text"], lower=True))), return_counts=True) for x in _pieces(table.filter(table["learn"]))]
-            if own:
-                parts.append(_summed(own))
-                held += len(parts[-1][0])
-            if held > HELD:
-                yield out()
-                parts, held = [], 0
-    if parts:
-        yield out()
+    def run(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for piece in _pieces(table):
+            text, off = byte_string(words_of(piece["text"], lower=True))
+            learn = np.repeat(piece["learn"].to_numpy(), np.diff(off)).astype(U64)
+            found, n = np.unique(grams(text, off) << U64(1) | learn, return_counts=True)
+            parts.append(_summed([(found >> U64(1), np.where(found & U64(1) == 1, n, 0))]))
+        if not parts:
+            return
+        code, n = _summed(parts)
+        bucket = (mix((code >> U64(8)) & U64((1 << (8 * ROOT)) - 1)) % U64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        code, n, bucket = code[order], n[order], bucket[order]
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        spans = list(zip(first, np.r_[first[1:], len(bucket)], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[first]), pa.array(np.full(len(first), block)), pa.array([_squeeze(code[i:j], n[i:j]) for i, j in spans], pa.binary()), pa.array([int(j - i) for i, j in spans], pa.int64())],
+            names=["bucket", "block", "listed", "size"],
+        )
+
+    return run
+
+
+def _squeeze(code: np.ndarray, n: np.ndarray) -> bytes:
+    return pa.compress(np.concatenate([np.diff(code, prepend=U64(0)), n.astype(U64)]).tobytes(), "zstd", asbytes=True)
+
+
+def _listed(payload: pa.Scalar, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams in order, and their counts."""
+    both = np.frombuffer(pa.decompress(payload.as_buffer(), 16 * size, "zstd"), U64)
+    return np.cumsum(both[:size], dtype=U64), both[size:].astype(np.int64)
+
+
+def _of_bucket(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """A bucket's distinct grams, and how often all training texts have them (0 if only others do)."""
+    parts, held = [], 0
+    for payload, size in zip(rows["listed"], rows["size"].to_pylist(), strict=True):
+        parts.append(_listed(payload, size))
+        held += size
+        if held > HELD and len(parts) > 1:
+            parts = [_summed(parts)]
+            held = 0
+    return _summed(parts)
 
 
 def _columns(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -203,107 +228,102 @@ def _columns(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _above(rows: pa.Table) -> pa.Table:
-    """For a bucket of subtrees: log Pw at depth ROOT summed by parent, and the parents' counts by byte."""
-    tree = Tree(*_columns(rows), ROOT, DEPTH)
+    """For a bucket of subtrees: log Pw at depth ROOT summed by parent, and counts of bytes after ROOT - 1 bytes (short)."""
+    code, count = _of_bucket(rows)
+    code, count = code[count > 0], count[count > 0]
+    tree = Tree(code, count, ROOT, DEPTH)
     parent, inverse = np.unique(_parent(tree.at[ROOT][0], ROOT), return_inverse=True)
-    return pa.table({"key": parent.view(np.int64), "pw": np.bincount(inverse, tree.pw[ROOT], len(parent))})
+    short, into = np.unique(code & U64((1 << (8 * ROOT)) - 1), return_inverse=True)
+    n = np.zeros(len(short), np.int64)
+    np.add.at(n, into, count)
+    return pa.table({
+        "short": np.repeat([False, True], [len(parent), len(short)]),
+        "code": np.concatenate([parent, short]).view(np.int64),
+        "pw": np.concatenate([np.bincount(inverse, tree.pw[ROOT], len(parent)), np.zeros(len(short))]),
+        "n": np.concatenate([np.zeros(len(parent), np.int64), n]),
+    })
 
 
 class Model:
-    """Mixture probabilities of the nodes: exact above ROOT, hashed from there on; and of whole grams."""
+    """Mixture probabilities of the nodes: exact above ROOT, from there on in hashed tables."""
 
     def __init__(self, top: list[tuple[np.ndarray, np.ndarray]], tables: dict[int, tuple[np.ndarray, np.ndarray]]):
         self.top, self.tables = top, tables
-        self.gram_tags, self.gram_bits = np.zeros(GRAM_SLOTS, np.uint16), np.zeros(GRAM_SLOTS, np.float32)
 
     @staticmethod
-    def slot(keys: np.ndarray, depth: int, slots: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def slot(keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         h = mix(keys + U64(depth * 0xA0761D6478BD642F % (1 << 64)))
-        return (h & U64((slots or SLOTS[depth]) - 1)).astype(np.int64), (h >> U64(48)).astype(np.uint16) | np.uint16(1)
+        return (h & U64(SLOTS[depth] - 1)).astype(np.int64), (h >> U64(48)).astype(np.uint16) | np.uint16(1)
 
-    def learn(self, code: np.ndarray, count: np.ndarray) -> None:
-        """Keep the bits of these grams, the more frequent where two share a slot."""
-        order = np.argsort(count, kind="stable")
-        for at in range(0, len(order), 1 << 18):
-            part = code[order[at : at + (1 << 18)]]
-            slot, tag = self.slot(part, 0, GRAM_SLOTS)
-            self.gram_tags[slot], self.gram_bits[slot] = tag, self.walk(part)
-
-    def log2(self, code: np.ndarray) -> np.ndarray:
-        """Log2 probability of each gram's byte in its context."""
-        slot, tag = self.slot(code, 0, GRAM_SLOTS)
-        out = self.gram_bits[slot].astype(float)
-        new = np.flatnonzero(self.gram_tags[slot] != tag)
-        out[new] = self.walk(code[new])
-        return out
+    def find(self, keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys there are, and the values of these."""
+        slot, tag = self.slot(keys, depth)
+        tags, values = self.tables[depth]
+        hit = tags[slot] == tag
+        return hit, values[slot[hit]]
 
     def walk(self, code: np.ndarray) -> np.ndarray:
+        """Log2 probability of each gram's byte in its context."""
         out, byte = np.zeros(len(code)), code & U64(0xFF)
         for k in range(8):
             prefix = U64(1 << k) | byte >> U64(8 - k)
             p, open_ = np.full(len(code), 0.5), np.arange(len(code))
             for d in sorted(self.tables, reverse=True):
-                slot, tag = self.slot(((code[open_] >> U64(8)) & U64((1 << (8 * d)) - 1)) << U64(8) | prefix[open_], d)
-                tags, values = self.tables[d]
-                hit = tags[slot] == tag
-                p[open_[hit]] = values[slot[hit]]
+                hit, values = self.find(((code[open_] >> U64(8)) & U64((1 << (8 * d)) - 1)) << U64(8) | prefix[open_], d)
+                p[open_[hit]] = values
                 open_ = open_[~hit]
             for d in range(ROOT - 1, -1, -1):
-                keys, values = self.top[d]
-                if len(open_) and len(keys):
-                    key = ((code[open_] >> U64(8)) & U64((1 << (8 * d)) - 1)) << U64(8) | prefix[open_]
-                    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                    hit = keys[at] == key
-                    p[open_[hit]] = values[at[hit]]
-                    open_ = open_[~hit]
+                hit, values = _exact(((code[open_] >> U64(8)) & U64((1 << (8 * d)) - 1)) << U64(8) | prefix[open_], *self.top[d])
+                p[open_[hit]] = values
+                open_ = open_[~hit]
             one = (byte >> U64(7 - k)) & U64(1) == 1
             out += np.log2(np.where(one, p, 1 - p))
         return out
 
 
-def fit(packed: DataFrame, work: Scratch) -> Model:
-    """The model of the blocks' rows that are marked learn."""
+class Whole(Model):
+    """A model whose tables have every node by its full key: depth to keys in order and values."""
+
+    def find(self, keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        return _exact(keys, *self.tables[depth])
+
+
+def _exact(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(wanted), bool), values
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    hit = keys[at] == wanted
+    return hit, values[at[hit]]
+
+
+def answer(packed: DataFrame, work: Scratch) -> DataFrame:
+    """(block, answers): the grams of a block, by bucket, and their log2 probabilities by the model of all rows that are marked learn."""
     spark = packed.sparkSession
-    counts = work.keep(packed.mapInArrow(_count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "contexts")
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    subtree = F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << (8 * ROOT)) - 1))
-    dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(subtree), F.lit(buckets)))
-    below = dealt.groupBy("bucket").applyInArrow(_above, "key long, pw double").groupBy("key").agg(F.sum("pw").alias("pw")).orderBy("key").toArrow()
+    listed = work.keep(B.each(packed, _list(int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket long, block long, listed binary, size long"), "grams")
     # Counts of bytes after at most ROOT - 1 bytes: at most 256 ** ROOT, in truth thousands.
-    short = counts.groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * ROOT)) - 1)).alias("code")).agg(F.sum("n").alias("n")).toArrow()
-    top = Tree(*_columns(short), 0, ROOT - 1, (below["key"].to_numpy().view(U64), below["pw"].to_numpy()))
+    rows = listed.groupBy("bucket").applyInArrow(_above, "short boolean, code long, pw double, n long").groupBy("short", "code").agg(F.sum("pw").alias("pw"), F.sum("n").alias("n")).orderBy("short", "code").toArrow()
+    short, below = rows.filter(rows["short"]), rows.filter(pc.invert(rows["short"]))
+    top = Tree(*_columns(short), 0, ROOT - 1, (_columns(below)[0], below["pw"].to_numpy()))
     n = len(top.at[0][0])
     levels = list(top.mixtures(0, np.zeros(n), np.ones(n))) if n else []
     above = [(keys, ends) for _, keys, ends, *_ in levels] or [(np.zeros(0, U64), np.zeros(0))] * ROOT
-    handed = spark.sparkContext.broadcast((levels[-1][1], levels[-1][4], levels[-1][5]) if levels else None)
+    handed = spark.sparkContext.broadcast((above, (levels[-1][1], levels[-1][4], levels[-1][5]) if levels else None))
 
     def mixed(rows: pa.Table) -> pa.Table:
-        keys, held, left = handed.value
-        tree = Tree(*_columns(rows), ROOT, DEPTH)
-        up = np.searchsorted(keys, _parent(tree.at[ROOT][0], ROOT))
-        parts = []
-        for d, k, ends, n, *_ in tree.mixtures(ROOT, held[up], left[up]):
-            slot, tag = Model.slot(k, d)
-            # The value rides in the low bits of one number whose order is by data, then tag.
-            rank = np.minimum(n, (1 << 14) - 1).astype(np.int64) << 48 | tag.astype(np.int64) << 32 | np.round(ends * ((1 << 32) - 1)).astype(np.int64)
-            parts.append(pa.table({"at": slot | np.int64(d) << 40, "best": rank}))
-        return pa.concat_tables(parts)
-
-    best = work.keep(dealt.groupBy("bucket").applyInArrow(mixed, "at long, best long").groupBy("at").agg(F.max("best").alias("best")), "nodes")
-    tables = {}
-    for d, slots in SLOTS.items():  # one depth at a time, at most its slots
-        rows = best.where(F.shiftright("at", 40) == d).toArrow()
-        where, value = rows["at"].to_numpy() & ((1 << 40) - 1), rows["best"].to_numpy()
-        tags, values = np.zeros(slots, np.uint16), np.zeros(slots, np.float32)
-        tags[where] = (value >> 32 & 0xFFFF).astype(np.uint16)
-        values[where] = np.clip((value & 0xFFFFFFFF) / ((1 << 32) - 1), 1e-7, 1 - 1e-7)
-        tables[d] = (tags, values)
-        del rows, where, value
-    model = Model(above, tables)
-    # The most frequent gram of each slot; the slot is only for bounding what comes here.
-    often = counts.groupBy(F.pmod(F.xxhash64("code"), F.lit(GRAM_SLOTS // 2))).agg(F.max(F.struct("n", "code")).alias("x")).select("x.code", "x.n").toArrow()
-    model.learn(*_columns(often))
-    return model
+        above, last = handed.value
+        code, count = _of_bucket(rows)
+        tables, learnt = {}, count > 0
+        if learnt.any():
+            keys, held, left = last
+            tree = Tree(code[learnt], count[learnt], ROOT, DEPTH)
+            up = np.searchsorted(keys, _parent(tree.at[ROOT][0], ROOT))
+            tables = {d: (k, ends) for d, k, ends, *_ in tree.mixtures(ROOT, held[up], left[up])}
+        bits = Whole(above, tables).walk(code)
+        found = [bits[np.searchsorted(code, _listed(payload, size)[0])].tobytes() for payload, size in zip(rows["listed"], rows["size"].to_pylist(), strict=True)]
+        return rows.select(["block", "listed", "size"]).append_column("bits", pa.array(found, pa.binary()))
+
+    found = listed.groupBy("bucket").applyInArrow(mixed, "block long, listed binary, size long, bits binary")
+    return work.keep(found.groupBy("block").agg(F.collect_list(F.struct("listed", "size", "bits")).alias("answers")), "gram-bits")
 
 
 def _ask(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -315,6 +335,18 @@ def _ask(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), block)), pa.array(n)], names=["h", "block", "n"])
 
 
+def _known(answers: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """A block's grams in order and the log2 probability of each."""
+    if not answers.is_valid:
+        return np.zeros(0, U64), np.zeros(0)
+    rows = answers.values
+    size = rows.field("size").to_pylist()
+    code = np.concatenate([_listed(x, n)[0] for x, n in zip(rows.field("listed"), size, strict=True)])
+    bits = np.concatenate([np.frombuffer(x.as_buffer(), float) for x in rows.field("bits")])
+    order = np.argsort(code)
+    return code[order], bits[order]
+
+
 def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for each document."""
     work = Scratch(docs.sparkSession)
@@ -326,15 +358,16 @@ def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
     answers = work.keep(asked.groupBy("block").agg(F.collect_list("h").alias("h"), F.collect_list("c").alias("c"), F.sum("n").alias("tokens"), F.sum((F.col("block") == F.col("lead")).cast("long")).alias("kinds")), "lm-words")
     total = answers.agg(F.sum("tokens").alias("n"), F.sum("kinds").alias("v")).first()
     n, v = (total.n or 0) + ends, (total.v or 0) + (ends > 0)
-    model = docs.sparkSession.sparkContext.broadcast(fit(packed, work))
+    answered = answer(packed, work)
     log_n = math.log10(n + 0.5 * (v + 1))
 
-    def run(block: int, table: pa.Table, h: pa.Scalar, c: pa.Scalar) -> Iterator[pa.RecordBatch]:
+    def run(block: int, table: pa.Table, h: pa.Scalar, c: pa.Scalar, answers: pa.Scalar) -> Iterator[pa.RecordBatch]:
         keys, values = np.zeros(0, U64), np.zeros(0, np.int64)
         if h.is_valid:
             keys, values = h.values.to_numpy(zero_copy_only=False).view(U64), c.values.to_numpy(zero_copy_only=False)
             order = np.argsort(keys)
             keys, values = keys[order], values[order]
+        codes, logs = _known(answers)
         for piece in _pieces(table):
             words = words_of(piece["text"], lower=True)
             of, count = words.docs(), piece.num_rows
@@ -346,11 +379,11 @@ def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
             tokens = words.counts() + 1
             base = np.bincount(of, np.log10(known + 0.5), count) + math.log10(ends + 0.5) - tokens * log_n
             text, off = byte_string(words)
-            bits = np.add.reduceat(model.value.log2(grams(text, off)), off[:-1])
+            bits = np.add.reduceat(logs[np.searchsorted(codes, grams(text, off))], off[:-1])
             yield pa.RecordBatch.from_arrays(
                 [piece["doc_id"].combine_chunks(), piece["held"].combine_chunks(), pa.array(tokens.astype(np.int64)), pa.array(np.bincount(of[known > 0], minlength=count) + int(ends > 0), pa.int64()), pa.array(np.full(count, n), pa.int64()), pa.array(base), pa.array(bits * _LOG_2), pa.array(-bits / np.diff(off))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
             )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return B.each(packed.join(answers.select("block", "h", "c"), "block", "left"), run, schema)
+    return B.each(packed.join(answers.select("block", "h", "c"), "block", "left").join(answered, "block", "left"), run, schema)

@@ -314,6 +314,56 @@ def test_ctw_next_bytes_sum_to_one():
         assert math.isclose((2.0 ** model.walk(after)).sum(), 1, rel_tol=1e-5)
 
 
+def ctw_by_definition(train, text):
+    """Log10 probability of a byte string: dictionaries of all nodes, weighed by recursion over contexts."""
+
+    def steps(data):
+        for i, byte in enumerate(data):
+            before = (b"\n" * ctw.DEPTH + data)[i : i + ctw.DEPTH]
+            for k in range(8):
+                yield [(before[ctw.DEPTH - d :], 1 << k | byte >> (8 - k)) for d in range(ctw.DEPTH + 1)], byte >> (7 - k) & 1
+
+    nodes = {}
+    for data in train:
+        for path, bit in steps(data):
+            for node in path:
+                nodes.setdefault(node, [0, 0])[bit] += 1
+    own = {x: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi) for x, (a, b) in nodes.items()}
+    below, weighed = Counter(), {}
+    for x in sorted(nodes, key=lambda x: -len(x[0])):
+        weighed[x] = own[x] if len(x[0]) == ctw.DEPTH else math.log(0.5) + np.logaddexp(own[x], below[x])
+        below[x[0][1:], x[1]] += weighed[x]
+
+    def log10(data):
+        total = 0.0
+        for path, bit in steps(data):
+            there = [x for x in path if x in nodes]
+            p, left = 0.0 if there else 0.5, 1.0
+            for x in there:
+                kt = (nodes[x][bit] + 0.5) / (sum(nodes[x]) + 1)
+                w = 1.0 if x is there[-1] else math.exp(math.log(0.5) + own[x] - weighed[x])
+                p, left = p + left * w * kt, left * (1 - w)
+            total += math.log10(p)
+        return total
+
+    return [log10(x) for x in text]
+
+
+def test_ctw_scores_with_every_node(spark):
+    """Score for score against the definition."""
+    r = random.Random(11)
+    rows = [(i, "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1000))) for i in range(30)] + [(200, "Ab ab\tab é"), (201, None), (None, "ab ~~ q"), (202, "ab"), (203, "ab")]
+    data = {d: b" ".join(split((t or "").lower())) + b"\n" for d, t in rows}
+    got = {x.doc_id: x.score for x in ctw.score(spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    expected = ctw_by_definition([x for d, x in data.items() if d is not None and zlib.crc32(str(d).encode()) % 5 != 1], list(data.values()))
+    for d, e in zip(data, expected, strict=True):
+        assert math.isclose(got[d], e, rel_tol=1e-9)
+
+
+def test_ctw_without_training_texts_costs_eight_bits(spark):
+    assert ctw.score(spark.createDataFrame([(None, "ab cd")], DOCS)).first().bits_per_byte == 8
+
+
 def test_quality(spark):
     r = random.Random(8)
     good = lambda: " ".join("".join(r.choice("etaoinshr") for _ in range(r.randint(2, 8))) for _ in range(80)) + "."
