@@ -323,7 +323,7 @@ def answer(packed: DataFrame, work: Scratch) -> DataFrame:
         return rows.select(["block", "listed", "size"]).append_column("bits", pa.array(found, pa.binary()))
 
     found = listed.groupBy("bucket").applyInArrow(mixed, "block long, listed binary, size long, bits binary")
-    return work.keep(found.groupBy("block").agg(F.collect_list(F.struct("listed", "size", "bits")).alias("answers")), "gram-bits")
+    return found.groupBy("block").agg(F.collect_list(F.struct("listed", "size", "bits")).alias("answers"))
 
 
 def _ask(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
