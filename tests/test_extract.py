@@ -1,11 +1,15 @@
 """Extractors on short report texts."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from fundlake.operators import extract as X
 from fundlake.operators.layout import key_figures
 from fundlake.operators.regions import pivot_weights, regional_weights
+from fundlake.plans import reports  # noqa: F401
+from fundlake.plans.registry import QUERIES
 
 
 def one(spark, f, text):
@@ -111,6 +115,14 @@ def test_regional_weights(spark):
         pivot_weights(twice, "f", ["A"]).collect()
 
 
+def test_key_figures_of_every_order(spark):
+    path = "/root/testdata/sf0.001"
+    if not os.path.isdir(path):
+        pytest.skip("the driver's tables aren't here")
+    orders = {r[0] for r in spark.read.parquet(f"{path}/orders.parquet").select("o_orderkey").collect()}
+    assert {r.doc_id for r in QUERIES["q_key_figures"](spark, path).collect()} == orders
+
+
 def test_key_figures(spark):
     rows = [(10.0, 5.0, "Meerjarenoverzicht"), (100.0, 50.0, "2023"), (200.0, 51.0, "2022"), (300.0, 49.0, "2021"), (10.0, 80.0, "Beleidsdekkingsgraad"), (110.0, 81.0, "115,5%"), (150.0, 79.0, "101,1"), (290.0, 80.0, "99"), (10.0, 20.0, "CPI 5"), (100.0, 20.0, "7")]
     spans = spark.createDataFrame([(1, 0, *r) for r in rows] + [(2, 0, *r) for r in rows[:3]], "doc_id long, page_no int, x double, y double, text string")
