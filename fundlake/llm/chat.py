@@ -15,7 +15,8 @@ gives the state at each cut, and each part is then traced back and rendered by
 itself. So a conversation of any length is spread over many tasks, and the
 rendered parts of a conversation, joined in order, are its text.
 
-Edge cases: rows alike in conversation, turn, role and text are one turn; other
+Edge cases: rows alike in conversation, turn, role and text are one turn, but
+where conversation or turn number is null each row is a turn of its own. Other
 turns of equal number stand in the order of role, then text, missing ones
 first. A null turn number comes last. A null text is empty. A null conv_id is a
 conversation of its own. An empty table gives an empty result.
@@ -167,9 +168,10 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     """For each part of a conversation: conv_id, part, turns before and after, repairs made, the whole repair's cost, rendered."""
     work = Scratch(conversations.sparkSession)
     turn = F.col("turn").cast("long")
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(turn, F.lit((1 << 62) - 1)).alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(turn, F.lit((1 << 62) - 1)).alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), turn.isNotNull().alias("numbered"))
+    times = F.when(F.col("conv_id").isNotNull() & F.col("numbered"), 1).otherwise(F.col("n")).cast("int")
     part = F.floor(F.col("turn") / PART).cast("long").alias("part")
-    parts = work.keep(rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("n")).groupBy("conv_id", part).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")), "chat-parts")
+    parts = work.keep(rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("n"), F.max("numbered").alias("numbered")).groupBy("conv_id", part).agg(F.array_sort(F.flatten(F.collect_list(F.array_repeat(F.struct("turn", "role", "text"), times)))).alias("turns")), "chat-parts")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -314,6 +314,12 @@ def test_ctw_next_bytes_sum_to_one():
         assert math.isclose((2.0 ** model.walk(after)).sum(), 1, rel_tol=1e-5)
 
 
+def test_chat_keeps_equal_turns_without_numbers(spark):
+    rows = [(1, None, "user", "ok"), (1, None, "user", "ok"), (None, 0, "user", "hi"), (None, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 0, "user", "hi")]
+    got = {x.conv_id: x for x in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {c: (x.n_turns, x.rendered.count("ok\n") + x.rendered.count("hi\n")) for c, x in got.items()} == {1: (2, 2), None: (2, 2), 2: (1, 1)}
+
+
 def ctw_by_definition(train, text):
     """Log10 probability of a byte string: dictionaries of all nodes, weighed by recursion over contexts."""
 
