@@ -1,6 +1,7 @@
 """Column functions: hand-traced values, nulls and odd input."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,14 @@ def test_magnitudes(spark):
     assert values(spark, N.total_cost, [50.0, 2024.0, 5000.0, 2e6, 0.0], "double") == [50.0, None, 5.0, 2.0, None]
 
 
+def test_windows_of_a_long_text(spark):
+    """A megabyte with tens of thousands of matches, each window against slices of the text."""
+    text = "".join(f"é{i} aandelen " for i in range(70000))
+    at = [m.start() for m in re.finditer("aandelen", text)]
+    got = spark.createDataFrame([(text,)], "t string").select(X.windows(F.col("t"), "aandelen", 30, 1500).alias("w")).first().w
+    assert len(got) == len(at) and got[::997] == [text[max(i - 30, 0) : i + 8 + 1500] for i in at[::997]]
+
+
 def test_windows_overlap_and_stay_in_the_text(spark):
     got = values(spark, lambda c: X.keyword_windows(c, ["ab", "b."], 2, 3), ["xabab.y", "", None])
     assert got == [["xabab.", "abab.y", "bab.y"], [], []] or got == [["xabab.", "abab.y", "bab.y"], [], None]
