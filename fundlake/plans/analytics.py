@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.operators import merge
@@ -73,9 +73,7 @@ _NOT_IN = "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT nullif(doc_i
 @query(_NOT_IN.format(n=-1, w=""))
 def q_not_in(t: Tables) -> DataFrame:
     """JN-10: with SQL's rule that a null in the list leaves no row."""
-    t.documents.createOrReplaceTempView("_not_in_documents")
-    t.labels.createOrReplaceTempView("_not_in_labels")
-    return t.spark.sql(_NOT_IN.format(n=-1, w="").replace("FROM documents", "FROM _not_in_documents").replace("FROM labels", "FROM _not_in_labels"))
+    return t.spark.sql(_NOT_IN.format(n=-1, w="").replace("FROM documents", "FROM {d}").replace("FROM labels", "FROM {l}"), d=t.documents, l=t.labels)
 
 
 @query("SELECT o_orderkey, o_orderpriority FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_discount > 0.05 AND l_returnflag = 'A')")
@@ -190,11 +188,11 @@ def q_line_context(t: Tables) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1))) AS s,
-  generate_subscripts(string_split(regexp_replace(text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1)), 1) - 1 AS n FROM documents WHERE lang = 'en')
+  generate_subscripts(string_split(regexp_replace(text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1)), 1) - 1 AS n FROM documents)
 SELECT doc_id, n::INTEGER AS sentence_no, md5(string_agg(s, ' ') OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)) AS digest FROM s""")
 def q_sentence_context(t: Tables) -> DataFrame:
     """WIN-08."""
-    found = D.context(D.sentences(t.documents.where("lang = 'en'").select("doc_id", "text")), ["doc_id"], "sentence_no", "sentence", 1, 1)
+    found = D.context(D.sentences(t.documents.select("doc_id", "text")), ["doc_id"], "sentence_no", "sentence", 1, 1)
     return found.select("doc_id", "sentence_no", F.md5("context").alias("digest"))
 
 
@@ -278,11 +276,24 @@ def q_distinct_values(t: Tables) -> DataFrame:
     return t.orders.select("o_orderstatus", "o_orderpriority").distinct()
 
 
-@query("SELECT c_custkey, row_number() OVER (ORDER BY c_mktsegment NULLS FIRST, c_acctbal DESC NULLS LAST, c_custkey)::INTEGER AS position FROM customer ORDER BY 2 LIMIT 500")
+def numbered(df: DataFrame, order: list[Column], coarse: Column, name: str = "position") -> DataFrame:
+    """Every row with its place in a sort of the whole table, without one task that has it all.
+
+    coarse: a value that never falls along the order and that few rows share. Rows are counted
+    by it, the few counts are summed up, and rows are numbered within their value."""
+    binned = df.withColumn("_bin", coarse)
+    counts = binned.groupBy("_bin").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+    met = binned.join(counts.select("_bin", before.alias("_before")), "_bin")
+    return met.withColumn(name, (F.col("_before") + F.row_number().over(Window.partitionBy("_bin").orderBy(*order))).cast("long")).drop("_bin", "_before")
+
+
+@query("SELECT c_custkey, row_number() OVER (ORDER BY c_mktsegment NULLS FIRST, c_acctbal DESC NULLS LAST, c_custkey) AS position FROM customer")
 def q_sorted(t: Tables) -> DataFrame:
-    """SRT-02: numbered after the limit, so that only the rows shown are."""
-    first = t.customer.orderBy("c_mktsegment", F.desc("c_acctbal"), "c_custkey").limit(500)
-    return first.select("c_custkey", F.row_number().over(Window.orderBy("c_mktsegment", F.desc("c_acctbal"), "c_custkey")).alias("position"))
+    """SRT-02: all rows, each with its place in a sort by several keys."""
+    balance = F.floor(-F.col("c_acctbal") / 10)
+    coarse = F.struct(F.col("c_mktsegment").alias("a"), F.col("c_acctbal").isNull().alias("b"), balance.alias("c"))
+    return numbered(t.customer, [F.asc_nulls_first("c_mktsegment"), F.desc_nulls_last("c_acctbal"), F.asc("c_custkey")], coarse).select("c_custkey", "position")
 
 
 @query("SELECT l_suppkey, max(CASE WHEN y = 1995 THEN q END) AS y1995, max(CASE WHEN y = 1996 THEN q END) AS y1996, max(CASE WHEN y = 1997 THEN q END) AS y1997 FROM (SELECT l_suppkey, year(l_shipdate) AS y, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2) GROUP BY 1")
@@ -292,10 +303,10 @@ def q_multi_year(t: Tables) -> DataFrame:
     return by_year.groupBy("l_suppkey").pivot("y", [1995, 1996, 1997]).agg(F.max("q")).toDF("l_suppkey", "y1995", "y1996", "y1997")
 
 
-@query("SELECT o_orderkey, m AS metric, v AS value FROM (SELECT o_orderkey, 'price' AS m, o_totalprice AS v FROM orders UNION ALL SELECT o_orderkey, 'year', year(o_orderdate)::DOUBLE FROM orders) WHERE o_orderkey % 10 = 0")
+@query("SELECT o_orderkey, m AS metric, v AS value FROM (SELECT o_orderkey, 'price' AS m, o_totalprice AS v FROM orders UNION ALL SELECT o_orderkey, 'year', year(o_orderdate)::DOUBLE FROM orders)")
 def q_unpivot(t: Tables) -> DataFrame:
     """RSH-04."""
-    o = t.orders.where("o_orderkey % 10 = 0").select("o_orderkey", F.col("o_totalprice").alias("price"), F.year("o_orderdate").cast("double").alias("year"))
+    o = t.orders.select("o_orderkey", F.col("o_totalprice").alias("price"), F.year("o_orderdate").cast("double").alias("year"))
     return o.unpivot("o_orderkey", ["price", "year"], "metric", "value")
 
 
@@ -418,10 +429,21 @@ def q_most_common(t: Tables) -> DataFrame:
     return n.groupBy("user_id").agg(F.array_join(F.transform(F.slice(ranked, 1, 3), lambda x: x.event_type), ", ").alias("top"))
 
 
-@query("SELECT o_orderkey, s FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS s FROM orders) ORDER BY s DESC NULLS LAST, o_orderkey LIMIT 50")
+_SCORED = "(SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS s FROM orders)"
+
+
+@query(f"SELECT o_orderkey, s, row_number() OVER (ORDER BY s DESC NULLS LAST, o_orderkey) AS place FROM {_SCORED}")
 def q_nulls_last(t: Tables) -> DataFrame:
-    """SRT-03 to SRT-05."""
-    return t.orders.selectExpr("o_orderkey", "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS s").orderBy(F.desc_nulls_last("s"), "o_orderkey").limit(50)
+    """SRT-03, SRT-05: all rows, missing values in the last places."""
+    scored = t.orders.selectExpr("o_orderkey", "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS s")
+    coarse = F.struct(F.col("s").isNull().alias("a"), F.coalesce(F.floor(-F.col("s") / 100), F.floor(F.col("o_orderkey") / 1000)).alias("b"))
+    return numbered(scored, [F.desc_nulls_last("s"), F.asc("o_orderkey")], coarse, "place")
+
+
+@query(f"SELECT o_orderkey, s FROM {_SCORED} ORDER BY s DESC NULLS LAST, o_orderkey LIMIT 5")
+def q_top_five(t: Tables) -> DataFrame:
+    """SRT-04, SRT-12, SRC-24: a report of the first five."""
+    return t.orders.selectExpr("o_orderkey", "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS s").orderBy(F.desc_nulls_last("s"), "o_orderkey").limit(5)
 
 
 @query("SELECT o_custkey FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) = 2")

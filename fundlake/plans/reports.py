@@ -232,10 +232,10 @@ def q_style_score(t: Tables) -> DataFrame:
     return _report(t, _STYLE).select(K, X.management_style(F.col("t")).alias("style"))
 
 
-@query("SELECT doc_id, (len(regexp_extract_all(lower(text), '\\bthe\\b')) + len(regexp_extract_all(lower(text), '\\band\\b')))::INTEGER AS n FROM documents WHERE lang = 'en'")
+@query("SELECT doc_id, (len(regexp_extract_all(lower(text), '\\bthe\\b')) + len(regexp_extract_all(lower(text), '\\band\\b')))::INTEGER AS n FROM documents")
 def q_keyword_counts(t: Tables) -> DataFrame:
     """EX-10, STR-12."""
-    return t.documents.where("lang = 'en'").select("doc_id", count_words(F.lower("text"), ("the", "and")).alias("n"))
+    return t.documents.select("doc_id", count_words(F.lower("text"), ("the", "and")).alias("n"))
 
 
 @query("SELECT doc_id, line_no::INTEGER AS line_no, md5(line) AS digest FROM (SELECT doc_id, n AS line_no, line, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS r FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents) WHERE regexp_matches(line, '[0-9]{3}')) WHERE r <= 2")
