@@ -14,6 +14,7 @@ moved once, compressed.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,14 @@ BLOCK_BYTES = 8 << 20
 SCHEMA = "block long, payload binary"
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a worker outlives its task, and what it keeps counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if give is not None:
+        give(0)
+
+
 def encode(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -56,6 +65,7 @@ def pack(df: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:
                     made, held, size = made + 1, [], 0
         if held:
             yield close()
+        trim()
 
     return df.mapInArrow(run, SCHEMA)
 
@@ -68,6 +78,7 @@ def each(blocks: DataFrame, f: Callable[..., Iterator[pa.RecordBatch]], schema:
             names = [x for x in batch.schema.names if x not in ("block", "payload")]
             for i in range(batch.num_rows):
                 yield from f(batch.column("block")[i].as_py(), decode(batch.column("payload")[i].as_buffer()), **{x: batch.column(x)[i] for x in names})
+                trim()
 
     return blocks.mapInArrow(run, schema)
 
