@@ -209,19 +209,28 @@ def _within(percent: int):
 
 
 def _across(percent: int):
-    """Links (a, b) between visiting classes and the members of a part."""
+    """Links (a, b) between the components (labels) so far that spans what visiting classes tie together in a part.
 
-    def run(members: pa.Table, visitors: pa.Table) -> pa.Table:
+    Guests: the visitors with their sets, and without sets the part's members with their labels."""
+
+    def run(members: pa.Table, guests: pa.Table) -> pa.Table:
         a, b = [], []
+        visitors = guests.filter(guests["shingles"].is_valid())
         if members.num_rows and visitors.num_rows:
             sets = [_set(x.as_buffer()) for x in members["shingles"]]
-            cls, size = members["cls"].to_numpy(), np.array([len(x) for x in sets])
+            size = np.array([len(x) for x in sets])
             flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-            for visitor, raw in zip(visitors["cls"].to_pylist(), visitors["shingles"], strict=True):
-                near = cls[_similar(sets, size, flat, owner, _set(raw.as_buffer()), percent)]
-                near = near[near != visitor]
-                a += [visitor] * len(near)
-                b += near.tolist()
+            labels, number = np.unique(guests["label"].to_numpy(), return_inverse=True)
+            own = guests["shingles"].is_null().to_numpy()
+            cls, of = guests["cls"].to_numpy()[own], number[own]
+            order = np.argsort(cls)
+            of = of[order][np.searchsorted(cls[order], members["cls"].to_numpy())]
+            forest = Forest(len(labels))
+            for i, raw in zip(number[~own].tolist(), visitors["shingles"], strict=True):
+                for j in np.unique(of[_similar(sets, size, flat, owner, _set(raw.as_buffer()), percent)]).tolist():
+                    if forest.join(i, j):
+                        a.append(labels[i])
+                        b.append(labels[j])
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
@@ -235,20 +244,25 @@ def _confirmed(sets: DataFrame, percent: int, work: Scratch) -> DataFrame:
     dealt = sets.where("parts > 1")
     if dealt.limit(1).count() == 0:
         return links
-    schema = "a long, b long"
     members = dealt.select("cluster", "part", "cls", "shingles")
+    placed = dealt.select("cluster", "part", "cls")
 
-    def visit(chosen: DataFrame) -> DataFrame:
-        going = work.keep(dealt.join(chosen.select("cls"), "cls", "left_semi").select("cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "cls", "shingles"), "visitors")
-        return work.keep(members.groupBy("cluster", "part").cogroup(going.groupBy("cluster", "part")).applyInArrow(_across(percent), schema), "visits")
+    def visit(chosen: DataFrame, labels: DataFrame) -> DataFrame:
+        """What some classes tie together in all parts of their clusters; labels: (cls, label) of all dealt classes."""
+        labelled = placed.join(labels, "cls").select("cluster", "part", "cls", "label", F.lit(None).cast("binary").alias("shingles"))
+        going = dealt.join(chosen.select("cls"), "cls", "left_semi").join(labels, "cls").select("cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "cls", "label", "shingles")
+        guests = work.keep(labelled.unionByName(going), "visitors")
+        met = members.groupBy("cluster", "part").cogroup(guests.groupBy("cluster", "part")).applyInArrow(_across(percent), "a long, b long")
+        return work.keep(met.distinct(), "visits")
 
     centres = local.where("centre").groupBy("cluster").agg(F.array(F.min("cls"), F.max("cls"), F.min_by("cls", F.xxhash64("cls"))).alias("c"))
-    first = visit(centres.select(F.explode("c").alias("cls")).distinct())
-    now = dealt.select("cluster", "cls").join(components(links.union(first), work).withColumnsRenamed({"node": "cls"}), "cls", "left").select("cluster", "cls", F.coalesce("label", "cls").alias("label"))
+    first = visit(centres.select(F.explode("c").alias("cls")).distinct(), local.select("cls", F.col("peer").alias("label")))
+    found = components(links.union(first), work).withColumnsRenamed({"node": "cls"})
+    now = placed.join(found, "cls", "left").select("cluster", "cls", F.coalesce("label", "cls").alias("label"))
     sizes = now.groupBy("cluster", "label").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("x")).select("cluster", F.col("x.label").alias("largest"))
     rest = work.keep(now.join(largest, "cluster").where("label <> largest").select("cls"), "outside")
-    return links.union(first).union(visit(rest))
+    return links.union(first).union(visit(rest, now.select("cls", "label")))
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, scope: str = "op") -> DataFrame:
