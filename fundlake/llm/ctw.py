@@ -11,12 +11,16 @@ estimate has the weight Pe / (2 Pw) and its children the rest.
 
 1. Each block lists its distinct bytes with their contexts and how often its
    training texts have them, dealt to buckets of whole subtrees from ``ROOT`` down.
-2. A bucket sums its blocks' counts and weighs its subtrees, bottom up; the few
-   nodes above are weighed on the driver; then each node gets the mixture's
+2. A bucket sums its blocks' counts and weighs its subtrees, bottom up; one task
+   weighs the few nodes above; then, top down, each node gets the mixture's
    probability if the path ends there.
 3. A byte is scored decision by decision at the deepest node its context has: a
-   proper distribution over all texts. Its bucket has all these nodes, each by
-   its full key, so no node is dropped; it answers each block what it listed.
+   proper distribution over all texts. Every listed byte has its own place in
+   its bucket's tree (with a count of 0 if no training text has it), so no node
+   is dropped and none is taken for another; the bucket answers each block.
+
+All of this grows with the text; what is broadcast are the nodes above ``ROOT``
+for the contexts that occur.
 
 The base score is that of smoothed word counts; they are summed over the corpus
 by word and asked for by block and distinct word.
@@ -29,6 +33,7 @@ training texts all counts are 0 and each byte costs 8 bits.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,11 +46,13 @@ from fundlake.llm import blocks as B
 from fundlake.llm.scratch import Scratch
 from fundlake.llm.tokens import U64, Words, mix, words_of
 
-DEPTH, ROOT = 5, 3
-#: Slots of a Model's hashed tables, by depth from ROOT on; score() has no use for them.
-SLOTS = {3: 1 << 19, 4: 1 << 21, 5: 1 << 22}
+DEPTH, ROOT = 6, 3
+#: Bytes of text of a block: the more, the fewer times a context is listed.
+BLOCK = 24 << 20
 #: Bytes of text looked at together.
-_PIECE = 1 << 20
+_PIECE = 2 << 20
+#: Bytes of text for each bucket of subtrees, and the most buckets.
+BUCKET, MOST_BUCKETS = 32 << 20, 1 << 14
 #: Counts that a bucket holds before it sums those of equal contexts.
 HELD = 3_000_000
 _END, _BLANK = 10, 32
@@ -94,62 +101,126 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
 
 
-def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    """Log block probability of the Krichevsky-Trofimov estimator."""
+def _log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return log_gamma(n0 + 0.5) + log_gamma(n1 + 0.5) - log_gamma(n0 + n1 + 1.0) - math.log(math.pi)
 
 
-def nodes(code: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys (context, then bits so far with a leading 1) of the nodes at a depth, and how often 0 and 1 came."""
-    context = (code >> U64(8)) & U64((1 << (8 * depth)) - 1)
-    byte = code & U64(0xFF)
-    keys = np.concatenate([context << U64(8) | U64(1 << k) | byte >> U64(8 - k) for k in range(8)])
-    bits = np.concatenate([(byte >> U64(7 - k)) & U64(1) for k in range(8)]).astype(float)
-    weight = np.tile(count.astype(float), 8)
-    found, inverse = np.unique(keys, return_inverse=True)
-    n1 = np.bincount(inverse, weight * bits, len(found))
-    return found, np.bincount(inverse, weight, len(found)) - n1, n1
+_SMALL = _log_kt(*(x.astype(float) for x in np.indices((64, 64))))
+
+
+def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """Log block probability of the Krichevsky-Trofimov estimator for whole counts."""
+    out = _SMALL[np.minimum(n0, 63).astype(np.int64), np.minimum(n1, 63).astype(np.int64)]
+    big = (n0 > 63) | (n1 > 63)
+    out[big] = _log_kt(n0[big], n1[big])
+    return out
+
+
+def _cut(code: np.ndarray, depth: int) -> np.ndarray:
+    """Bytes with only so many bytes of context: the oldest go."""
+    return code & U64((1 << (8 * depth + 8)) - 1)
+
 
+class Decision:
+    """The nodes of one of a byte's decisions at one depth: which node each byte is at, and the node's counts."""
 
-def _parent(keys: np.ndarray, depth: int) -> np.ndarray:
-    """The node one byte of context shorter: the oldest byte goes."""
-    return keys & U64((1 << (8 * depth)) - 1)
+    __slots__ = ("of", "first", "n0", "n1", "pw", "weight", "ends", "held", "left")
+
+    def __init__(self, code: np.ndarray, count: np.ndarray, k: int):
+        prefix = code >> U64(8 - k)
+        new = np.r_[True, prefix[1:] != prefix[:-1]] if len(code) else np.zeros(0, bool)
+        self.first = np.flatnonzero(new)
+        self.of = np.cumsum(new) - 1
+        one = ((code >> U64(7 - k)) & U64(1)).astype(float)
+        self.n1 = np.bincount(self.of, count * one, len(self.first))
+        self.n0 = np.bincount(self.of, count, len(self.first)) - self.n1
+
+    def weigh(self, children: np.ndarray | None) -> None:
+        """Log Pw from the children's summed log Pw; a node at the deepest level has none."""
+        own = log_kt(self.n0, self.n1)
+        if children is None:
+            self.pw, self.weight = own, np.ones(len(own))
+        else:
+            self.pw = math.log(0.5) + np.logaddexp(own, children)
+            self.weight = np.exp(own + math.log(0.5) - self.pw)
+
+    def mix(self, ends: np.ndarray | None, held: np.ndarray, left: np.ndarray) -> None:
+        """P(1) if the path ends here, what is mixed so far and the weight left, from those of the parents (ends: None above all).
+
+        A node that no training text has ends where its parent does."""
+        n = self.n0 + self.n1
+        kt = (self.n1 + 0.5) / (n + 1.0)
+        self.ends = held + left * kt
+        if ends is not None:
+            self.ends = np.where(n > 0, self.ends, ends)
+        self.held, self.left = held + left * self.weight * kt, left * (1 - self.weight)
 
 
 class Tree:
-    """Nodes at depths top..deepest of some subtrees; log Pw by depth."""
-
-    def __init__(self, code: np.ndarray, count: np.ndarray, top: int, deepest: int, below: tuple[np.ndarray, np.ndarray] | None = None):
-        """below: parents at depth deepest and the summed log Pw of their children, if the tree goes on elsewhere."""
-        self.at = {d: nodes(code, count, d) for d in range(top, deepest + 1)}
-        self.own, self.pw, self.weight = {}, {}, {}
-        for d in range(deepest, top - 1, -1):
-            keys, n0, n1 = self.at[d]
-            own = log_kt(n0, n1)
-            if d == deepest and below is None:
-                self.pw[d], self.weight[d] = own, np.ones(len(keys))
-                continue
-            children = np.zeros(len(keys))
-            if d == deepest:
-                children[np.searchsorted(keys, below[0])] = below[1]
-            else:
-                children = np.bincount(np.searchsorted(keys, _parent(self.at[d + 1][0], d + 1)), self.pw[d + 1], len(keys))
-            self.pw[d] = math.log(0.5) + np.logaddexp(own, children)
-            self.weight[d] = np.exp(own + math.log(0.5) - self.pw[d])
-
-    def mixtures(self, top: int, held: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(depth, keys, P(1) if the path ends here, n, mixed so far, weight left) from the top down.
-
-        held, left: what the nodes above top have mixed and left, for each node at top."""
-        for d in sorted(self.at):
-            keys, n0, n1 = self.at[d]
-            if d > top:
-                up = np.searchsorted(self.at[d - 1][0], _parent(keys, d))
-                held, left = held[up], left[up]
-            kt = (n1 + 0.5) / (n0 + n1 + 1.0)
-            ends = held + left * kt
-            held, left = held + left * self.weight[d] * kt, left * (1 - self.weight[d])
-            yield d, keys, ends, n0 + n1, held, left
+    """Distinct bytes in context at depths top..deepest, as whole subtrees."""
+
+    def __init__(self, code: np.ndarray, count: np.ndarray, top: int, deepest: int):
+        self.top, self.deepest = top, deepest
+        self.code, self.count, self.up = {deepest: code}, {deepest: count.astype(float)}, {}
+        for d in range(deepest, top, -1):
+            self.code[d - 1], self.up[d] = np.unique(_cut(self.code[d], d - 1), return_inverse=True)
+            self.count[d - 1] = np.bincount(self.up[d], self.count[d], len(self.code[d - 1]))
+
+    def weigh(self, k: int, below: np.ndarray | None = None) -> dict[int, Decision]:
+        """Decision k of all levels, weighed bottom up; below: log Pw of what is under the deepest nodes, if the tree goes on elsewhere."""
+        at = {}
+        for d in range(self.deepest, self.top - 1, -1):
+            at[d] = Decision(self.code[d], self.count[d], k)
+            at[d].weigh(below if d == self.deepest else np.bincount(self.parents(at, d + 1), at[d + 1].pw, len(at[d].first)))
+        return at
+
+    def parents(self, at: dict[int, Decision], d: int) -> np.ndarray:
+        """The node one byte of context shorter, for each node of a level."""
+        return at[d - 1].of[self.up[d][at[d].first]]
+
+    def mix(self, at: dict[int, Decision], ends: np.ndarray | None, held: np.ndarray, left: np.ndarray) -> Decision:
+        """Mixtures top down, given those of the top nodes' parents; the deepest level's."""
+        at[self.top].mix(ends, held, left)
+        for d in range(self.top + 1, self.deepest + 1):
+            up = self.parents(at, d)
+            at[d].mix(at[d - 1].ends[up], at[d - 1].held[up], at[d - 1].left[up])
+        return at[self.deepest]
+
+
+def _key(code: np.ndarray, k: int) -> np.ndarray:
+    """A node's name: context, then the bits so far with a leading 1."""
+    return code >> U64(8) << U64(8) | U64(1 << k) | (code & U64(0xFF)) >> U64(8 - k)
+
+
+class Above:
+    """The nodes above ROOT: for each decision the names of the lowest ones and their mixtures."""
+
+    def __init__(self, code: np.ndarray, count: np.ndarray, key: np.ndarray, pw: np.ndarray):
+        """code, count: distinct bytes with ROOT - 1 bytes of context; key, pw: summed log Pw of the children of each lowest node."""
+        tree, self.at = Tree(code, count, 0, ROOT - 1), []
+        for k in range(8 if len(code) else 0):
+            low = Decision(code, tree.count[ROOT - 1], k)
+            keys = _key(code[low.first], k)
+            at = tree.weigh(k, pw[np.searchsorted(key, keys)])
+            n = len(at[0].first)
+            x = tree.mix(at, None, np.zeros(n), np.ones(n))
+            self.at.append((keys, x.ends, x.held, x.left))
+
+    def of(self, key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, *values = self.at[k]
+        at = np.searchsorted(keys, key)
+        return tuple(x[at] for x in values)
+
+
+def log2(code: np.ndarray, count: np.ndarray, above: Above) -> np.ndarray:
+    """Log2 probability of each distinct byte of a bucket in its context."""
+    tree, out = Tree(code, count, ROOT, DEPTH), np.zeros(len(code))
+    for k in range(8 if len(code) else 0):
+        at = tree.weigh(k)
+        x = tree.mix(at, *above.of(_key(_cut(tree.code[ROOT][at[ROOT].first], ROOT - 1), k), k))
+        p = x.ends[x.of]
+        out += np.log2(np.where((code >> U64(7 - k)) & U64(1) == 1, p, 1 - p))
+    return out
 
 
 def train_rows(doc_id: str = "doc_id") -> Column:
@@ -223,107 +294,53 @@ def _of_bucket(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _summed(parts)
 
 
-def _columns(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return rows["code"].to_numpy().view(U64), rows["n"].to_numpy()
-
-
 def _above(rows: pa.Table) -> pa.Table:
-    """For a bucket of subtrees: log Pw at depth ROOT summed by parent, and counts of bytes after ROOT - 1 bytes (short)."""
+    """For a bucket of subtrees: bytes after ROOT - 1 bytes with their counts (short), and log Pw at depth ROOT summed by parent."""
     code, count = _of_bucket(rows)
-    code, count = code[count > 0], count[count > 0]
     tree = Tree(code, count, ROOT, DEPTH)
-    parent, inverse = np.unique(_parent(tree.at[ROOT][0], ROOT), return_inverse=True)
-    short, into = np.unique(code & U64((1 << (8 * ROOT)) - 1), return_inverse=True)
-    n = np.zeros(len(short), np.int64)
-    np.add.at(n, into, count)
+    short, into = np.unique(_cut(tree.code[ROOT], ROOT - 1), return_inverse=True)
+    keys, sums = [], []
+    for k in range(8):
+        root = tree.weigh(k)[ROOT]
+        parent, of = np.unique(_key(_cut(tree.code[ROOT][root.first], ROOT - 1), k), return_inverse=True)
+        keys.append(parent)
+        sums.append(np.bincount(of, root.pw, len(parent)))
+    B.trim()
+    more = sum(map(len, keys))
     return pa.table({
-        "short": np.repeat([False, True], [len(parent), len(short)]),
-        "code": np.concatenate([parent, short]).view(np.int64),
-        "pw": np.concatenate([np.bincount(inverse, tree.pw[ROOT], len(parent)), np.zeros(len(short))]),
-        "n": np.concatenate([np.zeros(len(parent), np.int64), n]),
+        "short": np.repeat([True, False], [len(short), more]),
+        "code": np.concatenate([short, *keys]).view(np.int64),
+        "x": np.concatenate([np.bincount(into, tree.count[ROOT], len(short)), *sums]),
     })
 
 
-class Model:
-    """Mixture probabilities of the nodes: exact above ROOT, from there on in hashed tables."""
-
-    def __init__(self, top: list[tuple[np.ndarray, np.ndarray]], tables: dict[int, tuple[np.ndarray, np.ndarray]]):
-        self.top, self.tables = top, tables
-
-    @staticmethod
-    def slot(keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        h = mix(keys + U64(depth * 0xA0761D6478BD642F % (1 << 64)))
-        return (h & U64(SLOTS[depth] - 1)).astype(np.int64), (h >> U64(48)).astype(np.uint16) | np.uint16(1)
-
-    def find(self, keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the keys there are, and the values of these."""
-        slot, tag = self.slot(keys, depth)
-        tags, values = self.tables[depth]
-        hit = tags[slot] == tag
-        return hit, values[slot[hit]]
-
-    def walk(self, code: np.ndarray) -> np.ndarray:
-        """Log2 probability of each gram's byte in its context."""
-        out, byte = np.zeros(len(code)), code & U64(0xFF)
-        for k in range(8):
-            prefix = U64(1 << k) | byte >> U64(8 - k)
-            p, open_ = np.full(len(code), 0.5), np.arange(len(code))
-            for d in sorted(self.tables, reverse=True):
-                hit, values = self.find(((code[open_] >> U64(8)) & U64((1 << (8 * d)) - 1)) << U64(8) | prefix[open_], d)
-                p[open_[hit]] = values
-                open_ = open_[~hit]
-            for d in range(ROOT - 1, -1, -1):
-                hit, values = _exact(((code[open_] >> U64(8)) & U64((1 << (8 * d)) - 1)) << U64(8) | prefix[open_], *self.top[d])
-                p[open_[hit]] = values
-                open_ = open_[~hit]
-            one = (byte >> U64(7 - k)) & U64(1) == 1
-            out += np.log2(np.where(one, p, 1 - p))
-        return out
-
-
-class Whole(Model):
-    """A model whose tables have every node by its full key: depth to keys in order and values."""
-
-    def find(self, keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        return _exact(keys, *self.tables[depth])
-
-
-def _exact(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return np.zeros(len(wanted), bool), values
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    hit = keys[at] == wanted
-    return hit, values[at[hit]]
-
-
-def answer(packed: DataFrame, work: Scratch) -> DataFrame:
-    """(block, answers): the grams of a block, by bucket, and their log2 probabilities by the model of all rows that are marked learn."""
+def _top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = pa.Table.from_batches(list(batches), schema=pa.schema([("short", pa.bool_()), ("code", pa.int64()), ("x", pa.float64())]))
+    parts = []
+    for part in (rows.filter(rows["short"]), rows.filter(pc.invert(rows["short"]))):
+        code, x = part["code"].to_numpy().view(U64), part["x"].to_numpy()
+        order = np.argsort(code)
+        parts += [code[order], x[order]]
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Above(*parts))], pa.binary())], names=["above"])
+
+
+def answer(packed: DataFrame, buckets: int, work: Scratch) -> DataFrame:
+    """(block, listed, size, bits): the grams of a block, by bucket, and their log2 probabilities by the model of all rows that are marked learn."""
     spark = packed.sparkSession
-    listed = work.keep(B.each(packed, _list(int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket long, block long, listed binary, size long"), "grams")
-    # Counts of bytes after at most ROOT - 1 bytes: at most 256 ** ROOT, in truth thousands.
-    rows = listed.groupBy("bucket").applyInArrow(_above, "short boolean, code long, pw double, n long").groupBy("short", "code").agg(F.sum("pw").alias("pw"), F.sum("n").alias("n")).orderBy("short", "code").toArrow()
-    short, below = rows.filter(rows["short"]), rows.filter(pc.invert(rows["short"]))
-    top = Tree(*_columns(short), 0, ROOT - 1, (_columns(below)[0], below["pw"].to_numpy()))
-    n = len(top.at[0][0])
-    levels = list(top.mixtures(0, np.zeros(n), np.ones(n))) if n else []
-    above = [(keys, ends) for _, keys, ends, *_ in levels] or [(np.zeros(0, U64), np.zeros(0))] * ROOT
-    handed = spark.sparkContext.broadcast((above, (levels[-1][1], levels[-1][4], levels[-1][5]) if levels else None))
+    listed = work.keep(B.each(packed, _list(buckets), "bucket long, block long, listed binary, size long"), "grams")
+    sums = listed.groupBy("bucket").applyInArrow(_above, "short boolean, code long, x double").groupBy("short", "code").agg(F.sum("x").alias("x"))
+    # At most 256 ** ROOT bytes in context, in truth as many as the languages have: thousands.
+    made = sums.repartition(1).mapInArrow(_top, "above binary").first()
+    above = spark.sparkContext.broadcast(bytes(made.above) if made else b"")  # no rows, no buckets that ask
 
     def mixed(rows: pa.Table) -> pa.Table:
-        above, last = handed.value
         code, count = _of_bucket(rows)
-        tables, learnt = {}, count > 0
-        if learnt.any():
-            keys, held, left = last
-            tree = Tree(code[learnt], count[learnt], ROOT, DEPTH)
-            up = np.searchsorted(keys, _parent(tree.at[ROOT][0], ROOT))
-            tables = {d: (k, ends) for d, k, ends, *_ in tree.mixtures(ROOT, held[up], left[up])}
-        bits = Whole(above, tables).walk(code)
+        bits = log2(code, count, pickle.loads(above.value))
         found = [bits[np.searchsorted(code, _listed(payload, size)[0])].tobytes() for payload, size in zip(rows["listed"], rows["size"].to_pylist(), strict=True)]
+        B.trim()
         return rows.select(["block", "listed", "size"]).append_column("bits", pa.array(found, pa.binary()))
 
-    found = listed.groupBy("bucket").applyInArrow(mixed, "block long, listed binary, size long, bits binary")
-    return found.groupBy("block").agg(F.collect_list(F.struct("listed", "size", "bits")).alias("answers"))
+    return listed.groupBy("bucket").applyInArrow(mixed, "block long, listed binary, size long, bits binary")
 
 
 def _ask(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -337,8 +354,6 @@ def _ask(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 def _known(answers: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     """A block's grams in order and the log2 probability of each."""
-    if not answers.is_valid:
-        return np.zeros(0, U64), np.zeros(0)
     rows = answers.values
     size = rows.field("size").to_pylist()
     code = np.concatenate([_listed(x, n)[0] for x, n in zip(rows.field("listed"), size, strict=True)])
@@ -349,24 +364,27 @@ def _known(answers: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
 
 def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for each document."""
-    work = Scratch(docs.sparkSession)
+    spark = docs.sparkSession
+    work = Scratch(spark)
     fold = train_rows()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held", F.coalesce(fold == held_out, F.lit(False))).withColumn("learn", F.coalesce(fold != held_out, F.lit(False)))
-    packed = work.keep(B.pack(rows), "lm-blocks")
-    ends = rows.where("learn").count()
+    packed = work.keep(B.pack(rows, BLOCK), "lm-blocks")
+    seen = rows.agg(F.count_if("learn").alias("ends"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    ends, buckets = seen.ends, max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_BUCKETS, (seen.bytes or 0) // BUCKET))
     asked = B.totals(B.each(packed, _ask, "h long, block long, n long"), ["h"], c="sum(n)", lead="min(block)").where("c > 0")
     answers = work.keep(asked.groupBy("block").agg(F.collect_list("h").alias("h"), F.collect_list("c").alias("c"), F.sum("n").alias("tokens"), F.sum((F.col("block") == F.col("lead")).cast("long")).alias("kinds")), "lm-words")
     total = answers.agg(F.sum("tokens").alias("n"), F.sum("kinds").alias("v")).first()
     n, v = (total.n or 0) + ends, (total.v or 0) + (ends > 0)
-    answered = answer(packed, work)
+    # One join brings a block both kinds of answers.
+    words = answers.select("block", F.lit(None).cast("struct<listed: binary, size: bigint, bits: binary>").alias("x"), "h", "c")
+    bytes_ = answer(packed, buckets, work).select("block", F.struct("listed", "size", "bits").alias("x"), F.lit(None).cast("array<bigint>").alias("h"), F.lit(None).cast("array<bigint>").alias("c"))
+    answered = words.unionByName(bytes_).groupBy("block").agg(F.collect_list("x").alias("answers"), F.flatten(F.collect_list("h")).alias("h"), F.flatten(F.collect_list("c")).alias("c"))
     log_n = math.log10(n + 0.5 * (v + 1))
 
     def run(block: int, table: pa.Table, h: pa.Scalar, c: pa.Scalar, answers: pa.Scalar) -> Iterator[pa.RecordBatch]:
-        keys, values = np.zeros(0, U64), np.zeros(0, np.int64)
-        if h.is_valid:
-            keys, values = h.values.to_numpy(zero_copy_only=False).view(U64), c.values.to_numpy(zero_copy_only=False)
-            order = np.argsort(keys)
-            keys, values = keys[order], values[order]
+        keys, values = h.values.to_numpy(zero_copy_only=False).view(U64), c.values.to_numpy(zero_copy_only=False)
+        order = np.argsort(keys)
+        keys, values = keys[order], values[order]
         codes, logs = _known(answers)
         for piece in _pieces(table):
             words = words_of(piece["text"], lower=True)
@@ -379,11 +397,12 @@ def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
             tokens = words.counts() + 1
             base = np.bincount(of, np.log10(known + 0.5), count) + math.log10(ends + 0.5) - tokens * log_n
             text, off = byte_string(words)
-            bits = np.add.reduceat(logs[np.searchsorted(codes, grams(text, off))], off[:-1])
+            distinct, inverse = np.unique(grams(text, off), return_inverse=True)
+            bits = np.add.reduceat(logs[np.searchsorted(codes, distinct)][inverse], off[:-1])
             yield pa.RecordBatch.from_arrays(
                 [piece["doc_id"].combine_chunks(), piece["held"].combine_chunks(), pa.array(tokens.astype(np.int64)), pa.array(np.bincount(of[known > 0], minlength=count) + int(ends > 0), pa.int64()), pa.array(np.full(count, n), pa.int64()), pa.array(base), pa.array(bits * _LOG_2), pa.array(-bits / np.diff(off))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
             )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return B.each(packed.join(answers.select("block", "h", "c"), "block", "left").join(answered, "block", "left"), run, schema)
+    return B.each(packed.join(answered, "block"), run, schema)

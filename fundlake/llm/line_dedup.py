@@ -12,6 +12,9 @@ stripped of ASCII white space at both ends, with A-Z lower-cased. A key of at
 least ``min_chars`` code points that stands in at least ``min_docs`` documents
 loses all its lines, except in the document with the largest id that holds it.
 
+Lines are told apart by 128 bits: a hash of 64 that is looked up and a
+fingerprint of 64 that is compared.
+
 Edge cases: a null or empty text is one empty line. Rows with the same doc_id
 count as documents of their own but keep or lose a line together. A null
 doc_id is smaller than any other; if all holders of a line have null ids, all
@@ -56,7 +59,7 @@ class PerfectHash:
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
-        levels, left = [], keys
+        levels, left = [], np.unique(keys)  # equal keys would never be alone
         while len(left):
             size = max(1, int(len(left) * cls.GAMMA) // 64 + 1)
             at = cls._place(left, len(levels), size)
@@ -134,47 +137,57 @@ def _requests(min_chars: int):
 
 
 def _index(rows: pa.Table) -> pa.Table:
-    """The arrays of one shard."""
+    """The arrays of one shard: entries in the order of their hash's index, and where each index's entries begin.
+
+    Lines whose first hashes are equal have one index and an entry each, told apart by the fingerprint."""
     keys = rows["h"].to_numpy().view(U64)
     table = PerfectHash.build(keys)
     at = table.index(keys)
-    arrays = []
-    for name in ("fp", "docs", "keeper"):
-        x = np.empty(len(keys), dtype=np.int64)
-        x[at] = rows[name].to_numpy()
-        arrays.append(x.tobytes())
-    return pa.table([rows["shard"].slice(0, 1).cast(pa.int64()), pa.array([table.dump()], pa.binary()), *[pa.array([x], pa.binary()) for x in arrays]], names=["shard", "hash", "fp", "docs", "keeper"])
+    order = np.argsort(at, kind="stable")
+    arrays = [np.searchsorted(at[order], np.arange(table.n + 1)), *[rows[x].to_numpy()[order] for x in ("fp", "docs", "keeper")]]
+    return pa.table([rows["shard"].slice(0, 1).cast(pa.int64()), pa.array([table.dump()], pa.binary()), *[pa.array([x.astype(np.int64).tobytes()], pa.binary()) for x in arrays]], names=["shard", "hash", "start", "fp", "docs", "keeper"])
 
 
 def _probe(min_docs: int):
     def run(probes: pa.Table, shard: pa.Table) -> pa.Table:
-        h = probes["h"].to_numpy()
+        h, fp = probes["h"].to_numpy(), probes["fp"].to_numpy()
         if not len(h) or not shard.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 3, names=["block", "h", "keeper"])
-        fps, docs, keeper = (np.frombuffer(shard[x][0].as_buffer(), dtype=np.int64) for x in ("fp", "docs", "keeper"))
-        at = PerfectHash.load(shard["hash"][0].as_buffer()).index(h.view(U64))
-        found = (at >= 0) & (fps[at] == probes["fp"].to_numpy()) & (docs[at] >= min_docs)
-        return pa.table([probes["block"].to_numpy()[found], h[found], keeper[at[found]]], names=["block", "h", "keeper"])
+            return pa.table([pa.array([], pa.int64())] * 4, names=["block", "h", "fp", "keeper"])
+        start, fps, docs, keeper = (np.frombuffer(shard[x][0].as_buffer(), dtype=np.int64) for x in ("start", "fp", "docs", "keeper"))
+        index = PerfectHash.load(shard["hash"][0].as_buffer()).index(h.view(U64))
+        known = np.flatnonzero(index >= 0)
+        at, end = start[index[known]], start[index[known] + 1]
+        probe, entry = [], []
+        while len(known):  # once, but for lines whose first hashes are equal
+            hit = fps[at] == fp[known]
+            probe.append(known[hit])
+            entry.append(at[hit])
+            more = ~hit & (at + 1 < end)
+            known, at, end = known[more], at[more] + 1, end[more]
+        probe, entry = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (probe, entry))
+        hot = docs[entry] >= min_docs
+        probe, entry = probe[hot], entry[hot]
+        return pa.table([probes["block"].to_numpy()[probe], h[probe], fp[probe], keeper[entry]], names=["block", "h", "fp", "keeper"])
 
     return run
 
 
 def _drops(docs: DataFrame, min_chars: int, min_docs: int, work: Scratch) -> DataFrame:
-    """Blocks of docs with the hashes that lose their lines there and the documents that keep them."""
+    """Blocks of docs with the keys (both hashes) that lose their lines there and the documents that keep them."""
     packed = work.keep(B.pack(docs), "line-blocks")
     requests = work.keep(B.each(packed, _requests(min_chars), "h long, fp long, block long, docs long, keeper long"), "line-requests")
     shards = max(1, -(-requests.count() // SHARD_PROBES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shard = F.pmod(F.xxhash64("h"), F.lit(shards))
     entries = requests.groupBy("h", "fp").agg(F.sum("docs").alias("docs"), F.max("keeper").alias("keeper")).where("docs >= 2")
-    index = entries.withColumn("shard", shard).groupBy("shard").applyInArrow(_index, "shard long, hash binary, fp binary, docs binary, keeper binary")
+    index = entries.withColumn("shard", shard).groupBy("shard").applyInArrow(_index, "shard long, hash binary, start binary, fp binary, docs binary, keeper binary")
     probes = requests.select(shard.alias("shard"), "h", "fp", "block")
-    answers = probes.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe(min_docs), "block long, h long, keeper long")
-    return B.reply(packed, answers, h="h", keeper="keeper")
+    answers = probes.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe(min_docs), "block long, h long, fp long, keeper long")
+    return B.reply(packed, answers, h="h", fp="fp", keeper="keeper")
 
 
-def _kept(docs: pa.Table, h: pa.Scalar, keeper: pa.Scalar, min_chars: int) -> Iterator[tuple[int, list[str], int]]:
+def _kept(docs: pa.Table, h: pa.Scalar, fp: pa.Scalar, keeper: pa.Scalar, min_chars: int) -> Iterator[tuple[int, list[str], int]]:
     """For each document: its number of lines, the lines that stay, how many are dropped."""
-    losing = dict(zip(h.as_py() or (), keeper.as_py() or (), strict=True))
+    losing = dict(zip(zip(h.as_py() or (), fp.as_py() or (), strict=True), keeper.as_py() or (), strict=True))
     for doc, text in zip(docs["doc_id"].to_pylist(), docs["text"].to_pylist(), strict=True):
         if not losing:
             lines = (text or "").split("\n")
@@ -182,7 +195,7 @@ def _kept(docs: pa.Table, h: pa.Scalar, keeper: pa.Scalar, min_chars: int) -> It
             continue
         doc = _NO_ID if doc is None else doc
         lines, keys = _keys(text, min_chars)
-        stay = [x for x, k in zip(lines, keys, strict=True) if k is None or losing.get(k[0], doc) == doc]
+        stay = [x for x, k in zip(lines, keys, strict=True) if k is None or losing.get(k, doc) == doc]
         yield len(lines), stay, len(lines) - len(stay)
 
 
@@ -190,9 +203,9 @@ def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """doc_id, n_lines (before), n_dropped, kept_sha256 of the text that is left."""
     work = Scratch(docs.sparkSession)
 
-    def run(block: int, table: pa.Table, h: pa.Scalar, keeper: pa.Scalar) -> Iterator[pa.RecordBatch]:
+    def run(block: int, table: pa.Table, h: pa.Scalar, fp: pa.Scalar, keeper: pa.Scalar) -> Iterator[pa.RecordBatch]:
         n, dropped, sha = [], [], []
-        for lines, stay, lost in _kept(table, h, keeper, min_chars):
+        for lines, stay, lost in _kept(table, h, fp, keeper, min_chars):
             n.append(lines)
             dropped.append(lost)
             sha.append(hashlib.sha256("\n".join(stay).encode("utf-8", "surrogatepass")).hexdigest())
@@ -208,10 +221,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     work = Scratch(docs.sparkSession, scope)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])
 
-    def run(block: int, table: pa.Table, h: pa.Scalar, keeper: pa.Scalar) -> Iterator[pa.RecordBatch]:
+    def run(block: int, table: pa.Table, h: pa.Scalar, fp: pa.Scalar, keeper: pa.Scalar) -> Iterator[pa.RecordBatch]:
         if h.is_valid:
             at = table.schema.get_field_index("text")
-            kept = list(_kept(table, h, keeper, min_chars))
+            kept = list(_kept(table, h, fp, keeper, min_chars))
             old = table["text"].to_pylist()
             texts = [o if not lost else "\n".join(stay) for o, (_, stay, lost) in zip(old, kept, strict=True)]
             kind = table.schema.field("text").type

@@ -9,9 +9,12 @@ card, phone) keep every confirmed span, whatever its score. The kinds added by
 the method (iban, ssn) need a score of at least ``MIN_SCORE``: an IBAN has it by
 its checksum, a number in the shape of an SSN only with a context word nearby.
 
-Patterns run in linear time on long texts: repeats are possessive where nothing
-may be given back, and an email is only tried where its run of characters
-begins or the match before ended. Positions are code points, end exclusive.
+Long texts take time in proportion to their length (but for a factor of the
+number of binary digits of the number of matches): repeats are possessive where
+nothing may be given back, an email is only tried where its run of characters
+begins or the match before ended, positions are running sums of lengths, and
+context is looked up in pieces of the text. Positions are code points, end
+exclusive.
 
 Edge cases: a null text counts as empty and gets a row with no spans; rows are
 never dropped, merged or matched by id; other columns do not matter.
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 
 MIN_SCORE = 0.5
 CONTEXT = 40
+#: Characters of the pieces out of which a match's surroundings are taken.
+PIECE = 1024
 #: kind, proposing pattern, cheap test that must hold for the text, validator of the match m, prior, context words.
 KINDS = (
     ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "contains(t, '@')", "true", 0.9, "mail|contact|kontakt|correo|courriel"),
@@ -36,19 +41,38 @@ KINDS = (
 BASE = ("email", "ip", "card", "phone")
 
 
+_KIND = "array<struct<start:int,ord:int,end:int,kind:string,score:double>>"
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """SQL of body with name standing for value, which is evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _running(xs: str, join: str = "a + b") -> str:
+    """SQL of the running sums (or whatever joins a and b) of an array of numbers from 0 on, in as many passes as its size has binary digits."""
+    shifted = "slice(concat(array_repeat(0, CAST(shiftleft(1, k) AS int)), acc), 1, size(acc))"
+    return f"aggregate(sequence(0, length(bin(size({xs}))) - 1), {xs}, (acc, k) -> zip_with(acc, {shifted}, (a, b) -> {join}))"
+
+
+def _around(start: str, length: str) -> str:
+    """SQL of length characters of the text from start on (0: its first), out of the few pieces that hold them."""
+    first, last = f"({start}) div {PIECE}", f"({start} + {length} - 1) div {PIECE}"
+    held = f"CASE WHEN {last} <= {first} + 1 THEN concat(get(ts, CAST({first} AS int)), CASE WHEN {last} > {first} THEN coalesce(get(ts, CAST({last} AS int)), '') ELSE '' END) ELSE array_join(slice(ts, CAST({first} AS int) + 1, CAST({last} - {first} AS int) + 1), '') END"
+    return f"substr({held}, CAST(({start}) % {PIECE} AS int) + 1, {length})"
+
+
 def _spans(order: int, kind: str, pattern: str, test: str, valid: str, prior: float, words: str) -> str:
     """SQL of an array of (start, order, end, kind, score); t is the text."""
     p = "r'" + pattern + "'"
-    near = f"rlike(lower(substr(t, greatest(acc.at + length(x.p) - {CONTEXT}, 0) + 1, length(x.m) + {2 * CONTEXT})), '{words}')"
-    span = f"named_struct('start', acc.at + length(x.p), 'ord', {order}, 'end', acc.at + length(x.p) + length(x.m), 'kind', '{kind}', 'score', round({prior}D + if({near}, 0.3D, 0D), 2))"
-    kind_type = "array<struct<start:int,ord:int,end:int,kind:string,score:double>>"
     check = valid.replace("(m,", "(x.m,").replace(" m,", " x.m,").replace("(m ", "(x.m ")
-    pairs = f"zip_with(regexp_extract_all(t, {p}, 0), slice(split(t, {p}, -1), 1, size(regexp_extract_all(t, {p}, 0))), (m, p) -> named_struct('p', p, 'm', m))"
-    return (
-        f"CASE WHEN {test} THEN aggregate({pairs}, named_struct('at', 0, 'out', CAST(array() AS {kind_type})), "
-        f"(acc, x) -> named_struct('at', acc.at + length(x.p) + length(x.m), 'out', CASE WHEN {check} THEN array_append(acc.out, {span}) ELSE acc.out END), acc -> acc.out) "
-        f"ELSE CAST(array() AS {kind_type}) END"
-    )
+    near = _around(f"greatest(x.e - length(x.m) - {CONTEXT}, 0)", f"(length(x.m) + {2 * CONTEXT})")
+    span = f"named_struct('start', x.e - length(x.m), 'ord', {order}, 'end', x.e, 'kind', '{kind}', 'score', round({prior}D + if(rlike(lower({near}), '{words}'), 0.3D, 0D), 2))"
+    scored = f"CASE WHEN size(good) = 0 THEN CAST(array() AS {_KIND}) ELSE {_let(f"regexp_extract_all(t, '(?s).{{1,{PIECE}}}', 0)", 'ts', f'transform(good, x -> {span})')} END"
+    good = _let(f"filter(zip_with(ms, es, (m, e) -> named_struct('m', m, 'e', e)), x -> {check})", "good", scored)
+    ends = _let("zip_with(ms, slice(ps, 1, size(ms)), (m, p) -> length(p) + length(m))", "ls", _let(_running("ls"), "es", good))
+    found = _let(f"regexp_extract_all(t, {p}, 0)", "ms", f"CASE WHEN size(ms) = 0 THEN CAST(array() AS {_KIND}) ELSE {_let(f'split(t, {p}, -1)', 'ps', ends)} END")
+    return f"CASE WHEN {test} THEN {found} ELSE CAST(array() AS {_KIND}) END"
 
 
 def find(text: str = "text") -> dict[str, Column]:
@@ -65,14 +89,12 @@ def detect(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """doc_id and text with every span replaced by its kind in angle brackets; of overlapping spans the first stands."""
-    done = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, x: F.when(x.start >= acc.at, F.struct(x.end.alias("at"), F.concat(acc.out, F.substring("text", acc.at + 1, x.start - acc.at), F.lit("<"), x.kind, F.lit(">")).alias("out"))).otherwise(acc),
-        lambda acc: F.concat(acc.out, F.substring("text", acc.at + 1, F.length("text"))),
-    )
-    return detect(docs).select("doc_id", done.alias("text"))
+    """doc_id and text with every span replaced by its kind in angle brackets; spans that overlap are replaced as one, by the first's kind."""
+    piece = _around("x.before", "(x.start - x.before)")
+    said = f"array_join(transform(heads, x -> concat(CASE WHEN x.start > x.before THEN {piece} ELSE '' END, '<', x.kind, '>')), '')"
+    heads = "filter(zip_with(spans, slice(concat(array(0), es), 1, size(spans)), (x, e) -> named_struct('start', x.start, 'kind', x.kind, 'before', e)), (x, i) -> i = 0 OR x.start >= x.before)"
+    done = _let("transform(spans, x -> x.end)", "ls", _let(_running("ls", "greatest(a, b)"), "es", _let(heads, "heads", _let(f"regexp_extract_all(text, '(?s).{{1,{PIECE}}}', 0)", "ts", f"concat({said}, substr(text, element_at(es, -1) + 1))"))))
+    return detect(docs).select("doc_id", F.expr(f"CASE WHEN size(spans) = 0 THEN text ELSE {done} END").alias("text"))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -138,6 +138,23 @@ def test_pii(spark):
     assert kept[1] == "to <email>, é <phone>!" and kept[2] == ""
 
 
+def test_pii_of_very_long_texts(spark):
+    """Hundreds of thousands of spans, long runs that are none, and the context of a far one."""
+    n = 60000
+    rows = [(1, " ".join(f"u{i}@é.h{i % 9}.nl" for i in range(n))), (2, "9" * 500000), (3, "1 " * 250000), (4, "+1 (2) " * 70000), (5, "é " * 300000 + "my ssn 123-45-6789"), (6, "é " * 300000 + "my xxx 123-45-6789"), (6, "é " * 300000 + "my xxx 123-45-6789")]
+    got = {x.doc_id: x for x in pii.report(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got[1].n_email == 0 and [got[i].spans for i in (2, 3, 4, 6)] == [""] * 4
+    assert got[5].spans == "ssn:600007:600018"
+    rows = [(1, " ".join(f"u{i}@h{i % 9}.nl" for i in range(n))), (2, "x " * 3000 + "a@b.cd " + "y " * 3000 + "c@d.ef")]
+    assert pii.report(spark.createDataFrame(rows, DOCS)).where("doc_id = 1").first().n_email == n
+    assert [x.text for x in pii.redact(spark.createDataFrame(rows, DOCS)).orderBy("doc_id").collect()] == [" ".join(["<email>"] * n), "x " * 3000 + "<email> " + "y " * 3000 + "<email>"]
+
+
+def test_pii_redacts_overlapping_spans_as_one(spark):
+    text = "+4111 1111 1111 1111 x 1.2.3.4@b.cd, a@b.cd"
+    assert pii.redact(spark.createDataFrame([(1, text)], DOCS)).first().text in {"<card> x <email>, <email>", "<phone> x <email>, <email>", "+<card> x <email>, <email>"}
+
+
 def brute_pii(text):
     out = []
     luhn = lambda d: sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
@@ -285,33 +302,39 @@ def test_ctw_matches_the_recursion():
     data = np.frombuffer(b"abracadabra abracadabra\n", np.uint8)
     code, count = np.unique(ctw.grams(data, np.array([0, len(data)]), 2), return_counts=True)
     tree = ctw.Tree(code, count, 0, 2)
-    keys2, n0, n1 = tree.at[2]
-    assert np.allclose(tree.pw[2], ctw.log_kt(n0, n1))
-    for d in (1, 0):
-        keys, n0, n1 = tree.at[d]
-        for i, k in enumerate(keys):
-            mine = ctw._parent(tree.at[d + 1][0], d + 1) == k
-            assert math.isclose(tree.pw[d][i], math.log(0.5) + np.logaddexp(ctw.log_kt(n0[i : i + 1], n1[i : i + 1])[0], tree.pw[d + 1][mine].sum()), rel_tol=1e-12)
-    assert math.isclose(ctw.log_kt(np.array([2.0]), np.array([1.0]))[0], math.log(1 / 16), rel_tol=1e-9)
-    for d, k, ends, *_ in tree.mixtures(0, np.zeros(len(tree.at[0][0])), np.ones(len(tree.at[0][0]))):
+    for k in range(8):
+        at = tree.weigh(k)
+        assert np.allclose(at[2].pw, ctw.log_kt(at[2].n0, at[2].n1))
+        for d in (1, 0):
+            assert at[d].n0.sum() + at[d].n1.sum() == len(data)
+            keys = ctw._key(tree.code[d][at[d].first], k).tolist()
+            below = Counter()
+            for key, pw in zip(ctw._key(ctw._cut(tree.code[d + 1][at[d + 1].first], d), k).tolist(), at[d + 1].pw, strict=True):
+                below[key] += pw
+            for i, key in enumerate(keys):
+                own = ctw.log_kt(at[d].n0[i : i + 1], at[d].n1[i : i + 1])[0]
+                assert math.isclose(at[d].pw[i], math.log(0.5) + np.logaddexp(own, below[key]), rel_tol=1e-12)
+        n = len(at[0].first)
+        ends = tree.mix(at, None, np.zeros(n), np.ones(n)).ends
         assert ((ends > 0) & (ends < 1)).all()
+    assert math.isclose(ctw.log_kt(np.array([2.0]), np.array([1.0]))[0], math.log(1 / 16), rel_tol=1e-9)
+    assert math.isclose(ctw.log_kt(np.array([90.0]), np.array([1.0]))[0], math.lgamma(90.5) + math.lgamma(1.5) - math.lgamma(92) - math.log(math.pi), rel_tol=1e-9)
 
 
 def test_ctw_next_bytes_sum_to_one():
-    data = np.frombuffer(b"hello there hello\n", np.uint8)
+    """All 256 bytes after known and unknown contexts, by the functions that answer the query."""
+    data = np.frombuffer(b"hello there hello yellow\n" * 3, np.uint8)
     code, count = np.unique(ctw.grams(data, np.array([0, len(data)])), return_counts=True)
-    whole = ctw.Tree(code, count, 0, ctw.DEPTH)
-    tables = {}
-    levels = {d: (k, e) for d, k, e, *_ in whole.mixtures(0, np.zeros(len(whole.at[0][0])), np.ones(len(whole.at[0][0])))}
-    for d, slots in ctw.SLOTS.items():
-        tags, values = np.zeros(slots, np.uint16), np.zeros(slots, np.float32)
-        slot, tag = ctw.Model.slot(levels[d][0], d)
-        tags[slot], values[slot] = tag, levels[d][1]
-        tables[d] = (tags, values)
-    model = ctw.Model([levels[d] for d in range(ctw.ROOT)], tables)
-    for context in (code[0], code[5], np.uint64(0x7A7A7A7A7A00)):
-        after = (context & ~np.uint64(0xFF)) | np.arange(256, dtype=np.uint64)
-        assert math.isclose((2.0 ** model.walk(after)).sum(), 1, rel_tol=1e-5)
+    contexts = [code[0], code[5], np.uint64(0x7A7A7A7A7A7A00), np.uint64(0x7A7A7A656C6C00)]
+    after = np.concatenate([(c & ~np.uint64(0xFF)) | np.arange(256, dtype=np.uint64) for c in contexts])
+    every, into = np.unique(np.concatenate([code, after]), return_inverse=True)
+    n = np.bincount(into, np.r_[count, np.zeros(len(after))], len(every)).astype(np.int64)
+    table = pa.table({"listed": pa.array([ctw._squeeze(every, n)], pa.binary()), "size": [len(every)]})
+    rows = next(ctw._top(iter(ctw._above(table).to_batches())))
+    bits = ctw.log2(every, n, ctw.pickle.loads(rows["above"][0].as_py()))
+    for c in contexts:
+        mine = np.searchsorted(every, (c & ~np.uint64(0xFF)) | np.arange(256, dtype=np.uint64))
+        assert math.isclose((2.0 ** bits[mine]).sum(), 1, rel_tol=1e-9)
 
 
 def test_chat_keeps_equal_turns_without_numbers(spark):
@@ -397,3 +420,69 @@ def test_empty_tables(spark):
     assert quality.report(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
     v = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(v, v).count() == 0
+
+
+def test_perfect_hash_ends_on_equal_keys():
+    keys = np.array([5, 5, 9, 5], dtype=np.uint64)
+    h = line_dedup.PerfectHash.build(keys)
+    assert h.n == 2 and sorted({int(i) for i in h.index(keys)}) == [0, 1]
+
+
+def test_lines_with_equal_first_hashes():
+    """Three lines share a hash; the fingerprint finds each one's own entry, and only the one that is frequent."""
+    rows = pa.table({"shard": [0] * 4, "h": [7, 7, 7, 8], "fp": [1, 2, 3, 1], "docs": [5, 2, 9, 6], "keeper": [10, 20, 30, 40]})
+    shard = line_dedup._index(rows)
+    probes = pa.table({"shard": [0] * 6, "h": [7, 7, 7, 7, 8, 9], "fp": [3, 2, 1, 4, 1, 1], "block": [1, 2, 3, 4, 5, 6]})
+    got = line_dedup._probe(5)(probes, shard).to_pylist()
+    assert sorted((x["block"], x["h"], x["fp"], x["keeper"]) for x in got) == [(1, 7, 3, 30), (3, 7, 1, 10), (5, 8, 1, 40)]
+    line = "a line that is long enough to be looked at, surely"
+    (h, fp), docs = line_dedup._keys(line, 40)[1][0], pa.table({"doc_id": [1, 2], "text": [line, "x"]})
+    scalar = lambda x: pa.scalar([x], pa.list_(pa.int64()))
+    assert [x[2] for x in line_dedup._kept(docs, scalar(h), scalar(fp), scalar(2), 40)] == [1, 0]
+    assert [x[2] for x in line_dedup._kept(docs, scalar(h), scalar(fp + 1), scalar(2), 40)] == [0, 0]
+
+
+def test_votes_by_definition():
+    """Votes against a plain loop, with ties at the last place and equal vectors."""
+    r = np.random.default_rng(3)
+    sample = r.standard_normal((60, 5)).astype(np.float32)
+    sample[40:50] = sample[0]
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    docs, labels = sample[[0, 7, 41]], (np.arange(60) % 3 == 0).astype(float)
+    got = quality.vote(docs, sample, labels, 4)
+    for d, g in zip(docs, got, strict=True):
+        cosine = [round(float(np.float32((d * x).sum())), 6) for x in sample]
+        last = sorted(cosine, reverse=True)[3]
+        near = [(c, y) for c, y in zip(cosine, labels, strict=True) if c >= last - 1e-6]
+        weight = [max((1 + c) / 2, 1e-6) ** quality.SHARPNESS for c, _ in near]
+        assert math.isclose(g, sum(w * y for w, (_, y) in zip(weight, near, strict=True)) / sum(weight), rel_tol=1e-4)
+
+
+def test_latent_directions_by_definition():
+    """The basis spans what a full decomposition of the same scaled, centred counts does."""
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    x = quality.features(pa.array([" ".join(r.choices(words[: 10 + i % 30], k=40)) + "!" * (i % 5) for i in range(90)]))
+    basis = quality.Basis.fit(x.astype(np.float16), 6)
+    counts, rates = x[:, : -quality.RATES].astype(np.float16).astype(float), x[:, -quality.RATES :].astype(np.float16).astype(float)
+    y = counts * (np.log((1 + len(x)) / (1 + (counts > 0).sum(axis=0))) + 1)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    y = np.hstack([y, np.clip((rates - rates.mean(axis=0)) / np.maximum(rates.std(axis=0), 1e-6), -4, 4) * 0.15])
+    y -= y.mean(axis=0)
+    s = np.linalg.svd(y, compute_uv=False)
+    kept = np.linalg.norm(y @ basis.v.astype(float)) ** 2
+    assert kept >= 0.999 * (s[:6] ** 2).sum()
+    assert np.allclose(np.linalg.norm(basis.vectors(x), axis=1), 1, atol=1e-4)
+
+
+def test_quality_learns_words_of_content(spark):
+    """Documents alike in shape, told apart by their words alone; repeated rows score alike and the text of a null counts."""
+    r = random.Random(6)
+    good, bad = [f"{c}ab" for c in "bcdfghjklm"], [f"{c}ab" for c in "npqrstvwxz"]
+    rows = [(i, " ".join(r.choices(good if i % 2 else bad, k=30))) for i in range(300)] + [(400, None), (401, ""), (7, " ".join(good)), (7, " ".join(good))]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(300)] + [(7, None, 0)], "doc_id long, quality int, toxic int")
+    got = quality.report(spark.createDataFrame(rows, DOCS), labels).collect()
+    assert len(got) == len(rows)
+    own = [x for x in got if x.doc_id < 300 and x.held_out]
+    assert sum(x.predicted == x.doc_id % 2 for x in own) >= 0.95 * len(own)
+    assert len({x.score for x in got if x.doc_id == 7}) <= 2
