@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fundlake.functions import numbers as N
-from fundlake.functions.text import contains_any, count_where, count_words, first, first_where, group, groups, keyword_windows, quote, squeeze, strip, title_case, windows
+from fundlake.functions.text import contains_any, count_where, count_words, first, first_where, group, groups, keyword_windows, let, quote, squeeze, strip, title_case, windows
 
 # Number shapes.
 PCT = r"(\d{1,2}(?:[.,]\d{1,2})?)\s*%"
@@ -85,15 +85,23 @@ def regions_named(text: Column) -> Column:
     """EX-07 (lower case): up to three labels by how many windows of 300 characters about a word name them.
 
     Global leads if both North America and Europe are named; the Netherlands give way to Global among more than two."""
+    # Words about which regions are looked for.
     words = ("aandelen", "zakelijke waarden", "equity", "aandelenportefeuille", "regio")
     named = lambda w: F.filter(F.array(*[F.when(contains_any(w, ws), F.lit(label)) for label, ws in REGION_LABELS]), lambda x: x.isNotNull())
-    all_ = F.flatten(F.transform(keyword_windows(text, words, 300, 300), named))
-    counted = F.transform(F.array_distinct(all_), lambda v: F.struct((-F.size(F.filter(all_, lambda x: x == v))).alias("n"), F.array_position(all_, v).alias("i"), v.alias("v")))
-    top = F.transform(F.array_sort(counted), lambda x: x.v)
     has = lambda a, v: F.array_contains(a, v)
-    top = F.when(has(top, "North America") & has(top, "Europe") & ~has(top, "Global"), F.concat(F.array(F.lit("Global")), top)).otherwise(top)
-    top = F.when(has(top, "Global") & has(top, "Netherlands") & (F.size(top) > 2), F.array_remove(top, "Netherlands")).otherwise(top)
-    return F.when(F.size(all_) > 0, F.array_join(F.slice(top, 1, 3), ", "))
+
+    def ranked(all_: Column) -> Column:
+        counted = F.transform(F.array_distinct(all_), lambda v: F.struct((-F.size(F.filter(all_, lambda x: x == v))).alias("n"), F.array_position(all_, v).alias("i"), v.alias("v")))
+        return F.transform(F.array_sort(counted), lambda x: x.v)
+
+    def led(top: Column) -> Column:
+        return F.when(has(top, "North America") & has(top, "Europe") & ~has(top, "Global"), F.concat(F.array(F.lit("Global")), top)).otherwise(top)
+
+    def given_way(top: Column) -> Column:
+        top = F.when(has(top, "Global") & has(top, "Netherlands") & (F.size(top) > 2), F.array_remove(top, "Netherlands")).otherwise(top)
+        return F.when(F.size(top) > 0, F.array_join(F.slice(top, 1, 3), ", "))
+
+    return let(let(let(F.flatten(F.transform(keyword_windows(text, words, 300, 300), named)), ranked), led), given_way)
 
 
 def region_weights(text: Column) -> Column:
@@ -123,24 +131,31 @@ def weights_text(weights: Column) -> Column:
 
 def management_style(text: Column) -> Column:
     """EX-09 (lower case): active against passive by score; a side leads by half as much again, else mixed."""
+    # Words of the two styles, and of their denial.
     around = keyword_windows(text, ("actief beheer", "passief", "indexvolgend", "tracking error", "benchmark"), 200, 200)
-    near = F.filter(around, lambda w: contains_any(w, EQUITY))
     denied = lambda w: contains_any(w, ("geen actief", "niet actief", "niet meer actief", "0% van de technische voorzieningen", "uitsluitend passief"))
     actively = lambda w: contains_any(w, ("actief beheer", "actieve", "actief"))
     passively = lambda w: contains_any(w, ("passief", "indexvolgend", "tracker", "passieve"))
     partly = lambda w: w.contains("deels passief")
     strong = lambda *words: F.when(contains_any(text, words), 5).otherwise(0)
-    passive = strong("niet meer actief belegd", "niet actief belegd", "geen actief beheer") + strong("volledig passief", "geheel passief", "uitsluitend passief")
-    passive = passive + 2 * count_where(near, lambda w: actively(w) & denied(w)) + count_where(near, passively)
-    active = count_where(near, lambda w: actively(w) & ~denied(w)) + count_where(near, lambda w: passively(w) & partly(w))
-    return (
-        F.when((passive == 0) & (active == 0), None)
-        .when(passive > active * 1.5, "Passive")
-        .when(active > passive * 1.5, "Active")
-        .when((active > 0) & (passive > 0), "Mixed (Active & Passive)")
-        .when(passive >= active, "Passive")
-        .when(text.isNotNull(), "Active")
-    )
+
+    def scores(near: Column) -> Column:
+        passive = strong("niet meer actief belegd", "niet actief belegd", "geen actief beheer") + strong("volledig passief", "geheel passief", "uitsluitend passief")
+        passive = passive + 2 * count_where(near, lambda w: actively(w) & denied(w)) + count_where(near, passively)
+        active = count_where(near, lambda w: actively(w) & ~denied(w)) + count_where(near, lambda w: passively(w) & partly(w))
+        return F.struct(passive.alias("passive"), active.alias("active"))
+
+    def style(x: Column) -> Column:
+        return (
+            F.when((x.passive == 0) & (x.active == 0), None)
+            .when(x.passive > x.active * 1.5, "Passive")
+            .when(x.active > x.passive * 1.5, "Active")
+            .when((x.active > 0) & (x.passive > 0), "Mixed (Active & Passive)")
+            .when(x.passive >= x.active, "Passive")
+            .when(text.isNotNull(), "Active")
+        )
+
+    return let(let(F.filter(around, lambda w: contains_any(w, EQUITY)), scores), style)
 
 
 def esg_score(text: Column) -> Column:
@@ -329,8 +344,8 @@ def benchmarks(text: Column) -> Column:
 def report_year(text: Column) -> Column:
     """EX-31 (lower case): beside a word for the report, else the year most often named, the earlier named if equal."""
     word = "jaarverslag|annual report"
-    years = groups(text, r"(?U)\b(202[0-4])\b")
-    counted = F.transform(F.array_distinct(years), lambda y: F.struct((-F.size(F.filter(years, lambda x: x == y))).alias("n"), F.array_position(years, y).alias("i"), y.alias("y")))
+    count = lambda years: F.transform(F.array_distinct(years), lambda y: F.struct((-F.size(F.filter(years, lambda x: x == y))).alias("n"), F.array_position(years, y).alias("i"), y.alias("y")))
+    counted = let(groups(text, r"(?U)\b(202[0-4])\b"), count)
     return F.coalesce(group(text, rf"(?d)(?:{word}).{{0,15}}(202[0-4])"), group(text, rf"(?d)(202[0-4]).{{0,15}}(?:{word})"), first(F.array_sort(counted)).y).cast("int")
 
 
