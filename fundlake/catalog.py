@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fundlake import schemas
 
@@ -42,18 +43,26 @@ class Catalog:
         return sorted(t.name for t in self.spark.catalog.listTables())
 
     def append(self, name: str, rows: DataFrame) -> None:
-        """SNK-04."""
-        rows.select(*self.table(name).columns).write.mode("append").parquet(self.path(name))
+        """SNK-04: rows take the declared types."""
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in self.table(name).schema.fields]).write.mode("append").parquet(self.path(name))
 
     def replace(self, name: str, rows: DataFrame) -> None:
-        """SNK-16, SNK-30: the whole table at once. It is written beside the old one, which then gives way to it, so rows may come from the old one."""
-        new, old = f"{self.path(name)}.new", self.path(name)
+        """SNK-16, SNK-30: the whole table at once. It is written beside the old one, so rows may come from the old one.
+
+        The old table is moved aside before the new one takes its place and deleted after: at any
+        moment one of them is whole, under its name or with .old behind it."""
+        new, old, aside = f"{self.path(name)}.new", self.path(name), f"{self.path(name)}.old"
         rows.write.mode("overwrite").parquet(new)
         jvm = self.spark.sparkContext._jvm
-        target, source = jvm.org.apache.hadoop.fs.Path(old), jvm.org.apache.hadoop.fs.Path(new)
+        target, source, kept = (jvm.org.apache.hadoop.fs.Path(x) for x in (old, new, aside))
         fs = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(target, True)
+        if fs.exists(target):
+            fs.delete(kept, True)
+            if not fs.rename(target, kept):
+                raise OSError(f"{old} can't be moved to {aside}")
         if not fs.rename(source, target):
+            fs.rename(kept, target)
             raise OSError(f"{new} can't be moved to {old}")
+        fs.delete(kept, True)
         self.spark.catalog.refreshByPath(old)
         self.table(name).createOrReplaceTempView(name)

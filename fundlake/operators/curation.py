@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fundlake.functions import dates, names
 from fundlake.functions import numbers as N
-from fundlake.functions.text import first_where, group, groups, strip
+from fundlake.functions.text import contains_any, first_where, group, groups, strip
 from fundlake.operators import extract as X
 from fundlake.operators import merge, resolve
 from fundlake.operators.lineage import cut
@@ -99,20 +99,26 @@ def table_fees(tables: DataFrame) -> DataFrame:
     return fees.groupBy("doc_id").agg(F.min_by("fee", F.struct("page_no", "table_no", "row_no")).alias("fee"))
 
 
-def walk_links(links: DataFrame, start: DataFrame, most: int = 25, rounds: int = 10) -> DataFrame:
+def walk_links(links: DataFrame, start: DataFrame, most: int = 25, priority: tuple[str, ...] = ()) -> DataFrame:
     """STM-03: (site, url, step) reached from start (site, url) over landed links (page, url), at most so many a site.
 
-    Step by step; within a step by address. The limit is the feature: a crawl's budget."""
+    Step by step; within a step addresses with a priority word go first, then by address. The
+    limit is the feature: a crawl's budget. A site is walked until it has no new page or its
+    budget is used up, however long its chains are."""
     edges = links.select(F.col("page").alias("url"), F.col("url").alias("to"))
-    seen = cut(start.select("site", "url").distinct().withColumn("step", F.lit(0)))
-    for step in range(1, rounds + 1):
-        new = seen.where(F.col("step") == step - 1).join(edges, "url").select("site", F.col("to").alias("url")).distinct()
-        new = cut(new.join(seen.select("site", "url"), ["site", "url"], "left_anti").withColumn("step", F.lit(step)))
-        if not new.take(1):
-            break
-        seen = seen.union(new)
-    w = Window.partitionBy("site").orderBy("step", "url")
-    return seen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= most).drop("n")
+    first = contains_any(F.lower("url"), priority).cast("int") if priority else F.lit(0)
+    order = Window.partitionBy("site").orderBy("step", F.desc("first"), "url")
+    within = lambda df: df.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).drop("n")
+    seen, step = cut(within(start.select("site", "url").distinct().withColumns({"step": F.lit(0), "first": first}))), 0
+    while True:
+        step += 1
+        room = seen.groupBy("site").agg(F.count("*").alias("n")).where(F.col("n") < most).select("site")
+        new = seen.where(F.col("step") == step - 1).join(room, "site").join(edges, "url").select("site", F.col("to").alias("url")).distinct()
+        new = new.join(seen.select("site", "url"), ["site", "url"], "left_anti").withColumns({"step": F.lit(step), "first": first})
+        more = cut(within(seen.unionByName(new)))
+        if not more.where(F.col("step") == step).take(1):
+            return more.drop("first")
+        seen = more
 
 
 def unextracted(funds: DataFrame, extracted: DataFrame, files: DataFrame) -> DataFrame:
