@@ -8,8 +8,11 @@ per block and distinct key instead of per occurrence:
     requests (key, block, ...) -> one shuffle by key -> replies per block
 
 A key that a third of all documents share gives one request for each block
-that holds it, so no task gets all its occurrences, and the text itself is
-moved once, compressed.
+that holds it, so no task gets all its occurrences. Blocks are stored as a
+table bucketed by block number; replies are dealt to the buckets, so the text
+itself is never shuffled. There are as many buckets, and as many partitions of
+requests, as the input's size asks for: more data makes more tasks, not larger
+ones.
 """
 
 from __future__ import annotations
@@ -22,8 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundlake.llm.scratch import Scratch
+
 #: Bytes of text after which a block is closed; one longer text makes a longer block.
 BLOCK_BYTES = 8 << 20
+#: Spark's own limit of buckets is 100,000.
+MOST_BUCKETS = 1 << 16
 SCHEMA = "block long, payload binary"
 
 
@@ -83,13 +90,31 @@ def each(blocks: DataFrame, f: Callable[..., Iterator[pa.RecordBatch]], schema:
     return blocks.mapInArrow(run, schema)
 
 
-def totals(requests: DataFrame, keys: list[str], **sums: str) -> DataFrame:
+def bucket_count(df: DataFrame, limit: int = BLOCK_BYTES) -> int:
+    """Buckets for the blocks of df by the size of the tables it reads; at least one for each core.
+
+    Where no table's size is known, it is the session's number of shuffle partitions."""
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    known = [x for x in sizes if x < 1 << 60]  # the rest stand for "unknown"
+    if not known:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(spark.sparkContext.defaultParallelism, sum(known) // limit + 1), MOST_BUCKETS)
+
+
+def store(df: DataFrame, work: Scratch, name: str, limit: int = BLOCK_BYTES) -> DataFrame:
+    """The blocks of df as a kept table, bucketed by block."""
+    return work.keep(pack(df, limit), name, ("block", bucket_count(df)))
+
+
+def totals(requests: DataFrame, packed: DataFrame, keys: list[str], **sums: str) -> DataFrame:
     """Give each request the sums of its key over all blocks: name=expression summed. One shuffle by key."""
     w = Window.partitionBy(*keys)
-    return requests.withColumns({name: F.expr(e).over(w) for name, e in sums.items()})
+    return requests.repartition(packed._fundlake_buckets, *keys).withColumns({name: F.expr(e).over(w) for name, e in sums.items()})
 
 
-def reply(blocks: DataFrame, answers: DataFrame, **columns: str) -> DataFrame:
-    """Join blocks with the answers to them, each column gathered as an array: name=column of answers."""
-    gathered = answers.groupBy("block").agg(*[F.collect_list(c).alias(n) for n, c in columns.items()])
-    return blocks.join(gathered, "block", "left")
+def reply(packed: DataFrame, answers: DataFrame, **columns: str) -> DataFrame:
+    """Join stored blocks with the answers to them, each column gathered as an array: name=column of answers."""
+    gathered = answers.repartition(packed._fundlake_buckets, "block").groupBy("block").agg(*[F.collect_list(c).alias(n) for n, c in columns.items()])
+    return packed.join(gathered.hint("merge"), "block", "left")

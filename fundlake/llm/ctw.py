@@ -48,13 +48,13 @@ from fundlake.llm.tokens import U64, Words, mix, words_of
 
 DEPTH, ROOT = 6, 3
 #: Bytes of text of a block: the more, the fewer times a context is listed.
-BLOCK = 24 << 20
+BLOCK = 48 << 20
 #: Bytes of text looked at together.
-_PIECE = 2 << 20
+_PIECE = 1 << 20
 #: Bytes of text for each bucket of subtrees, and the most buckets.
 BUCKET, MOST_BUCKETS = 32 << 20, 1 << 14
-#: Counts that a bucket holds before it sums those of equal contexts.
-HELD = 3_000_000
+#: Listed contexts held before the counts of equal ones are summed.
+HELD = 1_000_000
 _END, _BLANK = 10, 32
 _LOG_2 = math.log10(2)
 
@@ -246,19 +246,31 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return codes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _folded(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of all parts; of those that come, only so many are held."""
+    kept, held = [(np.zeros(0, U64), np.zeros(0, np.int64))], 0
+    for part in parts:
+        kept.append(part)
+        held += len(part[0])
+        if held > HELD:
+            kept, held = [_summed(kept)], 0
+    return _summed(kept)
+
+
 def _list(buckets: int) -> Callable[..., Iterator[pa.RecordBatch]]:
     """Of a block, for each bucket: its distinct grams, and how often its training texts have them."""
 
     def run(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        parts = []
-        for piece in _pieces(table):
-            text, off = byte_string(words_of(piece["text"], lower=True))
-            learn = np.repeat(piece["learn"].to_numpy(), np.diff(off)).astype(U64)
-            found, n = np.unique(grams(text, off) << U64(1) | learn, return_counts=True)
-            parts.append(_summed([(found >> U64(1), np.where(found & U64(1) == 1, n, 0))]))
-        if not parts:
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for piece in _pieces(table):
+                text, off = byte_string(words_of(piece["text"], lower=True))
+                learn = np.repeat(piece["learn"].to_numpy(), np.diff(off)).astype(U64)
+                seen, n = np.unique(grams(text, off) << U64(1) | learn, return_counts=True)
+                yield seen >> U64(1), np.where(seen & U64(1) == 1, n, 0)
+
+        code, n = _folded(found())
+        if not len(code):
             return
-        code, n = _summed(parts)
         bucket = (mix((code >> U64(8)) & U64((1 << (8 * ROOT)) - 1)) % U64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         code, n, bucket = code[order], n[order], bucket[order]
@@ -284,14 +296,7 @@ def _listed(payload: pa.Scalar, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _of_bucket(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A bucket's distinct grams, and how often all training texts have them (0 if only others do)."""
-    parts, held = [], 0
-    for payload, size in zip(rows["listed"], rows["size"].to_pylist(), strict=True):
-        parts.append(_listed(payload, size))
-        held += size
-        if held > HELD and len(parts) > 1:
-            parts = [_summed(parts)]
-            held = 0
-    return _summed(parts)
+    return _folded(_listed(payload, size) for payload, size in zip(rows["listed"], rows["size"].to_pylist(), strict=True))
 
 
 def _above(rows: pa.Table) -> pa.Table:
@@ -345,10 +350,14 @@ def answer(packed: DataFrame, buckets: int, work: Scratch) -> DataFrame:
 
 def _ask(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
     """Distinct words of a block and how often its training texts have them."""
-    words = words_of(table["text"], lower=True)
-    h, inverse = np.unique(words.hashes(), return_inverse=True)
-    learn = table["learn"].to_numpy()[words.docs()]
-    n = np.bincount(inverse[learn], minlength=len(h)).astype(np.int64)
+
+    def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for piece in _pieces(table):
+            words = words_of(piece["text"], lower=True)
+            h, inverse = np.unique(words.hashes(), return_inverse=True)
+            yield h, np.bincount(inverse[piece["learn"].to_numpy()[words.docs()]], minlength=len(h)).astype(np.int64)
+
+    h, n = _folded(found())
     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), block)), pa.array(n)], names=["h", "block", "n"])
 
 
@@ -368,17 +377,17 @@ def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
     work = Scratch(spark)
     fold = train_rows()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held", F.coalesce(fold == held_out, F.lit(False))).withColumn("learn", F.coalesce(fold != held_out, F.lit(False)))
-    packed = work.keep(B.pack(rows, BLOCK), "lm-blocks")
     seen = rows.agg(F.count_if("learn").alias("ends"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    packed = B.store(rows.coalesce(max(spark.sparkContext.defaultParallelism, (seen.bytes or 0) // BLOCK)), work, "lm-blocks", BLOCK)
     ends, buckets = seen.ends, max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_BUCKETS, (seen.bytes or 0) // BUCKET))
-    asked = B.totals(B.each(packed, _ask, "h long, block long, n long"), ["h"], c="sum(n)", lead="min(block)").where("c > 0")
+    asked = B.totals(B.each(packed, _ask, "h long, block long, n long"), packed, ["h"], c="sum(n)", lead="min(block)").where("c > 0")
     answers = work.keep(asked.groupBy("block").agg(F.collect_list("h").alias("h"), F.collect_list("c").alias("c"), F.sum("n").alias("tokens"), F.sum((F.col("block") == F.col("lead")).cast("long")).alias("kinds")), "lm-words")
     total = answers.agg(F.sum("tokens").alias("n"), F.sum("kinds").alias("v")).first()
     n, v = (total.n or 0) + ends, (total.v or 0) + (ends > 0)
     # One join brings a block both kinds of answers.
     words = answers.select("block", F.lit(None).cast("struct<listed: binary, size: bigint, bits: binary>").alias("x"), "h", "c")
     bytes_ = answer(packed, buckets, work).select("block", F.struct("listed", "size", "bits").alias("x"), F.lit(None).cast("array<bigint>").alias("h"), F.lit(None).cast("array<bigint>").alias("c"))
-    answered = words.unionByName(bytes_).groupBy("block").agg(F.collect_list("x").alias("answers"), F.flatten(F.collect_list("h")).alias("h"), F.flatten(F.collect_list("c")).alias("c"))
+    answered = words.unionByName(bytes_).repartition(packed._fundlake_buckets, "block").groupBy("block").agg(F.collect_list("x").alias("answers"), F.flatten(F.collect_list("h")).alias("h"), F.flatten(F.collect_list("c")).alias("c"))
     log_n = math.log10(n + 0.5 * (v + 1))
 
     def run(block: int, table: pa.Table, h: pa.Scalar, c: pa.Scalar, answers: pa.Scalar) -> Iterator[pa.RecordBatch]:
@@ -405,4 +414,4 @@ def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
             )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return B.each(packed.join(answered, "block"), run, schema)
+    return B.each(packed.join(answered.hint("merge"), "block"), run, schema)

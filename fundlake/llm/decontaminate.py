@@ -60,7 +60,7 @@ def _phrases(items: DataFrame, window: int) -> tuple[list[str], np.ndarray, list
     return rows["i"].to_pylist(), vocabulary, found
 
 
-def build_index(packed: DataFrame, vocabulary: np.ndarray, work: Scratch) -> DataFrame:
+def build_index(packed: DataFrame, vocabulary: np.ndarray, buckets: int, work: Scratch) -> DataFrame:
     """One segment per block: for each term of the vocabulary that stands there, the positions of its words."""
     shared = packed.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -83,7 +83,7 @@ def build_index(packed: DataFrame, vocabulary: np.ndarray, work: Scratch) -> Dat
             names=["block", "doc_id", "word_off", "term", "post_off", "position"],
         )
 
-    return work.keep(B.each(packed, run, _SEGMENT), "postings")
+    return work.keep(B.each(packed, run, _SEGMENT), "postings", ("block", buckets))
 
 
 def frequencies(index: DataFrame, n: int) -> np.ndarray:
@@ -206,28 +206,29 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return B.pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _hits(packed: DataFrame, chunks: list[DataFrame], window: int, work: Scratch) -> tuple[DataFrame, DataFrame | None]:
+def _hits(packed: DataFrame, chunks: list[DataFrame], window: int, buckets: int, work: Scratch) -> tuple[DataFrame, DataFrame | None]:
     """The index (of the last chunk; all have the same documents) and the spans hit by any chunk."""
     index, hits = None, None
     for items in chunks:
         names, vocabulary, found = _phrases(items, window)
-        index = build_index(packed, vocabulary, work)
+        index = build_index(packed, vocabulary, buckets, work)
         some = _search(index, names, vocabulary, found)
         hits = some if hits is None else hits.unionByName(work.keep(some, "hits"))
-    return build_index(packed, np.zeros(0, np.uint64), work) if index is None else index, hits
+    return build_index(packed, np.zeros(0, np.uint64), buckets, work) if index is None else index, hits
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, scope: str = "op") -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each document."""
     work = Scratch(docs.sparkSession, scope)
-    chunks, packed = _chunks(benchmark.select("item_id", "text")), _texts(docs)
-    if len(chunks) > 1:  # several indexes must see the same rows in the same blocks
-        packed = work.keep(packed, "decontaminate-blocks")
-    index, hits = _hits(packed, chunks, window, work)
+    chunks, rows = _chunks(benchmark.select("item_id", "text")), _texts(docs)
+    # Several indexes must see the same rows in the same blocks.
+    packed, buckets = B.store(rows, work, "decontaminate-blocks") if len(chunks) > 1 else B.pack(rows), B.bucket_count(rows)
+    index, hits = _hits(packed, chunks, window, buckets, work)
     meta = index.select("block", "doc_id", "word_off")
+    meta._fundlake_buckets = buckets
     if hits is None:
         empty = "array<long>"
         full = meta.select("*", F.lit(None).cast(empty).alias("row"), F.lit(None).cast("array<string>").alias("item"), F.lit(None).cast(empty).alias("start"), F.lit(None).cast(empty).alias("end"))
@@ -240,7 +241,7 @@ def proximity(docs: DataFrame, terms: list[str], within: int) -> DataFrame:
     """doc_id and word position of the rarest term, wherever all other terms stand within so many words of it."""
     words = words_of(pa.array(terms, pa.string()), lower=True, parts=NOT_ALNUM)
     vocabulary, numbers = np.unique(words.hashes(), return_inverse=True)
-    index = build_index(_texts(docs), vocabulary, Scratch(docs.sparkSession))
+    index = build_index(B.pack(_texts(docs)), vocabulary, B.bucket_count(docs), Scratch(docs.sparkSession))
     rarity = frequencies(index, len(vocabulary))
     wanted = [int(x) for x in dict.fromkeys(numbers[np.argsort(rarity[numbers], kind="stable")].tolist())]
 
@@ -261,8 +262,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     chunks = _chunks(benchmark.select("item_id", "text"))
     if not chunks:
         return docs
-    packed = work.keep(B.pack(docs), "decontaminate-blocks")
-    _, hits = _hits(packed, chunks, window, work)
+    packed = B.store(docs, work, "decontaminate-blocks")
+    _, hits = _hits(packed, chunks, window, packed._fundlake_buckets, work)
 
     def run(block: int, table: pa.Table, row: pa.Scalar) -> Iterator[pa.RecordBatch]:
         clean = np.ones(table.num_rows, bool)

@@ -174,7 +174,7 @@ def _probe(min_docs: int):
 
 def _drops(docs: DataFrame, min_chars: int, min_docs: int, work: Scratch) -> DataFrame:
     """Blocks of docs with the keys (both hashes) that lose their lines there and the documents that keep them."""
-    packed = work.keep(B.pack(docs), "line-blocks")
+    packed = B.store(docs, work, "line-blocks")
     requests = work.keep(B.each(packed, _requests(min_chars), "h long, fp long, block long, docs long, keeper long"), "line-requests")
     shards = max(1, -(-requests.count() // SHARD_PROBES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shard = F.pmod(F.xxhash64("h"), F.lit(shards))

@@ -3,6 +3,9 @@
 A document's set is its distinct word shingles. Documents with equal sets form
 a class; everything below works on classes, so exact copies meet only once.
 
+A class is named by two 64-bit hashes of its set; where sets share the first,
+the second names them.
+
 1. A class's signature has ``COORDINATES`` minima. It is posted under its
    coordinate-value pairs. A pair of classes with a Jaccard similarity of the
    threshold agrees on about 3/4 of the coordinates; those that agree on at
@@ -90,16 +93,24 @@ def _describe(shingle: int):
         s, off = shingle_sets(table["text"], shingle)
         size = np.diff(off)
         full = np.flatnonzero(size)
-        cls = np.zeros(len(size), dtype=U64)
-        if len(full):  # the sum of re-hashed elements names a set
-            cls[full] = mix(np.add.reduceat(mix(s ^ U64(0xC2B2AE3D27D4EB4F)), off[:-1][full]) + size[full].astype(U64))
+        cls, twin = np.zeros(len(size), dtype=U64), np.zeros(len(size), dtype=U64)
+        for names, salt in ((cls, 0xC2B2AE3D27D4EB4F), (twin, 0x165667B19E3779F9)) if len(full) else ():  # sums of re-hashed elements name a set
+            names[full] = mix(np.add.reduceat(mix(s ^ U64(salt)), off[:-1][full]) + size[full].astype(U64))
         sig = iter(signatures(s, off))
         signed = [next(sig).tobytes() if n else None for n in size.tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), block)), pa.array(np.arange(len(size))), table["doc_id"].combine_chunks(), pa.array(size.astype(_I64)), pa.array(cls.view(_I64)), pa.array(signed, pa.binary())], names=["block", "row", "doc_id", "size", "cls", "sig"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), block)), pa.array(np.arange(len(size))), table["doc_id"].combine_chunks(), pa.array(size.astype(_I64)), pa.array(cls.view(_I64)), pa.array(twin.view(_I64)), pa.array(signed, pa.binary())], names=["block", "row", "doc_id", "size", "cls", "twin", "sig"])
 
     return run
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """rows with a class for each (cls, twin): sets that share the first name but not the second go by the second."""
+    shared = rows.where("size > 0").groupBy("cls").agg(F.min("twin").alias("a"), F.max("twin").alias("b")).where("a <> b").select("cls", F.lit(True).alias("shared"))
+    if shared.limit(1).count() == 0:
+        return rows.drop("twin")
+    return rows.join(shared, "cls", "left").withColumn("cls", F.when(F.col("shared"), F.col("twin")).otherwise(F.col("cls"))).drop("shared", "twin")
+
+
 class Forest:
     """Union-find over positions."""
 
@@ -268,12 +279,12 @@ def _confirmed(sets: DataFrame, percent: int, work: Scratch) -> DataFrame:
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, scope: str = "op") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each document, and its row in the packed input (block, row)."""
     work = Scratch(docs.sparkSession, scope)
-    packed = work.keep(B.pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "near-blocks")
+    packed = B.store(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, "near-blocks")
     return _groups(packed, shingle, percent, work).select("doc_id", F.col("size").alias("n_shingles"), "component_id", "kept")
 
 
 def _groups(packed: DataFrame, shingle: int, percent: int, work: Scratch) -> DataFrame:
-    rows = work.keep(B.each(packed, _describe(shingle), "block long, row long, doc_id long, size long, cls long, sig binary"), "signatures")
+    rows = told_apart(work.keep(B.each(packed, _describe(shingle), "block long, row long, doc_id long, size long, cls long, twin long, sig binary"), "signatures"))
     classes = work.keep(rows.where("size > 0").groupBy("cls").agg(F.max("sig").alias("sig"), F.max("size").alias("size"), F.min(F.struct("block", "row")).alias("at")), "classes")
     ties = work.keep(_candidates(classes, work), "ties")
     clusters = components(ties, work).withColumnsRenamed({"node": "cls", "label": "cluster"})
@@ -300,7 +311,7 @@ def _groups(packed: DataFrame, shingle: int, percent: int, work: Scratch) -> Dat
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, scope: str = "op") -> DataFrame:
     """docs with one row of each group: that with the smallest id, of equal ones the first; rows without words all stay."""
     work = Scratch(docs.sparkSession, scope)
-    packed = work.keep(B.pack(docs), "near-blocks")
+    packed = B.store(docs, work, "near-blocks")
     rows = _groups(packed, shingle, percent, work)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "block", "row"))
     stay = rows.where("size > 0").groupBy("component").agg(first.alias("x")).select("x.block", "x.row").union(rows.where("size = 0").select("block", "row"))

@@ -13,8 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_DIR = "file:///tmp/checkpoints/fundlake"
-#: Rows of one Arrow batch between the JVM and Python; texts can be long.
-ARROW_ROWS = "1000"
+#: Rows and bytes of one Arrow batch between the JVM and Python; texts and blocks can be long.
+ARROW_ROWS, ARROW_BYTES = "1000", "4m"
 #: Tables written so far in this process, by scope.
 _WRITTEN: dict[str, list[str]] = {}
 
@@ -28,6 +28,7 @@ def folder(spark: SparkSession) -> str:
 def tune(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 class Scratch:
@@ -37,13 +38,22 @@ class Scratch:
         self.spark, self.scope = spark, scope
         tune(spark)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df and read it back."""
+    def keep(self, df: DataFrame, name: str, buckets: tuple[str, int] | None = None) -> DataFrame:
+        """Write df and read it back; buckets: the column and number of buckets it is dealt to.
+
+        A bucketed table is in the session's catalog only until it has been read back; the files stay."""
         path = f"{folder(self.spark)}/fundlake-{name}-{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(path)
         _WRITTEN.setdefault(self.scope, []).append(path)
-        # One block can be a whole row group, so splits must not be packed by size alone.
-        out = self.spark.read.schema(df.schema).parquet(path)
+        write = df.write.option("compression", "zstd").option("path", path)
+        if buckets is None:
+            write.format("parquet").save()
+            out = self.spark.read.schema(df.schema).parquet(path)
+        else:
+            table = f"fundlake_{uuid.uuid4().hex}"
+            write.format("parquet").bucketBy(buckets[1], buckets[0]).saveAsTable(table)
+            out = self.spark.table(table)
+            self.spark.sql(f"DROP TABLE {table}")
+            out._fundlake_buckets = buckets[1]
         out._fundlake_path = path
         return out
 

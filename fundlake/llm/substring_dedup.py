@@ -115,15 +115,14 @@ def _prints(h: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.
 
 def _repeats(docs: DataFrame, length: int, rounds: int, work: Scratch) -> DataFrame:
     """Blocks of docs with the hashes of the windows there that start more than once in the corpus."""
-    packed = work.keep(B.pack(docs), "substring-blocks")
+    packed = B.store(docs, work, "substring-blocks")
 
     def name_symbols(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
         keys, _, n = _distinct(_symbols(table, rounds)[2][0])
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(_I64)), pa.array(np.full(len(keys), block)), pa.array(n.astype(np.int8))], names=["symbol", "block", "n"])
 
     named = B.each(packed, name_symbols, "symbol long, block long, n byte")
-    shared = B.totals(named, ["symbol"], total="sum(n)").where("total > 1")
-    asked = work.keep(B.reply(packed.select("block"), shared, symbols="symbol"), "substring-symbols")
+    shared = B.totals(named, packed, ["symbol"], total="sum(n)").where("total > 1")
 
     def verify(block: int, table: pa.Table, symbols: pa.Scalar) -> Iterator[pa.RecordBatch]:
         words, h, parsed = _symbols(table, rounds)
@@ -132,24 +131,40 @@ def _repeats(docs: DataFrame, length: int, rounds: int, work: Scratch) -> DataFr
         keys, first, n = _distinct(a)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(_I64)), pa.array(b[first].view(np.int32)), pa.array(np.full(len(keys), block)), pa.array(n.astype(np.int8))], names=["a", "b", "block", "n"])
 
-    candidates = B.each(packed.join(asked, "block"), verify, "a long, b int, block long, n byte")
-    repeated = B.totals(candidates, ["a", "b"], total="sum(n)").where("total > 1")
-    return B.reply(packed, repeated, repeated="a")
+    candidates = B.each(B.reply(packed, shared, symbols="symbol"), verify, "a long, b int, block long, n byte")
+    repeated = B.totals(candidates, packed, ["a", "b"], total="sum(n)").where("total > 1")
+    return B.reply(packed, repeated, a="a", b="b")
 
 
 def _longs(x: pa.Scalar) -> np.ndarray:
     return x.values.to_numpy(zero_copy_only=False).view(U64) if x.is_valid else np.zeros(0, U64)
 
 
-def _gone(table: pa.Table, repeated: pa.Scalar, length: int) -> tuple[Words, np.ndarray]:
+def members(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+    """Which pairs (a, b) are among the pairs (of_a, of_b)."""
+    order = np.lexsort((of_b, of_a))
+    of_a, of_b = of_a[order], of_b[order]
+    out, open_ = np.zeros(len(a), bool), np.arange(len(a))
+    at = np.searchsorted(of_a, a)
+    while len(open_) and len(of_a):  # once, but where different pairs share an a
+        here = (at < len(of_a)) & (of_a[np.minimum(at, len(of_a) - 1)] == a[open_])
+        open_, at = open_[here], at[here]
+        same = of_b[at] == b[open_]
+        out[open_[same]] = True
+        open_, at = open_[~same], at[~same] + 1
+    return out
+
+
+def _gone(table: pa.Table, a: pa.Scalar, b: pa.Scalar, length: int) -> tuple[Words, np.ndarray]:
     words = words_of(table["text"])
     h = words.hashes()
     at, _ = windows(words.off, length)
-    hits = _longs(repeated)
-    if not len(hits) or not len(at):
+    if not a.is_valid or not len(a.values) or not len(at):
         return words, np.zeros(len(h), bool)
-    a = span_hash(h, at, at + length, 0)
-    return words, covered(at[np.isin(a, hits)], length, len(h))
+    hits = _longs(a)
+    at = at[np.isin(span_hash(h, at, at + length, 0), hits)]
+    found = members(*_prints(h, at, length), hits, b.values.to_numpy(zero_copy_only=False).view(np.uint32))
+    return words, covered(at[found], length, len(h))
 
 
 def _texts(words: Words, gone: np.ndarray) -> Iterator[bytes]:
@@ -165,8 +180,8 @@ def _texts(words: Words, gone: np.ndarray) -> Iterator[bytes]:
 def window_report(docs: DataFrame, length: int = LENGTH, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
 
-    def run(block: int, table: pa.Table, repeated: pa.Scalar) -> Iterator[pa.RecordBatch]:
-        words, gone = _gone(table, repeated, length)
+    def run(block: int, table: pa.Table, a: pa.Scalar, b: pa.Scalar) -> Iterator[pa.RecordBatch]:
+        words, gone = _gone(table, a, b, length)
         total = np.concatenate([[0], np.cumsum(gone)])
         sha = [hashlib.sha256(x).hexdigest() for x in _texts(words, gone)]
         yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(words.counts().astype(_I64)), pa.array((total[words.off[1:]] - total[words.off[:-1]]).astype(_I64)), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
@@ -180,8 +195,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, rounds: int = ROUNDS,
     """docs with every repeated window's words taken out of text; texts that lose nothing stay as they are."""
     schema = docs.schema
 
-    def run(block: int, table: pa.Table, repeated: pa.Scalar) -> Iterator[pa.RecordBatch]:
-        words, gone = _gone(table, repeated, length)
+    def run(block: int, table: pa.Table, a: pa.Scalar, b: pa.Scalar) -> Iterator[pa.RecordBatch]:
+        words, gone = _gone(table, a, b, length)
         total = np.concatenate([[0], np.cumsum(gone)])
         lost = total[words.off[1:]] > total[words.off[:-1]]
         texts = [new.decode("utf-8", "replace") if x else old for new, x, old in zip(_texts(words, gone), lost, table["text"].to_pylist(), strict=True)]

@@ -70,3 +70,11 @@ def test_keep_one_keeps_columns_and_one_row_of_each_group(spark):
 
 def test_empty_table(spark):
     assert near_dedup.near_groups(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_sets_that_share_a_name_stay_apart(spark):
+    rows = [(0, 0, 1, 5, 7, 1), (0, 1, 2, 5, 7, 2), (0, 2, 3, 5, 7, 1), (0, 3, 4, 5, 8, 3), (0, 4, 5, 0, 7, 9)]
+    df = spark.createDataFrame(rows, "block long, row long, doc_id long, size long, cls long, twin long")
+    got = {r.doc_id: r.cls for r in near_dedup.told_apart(df).collect()}
+    assert got[1] == got[3] != got[2] and got[4] == 8
+    assert near_dedup.told_apart(df.where("doc_id <> 2 AND size > 0")).columns == ["block", "row", "doc_id", "size", "cls"]

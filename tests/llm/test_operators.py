@@ -486,3 +486,10 @@ def test_quality_learns_words_of_content(spark):
     own = [x for x in got if x.doc_id < 300 and x.held_out]
     assert sum(x.predicted == x.doc_id % 2 for x in own) >= 0.95 * len(own)
     assert len({x.score for x in got if x.doc_id == 7}) <= 2
+
+
+def test_windows_with_equal_first_hashes():
+    a, b = np.array([1, 1, 1, 2, 3, 9], np.uint64), np.array([5, 6, 7, 5, 5, 5], np.uint32)
+    got = substring_dedup.members(a, b, np.array([3, 1, 1], np.uint64), np.array([4, 7, 5], np.uint32))
+    assert got.tolist() == [True, False, True, False, False, False]
+    assert substring_dedup.members(a, b, np.zeros(0, np.uint64), np.zeros(0, np.uint32)).sum() == 0
