@@ -57,9 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's table is deleted once the next one has been written."""
+    docs, before = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = f"{scratch.folder(spark)}/fundlake-stage-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            scratch.remove(spark, before)
+        before = path
+    scratch.release(spark, SCOPE)
     return docs

@@ -90,8 +90,8 @@ def each(blocks: DataFrame, f: Callable[..., Iterator[pa.RecordBatch]], schema:
     return blocks.mapInArrow(run, schema)
 
 
-def bucket_count(df: DataFrame, limit: int = BLOCK_BYTES) -> int:
-    """Buckets for the blocks of df by the size of the tables it reads; at least one for each core.
+def bucket_count(df: DataFrame, limit: int = BLOCK_BYTES // 2) -> int:
+    """Buckets for the blocks of df by the size of the tables it reads, some for each block so that few meet in one; at least one for each core.
 
     Where no table's size is known, it is the session's number of shuffle partitions."""
     spark = df.sparkSession

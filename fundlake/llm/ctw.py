@@ -48,13 +48,13 @@ from fundlake.llm.tokens import U64, Words, mix, words_of
 
 DEPTH, ROOT = 6, 3
 #: Bytes of text of a block: the more, the fewer times a context is listed.
-BLOCK = 48 << 20
+BLOCK = 16 << 20
 #: Bytes of text looked at together.
-_PIECE = 1 << 20
+_PIECE = 1 << 19
 #: Bytes of text for each bucket of subtrees, and the most buckets.
 BUCKET, MOST_BUCKETS = 32 << 20, 1 << 14
 #: Listed contexts held before the counts of equal ones are summed.
-HELD = 1_000_000
+HELD = 500_000
 _END, _BLANK = 10, 32
 _LOG_2 = math.log10(2)
 
@@ -294,6 +294,18 @@ def _listed(payload: pa.Scalar, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[:size], dtype=U64), both[size:].astype(np.int64)
 
 
+def _pack_bits(bits: np.ndarray) -> bytes:
+    """Log2 probabilities to 34 places after the binary point, in five bytes each."""
+    fixed = np.rint(bits * -(2.0**34)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    return pa.compress(np.ascontiguousarray(fixed.T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpack_bits(payload: pa.Scalar, size: int) -> np.ndarray:
+    fixed = np.zeros((size, 8), np.uint8)
+    fixed[:, :5] = np.frombuffer(pa.decompress(payload.as_buffer(), 5 * size, "zstd"), np.uint8).reshape(5, size).T
+    return fixed.view("<u8")[:, 0] * -(2.0**-34)
+
+
 def _of_bucket(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A bucket's distinct grams, and how often all training texts have them (0 if only others do)."""
     return _folded(_listed(payload, size) for payload, size in zip(rows["listed"], rows["size"].to_pylist(), strict=True))
@@ -337,11 +349,12 @@ def answer(packed: DataFrame, buckets: int, work: Scratch) -> DataFrame:
     # At most 256 ** ROOT bytes in context, in truth as many as the languages have: thousands.
     made = sums.repartition(1).mapInArrow(_top, "above binary").first()
     above = spark.sparkContext.broadcast(bytes(made.above) if made else b"")  # no rows, no buckets that ask
+    work.sweep()  # first pass
 
     def mixed(rows: pa.Table) -> pa.Table:
         code, count = _of_bucket(rows)
         bits = log2(code, count, pickle.loads(above.value))
-        found = [bits[np.searchsorted(code, _listed(payload, size)[0])].tobytes() for payload, size in zip(rows["listed"], rows["size"].to_pylist(), strict=True)]
+        found = [_pack_bits(bits[np.searchsorted(code, _listed(payload, size)[0])]) for payload, size in zip(rows["listed"], rows["size"].to_pylist(), strict=True)]
         B.trim()
         return rows.select(["block", "listed", "size"]).append_column("bits", pa.array(found, pa.binary()))
 
@@ -366,9 +379,10 @@ def _known(answers: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     rows = answers.values
     size = rows.field("size").to_pylist()
     code = np.concatenate([_listed(x, n)[0] for x, n in zip(rows.field("listed"), size, strict=True)])
-    bits = np.concatenate([np.frombuffer(x.as_buffer(), float) for x in rows.field("bits")])
     order = np.argsort(code)
-    return code[order], bits[order]
+    code = code[order]
+    bits = np.concatenate([_unpack_bits(x, n) for x, n in zip(rows.field("bits"), size, strict=True)])[order]
+    return code, bits
 
 
 def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
@@ -378,12 +392,13 @@ def score(docs: DataFrame, held_out: int = 1) -> DataFrame:
     fold = train_rows()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held", F.coalesce(fold == held_out, F.lit(False))).withColumn("learn", F.coalesce(fold != held_out, F.lit(False)))
     seen = rows.agg(F.count_if("learn").alias("ends"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    packed = B.store(rows.coalesce(max(spark.sparkContext.defaultParallelism, (seen.bytes or 0) // BLOCK)), work, "lm-blocks", BLOCK)
+    packed = B.store(rows, work, "lm-blocks", BLOCK)
     ends, buckets = seen.ends, max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_BUCKETS, (seen.bytes or 0) // BUCKET))
     asked = B.totals(B.each(packed, _ask, "h long, block long, n long"), packed, ["h"], c="sum(n)", lead="min(block)").where("c > 0")
     answers = work.keep(asked.groupBy("block").agg(F.collect_list("h").alias("h"), F.collect_list("c").alias("c"), F.sum("n").alias("tokens"), F.sum((F.col("block") == F.col("lead")).cast("long")).alias("kinds")), "lm-words")
     total = answers.agg(F.sum("tokens").alias("n"), F.sum("kinds").alias("v")).first()
     n, v = (total.n or 0) + ends, (total.v or 0) + (ends > 0)
+    work.sweep()  # words
     # One join brings a block both kinds of answers.
     words = answers.select("block", F.lit(None).cast("struct<listed: binary, size: bigint, bits: binary>").alias("x"), "h", "c")
     bytes_ = answer(packed, buckets, work).select("block", F.struct("listed", "size", "bits").alias("x"), F.lit(None).cast("array<bigint>").alias("h"), F.lit(None).cast("array<bigint>").alias("c"))

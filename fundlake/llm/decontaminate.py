@@ -13,8 +13,12 @@ letters, digits and non-ASCII characters. An item's windows are its runs of
 ``window`` words; an item of fewer, but not none, is one window. A word of a
 document inside any occurrence of a window is hit.
 
-The benchmark is searched in chunks of items of at most ``CHUNK_BYTES`` of
-text, so what is broadcast is bounded however large it is.
+The benchmark is searched in chunks of items of about ``CHUNK_BYTES`` of text;
+a chunk's distinct windows are broadcast as arrays of term numbers, some ten
+times its size. All chunks share one index if the benchmark has at most
+``MAX_TERMS`` different words; else each chunk has an index of its own terms. So
+what is broadcast is bounded however large the benchmark is, but for the text
+of a single item.
 
 Edge cases: null and empty texts have no words and hit nothing. Items without
 words, or an empty benchmark, hit nothing. Repeated items each count; repeated
@@ -36,8 +40,8 @@ from fundlake.llm.scratch import Scratch
 from fundlake.llm.tokens import NOT_ALNUM, words_of
 
 WINDOW = 10
-#: Bytes of benchmark text whose phrases and terms are broadcast at once.
-CHUNK_BYTES = 16 << 20
+#: Bytes of benchmark text whose phrases are broadcast at once, and the different words of a shared index.
+CHUNK_BYTES, MAX_TERMS = 4 << 20, 1 << 20
 _SEGMENT = "block long, doc_id binary, word_off binary, term binary, post_off binary, position binary"
 _I64, _I32 = np.int64, np.int32
 
@@ -48,16 +52,57 @@ def _chunks(items: DataFrame) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
 
 
-def _phrases(items: DataFrame, window: int) -> tuple[list[str], np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Item ids, the sorted distinct word hashes, and (item number, words as numbers of those) of each window."""
-    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), "text").toArrow()
-    words = words_of(rows["text"], lower=True, parts=NOT_ALNUM)
-    vocabulary, numbers = np.unique(words.hashes(), return_inverse=True)
-    found = []
-    for item, (a, b) in enumerate(zip(words.off[:-1], words.off[1:], strict=True)):
-        for at in range(a, max(b - window, a) + 1 if b > a else a):
-            found.append((item, numbers[at : min(at + window, b)]))
-    return rows["i"].to_pylist(), vocabulary, found
+class Phrases:
+    """The distinct windows of some items: rows of term numbers (-1 after the end), and the items of each."""
+
+    def __init__(self, items: DataFrame, window: int, vocabulary: np.ndarray | None = None):
+        """vocabulary: sorted hashes of at least the items' words; by default just these."""
+        rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), "text").toArrow()
+        words = words_of(rows["text"], lower=True, parts=NOT_ALNUM)
+        h = words.hashes()
+        self.vocabulary = np.unique(h) if vocabulary is None else vocabulary
+        number = np.searchsorted(self.vocabulary, h).astype(_I32)
+        n = words.counts()
+        have = np.where(n > 0, np.maximum(n - window, 0) + 1, 0)
+        item = np.repeat(np.arange(len(n)), have)
+        start = np.arange(int(have.sum())) - (np.cumsum(have) - have)[item] + words.off[:-1][item]
+        at = start[:, None] + np.arange(window)
+        inside = at < words.off[1:][item][:, None]
+        terms = np.where(inside, number[np.minimum(at, max(len(number) - 1, 0))], -1).astype(_I32) if len(number) else np.zeros((0, window), _I32)
+        self.names = rows["i"].to_pylist()
+        self.terms, of = np.unique(terms, axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([of.ravel(), item]), axis=1) if len(item) else np.zeros((2, 0), np.int64)
+        self.items, self.item_off = pairs[1], np.searchsorted(pairs[0], np.arange(len(self.terms) + 1))
+
+    def ordered(self, rarity: np.ndarray) -> None:
+        """Keep the windows all of whose terms occur, by their rarest; each with its offsets from the rarest term on."""
+        at = np.append(rarity, np.iinfo(_I64).max)[self.terms]  # what is after the end comes last
+        keep = np.flatnonzero((at > 0).all(axis=1))
+        order = np.argsort(at[keep], axis=1, kind="stable").astype(np.int8)
+        rarest = np.take_along_axis(self.terms[keep], order[:, :1].astype(_I64), axis=1)[:, 0]
+        by = np.argsort(rarest, kind="stable")
+        self.windows, self.order = keep[by], order[by]
+        self.rarest, self.first = np.unique(rarest[by], return_index=True)
+        self.first = np.append(self.first, len(by))
+
+    def within(self, held: np.ndarray) -> Iterator[tuple[list[int], list[int], np.ndarray]]:
+        """Terms, offsets from the rarest on, and items of each window whose rarest term is among held."""
+        for i in np.flatnonzero(np.isin(self.rarest, held)).tolist():
+            for j in range(self.first[i], self.first[i + 1]):
+                w = self.windows[j]
+                terms = self.terms[w][self.terms[w] >= 0].tolist()
+                yield terms, self.order[j][: len(terms)].tolist(), self.items[self.item_off[w] : self.item_off[w + 1]]
+
+
+def shared_vocabulary(items: DataFrame) -> np.ndarray | None:
+    """Sorted hashes of all items' words, if they are not too many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(words_of(batch["text"], lower=True, parts=NOT_ALNUM).hashes()).view(_I64))], names=["h"])
+
+    found = items.select("text").mapInArrow(run, "h long").distinct().limit(MAX_TERMS + 1).toArrow()["h"].to_numpy()
+    return None if len(found) > MAX_TERMS else np.sort(found.view(np.uint64))
 
 
 def build_index(packed: DataFrame, vocabulary: np.ndarray, buckets: int, work: Scratch) -> DataFrame:
@@ -147,26 +192,21 @@ class Segment:
         return at
 
 
-def _search(index: DataFrame, names: list[str], vocabulary: np.ndarray, found: list[tuple[int, np.ndarray]]) -> DataFrame:
+def _search(index: DataFrame, phrases: Phrases) -> DataFrame:
     """(block, row of the block, item, words [start, end) of the block) of every occurrence, overlapping ones joined."""
-    rarity = frequencies(index, len(vocabulary))
-    plan: dict[int, list] = {}
-    for item, terms in found:
-        if (rarity[terms] > 0).all():
-            order = np.argsort(rarity[terms], kind="stable").tolist()
-            plan.setdefault(int(terms[order[0]]), []).append((item, terms.tolist(), order))
-    shared = index.sparkSession.sparkContext.broadcast((names, plan))
+    phrases.ordered(frequencies(index, len(phrases.vocabulary)))
+    phrases.vocabulary = None  # the index has it
+    shared = index.sparkSession.sparkContext.broadcast(phrases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, plan = shared.value
+        phrases = shared.value
         for batch in batches:
             for row in batch.to_pylist():
                 segment, spans = Segment(row), {}
-                for rarest, phrases in plan.items():
-                    if rarest in segment.lists:
-                        for item, terms, order in phrases:
-                            if len(at := segment.phrase(terms, order)):
-                                spans.setdefault(item, []).append((at.astype(_I64), len(terms)))
+                for terms, order, items in phrases.within(np.frombuffer(row["term"], _I32)):
+                    if len(at := segment.phrase(terms, order)):
+                        for item in items.tolist():
+                            spans.setdefault(item, []).append((at.astype(_I64), len(terms)))
                 rows, items, starts, ends = [], [], [], []
                 for item, parts in spans.items():
                     at = np.concatenate([x for x, _ in parts])
@@ -176,7 +216,7 @@ def _search(index: DataFrame, names: list[str], vocabulary: np.ndarray, found: l
                     new = np.r_[True, (at[1:] > end[:-1]) | (doc[1:] != doc[:-1])]
                     first = np.flatnonzero(new)
                     rows += doc[first].tolist()
-                    items += [names[item]] * len(first)
+                    items += [phrases.names[item]] * len(first)
                     starts += at[first].tolist()
                     ends += end[np.append(first[1:], len(at)) - 1].tolist()
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(rows), pa.int64()), pa.array(rows, pa.int64()), pa.array(items, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=["block", "row", "item", "start", "end"])
@@ -209,24 +249,27 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _hits(packed: DataFrame, chunks: list[DataFrame], window: int, buckets: int, work: Scratch) -> tuple[DataFrame, DataFrame | None]:
-    """The index (of the last chunk; all have the same documents) and the spans hit by any chunk."""
-    index, hits = None, None
+def _hits(packed: DataFrame, chunks: list[DataFrame], window: int, buckets: int, vocabulary: np.ndarray | None, work: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """The index (of the last chunk, if each has one; all have the same documents) and the spans hit by any chunk."""
+    index = build_index(packed, np.zeros(0, np.uint64) if vocabulary is None else vocabulary, buckets, work) if vocabulary is not None or not chunks else None
+    hits = None
     for items in chunks:
-        names, vocabulary, found = _phrases(items, window)
-        index = build_index(packed, vocabulary, buckets, work)
-        some = _search(index, names, vocabulary, found)
+        phrases = Phrases(items, window, vocabulary)
+        if vocabulary is None:
+            index = build_index(packed, phrases.vocabulary, buckets, work)
+        some = _search(index, phrases)
         hits = some if hits is None else hits.unionByName(work.keep(some, "hits"))
-    return build_index(packed, np.zeros(0, np.uint64), buckets, work) if index is None else index, hits
+    return index, hits
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, scope: str = "op") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, scope: str | None = None) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each document."""
     work = Scratch(docs.sparkSession, scope)
     chunks, rows = _chunks(benchmark.select("item_id", "text")), _texts(docs)
+    vocabulary, buckets = shared_vocabulary(benchmark), B.bucket_count(rows)
     # Several indexes must see the same rows in the same blocks.
-    packed, buckets = B.store(rows, work, "decontaminate-blocks") if len(chunks) > 1 else B.pack(rows), B.bucket_count(rows)
-    index, hits = _hits(packed, chunks, window, buckets, work)
+    packed = B.pack(rows) if vocabulary is not None else B.store(rows, work, "decontaminate-blocks")
+    index, hits = _hits(packed, chunks, window, buckets, vocabulary, work)
     meta = index.select("block", "doc_id", "word_off")
     meta._fundlake_buckets = buckets
     if hits is None:
@@ -256,14 +299,14 @@ def proximity(docs: DataFrame, terms: list[str], within: int) -> DataFrame:
     return index.mapInArrow(run, "doc_id long, position long")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, scope: str = "op") -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, scope: str | None = None) -> DataFrame:
     """docs without the rows that hold any benchmark window; all columns pass unchanged."""
     work = Scratch(docs.sparkSession, scope)
     chunks = _chunks(benchmark.select("item_id", "text"))
     if not chunks:
         return docs
     packed = B.store(docs, work, "decontaminate-blocks")
-    _, hits = _hits(packed, chunks, window, packed._fundlake_buckets, work)
+    _, hits = _hits(packed, chunks, window, packed._fundlake_buckets, shared_vocabulary(benchmark), work)
 
     def run(block: int, table: pa.Table, row: pa.Scalar) -> Iterator[pa.RecordBatch]:
         clean = np.ones(table.num_rows, bool)

@@ -216,7 +216,7 @@ def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     return B.each(blocks, run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, scope: str = "op") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, scope: str | None = None) -> DataFrame:
     """docs with the repeated lines taken out of text; n_chars, if there, follows the text."""
     work = Scratch(docs.sparkSession, scope)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])

@@ -276,7 +276,7 @@ def _confirmed(sets: DataFrame, percent: int, work: Scratch) -> DataFrame:
     return links.union(first).union(visit(rest, now.select("cls", "label")))
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, scope: str = "op") -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, scope: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each document, and its row in the packed input (block, row)."""
     work = Scratch(docs.sparkSession, scope)
     packed = B.store(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, "near-blocks")
@@ -308,7 +308,7 @@ def _groups(packed: DataFrame, shingle: int, percent: int, work: Scratch) -> Dat
     return full.select("block", "row", "doc_id", "size", "component", component_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, scope: str = "op") -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, scope: str | None = None) -> DataFrame:
     """docs with one row of each group: that with the smallest id, of equal ones the first; rows without words all stay."""
     work = Scratch(docs.sparkSession, scope)
     packed = B.store(docs, work, "near-blocks")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -199,8 +200,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query in a scope of its own: a call deletes the intermediate tables of the call before."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from fundlake.llm.scratch import scoped
+
+        with scoped(spark, query.__name__):
+            return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality)}
+    own = (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality)
+    return {f.__name__: _tidy(f) for f in own}
 
 
 def oracle_sql() -> dict[str, str]:

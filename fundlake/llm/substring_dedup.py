@@ -191,7 +191,7 @@ def window_report(docs: DataFrame, length: int = LENGTH, rounds: int = ROUNDS) -
     return B.each(blocks, run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, rounds: int = ROUNDS, scope: str = "op") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, rounds: int = ROUNDS, scope: str | None = None) -> DataFrame:
     """docs with every repeated window's words taken out of text; texts that lose nothing stay as they are."""
     schema = docs.schema
 

@@ -102,8 +102,9 @@ def hits(rows, items, n=10):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("chunk", [decontaminate.CHUNK_BYTES, 300])
-def test_decontamination(spark, monkeypatch, chunk):
+@pytest.mark.parametrize(("chunk", "terms"), [(decontaminate.CHUNK_BYTES, decontaminate.MAX_TERMS), (300, decontaminate.MAX_TERMS), (300, 5)])
+def test_decontamination(spark, monkeypatch, chunk, terms):
+    monkeypatch.setattr(decontaminate, "MAX_TERMS", terms)
     monkeypatch.setattr(decontaminate, "CHUNK_BYTES", chunk)
     rows = texts(2)
     items = [(i, " ".join((rows[i][1] or "").split()[3:20])) for i in range(12)] + [(20, "a a"), (21, None), (22, "!!"), (None, "w7é-W8"), (30, rows[3][1].upper())]
@@ -493,3 +494,20 @@ def test_windows_with_equal_first_hashes():
     got = substring_dedup.members(a, b, np.array([3, 1, 1], np.uint64), np.array([4, 7, 5], np.uint32))
     assert got.tolist() == [True, False, True, False, False, False]
     assert substring_dedup.members(a, b, np.zeros(0, np.uint64), np.zeros(0, np.uint32)).sum() == 0
+
+
+def test_mixing_passes_columns_of_any_name(spark, monkeypatch):
+    """Columns named like the operator's own, and sources dealt by a join instead of a broadcast."""
+    r = random.Random(8)
+    rows = [(i, " ".join(["w"] * r.choice([1, 7, 60])), r.choice(["a", "a", "b", None]), i, "x", 1, 2, 3, 4, 5) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, u long, g string, tier int, low int, base int, c0 int, _salt int")
+    got = {x.doc_id: x for x in mixing.mix_sources(docs).collect()}
+    assert len(got) == 400 and all((x.u, x.g, x.tier, x.low, x.base, x.c0, x._salt) == (d, "x", 1, 2, 3, 4, 5) for d, x in got.items())
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 0)
+    assert {x.doc_id: x for x in mixing.mix_sources(docs).collect()} == got
+
+
+def test_newton_steps_end_at_the_goal(spark):
+    rows = [(1.0, 3.0), (1e12, 1.0), (5.0, 5.0), (7.0, 0.0), (0.0, 2.0), (1e6, 2.9e6)]
+    got = spark.createDataFrame(rows, "t double, w double").select("t", "w", mixing.newton(F.col("t"), F.col("w")).alias("r")).collect()
+    assert all(math.isclose(x.t * x.r, x.w if x.t else 0, rel_tol=1e-9) for x in got)
