@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +67,20 @@ class Catalog:
         fs.delete(kept, True)
         self.spark.catalog.refreshByPath(old)
         self.table(name).createOrReplaceTempView(name)
+
+
+class Timed:
+    """STM-02: results kept for some time after they were first asked for (an hour by default), then made anew."""
+
+    def __init__(self, seconds: float = 3600, clock: Callable[[], float] = time.monotonic):
+        self.seconds, self.clock = seconds, clock
+        self._held: dict[str, tuple[float, DataFrame]] = {}
+
+    def get(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        now, held = self.clock(), self._held.get(name)
+        if held is not None and now - held[0] < self.seconds:
+            return held[1]
+        if held is not None:
+            held[1].unpersist()
+        self._held[name] = now, make().cache()
+        return self._held[name][1]

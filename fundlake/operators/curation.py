@@ -74,7 +74,7 @@ def merge_regulator(funds: DataFrame, sheet: DataFrame, columns: list[str], sour
 def status_of(funds: DataFrame, closed: DataFrame) -> DataFrame:
     """NRM-07: 'Gesloten' for funds that are marked so themselves or match a closed name, else 'Open'."""
     f = funds.select("id", F.col("name").alias("fund"))
-    hits = resolve.pairs(closed.select("name").distinct(), f, resolve.by_clean_name).select("id").distinct().withColumn("hit", F.lit(True))
+    hits = resolve.contained_pairs(closed.select("name").distinct(), f, names.clean_name, 5).select("id").distinct().withColumn("hit", F.lit(True))
     return funds.join(hits, "id", "left").withColumn("status", F.when(F.col("hit") | names.is_closed(F.col("name")), "Gesloten").otherwise("Open")).drop("hit")
 
 
@@ -84,9 +84,9 @@ def by_row_alias(funds: DataFrame, rows: DataFrame, aliases: DataFrame) -> DataF
     aliases: (in_name, in_row), all lower case; they go before containment."""
     f = funds.select("id", F.lower("name").alias("n"))
     r = rows.select("row_no", F.lower("label").alias("l"), "cells")
-    a = F.broadcast(aliases)
-    ruled = f.join(a, F.col("n").contains(F.col("in_name"))).join(F.broadcast(r), F.col("l").contains(F.col("in_row"))).select("id", "row_no", "cells", F.lit(0).alias("rule"))
-    plain = f.join(F.broadcast(r), resolve.contained(names.clean_name(F.col("l")), names.clean_name(F.col("n")), 3)).select("id", "row_no", "cells", F.lit(1).alias("rule"))
+    a, near = F.broadcast(aliases), resolve.few(r)  # aliases are written by hand
+    ruled = f.join(a, F.col("n").contains(F.col("in_name"))).join(near, F.col("l").contains(F.col("in_row"))).select("id", "row_no", "cells", F.lit(0).alias("rule"))
+    plain = f.join(near, resolve.contained(names.clean_name(F.col("l")), names.clean_name(F.col("n")), 3)).select("id", "row_no", "cells", F.lit(1).alias("rule"))
     best = Window.partitionBy("id")
     both = ruled.union(plain).withColumn("first", F.min("rule").over(best)).where("rule = first")
     return both.groupBy("id").agg(F.max_by("cells", "row_no").alias("cells"))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundlake.operators.resolve import few
+
 
 def last_by(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row for each key: the last in the order, ties broken by all columns (AGG-21)."""
@@ -71,7 +73,7 @@ def filled(target: DataFrame, source: DataFrame, keys: Sequence[str], column: st
 
 def update_like(target: DataFrame, patterns: DataFrame, name: str, column: str) -> DataFrame:
     """SNK-14: (pattern, value, ord) for all rows whose name has the pattern; of several the last counts."""
-    p = F.broadcast(patterns.select(F.col("pattern").alias("_p"), F.col("value").alias("_v"), F.col("ord").alias("_o")))
+    p = few(patterns.select(F.col("pattern").alias("_p"), F.col("value").alias("_v"), F.col("ord").alias("_o")))
     hits = target.join(p, F.ilike(F.col(name), F.concat(F.lit("%"), F.col("_p"), F.lit("%"))), "inner").groupBy(name).agg(F.max_by("_v", "_o").alias(column))
     return update(target, hits, [name], [column])
 

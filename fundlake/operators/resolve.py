@@ -1,14 +1,16 @@
 """Which fund does this name mean: exact, by containment, by alias, by likeness (JN-14 to JN-27).
 
-Containment has no key to join on, so the smaller side, a list of names whose
-count is checked (``MAX_NAMES``), is broadcast; a longer list is cut into slices
-that are matched in turn. Of several hits the smallest id counts.
+Containment of names of some length is a join by runs of characters
+(``holding``). Rules that leave no key are tested against the smaller list, which
+is broadcast up to ``MAX_NAMES`` names; a longer list is cut into slices that are
+matched in turn. Of several hits the smallest id counts.
 """
 
 from __future__ import annotations
 
 import difflib
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,6 +20,8 @@ from pyspark.sql import types as T
 from fundlake.functions.names import clean_name, packed_name
 
 MAX_NAMES = 20_000
+#: Characters of the runs by which names meet.
+GRAM = 4
 #: Fixed values: (word in the wanted name, words in the fund's name).
 ALIASES = (("pme", ("pme",)), ("metalektro", ("pme",)), ("pmt", ("pmt",)), ("metaal en techniek", ("pmt",)), ("bouw", ("bouw", "bpf")))
 
@@ -33,7 +37,7 @@ def contained_short(a: Column, b: Column) -> Column:
 
 
 def pairs(wanted: DataFrame, funds: DataFrame, test: Callable[[Column, Column], Column]) -> DataFrame:
-    """(name, id) of all pairs that pass; funds: (id, fund). The shorter of the lists is sent to the other, in slices."""
+    """(name, id) of all pairs that pass a test that has no key; funds: (id, fund). The shorter of the lists is sent to the other, in slices."""
     n, m = funds.count(), wanted.count()
     small, large = (funds, wanted) if n <= m else (wanted, funds)
     slices = -(-min(n, m) // MAX_NAMES) or 1
@@ -45,13 +49,62 @@ def pairs(wanted: DataFrame, funds: DataFrame, test: Callable[[Column, Column],
     return out
 
 
-def first_match(wanted: DataFrame, funds: DataFrame, rules: Sequence[Callable[[Column, Column], Column]]) -> DataFrame:
-    """(name, id): each wanted name with the smallest id of the first rule that has any; null if none has."""
+def _grams(c: Column) -> Column:
+    """The different runs of GRAM characters of a text."""
+    n = F.length(c) - GRAM + 1
+    return F.when(n >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(c, i, GRAM)))).otherwise(F.array().cast("array<string>"))
+
+
+def holding(parts: DataFrame, wholes: DataFrame) -> DataFrame:
+    """(part, whole) of all pairs of different texts of which the whole holds the part; parts: (part), wholes: (whole), of GRAM characters at least.
+
+    A whole holds every gram of its part, so they meet by one: the part's gram that the fewest wholes have."""
+    of_whole = wholes.select("whole", F.explode(_grams(F.col("whole"))).alias("gram"))
+    frequent = of_whole.groupBy("gram").agg(F.count("*").alias("n"))
+    of_part = parts.select("part", F.explode(_grams(F.col("part"))).alias("gram")).join(frequent, "gram")
+    rarest = of_part.groupBy("part").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    return rarest.join(of_whole, "gram").where(F.col("whole").contains(F.col("part"))).select("part", "whole")
+
+
+def contained_pairs(wanted: DataFrame, funds: DataFrame, clean: Callable[[Column], Column], least: int) -> DataFrame:
+    """(name, id) of the pairs that ``contained`` passes for cleaned names, by keys alone; funds: (id, fund).
+
+    least is GRAM - 1 or more, so that what is held has a gram to meet by."""
+    if least < GRAM - 1:
+        raise ValueError(f"names of {least + 1} characters have no run of {GRAM}")
+    a, b = wanted.select("name", clean(F.col("name")).alias("a")), funds.select("id", clean(F.col("fund")).alias("b"))
+    left, right = a.select("a").distinct().where("a IS NOT NULL"), b.select("b").distinct().where("b IS NOT NULL")
+    long = lambda df, c, name: df.where(F.length(c) > least).select(F.col(c).alias(name))
+    same = left.join(right, F.col("a") == F.col("b")).select("a", "b")
+    in_fund = holding(long(left, "a", "part"), right.where(F.length("b") > least).select(F.col("b").alias("whole"))).select(F.col("part").alias("a"), F.col("whole").alias("b"))
+    in_name = holding(long(right, "b", "part"), left.where(F.length("a") > least).select(F.col("a").alias("whole"))).select(F.col("whole").alias("a"), F.col("part").alias("b"))
+    hits = same.union(in_fund).union(in_name).distinct()
+    return a.join(hits, "a").join(b, "b").select("name", "id").distinct()
+
+
+def alias_pairs(wanted: DataFrame, funds: DataFrame) -> DataFrame:
+    """(name, id) by alias: names with an alias' word and the smallest fund with its own words, met by the alias' number."""
+    flagged = lambda c, k: F.filter(F.array(*[F.when(reduce(lambda x, y: x & y, [F.lower(c).contains(w) for w in ((words[0],) if k == 0 else words[1])]), F.lit(i)) for i, words in enumerate(ALIASES)]), lambda x: x.isNotNull())
+    names = wanted.select("name", F.explode(flagged(F.col("name"), 0)).alias("alias"))
+    own = funds.select("id", F.explode(flagged(F.col("fund"), 1)).alias("alias")).groupBy("alias").agg(F.min("id").alias("id"))
+    return names.join(own, "alias").select("name", "id")
+
+
+def few(names: DataFrame) -> DataFrame:
+    """A list to be broadcast if it is short enough."""
+    return F.broadcast(names) if names.limit(MAX_NAMES + 1).count() <= MAX_NAMES else names
+
+
+def first_match(wanted: DataFrame, funds: DataFrame, rules: Sequence[Callable]) -> DataFrame:
+    """(name, id): each wanted name with the smallest id of the first rule that has any; null if none has.
+
+    A rule is a test of two names, or a function of both tables marked ``keyed`` that gives the pairs itself."""
     names = wanted.select("name").distinct()
     f = funds.select("id", F.col("name").alias("fund"))
     hits = None
     for i, rule in enumerate(rules):
-        some = pairs(names, f, rule).groupBy("name").agg(F.min("id").alias("id")).withColumn("rule", F.lit(i))
+        found = rule(names, f) if getattr(rule, "keyed", False) else pairs(names, f, rule)
+        some = found.groupBy("name").agg(F.min("id").alias("id")).withColumn("rule", F.lit(i))
         hits = some if hits is None else hits.union(some)
     best = hits.groupBy("name").agg(F.min_by("id", "rule").alias("id"))
     return names.join(best, "name", "left")
@@ -76,9 +129,14 @@ def by_alias(a: Column, b: Column) -> Column:
     return test
 
 
+def _keyed(rule: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    rule.keyed = True
+    return rule
+
+
 def match_regulator(wanted: DataFrame, funds: DataFrame) -> DataFrame:
-    """JN-14, then JN-15."""
-    return first_match(wanted, funds, [by_clean_name, by_alias])
+    """JN-14, then JN-15; both meet by keys."""
+    return first_match(wanted, funds, [_keyed(lambda a, b: contained_pairs(a, b, clean_name, 5)), _keyed(alias_pairs)])
 
 
 def match_planning(wanted: DataFrame, funds: DataFrame) -> DataFrame:
@@ -101,7 +159,7 @@ def match_unique(wanted: DataFrame, funds: DataFrame) -> DataFrame:
     same = names.join(f, F.lower("name") == F.lower("fund")).groupBy("name").agg(F.min("id").alias("id"))
     cut = only(lambda a: F.when(a.contains("("), F.rtrim(F.split_part(a, F.lit("("), F.lit(1)))))
     slash = names.where(F.col("name").contains("/")).select("name", F.posexplode(F.split("name", "/"))).select("name", "pos", F.trim("col").alias("part"))
-    parts = slash.join(F.broadcast(f), F.lower("fund").contains(F.lower("part"))).groupBy("name", "pos").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("name").agg(F.min_by("id", "pos").alias("id"))
+    parts = slash.join(few(f), F.lower("fund").contains(F.lower("part"))).groupBy("name", "pos").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("name").agg(F.min_by("id", "pos").alias("id"))
     ranked = None
     for i, step in enumerate((exact, only(lambda a: a), same, cut, parts)):
         ranked = step.withColumn("rule", F.lit(i)) if ranked is None else ranked.union(step.withColumn("rule", F.lit(i)))
@@ -141,7 +199,7 @@ def match_file(funds: DataFrame, files: DataFrame) -> DataFrame:
     words = lambda c, n: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > n)
     has = lambda path: lambda w: F.lower(path).contains(w)
     f = funds.select("id", F.col("name").alias("fund"))
-    some = f.join(F.broadcast(files.select("path")), F.exists(words("fund", 2), has(F.col("path"))))
+    some = f.join(few(files.select("path")), F.exists(words("fund", 2), has(F.col("path"))))
     rank = F.when(F.forall(words("fund", 2), has(F.col("path"))) & (F.size(words("fund", 2)) > 0), 0).when(F.exists(words("fund", 4), has(F.col("path"))), 1)
     return some.withColumn("rank", rank).where("rank IS NOT NULL").groupBy("id").agg(F.min_by("path", F.struct("rank", "path")).alias("path"))
 

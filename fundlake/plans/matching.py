@@ -178,3 +178,10 @@ def q_manual_patches(t: Tables) -> DataFrame:
     rows = t.part.select("p_partkey", "p_name", F.col("p_retailprice").alias("price"))
     liked = merge.update_like(rows, t.spark.createDataFrame([("ring", 7.0, 1)], "pattern string, value double, ord int"), "p_name", "price")
     return merge.update(liked, t.spark.createDataFrame([(3, 99.0)], "p_partkey long, price double"), ["p_partkey"], ["price"]).select("p_partkey", "price")
+
+
+@query("SELECT p_partkey, 2.0 * length(p_name) / (2 * length(p_name) + p_partkey % 9) AS score FROM part")
+def q_similarity(t: Tables) -> DataFrame:
+    """STR-17, UDF-03: the matching-blocks ratio; where one name goes on after the other it is known in closed form."""
+    longer = F.concat(F.upper("p_name"), F.expr("repeat('#', CAST(p_partkey % 9 AS INT))"))
+    return t.part.select("p_partkey", resolve.similarity(F.col("p_name"), longer).alias("score"))

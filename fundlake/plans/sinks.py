@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.catalog import Catalog
+from fundlake.catalog import Catalog, Timed
 from fundlake.operators import curation, merge
 from fundlake.operators.lineage import folder
 from fundlake.plans import export, pipeline
@@ -160,3 +160,21 @@ def q_pdf_bytes(t: Tables) -> DataFrame:
 def q_seen_once(t: Tables) -> DataFrame:
     """SET-05: each key once a run."""
     return t.events.select("user_id", "event_type").dropDuplicates()
+
+
+@query("SELECT count(*) AS n, 1 AS made_in_time, 2 AS made_after FROM supplier")
+def q_timed_cache(t: Tables) -> DataFrame:
+    """STM-02: a result is made once within its time, and again after it."""
+    now, made = [0.0], []
+
+    def make() -> DataFrame:
+        made.append(now[0])
+        return t.supplier.agg(F.count("*").alias("n"))
+
+    held = Timed(3600, lambda: now[0])
+    held.get("n", make)
+    now[0] = 3599.0
+    held.get("n", make)
+    in_time = len(made)
+    now[0] = 3601.0
+    return held.get("n", make).select("n", F.lit(in_time).alias("made_in_time"), F.lit(len(made)).alias("made_after"))
