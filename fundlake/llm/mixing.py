@@ -4,9 +4,11 @@ Each constraint says how many tokens of a group of documents the mix must take.
 Of all document rates r that meet the constraints, the one closest to 1 in
 token-weighted relative entropy is exponentially tilted, r = exp(sum of the
 multipliers of the document's groups), and the multipliers minimise a convex
-dual. ``balance`` finds them by Newton steps: Spark sums tokens by cell (a
-distinct set of groups; rates are equal within one) once, and each step sums
-gradient and Hessian over the cells.
+dual, found by Newton steps. Where groups share documents (``balance``) Spark
+sums tokens by cell (a distinct set of groups; rates are equal within one) once,
+and each step sums gradient and Hessian over the cells. Where they don't, as
+with sources, the Hessian is diagonal and each group's row takes its own steps
+where it lies (``newton``): no job and no row on the driver for a step.
 
 Rates become whole copies (``copies_of``), tier by tier from a source's largest
 documents to its smallest. Within a tier all take the same number of copies,
@@ -24,7 +26,10 @@ is shared again by weight until none is above.
 Edge cases: a null or empty text has size 0 and nothing is taken of it. Null
 doc_ids are documents like others. Repeated rows (same id, same text) share one
 hash, and so take the same copies; their sizes count each. An empty table gives
-an empty result. Sources with no words have target 0. Other columns pass by.
+an empty result. Sources with no words have target 0. Other columns pass by;
+columns named like those that are added are replaced. Up to ``MAX_SOURCES``
+sources' goals are broadcast; beyond, documents meet them in a join that deals
+each source to ``SALTS`` tasks.
 """
 
 from __future__ import annotations
@@ -39,13 +44,17 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 #: Shares of its source's target from which a document belongs to the first, second, ... tier.
 TIERS = (0.05, 0.01, 0.002)
+#: Sources whose goals and thresholds are broadcast (some 20 MB), and tasks a source is dealt to beyond.
+MAX_SOURCES, SALTS = 100_000, 64
+#: Newton steps at most; far from the goal each moves the multiplier by 1.
+STEPS = 64
 #: Groups of overlapping constraints whose dense Hessian is solved at once.
 MAX_GROUPS = 4096
 _BIN = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def word_count(text: str = "text") -> Column:
+def word_count(text: str | Column = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
@@ -62,7 +71,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MA
     level = (F.sum("source_size").over(full) - most * F.coalesce(F.sum("source_size").over(before), F.lit(0))) / F.sum("w").over(after)
     stated = weighed.withColumn("level", level).withColumn("below", F.col("level") * F.col("w") <= most * F.col("source_size"))
     water = F.min(F.when(F.col("below"), F.struct(F.col("source_size") / F.col("w"), "level"))).over(full)["level"]
-    return stated.select("source", "source_size", F.when(F.col("source_size") == 0, 0.0).otherwise(F.least(F.lit(float(most)) * F.col("source_size"), F.coalesce(water, F.lit(float("inf"))) * F.col("w"))).alias("target"))
+    return stated.select("source", "source_size", *[c for c in sizes.columns if c not in ("source", "source_size")], F.when(F.col("source_size") == 0, 0.0).otherwise(F.least(F.lit(float(most)) * F.col("source_size"), F.coalesce(water, F.lit(float("inf"))) * F.col("w"))).alias("target"))
 
 
 def balance(cells: DataFrame, wanted: dict[str, float], steps: int = 60, tolerance: float = 1e-9) -> dict[str, float]:
@@ -113,17 +122,32 @@ def balance(cells: DataFrame, wanted: dict[str, float], steps: int = 60, toleran
     return dict(zip(names, x.tolist(), strict=True))
 
 
-def _threshold(tier: DataFrame, state: DataFrame, work: Scratch) -> DataFrame:
+def newton(tokens: Column, wanted: Column) -> Column:
+    """The rate of a group that shares no document with another: exp(x) for the x that minimises tokens * exp(x) - wanted * x."""
+    step = lambda x, _: F.when(F.abs(tokens * F.exp(x) - wanted) <= 1e-12 * wanted, x).otherwise(x - 1 + wanted / (tokens * F.exp(x)))
+    x = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.lit(0.0), step)
+    return F.when((wanted > 0) & (tokens > 0), F.exp(x)).otherwise(0.0)
+
+
+def _meet(docs: DataFrame, rows: DataFrame, on: list[str], salt: str, few: bool) -> DataFrame:
+    """Documents with the row of their source; rows are one a source, or one for each of its tiers."""
+    if few:
+        return docs.join(F.broadcast(rows), on)
+    dealt = rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return docs.withColumn("_salt", F.pmod(F.col(salt), F.lit(SALTS)).cast("int")).join(dealt, [*on, "_salt"]).drop("_salt")
+
+
+def _threshold(tier: DataFrame, state: DataFrame, few: bool, work: Scratch) -> DataFrame:
     """state (g, base, extra, low = 0) with low raised until the tokens of tier (g, u, size) below it are about extra."""
     for step in (_BIN, 1):
-        inside = tier.join(F.broadcast(state), "g").where((F.col("u") >= F.col("low")) & (F.col("u") < F.col("low") + step * _BIN))
+        inside = _meet(tier, state, ["g"], "u", few).where((F.col("u") >= F.col("low")) & (F.col("u") < F.col("low") + step * _BIN))
         bins = inside.groupBy("g", F.floor((F.col("u") - F.col("low")) / step).alias("bin")).agg(F.sum("size").alias("tokens"), F.first("extra").alias("extra"))
         run = bins.withColumn("sum", F.sum("tokens").over(Window.partitionBy("g").orderBy("bin")))  # at most _BIN rows a group
         # Bins that are taken whole; the one that is crossed is looked into, and at last taken if that comes nearer.
         whole = F.col("sum") <= F.col("extra") if step > 1 else F.col("sum") - F.col("tokens") / 2 <= F.col("extra")
         fit = run.groupBy("g").agg(F.min(F.when(~whole, F.col("bin"))).alias("crossed"), F.coalesce(F.max(F.when(whole, F.col("sum"))), F.lit(0)).alias("took"))
         state = work.keep(
-            state.join(F.broadcast(fit), "g", "left").select("g", "base", (F.col("extra") - F.coalesce("took", F.lit(0))).alias("extra"), (F.col("low") + F.coalesce("crossed", F.lit(_BIN)) * step).cast("long").alias("low")),
+            state.join(fit, "g", "left").select("g", "base", (F.col("extra") - F.coalesce("took", F.lit(0))).alias("extra"), (F.col("low") + F.coalesce("crossed", F.lit(_BIN)) * step).cast("long").alias("low")),
             "mix-threshold",
         )
     return state
@@ -137,7 +161,8 @@ def copies_of(docs: DataFrame, goals: DataFrame, most: int, work: Scratch) -> Da
     """(g, tier, base, low) for docs (g, size, u) and goals (g, due, rate); u: a hash in [0, 2**32).
 
     A document takes base copies, and one more if its hash is below low."""
-    tiered = docs.join(F.broadcast(goals.select("g", "due")), "g").withColumn("tier", _tier(F.col("size"), F.col("due")))
+    few = goals.count() <= MAX_SOURCES
+    tiered = _meet(docs, goals.select("g", "due"), ["g"], "u", few).withColumn("tier", _tier(F.col("size"), F.col("due")))
     tokens = work.keep(tiered.groupBy("g", "tier").agg(F.sum("size").alias("tokens")), "mix-tiers")
     carry, marks = goals.select("g", F.lit(0.0).alias("carry")), None
     for t in range(len(TIERS) + 1):
@@ -145,7 +170,7 @@ def copies_of(docs: DataFrame, goals: DataFrame, most: int, work: Scratch) -> Da
         wish = F.greatest(F.col("rate") * F.col("tokens") + F.col("carry"), F.lit(0.0))
         base = F.coalesce(F.least(F.floor(F.try_divide(wish, F.col("tokens"))), F.lit(most)), F.lit(0))
         state = own.select("g", base.alias("base"), (wish - base * F.col("tokens")).alias("extra"), F.lit(0).cast("long").alias("low"))
-        done = _threshold(tiered.where(F.col("tier") == t).select("g", "u", "size"), work.keep(state, "mix-tier"), work)
+        done = _threshold(tiered.where(F.col("tier") == t).select("g", "u", "size"), work.keep(state, "mix-tier"), few, work)
         left = done.select("g", F.col("extra").alias("left"))
         missed = F.when(F.col("left").isNull(), F.col("carry")).otherwise(F.col("left") + F.least(F.col("rate") * F.coalesce("tokens", F.lit(0)) + F.col("carry"), F.lit(0.0)))
         carry = work.keep(carry.join(goals.select("g", "rate"), "g").join(tokens.where(F.col("tier") == t).select("g", "tokens"), "g", "left").join(left, "g", "left").select("g", missed.alias("carry")), "mix-carry")
@@ -154,23 +179,28 @@ def copies_of(docs: DataFrame, goals: DataFrame, most: int, work: Scratch) -> Da
     return marks
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_COPIES, scope: str = "op") -> DataFrame:
+ADDED = ("size", "source_size", "target", "taken", "rate", "copies")
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_COPIES, scope: str | None = None) -> DataFrame:
     """docs with size, source_size and target of the source, taken, rate and copies; columns of these names are replaced."""
     work = Scratch(docs.sparkSession, scope)
-    docs = docs.drop("size", "source_size", "target", "taken", "rate", "copies")
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
-    g, u = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null")), F.shiftrightunsigned(key, 32)
-    sized = work.keep(docs.select(F.col("source").cast("string").alias("source"), word_count().alias("size"), u.alias("u")), "mix-sizes")
-    sizes = work.keep(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most).withColumn("g", g), "mix-targets")
-    cells = work.keep(sized.groupBy(g.alias("cell")).agg(F.sum("size").alias("tokens")).withColumn("groups", F.array("cell")), "mix-cells")
-    multipliers = balance(cells, {r.g: r.target for r in sizes.select("g", "target").collect()})  # one row a source
-    rates = docs.sparkSession.createDataFrame([(k, float(np.exp(v))) for k, v in multipliers.items()], "g string, rate double")
-    goals = work.keep(sizes.join(F.broadcast(rates), "g", "left").select("g", "source_size", F.col("target").alias("due"), F.least(F.coalesce("rate", F.lit(0.0)), F.lit(float(most))).alias("rate")), "mix-rates")
-    marks = work.keep(copies_of(sized.select("size", "u", g.alias("g")), goals, most, work), "mix-marks")
+    docs = docs.drop(*ADDED)
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # names of other columns may be anything
+    own = {c: F.col(f"c{names.index(c)}") for c in ("doc_id", "text", "source")}
+    key = F.xxhash64(F.coalesce(own["doc_id"].cast("string"), F.lit("null")), F.coalesce(own["text"], F.lit("")))
+    g = F.coalesce(F.concat(F.lit("="), own["source"].cast("string")), F.lit("null"))
+    rows = plain.withColumns({"g": g, "size": word_count(own["text"]), "u": F.shiftrightunsigned(key, 32), "source": own["source"].cast("string")})
+    sized = work.keep(rows.select("source", "g", "size", "u"), "mix-sizes")
+    sizes = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.first("g").alias("g")), weights, most)
+    rate = F.least(newton(F.col("source_size").cast("double"), F.col("target")), F.lit(float(most)))
+    goals = work.keep(sizes.select("g", "source_size", F.col("target").alias("due"), rate.alias("rate")), "mix-rates")
+    marks = work.keep(copies_of(sized.select("g", "size", "u"), goals, most, work), "mix-marks")
     # The documents meet only the few rows of goals and marks.
-    of = goals.select(F.col("g").alias("__g"), "source_size", F.col("due").alias("target"), "rate")
-    mark = marks.select(F.col("g").alias("__m"), F.col("tier").alias("__tier"), F.col("base").alias("__base"), F.col("low").alias("__low"))
-    met = docs.withColumn("size", word_count()).withColumn("__u", u).join(F.broadcast(of), g == F.col("__g"))
-    met = met.join(F.broadcast(mark), (F.col("__g") == F.col("__m")) & (_tier(F.col("size"), F.col("target")) == F.col("__tier")))
-    copies = F.when(F.col("size") == 0, 0).otherwise(F.least(F.col("__base") + (F.col("__u") < F.col("__low")).cast("long"), F.lit(most))).cast("int")
-    return met.withColumn("copies", copies).withColumn("taken", (F.col("size") * F.col("copies")).cast("long")).drop("__g", "__m", "__tier", "__base", "__low", "__u")
+    few = goals.count() <= MAX_SOURCES
+    met = _meet(rows, goals, ["g"], "u", few).withColumn("tier", _tier(F.col("size"), F.col("due")))
+    met = _meet(met, marks, ["g", "tier"], "u", few)
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.least(F.col("base") + (F.col("u") < F.col("low")).cast("long"), F.lit(most))).cast("int")
+    out = met.withColumn("copies", copies).withColumn("taken", (F.col("size") * F.col("copies")).cast("long"))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "size", "source_size", F.col("due").alias("target"), "taken", "rate", "copies")
