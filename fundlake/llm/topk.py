@@ -8,14 +8,17 @@ Cauchy and Schwarz the inner product of two vectors is at most
     sum over segments of n * mean * mean' + deviation * deviation'
 
 that is, their squared distance |x|^2 + |y|^2 - 2 x.y has a lower bound, and the
-bound is itself an inner product of 2 numbers a segment. A block of queries
-meets a block of candidates: exact scores of a few candidates set each query's
-k-th score so far, then bounds from coarse to fine discard candidates that
-cannot reach it, and the survivors are scored exactly.
+bound is itself an inner product of 2 numbers a segment. First every query is
+scored exactly against a few candidates, of bounded size and the same for all
+(``SEEDS``); its k-th score there is its floor everywhere. Then a block of
+queries meets a block of candidates: exact scores of a few more raise the
+floor, bounds from coarse to fine discard candidates that cannot reach it, and
+the survivors are scored exactly.
 
 Queries are a stated set. They are cut into blocks of bounded size and each
 meets all candidate blocks; both sides are sent to their meetings by a join on
-the pair of block numbers, and every meeting keeps k rows a query.
+the pair of block numbers. A meeting gives a query's candidates that reach its
+floor, k at most.
 
 Rules: the score is the integer inner product; a query's own row (same id) is
 no candidate; ties go to the smaller id. Vectors that are null or hold null or
@@ -30,6 +33,7 @@ first). Null ids take no part. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +43,16 @@ from pyspark.sql import functions as F
 from fundlake.llm.scratch import Scratch
 
 SCALE = 64.0
-#: Rows of a block of candidates and of queries that meet in one task.
-BLOCK = 8192
+#: Bytes of a block of candidates and of queries that meet in one task, and its rows at most.
+BLOCK_BYTES, BLOCK = 32 << 20, 65536
+#: Candidates that all queries are scored against first, and their bytes at most.
+SEEDS, SEED_BYTES = 4096, 32 << 20
 #: Segments of each resolution, coarse to fine.
 RESOLUTIONS = (4, 16)
-#: Candidates scored first, for each query's k-th score to start from.
-SEEDS = 256
+#: Bounds of a block's queries that are computed at once.
+CELLS = 1 << 22
+#: Candidates of a block scored before the others.
+LOCAL_SEEDS = 256
 _EXACT = float(1 << 53)
 
 
@@ -71,17 +79,26 @@ def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.array([[int(sum(int(a) * int(b) for a, b in zip(x, y, strict=True))) for y in c] for x in np.atleast_2d(q)], dtype=object).reshape((len(q), len(c)) if q.ndim == 2 else (len(c),)).astype(np.int64)
 
 
-def best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, candidate, score) of each query's k best among the candidates of a block."""
+def floors(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
+    """Each query's k-th score among some candidates, without its own row; -inf if they are fewer."""
+    if len(c) < k or not len(q):
+        return np.full(len(q), -np.inf)
+    scores = _exact(q, c).astype(float)
+    scores[qid[:, None] == cid[None, :]] = -np.inf
+    return np.partition(scores, -k, axis=1)[:, -k]
+
+
+def best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, candidate, score) of each query's k best among the candidates of a block, none below its least."""
     levels = [(summary(q, s), summary(c, s)) for s in RESOLUTIONS]
     ids, others, scores = [], [], []
-    step = max(1, (1 << 22) // max(len(c), 1))
-    seeds = np.arange(0, len(c), max(1, len(c) // SEEDS))
+    step = max(1, CELLS // max(len(c), 1))
+    seeds = np.arange(0, len(c), max(1, len(c) // LOCAL_SEEDS))
     for at in range(0, len(q), step):
         rows = slice(at, at + step)
-        first = _exact(q[rows], c[seeds]).astype(float)
-        first[qid[rows][:, None] == cid[seeds][None, :]] = -np.inf
-        floor = np.partition(first, -k, axis=1)[:, -k] if first.shape[1] >= k else np.full(len(first), -np.inf)
+        floor = floors(qid[rows], q[rows], cid[seeds], c[seeds], k)
+        if least is not None:
+            floor = np.maximum(floor, least[rows])
         # Bounds of the coarse resolution for all; the finer one only where that leaves a candidate.
         bound = levels[0][0][rows] @ levels[0][1].T
         slack = 1e-6 * (1 + np.abs(bound).max(initial=0))
@@ -92,9 +109,9 @@ def best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int)
                     left = left[b[left] @ a[at + i] >= floor[i] - slack]
             left = left[cid[left] != qid[at + i]]
             s = _exact(q[at + i], c[left]) if len(left) else np.zeros(0, np.int64)
+            left, s = left[s >= floor[i]], s[s >= floor[i]]
             if len(left) > k:
-                least = np.partition(s, -k)[-k]
-                keep = s >= least
+                keep = s >= np.partition(s, -k)[-k]
                 left, s = left[keep], s[keep]
                 order = np.lexsort((cid[left], -s))[:k]
                 left, s = left[order], s[order]
@@ -122,7 +139,7 @@ def _meet(k: int):
         if queries.num_rows and candidates.num_rows:
             width = int(max(np.diff(x["v"].combine_chunks().offsets.to_numpy()).max() for x in (queries, candidates)))
             q, c = (_matrix(x["v"], max(width, 1)) for x in (queries, candidates))
-            found = best(queries["id"].to_numpy(), q, candidates["id"].to_numpy(), c, k)
+            found = best(queries["id"].to_numpy(), q, candidates["id"].to_numpy(), c, k, queries["least"].to_numpy())
         else:
             found = (np.zeros(0, np.int64),) * 3
         return pa.table([pa.array(x, pa.int64()) for x in found], names=["query_id", "vec_id", "score"])
@@ -130,6 +147,22 @@ def _meet(k: int):
     return run
 
 
+def _with_floors(queries: DataFrame, candidates: DataFrame, width: int, k: int) -> DataFrame:
+    """queries with least, their k-th score among the seeds: the first candidates in the order of a hash."""
+    few = min(SEEDS, SEED_BYTES // (8 * width))
+    rows = candidates.orderBy(F.xxhash64("id"), "id", "v").limit(few).toArrow()
+    seeds = candidates.sparkSession.sparkContext.broadcast((rows["id"].to_numpy(), _matrix(rows["v"], width)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cid, c = seeds.value
+        for batch in batches:
+            q = _matrix(pa.chunked_array([batch["v"]]), width)
+            least = floors(batch["id"].to_numpy(), q, cid, c, k)
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(least)], names=["id", "v", "least"])
+
+    return queries.mapInArrow(run, "id long, v array<double>, least double")
+
+
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 20, scale: float = SCALE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score; both inputs have vec_id and embedding."""
     work = Scratch(vectors.sparkSession)
@@ -137,12 +170,15 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 20, scale: float = SC
     integers = lambda d: d.where(usable("embedding") & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("id"), F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("v"))
     q, c = work.keep(integers(queries), "topk-queries"), work.keep(integers(vectors), "topk-vectors")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    qn, cn = (max(1, -(-d.count() // BLOCK)) for d in (q, c))
-    cn = max(cn, -(-parts // qn)) if cn * qn < parts else cn  # enough meetings for the cluster
+    known = [d.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first() for d in (q, c)]
+    width = max(1, *(x.width or 0 for x in known))
+    rows = max(1, min(BLOCK, BLOCK_BYTES // (8 * width)))
+    qn, cn = (max(1, -(-x.n // rows)) for x in known)
+    cn = max(cn, -(-min(parts, known[1].n) // qn)) if cn * qn < parts else cn  # enough meetings for the cluster
     of = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
     # Each row goes to its block's meetings with all blocks of the other side.
-    left = q.select("id", "v", of(qn, 1).alias("a"), F.explode(F.sequence(F.lit(0), F.lit(cn - 1))).alias("b"))
-    right = c.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(qn - 1))).alias("a"), of(cn, 2).alias("b"))
+    left = _with_floors(q, c, width, k).select("id", "v", "least", of(qn, 1).alias("a"), F.explode(F.sequence(F.lit(0), F.lit(max(cn, 1) - 1))).alias("b"))
+    right = c.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(qn - 1))).alias("a"), of(max(cn, 1), 2).alias("b"))
     met = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(_meet(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -511,3 +511,21 @@ def test_newton_steps_end_at_the_goal(spark):
     rows = [(1.0, 3.0), (1e12, 1.0), (5.0, 5.0), (7.0, 0.0), (0.0, 2.0), (1e6, 2.9e6)]
     got = spark.createDataFrame(rows, "t double, w double").select("t", "w", mixing.newton(F.col("t"), F.col("w")).alias("r")).collect()
     assert all(math.isclose(x.t * x.r, x.w if x.t else 0, rel_tol=1e-9) for x in got)
+
+
+def test_top_k_of_a_block_in_several_steps(monkeypatch):
+    """Queries in steps of a few, with floors from outside: nothing below a floor, all of the k best that reach it."""
+    monkeypatch.setattr(topk, "CELLS", 900)
+    r = np.random.default_rng(2)
+    c = r.integers(-50, 50, (300, 12)).astype(float)
+    qid, cid = np.arange(0, 300, 20), np.arange(300)
+    scores = c[qid] @ c.T
+    scores[np.arange(len(qid)), qid] = -np.inf
+    least = np.sort(scores, axis=1)[:, -5]
+    for floor, many in ((None, 7), (least, 5)):
+        q, v, s = topk.best(qid, c[qid], cid, c, 7, floor)
+        for i, x in enumerate(qid):
+            order = np.lexsort((cid, -scores[i]))[:7]
+            expected = [(int(j), int(scores[i][j])) for j in order]
+            got = sorted(zip(v[q == x].tolist(), s[q == x].tolist(), strict=True), key=lambda p: (-p[1], p[0]))
+            assert got == (expected if floor is None else [p for p in expected if p[1] >= floor[i]]) and len(got) >= many
