@@ -74,6 +74,7 @@ def equity_share_of_snippet(text: Column) -> Column:
 
 def strategy_notes(text: Column) -> Column:
     """EX-06: of paragraphs of 80 characters and more that speak of policy and equity the three longest, earlier first if equal."""
+    # Words that a paragraph on strategy has.
     targets = ("aandelen", "beleggingsbeleid", "aandelenportefeuille", "passief", "actief")
     tones = ("beleid", "strategie", "allocatie", "portefeuille")
     lines = F.filter(F.split(text, "\n"), lambda p: (F.length(F.lower(p)) >= 80) & contains_any(F.lower(p), targets) & contains_any(F.lower(p), tones))
@@ -108,6 +109,7 @@ def region_weights(text: Column) -> Column:
     """EX-08 (lower case): (region, weight) pairs, the first valid percentage of each region.
 
     First all windows with the number after the region's word, then all with it before; within a window by word."""
+    # Words about which weights are looked for.
     words = ("aandelen", "zakelijke waarden", "equity", "aandelenportefeuille", "regio", "allocatie")
     around = keyword_windows(text, words, 0, 1000)
 
@@ -159,11 +161,13 @@ def management_style(text: Column) -> Column:
 
 
 def esg_score(text: Column) -> Column:
+    # Words of the ESG score.
     return count_words(text, ("esg", "duurzaamheid", "duurzaam", "maatschappelijk verantwoord", "mvo", "sri", "uitsluitingen", "klimaat", "co2"))
 
 
 def factor_score(text: Column) -> Column:
     """Factor words; those of everyday use count only near one that shows what is meant."""
+    # Words of the factor score.
     plain = count_words(text, ("factorbeleggen", "factor investing", "smart beta", "low volatility", "lage volatiliteit", "factoren"))
     vague = [windows(text, rf"(?U)\b{w}\b", 100, 100) for w in ("value", "momentum", "quality", "kwaliteit", "size")]
     return plain + sum((count_where(w, lambda x: contains_any(x, ("factor", "smart beta", "aandelen", "premie"))) for w in vague), F.lit(0))
@@ -184,6 +188,7 @@ def factor_style(text: Column) -> Column:
 
 def snippet_traits(text: Column) -> Column:
     """EX-11 (lower case): style, factor, esg and geo of a search result, by the words it holds."""
+    # Words of a search result's traits, here and below.
     active, passive = contains_any(text, ("actief",)), contains_any(text, ("passief", "indexvolgend"))
     style = F.when(active & passive, "Mixed").when(passive | contains_any(text, ("tracker",)), "Passive").when(active | contains_any(text, ("stock picking",)), "Active")
     factor = F.when(contains_any(text, ("factorbeleggen", "smart beta", "factoren")), "Factor").when(contains_any(text, ("market cap", "marktkapitalisatie")), "Non-Factor")
@@ -244,6 +249,7 @@ COST_RATIOS = {"vermogensbeheerkosten": "vermogensbeheerkosten|kosten vermogensb
 
 def asset_mix(text: Column, relaxed: bool = False) -> Column:
     """EX-19, relaxed EX-20 (lower case): the first share of each of three classes in windows about a word for the mix."""
+    # Words for the mix and its classes, here and below.
     around = windows(text, "beleggingsmix|asset allocatie|strategische allocatie|portefeuille", 50, 200)
     tail = r"[^\d]{0,80}?(\d{1,2}[,.]\d{1,2})\s*%?" if relaxed else r"(?d).*?(\d+[,.]\d+)\s*%"
     share = lambda words: first(F.filter(F.transform(around, lambda w: group(w, f"(?:{words}){tail}")), lambda v: v.isNotNull()))
@@ -270,6 +276,7 @@ def assets_of_report(text: Column) -> Column:
 
 def assets_patterned(text: Column) -> Column:
     """EX-23 (lower case), in billions: eight patterns in turn; a full number is in euros."""
+    # Shapes and labels of amounts, here and below.
     full, short, long = r"(\d{1,3}(?:\.\d{3}){2,3})", r"(\d{1,4}(?:,\d{1,2})?)\s*(?:mln|miljoen|milj)", r"(\d{1,3}(?:,\d{1,2})?)\s*(?:mld|miljard)"
     scale = {full: 1e9, short: 1e3, long: 1.0}
     order = [("belegd vermogen", x) for x in (full, short, long)] + [("totaal belegd vermogen", x) for x in (full, short, long)] + [("totale vermogen", x) for x in (short, long)]
@@ -393,6 +400,7 @@ def managed_internally(text: Column) -> Column:
 def protection(text: Column) -> Column:
     """EX-35: sentences on protection with their neighbours, up to four different ones, or 'Unknown'."""
     sentences = F.split(F.replace(text, F.lit("\n"), F.lit(" ")), r"(?<=[.!?]) +")
+    # Words of protection, here and below.
     words = r"(?U)\b(optie|opties|swaptions|swaption|afdekken|afdekking)\b|\bneerwaarts|\bdalingen\b|\bkoersdaling"
     around = F.transform(sentences, lambda s, i: F.when(F.lower(s).rlike(words), squeeze(F.array_join(F.slice(sentences, F.greatest(i, F.lit(1)), F.when(i == 0, 2).otherwise(3)), " "))))
 

@@ -1,13 +1,17 @@
 """Web pages: links, table rows, blocks and visible text (SRC-18 to SRC-22), by the standard library's parser.
 
-Each is a table function of the page, so a page is parsed where it lies."""
+A page is parsed where it lies, in Arrow batches; the session gets no views or functions."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from fundlake.functions.text import squeeze
 
@@ -67,59 +71,69 @@ class _Cells(_Parser):
     wanted = {"tr", "td", "th"}
 
 
-class HtmlLinks:
-    def eval(self, html: str):
-        for x in _Links().items(html):
-            if x["attrs"].get("href") is not None:
-                yield x["n"], x["attrs"]["href"], "".join(x["text"]).strip(), x["attrs"].get("title") or "", x.get("alt", "")
+def _links(html: str | None) -> Iterator[tuple]:
+    for x in _Links().items(html):
+        if x["attrs"].get("href") is not None:
+            yield x["n"], x["attrs"]["href"], "".join(x["text"]).strip(), x["attrs"].get("title") or "", x.get("alt", "")
 
 
-class HtmlRows:
-    def eval(self, html: str):
-        row, number = None, -1
-        for x in _Cells().items(html):
-            if x["tag"] == "tr":
-                if row:
-                    yield number, row
-                row, number = [], number + 1
-            elif row is not None:
-                row.append("".join(x["text"]).strip())
-        if row:
-            yield number, row
+def _rows(html: str | None) -> Iterator[tuple]:
+    row, number = None, -1
+    for x in _Cells().items(html):
+        if x["tag"] == "tr":
+            if row:
+                yield number, row
+            row, number = [], number + 1
+        elif row is not None:
+            row.append("".join(x["text"]).strip())
+    if row:
+        yield number, row
 
 
-class HtmlBlocks:
-    def eval(self, html: str, tags: str):
+def _blocks(tags: str) -> Callable[[str | None], Iterator[tuple]]:
+    def of(html: str | None) -> Iterator[tuple]:
         parser = _Parser()
         parser.wanted = set(tags.split(","))
         for x in parser.items(html):
             yield x["n"], x["tag"], " | ".join(t for t in (s.strip() for s in x["text"]) if t)
 
+    return of
 
-def _apply(function: type, returns: str, pages: DataFrame, name: str, *more: str) -> DataFrame:
-    spark = pages.sparkSession
-    spark.udtf.register(name, F.udtf(function, returnType=returns))
-    view = f"_{name}_pages"
-    pages.createOrReplaceTempView(view)
-    arguments = ", ".join(["p.html", *[f"'{x}'" for x in more]])
-    return spark.sql(f"SELECT p.*, t.* FROM {view} p, LATERAL {name}({arguments}) t")
+
+def _apply(pages: DataFrame, function: Callable[[str | None], Iterator[tuple]], returns: str) -> DataFrame:
+    """pages with a row for each thing that function finds in html, its columns beside the page's."""
+    added = T.StructType.fromDDL(returns)
+    kinds = to_arrow_schema(added)
+    names = [*pages.columns, *added.names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found = [], []
+            for i, html in enumerate(batch.column("html").to_pylist()):
+                for item in function(html):
+                    at.append(i)
+                    found.append(item)
+            own = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*own.columns, *[pa.array([x[k] for x in found], f.type) for k, f in enumerate(kinds)]], names=names)
+
+    return pages.mapInArrow(run, T.StructType([*pages.schema.fields, *added.fields]))
 
 
 def links(pages: DataFrame) -> DataFrame:
     """SRC-22: every link of pages (.., html): pos, href, text, title, img_alt and label, the first of these that isn't empty."""
-    found = _apply(HtmlLinks, "pos int, href string, text string, title string, img_alt string", pages, "html_links")
+    found = _apply(pages, _links, "pos int, href string, text string, title string, img_alt string")
     label = F.coalesce(F.nullif("text", F.lit("")), F.nullif("title", F.lit("")), F.nullif("img_alt", F.lit("")))
     return found.withColumn("label", label).drop("html")
 
 
 def rows(pages: DataFrame, least: int = 1) -> DataFrame:
     """SRC-18, SRC-19: table rows with at least so many cells: row_no, cells."""
-    return _apply(HtmlRows, "row_no int, cells array<string>", pages, "html_rows").where(F.size("cells") >= least).drop("html")
+    return _apply(pages, _rows, "row_no int, cells array<string>").where(F.size("cells") >= least).drop("html")
 
 
 def blocks(pages: DataFrame, tags: str = "p,div,h1,h2,h3,li,td,th") -> DataFrame:
     """SRC-21, EX-42: the text of each element of some kinds: pos, tag, block."""
-    return _apply(HtmlBlocks, "pos int, tag string, block string", pages, "html_blocks", tags).drop("html")
+    return _apply(pages, _blocks(tags), "pos int, tag string, block string").drop("html")
 
 
 def visible_text(html: Column) -> Column:
