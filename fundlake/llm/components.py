@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 
 from fundlake.llm.scratch import Scratch
 
+#: Keys that more than one in so many rows have are broadcast; there can't be more keys than that.
+HOT = 10_000
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, n: int) -> DataFrame:
+    """rows (a stored table of n rows) left join table, which has a key once; no task gets all rows of a frequent key."""
+    hot = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > n // HOT + 1).select(key)
+    keys = F.broadcast(hot)  # at most HOT rows
+    return rows.join(F.broadcast(hot.join(table, key, "left")), key).unionByName(rows.join(keys, key, "left_anti").join(table, key, "left"))
+
 
 def components(edges: DataFrame, work: Scratch) -> DataFrame:
     """(node, label) for every node of edges (a, b): the smallest node it is connected with.

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.llm import blocks as B
-from fundlake.llm.components import components
+from fundlake.llm.components import components, spread_join
 from fundlake.llm.scratch import Scratch
 from fundlake.llm.tokens import U64, mix, span_hash, words_of
 
@@ -301,9 +301,10 @@ def _groups(packed: DataFrame, shingle: int, percent: int, work: Scratch) -> Dat
     sets = work.keep(B.each(B.reply(packed, placed, wanted="x").where("wanted IS NOT NULL"), take, "cluster long, part int, parts int, cls long, shingles binary"), "sets")
     links = work.keep(_confirmed(sets, percent, work), "confirmed")
     found = components(links, work).withColumnsRenamed({"node": "cls", "label": "component"})
-    named = rows.drop("sig").join(found, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    n = rows.count()
+    named = work.keep(spread_join(rows.drop("sig"), found, "cls", n).withColumn("component", F.coalesce("component", "cls")), "named")
     names = named.where("size > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    full = named.join(names, "component", "left")
+    full = spread_join(named, names, "component", n)
     component_id = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return full.select("block", "row", "doc_id", "size", "component", component_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

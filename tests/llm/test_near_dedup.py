@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from fundlake.llm import near_dedup
+from fundlake.llm import components, near_dedup
 
 SCHEMA = "doc_id long, text string"
 
@@ -78,3 +78,11 @@ def test_sets_that_share_a_name_stay_apart(spark):
     got = {r.doc_id: r.cls for r in near_dedup.told_apart(df).collect()}
     assert got[1] == got[3] != got[2] and got[4] == 8
     assert near_dedup.told_apart(df.where("doc_id <> 2 AND size > 0")).columns == ["block", "row", "doc_id", "size", "cls"]
+
+
+def test_frequent_keys_are_joined_apart(spark, monkeypatch):
+    monkeypatch.setattr(components, "HOT", 5)
+    rows = [(1, i) for i in range(50)] + [(k, k) for k in range(2, 30)] + [(None, 7), (2, 2)]
+    df, table = spark.createDataFrame(rows, "k long, x long"), spark.createDataFrame([(k, f"v{k}") for k in range(20)], "k long, v string")
+    got = sorted((tuple(r) for r in components.spread_join(df, table, "k", len(rows)).select("k", "x", "v").collect()), key=str)
+    assert got == sorted(((k, x, f"v{k}" if k is not None and k < 20 else None) for k, x in rows), key=str)
