@@ -9,7 +9,8 @@ cheapest repair; of equal ones, that whose last turns come first in the order
 system, user, assistant.
 
 A step of the program is a product of (min, +) matrices, which may be bracketed
-at will. A conversation is cut into parts by turn number, each part's matrix is
+at will. A conversation is cut into parts by turn number, and where many rows
+share a number or have none, after every ``PART_ROWS`` rows; each part's matrix is
 computed where its turns are, the short chain of matrices of a conversation
 gives the state at each cut, and each part is then traced back and rendered by
 itself. So a conversation of any length is spread over many tasks, and the
@@ -28,14 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.llm.scratch import Scratch
 
 MERGE, RELABEL, UNKNOWN, INSERT = 1, 2, 1, 3
-#: Turn numbers of one part.
-PART = 256
+#: Turn numbers of one part, and its rows at most.
+PART, PART_ROWS = 256, 1024
 ROLES = ("system", "user", "assistant")
 #: States: nothing yet, or the role of the last turn.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -115,7 +116,7 @@ def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The states at both ends of each part of a conversation, and whether it is the last."""
     for batch in batches:
         rows = []
-        for conv, parts in zip(batch["conv_id"].to_pylist(), batch["parts"].to_pylist(), strict=True):
+        for conv, parts in zip(batch["conv_id"].to_pylist(), batch["parts"].to_pylist(), strict=True):  # parts in order
             matrices = [np.array(p["m"], dtype=np.int64).reshape(4, 4) for p in parts]
             whole = np.where(np.arange(4) == START, 0, _FAR)
             for m in matrices:
@@ -123,9 +124,9 @@ def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cost = [int(c) + INSERT * len(ENDING[s]) for s, c in enumerate(whole)]
             states = trace(matrices, START, int(np.argmin(cost)))
             for i, p in enumerate(parts):
-                rows.append((conv, p["part"], states[i - 1] if i else START, states[i], i == len(parts) - 1, min(cost)))
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["conv_id", "part", "begin", "finish", "last", "cost"])
+                rows.append((conv, p["turns_part"], p["cut"], i, states[i - 1] if i else START, states[i], i == len(parts) - 1, min(cost)))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["c", "tp", "ct", "part", "begin", "finish", "last", "cost"])
 
 
 def repair(turns: list[tuple[str | None, str | None]], begin: int, finish: int, last: bool) -> tuple[list[tuple[str, str, str]], dict[str, int]]:
@@ -165,21 +166,24 @@ def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """For each part of a conversation: conv_id, part, turns before and after, repairs made, the whole repair's cost, rendered."""
+    """For each part of a conversation: conv_id, part (from 0), turns before and after, repairs made, the whole repair's cost, rendered."""
     work = Scratch(conversations.sparkSession)
     turn = F.col("turn").cast("long")
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(turn, F.lit((1 << 62) - 1)).alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), turn.isNotNull().alias("numbered"))
-    times = F.when(F.col("conv_id").isNotNull() & F.col("numbered"), 1).otherwise(F.col("n")).cast("int")
-    part = F.floor(F.col("turn") / PART).cast("long").alias("part")
-    parts = work.keep(rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("n"), F.max("numbered").alias("numbered")).groupBy("conv_id", part).agg(F.array_sort(F.flatten(F.collect_list(F.array_repeat(F.struct("turn", "role", "text"), times)))).alias("turns")), "chat-parts")
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(turn, F.lit((1 << 62) - 1)).alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), (turn.isNotNull() & F.col("conv_id").isNotNull()).alias("known"))
+    every = rows.where("known").distinct().unionByName(rows.where("NOT known")).withColumn("turns_part", F.floor(F.col("turn") / PART).cast("long"))
+    # Rows of one part are counted in order; a long run of equal turn numbers is only sorted in one place, never gathered.
+    place = F.row_number().over(Window.partitionBy("conv_id", "turns_part").orderBy("turn", "role", "text"))
+    key = ["conv_id", "turns_part", "cut"]
+    dealt = every.withColumn("cut", F.floor((place - 1) / PART_ROWS).cast("long"))
+    parts = work.keep(dealt.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")), "chat-parts")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = [product(r).ravel().tolist() for r in batch["roles"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["conv_id"], batch["part"], pa.array(m, pa.list_(pa.int64()))], names=["conv_id", "part", "m"])
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in key], pa.array(m, pa.list_(pa.int64()))], names=[*key, "m"])
 
-    chains = parts.select("conv_id", "part", F.col("turns.role").alias("roles")).mapInArrow(matrices, "conv_id long, part long, m array<long>")
-    chains = chains.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("part", "m"))).alias("parts"))
-    cuts = chains.mapInArrow(_cuts, "conv_id long, part long, begin int, finish int, last boolean, cost long").withColumnsRenamed({"conv_id": "c", "part": "p"})
-    met = parts.join(cuts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).drop("c", "p")
+    chains = parts.select(*key, F.col("turns.role").alias("roles")).mapInArrow(matrices, "conv_id long, turns_part long, cut long, m array<long>")
+    chains = chains.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turns_part", "cut", "m"))).alias("parts"))
+    cuts = chains.mapInArrow(_cuts, "c long, tp long, ct long, part long, begin int, finish int, last boolean, cost long")
+    met = parts.join(cuts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("turns_part") == F.col("tp")) & (F.col("cut") == F.col("ct"))).drop("c", "tp", "ct", "turns_part", "cut")
     return met.mapInArrow(_rendered, "conv_id long, part long, n_turns long, n_out long, n_merged long, n_relabeled long, n_inserted long, cost long, rendered string")

@@ -71,6 +71,14 @@ def test_long_conversations(spark):
     assert "".join(x.rendered for x in got) == "".join(f"<|{role}|>\n{text}\n" for _, _, role, text in rows)
 
 
+def test_many_rows_of_one_turn_are_cut(spark):
+    rows = [(1, None, "user", f"t{i:05d}") for i in range(2500)] + [(1, 7, "system", f"s{i:05d}") for i in range(1500)]
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("part").collect()
+    assert [x.part for x in got] == [0, 1, 2, 3, 4] and [x.n_turns for x in got] == [1024, 476, 1024, 1024, 452]
+    said = [x for x in "".join(x.rendered for x in got).split("\n") if x and not x.startswith("<|")]
+    assert said == [f"s{i:05d}" for i in range(1500)] + [f"t{i:05d}" for i in range(2500)]
+
+
 def test_chat_ties_prefer_the_first_role_from_the_end(spark):
     """An unknown role alone may be a user's or an assistant's; both repairs cost alike, and the last turn is the user's if so."""
     rows = [(1, 0, "robot", "a", "x"), (2, 0, None, "b", "y")]
