@@ -94,7 +94,7 @@ def q_unmatched(t: Tables) -> DataFrame:
     return resolve.unmatched(wanted, _named(t))
 
 
-_ROWS = "(SELECT p_partkey AS row_no, lower(p_name) || ' ' || p_partkey AS label FROM part WHERE p_partkey < 60)"
+_ROWS = "(SELECT p_partkey AS row_no, lower(p_name) || ' ' || p_partkey AS label FROM part)"
 
 
 @query(f"""WITH r AS (SELECT * FROM {_ROWS}), f AS (SELECT id, lower(name) AS n FROM {_NAMED}),
@@ -105,7 +105,7 @@ x AS (SELECT *, min(rule) OVER (PARTITION BY id) AS m FROM (SELECT * FROM a UNIO
 SELECT id, 'c' || max(row_no) AS cell FROM x WHERE rule = m GROUP BY id""")
 def q_row_alias(t: Tables) -> DataFrame:
     """JN-20, JN-21: rows of a page by alias, else by containment; the last row counts."""
-    rows = t.part.where("p_partkey < 60").select(F.col("p_partkey").alias("row_no"), F.concat(F.lower("p_name"), F.lit(" "), F.col("p_partkey").cast("string")).alias("label"), F.array(F.concat(F.lit("c"), F.col("p_partkey").cast("string"))).alias("cells"))
+    rows = t.part.select(F.col("p_partkey").alias("row_no"), F.concat(F.lower("p_name"), F.lit(" "), F.col("p_partkey").cast("string")).alias("label"), F.array(F.concat(F.lit("c"), F.col("p_partkey").cast("string"))).alias("cells"))
     aliases = t.spark.createDataFrame([("ring", "red widget"), ("bolt", "small")], "in_name string, in_row string")
     return curation.by_row_alias(_named(t).select("id", "name"), rows, aliases).select("id", F.get("cells", 0).alias("cell"))
 
@@ -146,7 +146,7 @@ def q_enriched(t: Tables) -> DataFrame:
     return found.join(_named(t).withColumnRenamed("name", "fund"), "id", "left").select("name", "fund", "ratio")
 
 
-_PDFS = "(SELECT DISTINCT 'data/' || replace(p_name, ' ', '-') || '-2024.pdf' AS path FROM part WHERE p_partkey % 3 = 0)"
+_PDFS = "(SELECT DISTINCT 'data/' || replace(p_name, ' ', '-') || '-2024.pdf' AS path FROM part)"
 _WORDS = "(SELECT s_suppkey AS id, p_name || ' bv' AS name, list_filter(string_split(p_name || ' bv', ' '), lambda w: length(w) > 2) AS two, list_filter(string_split(p_name || ' bv', ' '), lambda w: length(w) > 4) AS four FROM supplier JOIN part ON s_suppkey * 7 % 200 = p_partkey)"
 
 
@@ -154,7 +154,7 @@ _WORDS = "(SELECT s_suppkey AS id, p_name || ' bv' AS name, list_filter(string_s
 SELECT id, arg_min(path, struct_pack(r := rank, p := path)) AS path FROM c WHERE rank IS NOT NULL GROUP BY id""")
 def q_match_file(t: Tables) -> DataFrame:
     """JN-27: the file with all of a name's words, else with any long one."""
-    files = t.part.where("p_partkey % 3 = 0").select(F.concat(F.lit("data/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-2024.pdf")).alias("path")).distinct()
+    files = t.part.select(F.concat(F.lit("data/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-2024.pdf")).alias("path")).distinct()
     funds = t.supplier.join(t.part, F.col("s_suppkey") * 7 % 200 == F.col("p_partkey")).select(F.col("s_suppkey").alias("id"), F.concat("p_name", F.lit(" bv")).alias("name"))
     return resolve.match_file(funds, files)
 
