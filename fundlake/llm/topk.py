@@ -10,15 +10,18 @@ Cauchy and Schwarz the inner product of two vectors is at most
 that is, their squared distance |x|^2 + |y|^2 - 2 x.y has a lower bound, and the
 bound is itself an inner product of 2 numbers a segment. First every query is
 scored exactly against a few candidates, of bounded size and the same for all
-(``SEEDS``); its k-th score there is its floor everywhere. Then a block of
-queries meets a block of candidates: exact scores of a few more raise the
-floor, bounds from coarse to fine discard candidates that cannot reach it, and
-the survivors are scored exactly.
-
-Queries are a stated set. They are cut into blocks of bounded size and each
-meets all candidate blocks; both sides are sent to their meetings by a join on
-the pair of block numbers. A meeting gives a query's candidates that reach its
-floor, k at most.
+(``SEEDS``); its k-th score there is its floor everywhere. Some of these are
+pivots; every vector goes to the cell of the pivot whose statistics are nearest.
+The ranges of a cell's statistics bound the scores of all its vectors, so a
+query meets only the cells whose bound reaches its floor: the coarsest of the
+resolutions, and it is applied before anything is sent. A cell is cut into
+blocks of bounded size by a hash, however many vectors it has.
+
+Where a block of queries meets a block of candidates, exact scores of a few
+more raise the floor, bounds from coarse to fine discard candidates that cannot
+reach it, and the survivors are scored exactly. A meeting gives a query's
+candidates that reach its floor, k at most. Queries are a stated set; a block
+of candidates is sent only to the blocks of queries that ask for it.
 
 Rules: the score is the integer inner product; a query's own row (same id) is
 no candidate; ties go to the smaller id. Vectors that are null or hold null or
@@ -47,6 +50,8 @@ SCALE = 64.0
 BLOCK_BYTES, BLOCK = 32 << 20, 65536
 #: Candidates that all queries are scored against first, and their bytes at most.
 SEEDS, SEED_BYTES = 4096, 32 << 20
+#: Cells at most, and the number of segments whose statistics place a vector.
+CELLS_MOST, PLACING = 1024, 16
 #: Segments of each resolution, coarse to fine.
 RESOLUTIONS = (4, 16)
 #: Bounds of a block's queries that are computed at once.
@@ -147,20 +152,54 @@ def _meet(k: int):
     return run
 
 
-def _with_floors(queries: DataFrame, candidates: DataFrame, width: int, k: int) -> DataFrame:
-    """queries with least, their k-th score among the seeds: the first candidates in the order of a hash."""
-    few = min(SEEDS, SEED_BYTES // (8 * width))
-    rows = candidates.orderBy(F.xxhash64("id"), "id", "v").limit(few).toArrow()
-    seeds = candidates.sparkSession.sparkContext.broadcast((rows["id"].to_numpy(), _matrix(rows["v"], width)))
+def nearest(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The pivot (a row of statistics) nearest to each row."""
+    return ((pivots**2).sum(axis=1)[None, :] - 2 * (x @ pivots.T)).argmin(axis=1)
+
+
+def reached(q: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which cells (columns) may hold a score of at least least for each query (row), by the ranges of the cells' statistics."""
+    up, down = np.maximum(q, 0), np.minimum(q, 0)
+    bound = up @ high.T + down @ low.T
+    return bound >= least[:, None] - 1e-6 * (1 + np.abs(bound).max(initial=0))
+
+
+def _matrices(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    x = _matrix(pa.chunked_array([batch["v"]]), width)
+    return x, summary(x, PLACING)
+
+
+def _placed(rows: DataFrame, pivots: np.ndarray, width: int) -> DataFrame:
+    """(id, v, cell)."""
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cid, c = seeds.value
         for batch in batches:
-            q = _matrix(pa.chunked_array([batch["v"]]), width)
-            least = floors(batch["id"].to_numpy(), q, cid, c, k)
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(least)], names=["id", "v", "least"])
+            cell = nearest(_matrices(batch, width)[1], shared.value)
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(cell, pa.int64())], names=["id", "v", "cell"])
 
-    return queries.mapInArrow(run, "id long, v array<double>, least double")
+    return rows.mapInArrow(run, "id long, v array<double>, cell long")
+
+
+def _ranges(placed: DataFrame, cells: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest of each statistic in each cell: at most CELLS_MOST rows of 2 * PLACING numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, cell = _matrices(batch, width)[1], batch["cell"].to_numpy()
+            order = np.argsort(cell, kind="stable")
+            held, first = np.unique(cell[order], return_index=True)
+            if len(held):
+                low, high = np.minimum.reduceat(x[order], first), np.maximum.reduceat(x[order], first)
+                n = x.shape[1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(held, n)), pa.array(np.tile(np.arange(n), len(held))), pa.array(low.ravel()), pa.array(high.ravel())], names=["cell", "k", "low", "high"])
+
+    rows = placed.mapInArrow(run, "cell long, k long, low double, high double").groupBy("cell", "k").agg(F.min("low").alias("low"), F.max("high").alias("high")).toArrow()
+    n = 2 * min(PLACING, width)
+    low, high = np.zeros((cells, n)), np.zeros((cells, n))  # of a cell without vectors no one asks
+    at = rows["cell"].to_numpy(), rows["k"].to_numpy()
+    low[at], high[at] = rows["low"].to_numpy(), rows["high"].to_numpy()
+    return low, high
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 20, scale: float = SCALE) -> DataFrame:
@@ -172,13 +211,43 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 20, scale: float = SC
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = [d.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first() for d in (q, c)]
     width = max(1, *(x.width or 0 for x in known))
-    rows = max(1, min(BLOCK, BLOCK_BYTES // (8 * width)))
-    qn, cn = (max(1, -(-x.n // rows)) for x in known)
-    cn = max(cn, -(-min(parts, known[1].n) // qn)) if cn * qn < parts else cn  # enough meetings for the cluster
-    of = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
-    # Each row goes to its block's meetings with all blocks of the other side.
-    left = _with_floors(q, c, width, k).select("id", "v", "least", of(qn, 1).alias("a"), F.explode(F.sequence(F.lit(0), F.lit(max(cn, 1) - 1))).alias("b"))
-    right = c.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(qn - 1))).alias("a"), of(max(cn, 1), 2).alias("b"))
+    most = max(1, min(BLOCK, BLOCK_BYTES // (8 * width)))
+    # Blocks of candidates are smaller where they would be too few for the cluster.
+    rows = max(1, min(most, -(-known[1].n // parts)))
+    few = c.orderBy(F.xxhash64("id"), "id", "v").limit(min(SEEDS, SEED_BYTES // (8 * width))).toArrow()
+    ids, seeds = few["id"].to_numpy(), _matrix(few["v"], width)
+    pivots = summary(seeds[: max(1, min(CELLS_MOST, known[1].n // rows))], PLACING)
+    if not len(pivots):
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    placed = work.keep(_placed(c, pivots, width), "topk-cells")
+    low, high = _ranges(placed, len(pivots), width)
+    counts = np.zeros(len(pivots), np.int64)
+    for x in placed.groupBy("cell").count().collect():  # at most CELLS_MOST rows
+        counts[x.cell] = x["count"]
+    blocks = -(-counts // rows)
+    shared = spark.sparkContext.broadcast((ids, seeds, pivots, low, high, blocks))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, seeds, pivots, low, high, blocks = shared.value
+        every = [(np.int64(p) << 32) + np.arange(n) for p, n in enumerate(blocks.tolist())]
+        for batch in batches:
+            x, stats = _matrices(batch, width)
+            least = floors(batch["id"].to_numpy(), x, ids, seeds, k)
+            wanted = [np.concatenate([every[p] for p in np.flatnonzero(hit)] or [np.zeros(0, np.int64)]) for hit in reached(stats, low, high, least)]
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(least), pa.array(nearest(stats, pivots), pa.int64()), pa.array(wanted, pa.list_(pa.int64()))], names=["id", "v", "least", "cell", "blocks"])
+
+    asked = work.keep(q.mapInArrow(ask, "id long, v array<double>, least double, cell long, blocks array<long>"), "topk-asked")
+    # Queries of a cell stay together, as they ask for much the same: cells are gathered to batches, and one with many is cut by a hash.
+    per = np.zeros(len(pivots), np.int64)
+    for x in asked.groupBy("cell").count().collect():  # at most CELLS_MOST rows
+        per[x.cell] = x["count"]
+    batches = spark.createDataFrame([(i, int(b), int(-(-n // most))) for i, (b, n) in enumerate(zip((np.cumsum(per) - 1) // most, per, strict=True)) if n] or [(0, 0, 1)], "cell long, batch long, cuts long")
+    batch = (F.shiftleft(F.col("batch"), 32) + F.pmod(F.xxhash64("id", F.lit(1)), F.col("cuts"))).alias("a")
+    left = asked.join(F.broadcast(batches), "cell").select("id", "v", "least", batch, F.explode("blocks").alias("b"))
+    meetings = work.keep(left.select("a", "b").distinct(), "topk-meetings")
+    sizes = spark.createDataFrame([(i, int(n)) for i, n in enumerate(blocks)], "cell long, cuts long")
+    block = (F.shiftleft(F.col("cell"), 32) + F.pmod(F.xxhash64("id", F.lit(2)), F.col("cuts"))).alias("b")
+    right = placed.join(F.broadcast(sizes), "cell").select("id", "v", block).join(meetings, "b").select("id", "v", "a", "b")
     met = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(_meet(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -529,3 +529,19 @@ def test_top_k_of_a_block_in_several_steps(monkeypatch):
             expected = [(int(j), int(scores[i][j])) for j in order]
             got = sorted(zip(v[q == x].tolist(), s[q == x].tolist(), strict=True), key=lambda p: (-p[1], p[0]))
             assert got == (expected if floor is None else [p for p in expected if p[1] >= floor[i]]) and len(got) >= many
+
+
+def test_cells_that_no_query_reaches_are_left_out():
+    """The bound of a cell is never below a score in it, and far cells fall out."""
+    r = np.random.default_rng(5)
+    x = np.round(np.concatenate([r.normal(m, 3, (80, 20)) for m in (-40, 0, 40)]))
+    stats = topk.summary(x, 4)
+    cell = topk.nearest(stats, stats[[0, 90, 200]])
+    assert [len(set(cell[i : i + 80])) for i in (0, 80, 160)] == [1, 1, 1]
+    low, high = (np.array([f(stats[cell == i], axis=0) for i in range(3)]) for f in (np.min, np.max))
+    scores = x @ x.T
+    best = np.array([[scores[i][cell == j].max() for j in range(3)] for i in range(len(x))])
+    assert topk.reached(stats, low, high, best.min(axis=1)).all()
+    for j in range(3):
+        assert topk.reached(stats, low, high, best[:, j])[:, j].all()
+    assert (~topk.reached(stats, low, high, np.sort(scores, axis=1)[:, -5])).sum() >= 150
