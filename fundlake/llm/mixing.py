@@ -50,7 +50,8 @@ MAX_SOURCES, SALTS = 100_000, 64
 STEPS = 64
 #: Groups of overlapping constraints whose dense Hessian is solved at once.
 MAX_GROUPS = 4096
-_BIN = 1 << 16
+#: Bins of a round; two rounds tell apart 1 / _BIN ** 2 of a tier, far less than a document of all but the largest sources.
+_BIN = 1 << 12
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -158,7 +159,7 @@ def _tier(size: Column, due: Column) -> Column:
 
 
 def copies_of(docs: DataFrame, goals: DataFrame, most: int, work: Scratch) -> DataFrame:
-    """(g, tier, base, low) for docs (g, size, u) and goals (g, due, rate); u: a hash in [0, 2**32).
+    """(g, tier, base, low) for docs (g, size, u) and goals (g, due, rate); u: a hash in [0, _BIN ** 2).
 
     A document takes base copies, and one more if its hash is below low."""
     few = goals.count() <= MAX_SOURCES
@@ -191,7 +192,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     own = {c: F.col(f"c{names.index(c)}") for c in ("doc_id", "text", "source")}
     key = F.xxhash64(F.coalesce(own["doc_id"].cast("string"), F.lit("null")), F.coalesce(own["text"], F.lit("")))
     g = F.coalesce(F.concat(F.lit("="), own["source"].cast("string")), F.lit("null"))
-    rows = plain.withColumns({"g": g, "size": word_count(own["text"]), "u": F.shiftrightunsigned(key, 32), "source": own["source"].cast("string")})
+    rows = plain.withColumns({"g": g, "size": word_count(own["text"]), "u": F.shiftrightunsigned(key, 40), "source": own["source"].cast("string")})
     sized = work.keep(rows.select("source", "g", "size", "u"), "mix-sizes")
     sizes = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.first("g").alias("g")), weights, most)
     rate = F.least(newton(F.col("source_size").cast("double"), F.col("target")), F.lit(float(most)))
