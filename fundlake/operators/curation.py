@@ -82,11 +82,12 @@ def by_row_alias(funds: DataFrame, rows: DataFrame, aliases: DataFrame) -> DataF
     """JN-20 to JN-22: (id, cells) of the last row that an alias or containment gives each fund; rows: (row_no, label, cells).
 
     aliases: (in_name, in_row), all lower case; they go before containment."""
-    f = funds.select("id", F.lower("name").alias("n"))
-    r = rows.select("row_no", F.lower("label").alias("l"), "cells")
+    # Names are cleaned once, not for each pair.
+    f = funds.select("id", F.lower("name").alias("n")).withColumn("nc", names.clean_name(F.col("n")))
+    r = rows.select("row_no", F.lower("label").alias("l"), "cells").withColumn("lc", names.clean_name(F.col("l")))
     a, near = F.broadcast(aliases), resolve.few(r)  # aliases are written by hand
     ruled = f.join(a, F.col("n").contains(F.col("in_name"))).join(near, F.col("l").contains(F.col("in_row"))).select("id", "row_no", "cells", F.lit(0).alias("rule"))
-    plain = f.join(near, resolve.contained(names.clean_name(F.col("l")), names.clean_name(F.col("n")), 3)).select("id", "row_no", "cells", F.lit(1).alias("rule"))
+    plain = f.join(near, resolve.contained(F.col("lc"), F.col("nc"), 3)).select("id", "row_no", "cells", F.lit(1).alias("rule"))
     best = Window.partitionBy("id")
     both = ruled.union(plain).withColumn("first", F.min("rule").over(best)).where("rule = first")
     return both.groupBy("id").agg(F.max_by("cells", "row_no").alias("cells"))
