@@ -200,6 +200,47 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.filter_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+docs AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, list_filter([
+    CASE WHEN len(w) < 50 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END], lambda x: x IS NOT NULL) AS fails
+  FROM words LEFT JOIN marks USING (doc_id)),
+same AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM docs GROUP BY part, fails),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (SELECT filter_order, step::INT AS step, substr(filter_order, step, 1) AS l, substr(filter_order, 1, step - 1) AS before FROM orders, range(1, 6) AS r(step)),
+seen AS (
+  SELECT part, filter_order, step, l, n, good, toxic, list_contains(fails, l) AS own, len(fails) AS many,
+         len(list_filter(fails, lambda x: contains(before, x))) > 0 AS earlier
+  FROM same, steps),
+told AS (
+  SELECT part, filter_order, step, l,
+         coalesce(sum(n) FILTER (WHERE NOT own AND NOT earlier), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE own AND NOT earlier), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE own AND earlier), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE own AND many = 1), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE own AND NOT earlier), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE own AND NOT earlier), 0)::BIGINT AS toxic_lost
+  FROM seen GROUP BY ALL)
+SELECT * EXCLUDE (l), (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley FROM told
+"""
+
+
 def _tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query in a scope of its own: a call deletes the intermediate tables of the call before."""
 
@@ -214,7 +255,7 @@ def _tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality)
+    own = (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality, op12_filter_audit)
     return {f.__name__: _tidy(f) for f in own}
 
 
@@ -226,4 +267,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_dedup": OP7_SQL,
         "op8_near_dedup": OP8_SQL,
         "op9_top_k": OP9_SQL,
+        "op12_filter_audit": OP12_SQL,
     }
