@@ -241,6 +241,101 @@ SELECT * EXCLUDE (l), (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shap
 """
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.secret_scan import report
+
+    return report(table(spark, sf_dir, "documents"))
+
+
+def _matches(kind: str, order: int, pattern: str) -> str:
+    """Matches m of a pattern in docs (doc_id, t), with the code point s at which each begins."""
+    return f"""SELECT doc_id, '{kind}' AS kind, {order} AS ord, m, (sum(length(p) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m))::BIGINT AS s
+      FROM (
+        SELECT doc_id, unnest(ms) AS m, unnest(list_slice(ps, 1, len(ms))) AS p, unnest(range(1, len(ms) + 1)) AS i
+        FROM (SELECT doc_id, regexp_extract_all(t, $${pattern}$$) AS ms, string_split_regex(t, $${pattern}$$) AS ps FROM docs))"""
+
+
+def _der(at: str, h: str = "h") -> dict[str, str]:
+    """Tag, first place of the contents and place after them of the DER element at a place of a hex string; null if it has no definite length."""
+    byte = f"try_cast('0x' || substr({h}, {at} + 2, 2) AS INT)"
+    many = f"(CASE WHEN {byte} < 128 THEN 0 WHEN {byte} BETWEEN 129 AND 132 THEN {byte} - 128 END)"
+    size = f"(CASE WHEN {byte} < 128 THEN {byte} ELSE try_cast('0x' || substr({h}, {at} + 4, 2 * {many}) AS BIGINT) END)"
+    return {"tag": f"substr({h}, {at}, 2)", "start": f"({at} + 4 + 2 * {many})", "end": f"({at} + 4 + 2 * {many} + 2 * {size})"}
+
+
+def _secret_sql() -> str:
+    """Patterns by regular expressions, tokens by JSON functions, keys by a recursive walk over the hex form of their bytes."""
+    either = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+    names = "|".join(either(w) for w in ("password", "passwd", "secret", "token")) + f"|{either('api')}_?{either('key')}"
+    assign = rf"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    token = r"(^|[^A-Za-z0-9_.-])(e[w-z0-9_-][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*)"
+    lines = r"(?:\r?\n[A-Za-z0-9+/]+)*"
+    der64 = rf"(^|[^A-Za-z0-9+/])(M[A-P][A-Za-z0-9+/]{{14,}}{lines})"
+    ssh64 = rf"(^|[^A-Za-z0-9+/])(b3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/]+{lines})"
+    hexed = r"(^|[^0-9A-Fa-f])((?:30|6[Ff]70656[Ee]7373682[Dd]6[Bb]65792[Dd]763100)[0-9A-Fa-f]{16,})"
+    json = lambda i: f"try(decode(from_base64(rpad(translate(w[{i}], '-_', '+/'), ((length(w[{i}]) + 3) // 4 * 4)::INT, '='))))"
+    outer, member = _der("1"), _der("pos")
+    field = lambda at: f"try_cast('0x' || substr(h, {at}, 8) AS BIGINT)"
+    return f"""
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+raw AS ({" UNION ALL ".join(_matches(*x) for x in (("assign", 0, assign), ("access", 1, "AKIA[A-Z0-9]+"), ("hex", 2, "[0-9a-f]+"), ("jwt", 3, token), ("der64", 4, der64), ("ssh64", 4, ssh64), ("hexed", 4, hexed)))}),
+own AS (
+  SELECT * EXCLUDE (s, m), s + CASE WHEN ord > 2 THEN length(m) - length(run) ELSE 0 END AS s, run
+  FROM (SELECT *, CASE ord WHEN 0 THEN m WHEN 1 THEN m WHEN 2 THEN m WHEN 3 THEN regexp_extract(m, $${token}$$, 2)
+                  ELSE CASE kind WHEN 'der64' THEN regexp_extract(m, $${der64}$$, 2) WHEN 'ssh64' THEN regexp_extract(m, $${ssh64}$$, 2) ELSE regexp_extract(m, $${hexed}$$, 2) END END AS run FROM raw)),
+tokens AS (
+  SELECT doc_id, s, run, w[3] AS mark, {json(1)} AS head, {json(2)} AS claims FROM (SELECT *, string_split(run, '.') AS w FROM own WHERE ord = 3)),
+jwt AS (
+  SELECT doc_id, s, run FROM tokens
+  WHERE json_valid(head) AND json_valid(claims)
+    AND CASE WHEN json_valid(head) THEN json_type(head) = 'OBJECT' AND coalesce(json_type(head, '$.alg') = 'VARCHAR', false) END
+    AND CASE WHEN json_valid(claims) THEN json_type(claims) = 'OBJECT' END
+    AND (mark <> '' OR CASE WHEN json_valid(head) THEN lower(json_extract_string(head, '$.alg')) = 'none' END)),
+runs AS (
+  SELECT row_number() OVER () AS id, doc_id, s, run, kind,
+         CASE WHEN kind = 'hexed' THEN lower(substr(run, 1, length(run) // 2 * 2))
+              ELSE lower(hex(try(from_base64(rpad(substr(b, 1, length(b) - CASE WHEN length(b) % 4 = 1 THEN 1 ELSE 0 END), ((length(b) - CASE WHEN length(b) % 4 = 1 THEN 1 ELSE 0 END + 3) // 4 * 4)::INT, '='))))) END AS h
+  FROM (SELECT *, regexp_replace(run, '[\r\n]', '', 'g') AS b FROM own WHERE ord = 4)),
+walk(id, h, pos, fin, ms) AS (
+  SELECT id, h, pos, fin, [] :: STRUCT(tag VARCHAR, a BIGINT, z BIGINT)[] FROM (SELECT id, h, {outer['start']}::BIGINT AS pos, {outer['end']}::BIGINT AS fin, {outer['tag']} AS tag FROM runs)
+  WHERE tag = '30' AND fin <= length(h) + 1
+  UNION ALL
+  SELECT id, h, next, fin, list_append(ms, struct_pack(tag := tag, a := start, z := next))
+  FROM (SELECT id, h, fin, ms, {member['tag']} AS tag, {member['start']}::BIGINT AS start, {member['end']}::BIGINT AS next FROM walk WHERE pos < fin AND len(ms) < 16 AND pos + 4 <= fin)
+  WHERE next <= fin),
+spelt AS (
+  SELECT id, h, fin, list_transform(ms, lambda m: [m.a, m.z]) AS ms, array_to_string(list_transform(ms, lambda m: m.tag), '') AS tags FROM walk WHERE pos = fin),
+der AS (
+  SELECT id, (fin - 1) // 2 AS size
+  FROM (SELECT *, CASE WHEN starts_with(tags, '30') THEN 1 ELSE 2 END AS i FROM spelt WHERE regexp_full_match(tags, '(02){{9}}|(02){{6}}|0204(a0)?(a1)?|023004(a0)?(81|a1)?|3004'))
+  WHERE (NOT starts_with(tags, '02') OR substr(h, ms[1][1], ms[1][2] - ms[1][1]) IN ('00', '01'))
+    AND (NOT starts_with(tags, '0204') OR ms[2][2] - ms[2][1] >= 32)
+    AND (NOT contains(tags, '30') OR coalesce(substr(h, ms[i][1], 2) = '06' AND {_der("ms[i][1]")['end']} <= ms[i][2], false))
+    AND (tags <> '3004' OR regexp_matches(substr(h, {_der("ms[1][1]")['start']}, {_der("ms[1][1]")['end']} - {_der("ms[1][1]")['start']}), '^2a864886f70d01(05|0c01)'))),
+ssh0 AS (SELECT id, h, 31 AS p FROM runs WHERE starts_with(h, '6f70656e7373682d6b65792d763100')),
+ssh1 AS (SELECT id, h, p + 8 + 2 * {field('p')} AS p FROM ssh0 WHERE {field('p')} > 0),
+ssh2 AS (SELECT id, h, p + 8 + 2 * {field('p')} AS p FROM ssh1 WHERE {field('p')} > 0),
+ssh3 AS (SELECT id, h, p + 8 + 2 * {field('p')} AS p FROM ssh2 WHERE length(substr(h, p, 8)) = 8),
+ssh4 AS (SELECT id, h, p + 16 + 2 * {field('p + 8')} AS p FROM ssh3 WHERE substr(h, p, 8) = '00000001' AND {field('p + 8')} > 0),
+ssh AS (SELECT id, (p + 7 + 2 * {field('p')}) // 2 AS size FROM ssh4 WHERE length(substr(h, p, 8)) = 8 AND {field('p')} > 0 AND p + 7 + 2 * {field('p')} <= length(h)),
+keys AS (
+  SELECT doc_id, s, CASE WHEN kind = 'hexed' THEN 2 * size
+    ELSE list_filter(range(1, length(run) + 1), lambda i: substr(run, i, 1) NOT IN (chr(10), chr(13)))[(size * 4 + 2) // 3] END AS n
+  FROM runs JOIN (SELECT * FROM der UNION ALL SELECT * FROM ssh) USING (id)),
+spans AS (
+  SELECT doc_id, kind, ord, s, s + length(run) AS e, concat_ws(':', kind, s, s + length(run)) AS x FROM own
+  WHERE (ord = 0 AND length(regexp_extract(run, $${assign}$$, 2)) >= 6) OR (ord = 1 AND length(run) >= 20) OR (ord = 2 AND length(run) >= 24)
+  UNION ALL SELECT doc_id, 'jwt', 3, s, s + length(run), concat_ws(':', 'jwt', s, s + length(run)) FROM jwt
+  UNION ALL SELECT doc_id, 'key', 4, s, s + n, concat_ws(':', 'key', s, s + n) FROM keys)
+SELECT doc_id,
+       count(x) FILTER (WHERE ord = 0)::BIGINT AS n_assign, count(x) FILTER (WHERE ord = 1)::BIGINT AS n_access, count(x) FILTER (WHERE ord = 2)::BIGINT AS n_hex,
+       sha256(coalesce(string_agg(x, ',' ORDER BY s, ord) FILTER (WHERE ord < 3), '')) AS base_sha256,
+       coalesce(string_agg(x, ',' ORDER BY s, ord), '') AS spans,
+       count(x) FILTER (WHERE ord = 3)::BIGINT AS n_jwt, count(x) FILTER (WHERE ord = 4)::BIGINT AS n_key
+FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+"""
+
+
 def _tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query in a scope of its own: a call deletes the intermediate tables of the call before."""
 
@@ -255,7 +350,7 @@ def _tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality, op12_filter_audit)
+    own = (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality, op12_filter_audit, op13_secret_scan)
     return {f.__name__: _tidy(f) for f in own}
 
 
@@ -268,4 +363,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_near_dedup": OP8_SQL,
         "op9_top_k": OP9_SQL,
         "op12_filter_audit": OP12_SQL,
+        "op13_secret_scan": _secret_sql(),
     }
