@@ -200,6 +200,38 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundlake.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, greatest(len(w) - k + 1, 0) + 1)) AS p FROM words, range(1, 6) AS r(k))),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT * FROM f WHERE k > 1),
+kept AS (
+  SELECT * FROM candidates x WHERE NOT EXISTS (
+    SELECT 1 FROM candidates y WHERE y.lang = x.lang AND y.k > x.k AND y.f >= x.f AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' '))),
+cuts AS (
+  SELECT lang, phrase, f AS a, c, array_to_string(list_slice(w, 1, c), ' ') AS head, array_to_string(list_slice(w, c + 1, k), ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM kept)),
+scores AS (
+  SELECT lang, phrase, a, c, l, r, n, (1000::HUGEINT * a * n) // (l::HUGEINT * r) AS score
+  FROM cuts JOIN (SELECT lang, phrase AS head, f AS l FROM f) USING (lang, head) JOIN (SELECT lang, phrase AS tail, f AS r FROM f) USING (lang, tail) JOIN totals USING (lang)),
+low AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.llm.filter_audit import audit
 
@@ -350,7 +382,7 @@ def _tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality, op12_filter_audit, op13_secret_scan)
+    own = (op1_substring_dedup, op2_chat_format, op3_ctw_score, op4_mix_sources, op5_pii, op6_decontaminate, op7_line_dedup, op8_near_dedup, op9_top_k, op10_quality, op11_collocations, op12_filter_audit, op13_secret_scan)
     return {f.__name__: _tidy(f) for f in own}
 
 
@@ -362,6 +394,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_dedup": OP7_SQL,
         "op8_near_dedup": OP8_SQL,
         "op9_top_k": OP9_SQL,
+        "op11_collocations": OP11_SQL,
         "op12_filter_audit": OP12_SQL,
         "op13_secret_scan": _secret_sql(),
     }
