@@ -9,7 +9,7 @@ from fundlake.functions import dates, names
 from fundlake.functions import numbers as N
 from fundlake.functions.text import contains_any, first_where, group, groups, strip
 from fundlake.operators import extract as X
-from fundlake.operators import merge, resolve
+from fundlake.operators import contain, merge, resolve
 from fundlake.operators.lineage import cut
 from fundlake.sources import documents as D
 
@@ -81,16 +81,18 @@ def status_of(funds: DataFrame, closed: DataFrame) -> DataFrame:
 def by_row_alias(funds: DataFrame, rows: DataFrame, aliases: DataFrame) -> DataFrame:
     """JN-20 to JN-22: (id, cells) of the last row that an alias or containment gives each fund; rows: (row_no, label, cells).
 
-    aliases: (in_name, in_row), all lower case; they go before containment."""
-    # Names are cleaned once, not for each pair.
-    f = funds.select("id", F.lower("name").alias("n")).withColumn("nc", names.clean_name(F.col("n")))
-    r = rows.select("row_no", F.lower("label").alias("l"), "cells").withColumn("lc", names.clean_name(F.col("l")))
-    a, near = F.broadcast(aliases), resolve.few(r)  # aliases are written by hand
-    ruled = f.join(a, F.col("n").contains(F.col("in_name"))).join(near, F.col("l").contains(F.col("in_row"))).select("id", "row_no", "cells", F.lit(0).alias("rule"))
-    plain = f.join(near, resolve.contained(F.col("lc"), F.col("nc"), 3)).select("id", "row_no", "cells", F.lit(1).alias("rule"))
-    best = Window.partitionBy("id")
-    both = ruled.union(plain).withColumn("first", F.min("rule").over(best)).where("rule = first")
-    return both.groupBy("id").agg(F.max_by("cells", "row_no").alias("cells"))
+    aliases: (in_name, in_row), all lower case; they go before containment. Names, labels and aliases meet by ``contain.holding``."""
+    last = F.max(F.struct("row_no", "cells")).alias("x")
+    f = funds.select("id", F.lower("name").alias("n"))
+    own = f.select("n").distinct()
+    r = rows.select("row_no", F.lower("label").alias("l"), "cells")
+    of_row = contain.join_holding(aliases.select("in_row").distinct(), F.col("in_row"), r, F.col("l")).groupBy("in_row").agg(last)
+    ruled = contain.join_holding(aliases.select("in_name", "in_row"), F.col("in_name"), own, F.col("n")).join(of_row, "in_row").groupBy("n").agg(F.max("x").alias("ruled"))
+    labels = r.withColumn("b", names.clean_name(F.col("l"))).groupBy("b").agg(last)
+    cleaned = own.withColumn("a", names.clean_name(F.col("n")))
+    plain = cleaned.join(resolve.text_pairs(cleaned, labels, 4), "a").join(labels, "b").groupBy("n").agg(F.max("x").alias("plain"))
+    best = F.coalesce("ruled.cells", "plain.cells")
+    return f.join(ruled, "n", "left").join(plain, "n", "left").where("ruled IS NOT NULL OR plain IS NOT NULL").select("id", best.alias("cells"))
 
 
 def table_fees(tables: DataFrame) -> DataFrame:

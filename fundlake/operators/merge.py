@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlake.operators.resolve import few
+from fundlake.operators.contain import join_holding
 
 
 def last_by(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -72,10 +72,16 @@ def filled(target: DataFrame, source: DataFrame, keys: Sequence[str], column: st
 
 
 def update_like(target: DataFrame, patterns: DataFrame, name: str, column: str) -> DataFrame:
-    """SNK-14: (pattern, value, ord) for all rows whose name has the pattern; of several the last counts."""
-    p = few(patterns.select(F.col("pattern").alias("_p"), F.col("value").alias("_v"), F.col("ord").alias("_o")))
-    hits = target.join(p, F.ilike(F.col(name), F.concat(F.lit("%"), F.col("_p"), F.lit("%"))), "inner").groupBy(name).agg(F.max_by("_v", "_o").alias(column))
-    return update(target, hits, [name], [column])
+    """SNK-14: (pattern, value, ord) for all rows whose name has the pattern; of several the last counts.
+
+    A pattern may have wildcards within. Names meet it by its longest plain part and are then held against all of it."""
+    plain = F.split(F.lower("pattern"), r"\\.|[%_]")
+    part = F.array_max(F.transform(plain, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    p = patterns.select(F.col("pattern").alias("_p"), F.struct(F.col("ord").alias("o"), F.col("value").alias("v")).alias("_x"))
+    own = target.select(F.col(name).alias("_n")).where("_n IS NOT NULL").distinct()
+    met = join_holding(p.withColumnRenamed("_p", "pattern"), part, own, F.lower("_n"))
+    hits = met.where(F.ilike(F.col("_n"), F.concat(F.lit("%"), F.col("pattern"), F.lit("%")))).groupBy("_n").agg(F.max("_x").alias("_x"))
+    return update(target, hits.select(F.col("_n").alias(name), F.col("_x.v").alias(column)), [name], [column])
 
 
 def replace_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

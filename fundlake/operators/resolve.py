@@ -1,211 +1,195 @@
 """Which fund does this name mean: exact, by containment, by alias, by likeness (JN-14 to JN-27).
 
-Containment of names of some length is a join by runs of characters
-(``holding``). Rules that leave no key are tested against the smaller list, which
-is broadcast up to ``MAX_NAMES`` names; a longer list is cut into slices that are
-matched in turn. Of several hits the smallest id counts.
+All rules meet by keys (``contain``, ``alike``): none tests every pair. Names are
+made distinct and cleaned once before they meet. Of several hits the smallest id
+counts; a rule gives (name, id, n), n being the number of rows that it hit.
 """
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fundlake.functions.names import clean_name, packed_name
+from fundlake.operators.alike import alike
+from fundlake.operators.contain import holding
 
-MAX_NAMES = 20_000
-#: Characters of the runs by which names meet.
-GRAM = 4
 #: Fixed values: (word in the wanted name, words in the fund's name).
 ALIASES = (("pme", ("pme",)), ("metalektro", ("pme",)), ("pmt", ("pmt",)), ("metaal en techniek", ("pmt",)), ("bouw", ("bouw", "bpf")))
 
+#: (names, funds) to hits: names has name, funds has id and fund, hits have name, id and n.
+Rule = Callable[[DataFrame, DataFrame], DataFrame]
+Clean = Callable[[Column], Column]
 
-def contained(a: Column, b: Column, least: int) -> Column:
-    """JN-14: equal, or one longer than least and part of the other."""
-    return (a == b) | ((F.length(a) > least) & b.contains(a)) | ((F.length(b) > least) & a.contains(b))
 
+def _texts(names: DataFrame, funds: DataFrame, clean: Clean, own: Clean) -> tuple[DataFrame, DataFrame]:
+    """(name, a) and, once for each text, (b, id, n): its smallest id and its rows."""
+    b = funds.select("id", own(F.col("fund")).alias("b")).where("b IS NOT NULL").groupBy("b").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    return names.select("name", clean(F.col("name")).alias("a")).where("a IS NOT NULL"), b
 
-def contained_short(a: Column, b: Column) -> Column:
-    """JN-17."""
-    return (F.length(a) > 3) & (a.contains(b) | b.contains(a))
 
+def _hits(a: DataFrame, pairs: DataFrame, b: DataFrame) -> DataFrame:
+    return a.join(pairs, "a").join(b, "b").groupBy("name").agg(F.min("id").alias("id"), F.sum("n").alias("n"))
 
-def pairs(wanted: DataFrame, funds: DataFrame, test: Callable[[Column, Column], Column]) -> DataFrame:
-    """(name, id) of all pairs that pass a test that has no key; funds: (id, fund). The shorter of the lists is sent to the other, in slices."""
-    n, m = funds.count(), wanted.count()
-    small, large = (funds, wanted) if n <= m else (wanted, funds)
-    slices = -(-min(n, m) // MAX_NAMES) or 1
-    out = None
-    for i in range(slices):
-        part = small if slices == 1 else small.where(F.pmod(F.xxhash64(*small.columns), F.lit(slices)) == i)
-        some = large.join(F.broadcast(part), test(F.col("name"), F.col("fund"))).select("name", "id")
-        out = some if out is None else out.union(some)
-    return out
 
+def equal(clean: Clean) -> Rule:
+    """The same text."""
 
-def _grams(c: Column) -> Column:
-    """The different runs of GRAM characters of a text."""
-    n = F.length(c) - GRAM + 1
-    return F.when(n >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(c, i, GRAM)))).otherwise(F.array().cast("array<string>"))
+    def rule(names: DataFrame, funds: DataFrame) -> DataFrame:
+        a, b = _texts(names, funds, clean, clean)
+        return a.join(b, F.col("a") == F.col("b")).select("name", "id", "n")
 
+    return rule
 
-def holding(parts: DataFrame, wholes: DataFrame) -> DataFrame:
-    """(part, whole) of all pairs of different texts of which the whole holds the part; parts: (part), wholes: (whole), of GRAM characters at least.
 
-    A whole holds every gram of its part, so they meet by one: the part's gram that the fewest wholes have."""
-    of_whole = wholes.select("whole", F.explode(_grams(F.col("whole"))).alias("gram"))
-    frequent = of_whole.groupBy("gram").agg(F.count("*").alias("n"))
-    of_part = parts.select("part", F.explode(_grams(F.col("part"))).alias("gram")).join(frequent, "gram")
-    rarest = of_part.groupBy("part").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-    return rarest.join(of_whole, "gram").where(F.col("whole").contains(F.col("part"))).select("part", "whole")
+def in_fund(clean: Clean, own: Clean, least: int = 0) -> Rule:
+    """The name, of at least so many characters, is part of the fund's."""
 
+    def rule(names: DataFrame, funds: DataFrame) -> DataFrame:
+        a, b = _texts(names, funds, clean, own)
+        return _hits(a, _pairs(a, b, least, None), b)
 
-def contained_pairs(wanted: DataFrame, funds: DataFrame, clean: Callable[[Column], Column], least: int) -> DataFrame:
-    """(name, id) of the pairs that ``contained`` passes for cleaned names, by keys alone; funds: (id, fund).
+    return rule
 
-    least is GRAM - 1 or more, so that what is held has a gram to meet by."""
-    if least < GRAM - 1:
-        raise ValueError(f"names of {least + 1} characters have no run of {GRAM}")
-    a, b = wanted.select("name", clean(F.col("name")).alias("a")), funds.select("id", clean(F.col("fund")).alias("b"))
-    left, right = a.select("a").distinct().where("a IS NOT NULL"), b.select("b").distinct().where("b IS NOT NULL")
-    long = lambda df, c, name: df.where(F.length(c) > least).select(F.col(c).alias(name))
-    same = left.join(right, F.col("a") == F.col("b")).select("a", "b")
-    in_fund = holding(long(left, "a", "part"), right.where(F.length("b") > least).select(F.col("b").alias("whole"))).select(F.col("part").alias("a"), F.col("whole").alias("b"))
-    in_name = holding(long(right, "b", "part"), left.where(F.length("a") > least).select(F.col("a").alias("whole"))).select(F.col("whole").alias("a"), F.col("part").alias("b"))
-    hits = same.union(in_fund).union(in_name).distinct()
-    return a.join(hits, "a").join(b, "b").select("name", "id").distinct()
 
+def in_name(clean: Clean, own: Clean, least: int = 0) -> Rule:
+    """The fund's name, of at least so many characters, is part of the name."""
 
-def alias_pairs(wanted: DataFrame, funds: DataFrame) -> DataFrame:
-    """(name, id) by alias: names with an alias' word and the smallest fund with its own words, met by the alias' number."""
-    flagged = lambda c, k: F.filter(F.array(*[F.when(reduce(lambda x, y: x & y, [F.lower(c).contains(w) for w in ((words[0],) if k == 0 else words[1])]), F.lit(i)) for i, words in enumerate(ALIASES)]), lambda x: x.isNotNull())
-    names = wanted.select("name", F.explode(flagged(F.col("name"), 0)).alias("alias"))
-    own = funds.select("id", F.explode(flagged(F.col("fund"), 1)).alias("alias")).groupBy("alias").agg(F.min("id").alias("id"))
-    return names.join(own, "alias").select("name", "id")
+    def rule(names: DataFrame, funds: DataFrame) -> DataFrame:
+        a, b = _texts(names, funds, clean, own)
+        return _hits(a, _pairs(a, b, None, least), b)
 
+    return rule
 
-def few(names: DataFrame) -> DataFrame:
-    """A list to be broadcast if it is short enough."""
-    return F.broadcast(names) if names.limit(MAX_NAMES + 1).count() <= MAX_NAMES else names
 
+def either(clean: Clean, least: int, own_least: int | None = None, same: bool = True) -> Rule:
+    """JN-14: the one is part of the other, or (same) equal to it; a part has at least so many characters."""
 
-def first_match(wanted: DataFrame, funds: DataFrame, rules: Sequence[Callable]) -> DataFrame:
-    """(name, id): each wanted name with the smallest id of the first rule that has any; null if none has.
+    def rule(names: DataFrame, funds: DataFrame) -> DataFrame:
+        a, b = _texts(names, funds, clean, clean)
+        return _hits(a, _pairs(a, b, least, least if own_least is None else own_least, same), b)
 
-    A rule is a test of two names, or a function of both tables marked ``keyed`` that gives the pairs itself."""
-    names = wanted.select("name").distinct()
-    f = funds.select("id", F.col("name").alias("fund"))
-    hits = None
-    for i, rule in enumerate(rules):
-        found = rule(names, f) if getattr(rule, "keyed", False) else pairs(names, f, rule)
-        some = found.groupBy("name").agg(F.min("id").alias("id")).withColumn("rule", F.lit(i))
-        hits = some if hits is None else hits.union(some)
-    best = hits.groupBy("name").agg(F.min_by("id", "rule").alias("id"))
-    return names.join(best, "name", "left")
+    return rule
 
 
-def by_clean_name(a: Column, b: Column) -> Column:
-    return contained(clean_name(a), clean_name(b), 5)
+def _pairs(a: DataFrame, b: DataFrame, least: int | None, own_least: int | None, same: bool = False) -> DataFrame:
+    """(a, b) of texts of which b holds a, of so many characters at least, or a holds b; None: not looked for."""
+    left, right, out = a.select("a").distinct(), b.select("b"), []
+    if least is not None:
+        out.append(holding(left.where(F.length("a") >= least).select(F.col("a").alias("part")), right.where(F.length("b") >= least).select(F.col("b").alias("whole"))).select(F.col("part").alias("a"), F.col("whole").alias("b")))
+    if own_least is not None:
+        out.append(holding(right.where(F.length("b") >= own_least).select(F.col("b").alias("part")), left.where(F.length("a") >= own_least).select(F.col("a").alias("whole"))).select(F.col("whole").alias("a"), F.col("part").alias("b")))
+    if same:
+        out.append(left.join(right, F.col("a") == F.col("b")))
+    return out[0] if len(out) == 1 else reduce(DataFrame.union, out).distinct()
 
 
-def by_packed_name(a: Column, b: Column) -> Column:
-    return contained(packed_name(a), packed_name(b), 5)
+def text_pairs(a: DataFrame, b: DataFrame, least: int) -> DataFrame:
+    """(a, b) of all pairs of equal texts, or of which the one, of at least so many characters, is part of the other; a: (a), b: (b)."""
+    return _pairs(a.where("a IS NOT NULL"), b.select("b").where("b IS NOT NULL").distinct(), least, least, same=True)
 
 
-def by_alias(a: Column, b: Column) -> Column:
-    """JN-15."""
-    test = F.lit(False)
-    for word, own in ALIASES:
-        hit = F.lower(a).contains(word)
-        for w in own:
-            hit = hit & F.lower(b).contains(w)
-        test = test | hit
-    return test
+def all_pairs(names: DataFrame, funds: DataFrame, clean: Clean, least: int | None, own_least: int | None, same: bool = False) -> DataFrame:
+    """(name, id) of every pair of rows whose names hold each other, as in ``_pairs``; funds: (id, fund)."""
+    a, b = names.select("name", clean(F.col("name")).alias("a")), funds.select("id", clean(F.col("fund")).alias("b"))
+    return a.join(_pairs(a, b.select("b").distinct(), least, own_least, same), "a").join(b, "b").select("name", "id")
 
 
-def _keyed(rule: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    rule.keyed = True
-    return rule
+def contained_pairs(wanted: DataFrame, funds: DataFrame, clean: Clean, least: int) -> DataFrame:
+    """(name, id) of all pairs of equal cleaned names, or of which the one, longer than least, is part of the other."""
+    return all_pairs(wanted, funds, clean, least + 1, least + 1, same=True).distinct()
+
+
+def match_short(wanted: DataFrame, funds: DataFrame) -> DataFrame:
+    """JN-17, JN-22: (name, id) of all pairs of a name of more than three characters and a fund's, of which one holds the other."""
+    names = wanted.select("name").distinct().where(F.length(F.lower("name")) > 3)
+    return all_pairs(names, funds.select("id", F.col("name").alias("fund")), F.lower, 0, 0)
+
+
+def alias_pairs(wanted: DataFrame, funds: DataFrame) -> DataFrame:
+    """JN-15: hits by alias: names with an alias' word and the smallest fund with its own words, met by the alias' number."""
+    flagged = lambda c, k: F.filter(F.array(*[F.when(reduce(lambda x, y: x & y, [F.lower(c).contains(w) for w in ((words[0],) if k == 0 else words[1])]), F.lit(i)) for i, words in enumerate(ALIASES)]), lambda x: x.isNotNull())
+    names = wanted.select("name", F.explode(flagged(F.col("name"), 0)).alias("alias"))
+    own = funds.select("id", F.explode(flagged(F.col("fund"), 1)).alias("alias")).groupBy("alias").agg(F.min("id").alias("id"))
+    return names.join(own, "alias").groupBy("name").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+
+
+def first_match(wanted: DataFrame, funds: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(name, id): each wanted name with the smallest id of the first rule that has any; null if none has."""
+    names = wanted.select("name").distinct()
+    f = funds.select("id", F.col("name").alias("fund"))
+    hits = reduce(DataFrame.union, [rule(names, f).select("name", "id", F.lit(i).alias("rule")) for i, rule in enumerate(rules)])
+    return names.join(hits.groupBy("name").agg(F.min_by("id", F.struct("rule", "id")).alias("id")), "name", "left")
 
 
 def match_regulator(wanted: DataFrame, funds: DataFrame) -> DataFrame:
-    """JN-14, then JN-15; both meet by keys."""
-    return first_match(wanted, funds, [_keyed(lambda a, b: contained_pairs(a, b, clean_name, 5)), _keyed(alias_pairs)])
+    """JN-14, then JN-15."""
+    return first_match(wanted, funds, [either(clean_name, 6), alias_pairs])
 
 
 def match_planning(wanted: DataFrame, funds: DataFrame) -> DataFrame:
     """JN-16: the fund's packed name in the line; else the line's first word, longer than three, in the fund's name."""
-    one = lambda a, b: (F.length(packed_name(b, closed=False)) > 4) & packed_name(a, closed=False).contains(packed_name(b, closed=False))
-    core = lambda a: F.replace(F.lower(F.get(F.split(a, r"\s+"), 0)), F.lit("kring"), F.lit(""))
-    return first_match(wanted, funds, [one, lambda a, b: (F.length(core(a)) > 3) & F.lower(b).contains(core(a))])
+    packed = lambda c: packed_name(c, closed=False)
+    core = lambda c: F.replace(F.lower(F.get(F.split(c, r"\s+"), 0)), F.lit("kring"), F.lit(""))
+    return first_match(wanted, funds, [in_name(packed, packed, 5), in_fund(core, F.lower, 4)])
+
+
+def match_like(wanted: DataFrame, funds: DataFrame) -> DataFrame:
+    """JN-23: the fund whose name has the words, in any case."""
+    return first_match(wanted, funds, [in_fund(F.lower, F.lower)])
 
 
 def match_unique(wanted: DataFrame, funds: DataFrame) -> DataFrame:
     """JN-24: exact; contained in one fund's name only; equal but for case; the part before a parenthesis or between slashes in one only."""
-    f = funds.select("id", F.col("name").alias("fund"))
-    names = wanted.select("name").distinct()
 
-    def only(part: Callable[[Column], Column]) -> DataFrame:
-        found = pairs(names, f, lambda a, b: (F.length(part(a)) > 0) & F.lower(b).contains(F.lower(part(a))))
-        return found.groupBy("name").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").select("name", "id")
+    def only(rule: Rule) -> Rule:
+        return lambda names, f: rule(names, f).where("n = 1")
 
-    exact = names.join(f, F.col("name") == F.col("fund")).groupBy("name").agg(F.min("id").alias("id"))
-    same = names.join(f, F.lower("name") == F.lower("fund")).groupBy("name").agg(F.min("id").alias("id"))
-    cut = only(lambda a: F.when(a.contains("("), F.rtrim(F.split_part(a, F.lit("("), F.lit(1)))))
-    slash = names.where(F.col("name").contains("/")).select("name", F.posexplode(F.split("name", "/"))).select("name", "pos", F.trim("col").alias("part"))
-    parts = slash.join(few(f), F.lower("fund").contains(F.lower("part"))).groupBy("name", "pos").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("name").agg(F.min_by("id", "pos").alias("id"))
-    ranked = None
-    for i, step in enumerate((exact, only(lambda a: a), same, cut, parts)):
-        ranked = step.withColumn("rule", F.lit(i)) if ranked is None else ranked.union(step.withColumn("rule", F.lit(i)))
-    return names.join(ranked.groupBy("name").agg(F.min_by("id", "rule").alias("id")), "name", "left")
+    def slashes(names: DataFrame, f: DataFrame) -> DataFrame:
+        parts = names.where(F.col("name").contains("/")).select("name", F.posexplode(F.split("name", "/")).alias("pos", "part")).select("name", "pos", F.trim("part").alias("part"))
+        found = only(in_fund(F.lower, F.lower))(parts.select(F.col("part").alias("name")).distinct(), f).withColumnRenamed("name", "part")
+        return parts.join(found, "part").groupBy("name").agg(F.min_by("id", "pos").alias("id"))
 
-
-@F.pandas_udf(T.DoubleType())
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """UDF-03: the matching-blocks ratio of two lower-cased strings (not an edit distance); null for null."""
-    ratio = lambda x, y: None if x is None or y is None else difflib.SequenceMatcher(None, x.lower(), y.lower()).ratio()
-    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    before = lambda c: F.lower(F.when(c.contains("("), F.rtrim(F.split_part(c, F.lit("("), F.lit(1)))))
+    return first_match(wanted, funds, [equal(lambda c: c), only(in_fund(F.lower, F.lower, 1)), equal(F.lower), only(in_fund(before, F.lower, 1)), slashes])
 
 
 def match_fuzzy(wanted: DataFrame, funds: DataFrame, least: float = 0.65) -> DataFrame:
-    """JN-25: equal but for case; contained; containing; else the most alike above least, the smaller id if equal.
-
-    A ratio above r needs lengths within a factor (2 - r) / r of each other, and more than r / 2 of
-    both lengths in letters that the names share, which spares nearly all pairs the slow test."""
-    sure = first_match(wanted, funds, [lambda a, b: F.lower(a) == F.lower(b), lambda a, b: F.lower(b).contains(F.lower(a)), lambda a, b: F.lower(a).contains(F.lower(b))])
-    open_ = sure.where("id IS NULL").select("name")
-    factor = (2 - least) / least
-    times = lambda c, x: F.length(c) - F.length(F.replace(c, x, F.lit("")))
-    letters = lambda a, b: F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, x: n + F.least(times(a, x), times(b, x)))
-    sized = lambda a, b: (F.length(a) <= factor * F.length(b)) & (F.length(b) <= factor * F.length(a))
-    near = lambda a, b: sized(a, b) & (2 * letters(F.lower(a), F.lower(b)) > least * (F.length(a) + F.length(b)))
-    f = funds.select("id", F.col("name").alias("fund"))
-    scored = pairs(open_, f, near).join(f, "id").select("name", "id", similarity("name", "fund").alias("score")).where(F.col("score") > least)
-    fuzzy = scored.groupBy("name").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("near"), F.max("score").alias("score"))
-    return sure.join(fuzzy, "name", "left").select("name", F.coalesce("id", "near").alias("id"), "score")
+    """JN-25: equal but for case; contained; containing; else the most alike above least, the smaller id if equal. Only the last has a score."""
+    sure = first_match(wanted, funds, [equal(F.lower), in_fund(F.lower, F.lower), in_name(F.lower, F.lower)])
+    left = sure.where("id IS NULL AND name IS NOT NULL").select("name", F.lower("name").alias("a"))
+    _, right = _texts(wanted.select("name"), funds.select("id", F.col("name").alias("fund")), F.lower, F.lower)
+    scored = alike(left.select("a"), right.select("b"), least).join(right, "b")
+    near = scored.groupBy("a").agg(F.max(F.struct("score", (-F.col("id")).alias("id"))).alias("x")).select("a", (-F.col("x.id")).alias("near"), "x.score")
+    return sure.join(left.join(near, "a").select("name", "near", "score"), "name", "left").select("name", F.coalesce("id", "near").alias("id"), "score")
 
 
 def unmatched(wanted: DataFrame, funds: DataFrame) -> DataFrame:
     """JN-19: names that no fund with a ratio other than 0 contains or is contained in."""
     known = funds.where(F.col("ratio").isNotNull() & (F.col("ratio") != 0)).select("id", F.col("name").alias("fund"))
-    either = lambda a, b: F.lower(a).contains(F.lower(b)) | F.lower(b).contains(F.lower(a))
-    return wanted.join(pairs(wanted.select("name").distinct(), known, either).select("name").distinct(), "name", "left_anti")
+    return wanted.join(either(F.lower, 0)(wanted.select("name").distinct(), known).select("name"), "name", "left_anti")
 
 
 def match_file(funds: DataFrame, files: DataFrame) -> DataFrame:
-    """JN-27: (id, path): the first path that has all words over two letters of a name, else any over four."""
-    words = lambda c, n: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > n)
-    has = lambda path: lambda w: F.lower(path).contains(w)
-    f = funds.select("id", F.col("name").alias("fund"))
-    some = f.join(few(files.select("path")), F.exists(words("fund", 2), has(F.col("path"))))
-    rank = F.when(F.forall(words("fund", 2), has(F.col("path"))) & (F.size(words("fund", 2)) > 0), 0).when(F.exists(words("fund", 4), has(F.col("path"))), 1)
-    return some.withColumn("rank", rank).where("rank IS NOT NULL").groupBy("id").agg(F.min_by("path", F.struct("rank", "path")).alias("path"))
+    """JN-27: (id, path): the first path that has all words over two letters of a name, else any over four.
+
+    Words meet the paths by ``holding``. All words: by the one that the fewest paths have, and the others are looked for there. Any: each word's first path."""
+    words = F.filter(F.split(F.lower("name"), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 2)
+    f = funds.select("name").distinct().select("name", F.array_distinct(words).alias("words")).where(F.size("words") > 0)
+    each = f.select("name", "words", F.explode("words").alias("word"))
+    low = files.select("path", F.lower("path").alias("low")).distinct()
+    met = holding(each.select(F.col("word").alias("part")), low.select(F.col("low").alias("whole")))
+    at = met.select(F.col("part").alias("word"), F.col("whole").alias("low")).join(low, "low")
+    per = at.groupBy("word").agg(F.count("*").alias("paths"), F.min("path").alias("path"))
+    known = each.join(per, "word", "left")
+    rarest = known.groupBy("name", "words").agg(F.min_by("word", F.struct(F.coalesce("paths", F.lit(0)), "word")).alias("word"))
+    full = rarest.join(at, "word").where(F.forall("words", lambda w: F.col("low").contains(w))).groupBy("name").agg(F.min("path").alias("path"))
+    some = known.where(F.length("word") > 4).groupBy("name").agg(F.min("path").alias("any")).where("any IS NOT NULL")
+    best = some.join(full, "name", "full").select("name", F.coalesce("path", "any").alias("path"))
+    return funds.select("id", "name").join(best, "name").select("id", "path")
 
 
 def first_file(funds: DataFrame, files: DataFrame) -> DataFrame:

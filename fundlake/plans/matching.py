@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundlake.functions import likeness
 from fundlake.operators import curation, resolve
 from fundlake.plans.registry import Tables, query
 
@@ -22,12 +23,14 @@ def q_documents_of_funds(t: Tables) -> DataFrame:
     return docs.join(t.customer.where("c_acctbal > 0"), F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_orderkey")
 
 
-_FILES = "(SELECT 'data/' || o_custkey || '_' || year(o_orderdate) || '.pdf' AS path FROM orders WHERE o_custkey % 3 > 0 UNION ALL SELECT 'data/readme.pdf')"
+_FILES = "(SELECT CASE WHEN o_custkey % 3 > 0 THEN 'data/' || o_custkey || '_' ELSE 'data/verslag_' || o_custkey || '-' END || year(o_orderdate) || '.pdf' AS path FROM orders)"
 
 
 def _files(t: Tables) -> DataFrame:
-    own = t.orders.where("o_custkey % 3 > 0").select(F.concat(F.lit("data/"), F.col("o_custkey").cast("string"), F.lit("_"), F.year("o_orderdate").cast("string"), F.lit(".pdf")).alias("path"))
-    return own.union(t.spark.createDataFrame([("data/readme.pdf",)], "path string"))
+    """Reports; only some are named by a fund's id."""
+    key = F.col("o_custkey").cast("string")
+    head = F.when(F.col("o_custkey") % 3 > 0, F.concat(F.lit("data/"), key, F.lit("_"))).otherwise(F.concat(F.lit("data/verslag_"), key, F.lit("-")))
+    return t.orders.select(F.concat(head, F.year("o_orderdate").cast("string"), F.lit(".pdf")).alias("path"))
 
 
 def _funds(t: Tables) -> DataFrame:
@@ -46,13 +49,14 @@ def q_unextracted(t: Tables) -> DataFrame:
     return curation.unextracted(_funds(t), t.customer.where("c_custkey % 7 = 0").select(F.col("c_custkey").alias("fund_id")), _files(t))
 
 
-# Names: words of parts, in the forms that the sources use.
-_NAMED = "(SELECT s_suppkey AS id, 'Stichting Pensioenfonds ' || p_name || ' ' || s_suppkey AS name, s_suppkey % 3 AS ratio FROM supplier JOIN part ON s_suppkey * 7 % 200 = p_partkey)"
+# Names: words of parts, in the forms that the sources use, and names that nothing is part of.
+_NAMED = "(SELECT p_partkey AS id, 'Stichting Pensioenfonds ' || p_name || ' ' || p_partkey AS name, p_partkey % 3 AS ratio FROM part UNION ALL SELECT 1000000000 + s_suppkey, s_name, 1 FROM supplier)"
 
 
 def _named(t: Tables) -> DataFrame:
-    rows = t.supplier.join(t.part, F.col("s_suppkey") * 7 % 200 == F.col("p_partkey"))
-    return rows.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("Stichting Pensioenfonds "), "p_name", F.lit(" "), F.col("s_suppkey").cast("string")).alias("name"), (F.col("s_suppkey") % 3).alias("ratio"))
+    k = F.col("p_partkey")
+    rows = t.part.select(k.alias("id"), F.concat(F.lit("Stichting Pensioenfonds "), "p_name", F.lit(" "), k.cast("string")).alias("name"), (k % 3).alias("ratio"))
+    return rows.union(t.supplier.select(F.lit(1000000000) + F.col("s_suppkey"), "s_name", F.lit(1).cast("long")))
 
 
 _LINES = "(SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN 'overgang ' || replace(p_name, ' ', '') || p_partkey || ' in 2026' ELSE p_name || ' en meer' END AS name FROM part)"
@@ -83,8 +87,7 @@ _SHORT = "(SELECT DISTINCT split_part(p_name, ' ', 2) || ' ' || p_partkey % 40 A
 def q_match_short(t: Tables) -> DataFrame:
     """JN-17, JN-22: all pairs of which one name holds the other."""
     wanted = t.part.select(F.concat(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit(" "), (F.col("p_partkey") % 40).cast("string")).alias("name")).distinct()
-    funds = _named(t).select("id", F.col("name").alias("fund"))
-    return resolve.pairs(wanted, funds, lambda a, b: resolve.contained_short(F.lower(a), F.lower(b)))
+    return resolve.match_short(wanted, _named(t))
 
 
 @query(f"SELECT w.name FROM {_SHORT} w WHERE NOT EXISTS (SELECT 1 FROM {_NAMED} f WHERE ratio <> 0 AND (contains(lower(w.name), lower(f.name)) OR contains(lower(f.name), lower(w.name))))")
@@ -114,7 +117,7 @@ def q_row_alias(t: Tables) -> DataFrame:
 def q_like_first(t: Tables) -> DataFrame:
     """JN-23: the first row whose name has the words, in any case; null if none."""
     wanted = t.part.select(F.concat(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit(" "), (F.col("p_partkey") % 40).cast("string")).alias("name")).distinct()
-    return resolve.first_match(wanted, _named(t), [lambda a, b: F.lower(b).contains(F.lower(a))])
+    return resolve.match_like(wanted, _named(t))
 
 
 _UNIQUE = "(SELECT DISTINCT CASE p_partkey % 4 WHEN 0 THEN 'Stichting Pensioenfonds ' || p_name || ' ' || p_partkey % 50 WHEN 1 THEN upper('Stichting Pensioenfonds ' || p_name || ' ' || p_partkey % 50) WHEN 2 THEN split_part(p_name, ' ', 2) || ' ' || p_partkey % 50 || ' (oud)' ELSE split_part(p_name, ' ', 2) || ' ' || p_partkey % 50 || ' / niets' END AS name FROM part)"
@@ -142,20 +145,22 @@ def q_match_unique(t: Tables) -> DataFrame:
 def q_enriched(t: Tables) -> DataFrame:
     """JN-26: each row with the columns of the fund found for it, nulls where none is."""
     wanted = t.part.select(F.concat(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit(" "), (F.col("p_partkey") % 40).cast("string")).alias("name")).distinct()
-    found = resolve.first_match(wanted, _named(t), [lambda a, b: F.lower(b).contains(F.lower(a))])
+    found = resolve.match_like(wanted, _named(t))
     return found.join(_named(t).withColumnRenamed("name", "fund"), "id", "left").select("name", "fund", "ratio")
 
 
-_PDFS = "(SELECT DISTINCT 'data/' || replace(p_name, ' ', '-') || '-2024.pdf' AS path FROM part)"
-_WORDS = "(SELECT s_suppkey AS id, p_name || ' bv' AS name, list_filter(string_split(p_name || ' bv', ' '), lambda w: length(w) > 2) AS two, list_filter(string_split(p_name || ' bv', ' '), lambda w: length(w) > 4) AS four FROM supplier JOIN part ON s_suppkey * 7 % 200 = p_partkey)"
+_PDFS = "(SELECT 'data/' || replace(p_name, ' ', '-') || '-' || p_partkey || '.pdf' AS path FROM part)"
+_WORDS = "(SELECT id, list_filter(w, lambda x: length(x) > 2) AS two, list_filter(w, lambda x: length(x) > 4) AS four FROM (SELECT id, regexp_split_to_array(lower(name), '[^a-z0-9]+') AS w FROM (SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN p_name || ' bv' WHEN 1 THEN p_name || ' ' || p_brand || ' bv' ELSE p_name || ' ' || p_partkey END AS name FROM part UNION ALL SELECT 1000000000 + s_suppkey, s_name FROM supplier)))"
 
 
-@query(f"""WITH c AS (SELECT id, path, CASE WHEN len(list_filter(two, lambda w: NOT contains(path, w))) = 0 THEN 0 WHEN len(list_filter(four, lambda w: contains(path, w))) > 0 THEN 1 END AS rank FROM {_WORDS}, {_PDFS})
+@query(f"""WITH c AS (SELECT id, path, CASE WHEN len(two) > 0 AND len(list_filter(two, lambda w: NOT contains(path, w))) = 0 THEN 0 WHEN len(list_filter(four, lambda w: contains(path, w))) > 0 THEN 1 END AS rank FROM {_WORDS}, {_PDFS})
 SELECT id, arg_min(path, struct_pack(r := rank, p := path)) AS path FROM c WHERE rank IS NOT NULL GROUP BY id""")
 def q_match_file(t: Tables) -> DataFrame:
     """JN-27: the file with all of a name's words, else with any long one."""
-    files = t.part.select(F.concat(F.lit("data/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-2024.pdf")).alias("path")).distinct()
-    funds = t.supplier.join(t.part, F.col("s_suppkey") * 7 % 200 == F.col("p_partkey")).select(F.col("s_suppkey").alias("id"), F.concat("p_name", F.lit(" bv")).alias("name"))
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    files = t.part.select(F.concat(F.lit("data/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-"), key, F.lit(".pdf")).alias("path"))
+    name = F.when(k % 3 == 0, F.concat("p_name", F.lit(" bv"))).when(k % 3 == 1, F.concat("p_name", F.lit(" "), "p_brand", F.lit(" bv"))).otherwise(F.concat("p_name", F.lit(" "), key))
+    funds = t.part.select(k.alias("id"), name.alias("name")).union(t.supplier.select(F.lit(1000000000) + F.col("s_suppkey"), "s_name"))
     return resolve.match_file(funds, files)
 
 
@@ -184,4 +189,4 @@ def q_manual_patches(t: Tables) -> DataFrame:
 def q_similarity(t: Tables) -> DataFrame:
     """STR-17, UDF-03: the matching-blocks ratio; where one name goes on after the other it is known in closed form."""
     longer = F.concat(F.upper("p_name"), F.expr("repeat('#', CAST(p_partkey % 9 AS INT))"))
-    return t.part.select("p_partkey", resolve.similarity(F.col("p_name"), longer).alias("score"))
+    return t.part.select("p_partkey", likeness.ratio(F.col("p_name"), longer).alias("score"))

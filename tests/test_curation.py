@@ -70,23 +70,3 @@ def test_catalog(spark, tmp_path):
     c.replace("equity_strategies", c.table("equity_strategies").withColumn("weight_pct", F.lit(60.0)))
     assert rows(c.sql("SELECT region, weight_pct FROM equity_strategies WHERE fund_id = :id", {"id": 1})) == [("Europe", 60.0)]
     assert "funds" in c.names() and c.table("funds").count() == 0
-
-
-def test_containment_by_keys_is_containment(spark):
-    """Names that meet by runs of characters against a test of every pair, with short, equal, null and repeated names."""
-    import random
-
-    from fundlake.functions.names import clean_name
-    from fundlake.operators import resolve
-
-    r = random.Random(4)
-    make = lambda: "".join(r.choice("ab c") for _ in range(r.randint(0, 9)))
-    wanted = [make() for _ in range(150)] + ["Stichting abcabc", "abcabc", None, "ab", "ab"]
-    own = [(i, make()) for i in range(150)] + [(900, "abcabc pensioenfonds"), (901, None), (902, "ab"), (903, "")]
-    a, b = spark.createDataFrame([(x,) for x in wanted], "name string"), spark.createDataFrame(own, "id long, fund string")
-    got = {tuple(x) for x in resolve.contained_pairs(a.distinct(), b, clean_name, 5).collect()}
-    clean = lambda x: x.lower().replace("pensioenfonds", "").replace("stichting", "").strip()
-    rule = lambda x, y: x == y or (len(x) > 5 and x in y) or (len(y) > 5 and y in x)
-    assert got == {(x, i) for x in wanted if x is not None for i, y in own if y is not None and rule(clean(x), clean(y))}
-    with pytest.raises(ValueError, match="run of 4"):
-        resolve.contained_pairs(a, b, clean_name, 2)

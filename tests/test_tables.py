@@ -1,6 +1,5 @@
 """Merging, matching, sources, streaming and the stage runner."""
 
-import difflib
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,19 +53,6 @@ def test_matching(spark):
     assert rows(resolve.match_file(funds, named).select("id")) == [(1,), (2,), (4,)]
 
 
-def test_matching_in_slices_gives_the_same(spark, monkeypatch):
-    funds = spark.createDataFrame([(i, f"fonds nummer {i}") for i in range(40)], "id long, name string")
-    wanted = spark.createDataFrame([(f"fonds nummer {i}",) for i in range(0, 60, 7)], "name string")
-    whole = rows(resolve.match_regulator(wanted, funds))
-    monkeypatch.setattr(resolve, "MAX_NAMES", 3)
-    assert rows(resolve.match_regulator(wanted, funds)) == whole
-
-
-def test_similarity(spark):
-    df = spark.createDataFrame([("Abc", "abd"), (None, "x"), ("", "")], "a string, b string")
-    assert [r.s for r in df.select(resolve.similarity("a", "b").alias("s")).collect()] == [difflib.SequenceMatcher(None, "abc", "abd").ratio(), None, 1.0]
-
-
 def test_documents(spark):
     dump = spark.createDataFrame([("d", "== T ==\n--- PAGE 1 ---\neen\ntwee\n--- PAGE 2 ---\ndrie")], "doc_id string, text string")
     pages = D.split_pages(dump)
