@@ -11,13 +11,15 @@ together. Enumerating a state's substrings (longer than its link's, up to its
 longest) gives each distinct phrase of the shard once, with its count; Spark
 sums them by phrase.
 
-Only phrases that may be frequent are sent. Each shard first asks for the sums
-of its distinct words and then, of pairs of frequent words, for those of its
-distinct pairs; pieces are cut where a pair is rare, since no frequent phrase
-holds it. Words are summed as they are; pairs by a 64-bit hash, which can only
-add to a sum, so nothing frequent is lost, and the phrases themselves are summed
-as text. Requests are a row for each shard and distinct key, so a word or pair
-that a third of all rows hold is one row a shard.
+Only phrases that may be frequent are sent. Words, pairs and triples of words are
+first counted by a few bits of a hash: a shard sends the slots that it uses with
+their counts, packed (sorted, as gaps), and gets a bit for each that says whether
+all shards together reach the least count there. Strangers in a slot can only add
+to it, so nothing frequent is lost. There are as many slots, and parts of them
+that are summed in one task, as the input's size asks for. The automaton then
+takes in no rare word, pair or triple, as no frequent phrase holds one, and its
+phrases are sent as text, packed by a hash, and summed exactly. A word or phrase
+that a third of all rows hold is one entry a shard.
 
 Over the sums the suffix link of a phrase drops its first word, and that of the
 mirrored automaton its last. Where the count stays the same along a link both
@@ -55,11 +57,18 @@ LONGEST, LEAST = 5, 100
 #: Phrases reported of each language, and parts in which they are ranked first.
 MOST, SALTS = 2000, 64
 UNKNOWN = "und"
+#: Bytes of text for each slot; about seven words, pairs and triples then share one.
+SLOT_BYTES = 16
+#: Slots that one task sums at most, and parts that anything is summed in at least (powers of two).
+SLOTS, PARTS = 1 << 22, 64
+#: Bytes of text whose phrases one task sums, and how much smaller a block is than its text.
+PART_BYTES, ZSTD = 64 << 20, 3
 #: Bytes between words, and bytes that end a piece.
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[0x20, 0x09]] = True
 STOP = np.zeros(256, dtype=bool)
 STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
+_GRAM = U64(0xD1342543DE82EF95)
 
 
 class Shard:
@@ -101,29 +110,76 @@ class Shard:
             both.append(span_hash(data.astype(U64) + U64(1), off[:-1], off[1:]) if len(off) > 1 else np.zeros(0, U64))
         return mix(both[0] * U64(0x9E3779B97F4A7C15) ^ both[1])
 
-    def pairs(self, ok: np.ndarray) -> np.ndarray:
-        """Places whose word and the next stand in one piece and are both ok."""
-        return np.flatnonzero((self.piece[1:] == self.piece[:-1]) & ok[self.ids[1:]] & ok[self.ids[:-1]])
-
-    def pair_hashes(self, at: np.ndarray) -> np.ndarray:
-        h = self.hashes()
-        return mix(h[self.ids[at]] * U64(0xD1342543DE82EF95) + h[self.ids[at + 1]]).view(np.int64)
+    def grams(self) -> list[np.ndarray]:
+        """For 1, 2 and 3 words: the hash of the phrase that ends at each place, the same in every shard."""
+        own = self.hashes()[self.ids]
+        out = [own]
+        for n in (1, 2):
+            longer = np.zeros_like(own)
+            longer[n:] = mix(out[-1][n - 1 : -1] * _GRAM + own[n:]) if len(own) > n else 0
+            out.append(longer)
+        return out
+
+    def within(self, n: int) -> np.ndarray:
+        """Whether the n words that end at each place stand in one piece."""
+        ok = np.zeros(len(self.ids), dtype=bool)
+        ok[n - 1 :] = self.piece[n - 1 :] == self.piece[: len(self.piece) - n + 1] if len(ok) >= n else False
+        return ok
+
+
+class Slots:
+    """The slots that a shard uses: keys sorted, with their counts."""
+
+    def __init__(self, shard: Shard, bits: int):
+        self.shift = U64(64 - bits)
+        self.grams, self.ok = shard.grams(), [shard.within(n) for n in (1, 2, 3)]
+        levels = [np.unique(g[ok] >> self.shift, return_counts=True) for g, ok in zip(self.grams, self.ok, strict=True)]
+        self.keys, at = np.unique(np.concatenate([k for k, _ in levels]), return_inverse=True)
+        self.counts = np.bincount(at, weights=np.concatenate([n for _, n in levels]), minlength=len(self.keys)).astype(np.int64)
+
+    def cuts(self, bits: int, parts: int) -> np.ndarray:
+        """Where each of so many parts begins among the keys."""
+        return np.searchsorted(self.keys, np.arange(parts + 1, dtype=U64) * U64((1 << bits) // parts))
+
+    def reach(self, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many words before each place belong to phrases that may be frequent, by whether each key is; and which words may."""
+        seen = lambda level, at: often[np.searchsorted(self.keys, self.grams[level][at] >> self.shift)]
+        ok = self.ok
+        word = seen(0, ok[0])
+        pair = ok[1].copy()
+        pair[1:] &= word[1:] & word[:-1]
+        pair[pair] = seen(1, pair)
+        triple = ok[2].copy()
+        triple[1:] &= pair[1:] & pair[:-1]
+        triple[triple] = seen(2, triple)
+        at = np.arange(len(pair))
+        run = at - np.maximum.accumulate(np.where(triple, 0, at)) if len(at) else at  # triples in a row that end here
+        return np.where(triple, run + 1, pair.astype(np.int64)), word
+
+
+def packed(values: list[np.ndarray]) -> bytes:
+    """Arrays of numbers below 2**32, compressed byte by byte: most have only low ones."""
+    planes = b"".join(v.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for v in values)
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(payload: bytes, n: int, arrays: int) -> list[np.ndarray]:
+    planes = np.frombuffer(pa.decompress(payload, decompressed_size=4 * n * arrays, codec="zstd", asbytes=True), np.uint8)
+    return [np.ascontiguousarray(p.reshape(4, n).T).view("<u4").ravel() for p in np.split(planes, arrays)]
 
 
 class Automaton:
-    """States of the suffix automaton of the runs of ids that joined places hold, for substrings of up to depth words.
+    """States of the suffix automaton of the substrings of ids of up to depth words that reach allows.
 
     places: ends in the order of their reversed words. Of state s, ends are
     places[first[s] : first[s] + count[s]]; its substrings have more than
     least[s] words and up to most[s]; link[s] is its suffix link, -1 for the
     empty string."""
 
-    def __init__(self, ids: np.ndarray, joined: np.ndarray, depth: int = LONGEST):
-        """joined: whether a place and the one before it are in one run."""
-        at = np.arange(len(ids))
-        back = np.minimum(at - np.maximum.accumulate(np.where(joined, 0, at)), depth - 1)  # words before each in its run
-        inside = np.flatnonzero(joined | np.append(joined[1:], False))  # words on their own make no phrase
-        columns = [np.where(back[inside] >= d, ids[np.maximum(inside - d, 0)], np.int32(-1)) for d in range(depth)]
+    def __init__(self, ids: np.ndarray, reach: np.ndarray, depth: int = LONGEST):
+        """reach: how many words before each place may belong to a substring that ends there."""
+        inside = np.flatnonzero((reach > 0) | (np.append(reach[1:], 0) > 0))  # words on their own make no phrase
+        columns = [np.where(reach[inside] >= d, ids[np.maximum(inside - d, 0)], np.int32(-1)) for d in range(depth)]
         order = np.lexsort(columns[::-1])
         self.places = inside[order]
         n = len(order)
@@ -164,68 +220,111 @@ class Automaton:
             yield n, self.places[self.first[s]], self.count[s]
 
 
-def _words(packed: DataFrame) -> DataFrame:
-    """(block, slot, lang, word, n): each block's distinct words."""
+def _ask(blocks_: DataFrame, bits: int, parts: int) -> DataFrame:
+    """(part, block, n, payload): the slots of each block that a part sums, as gaps, and their counts."""
 
     def run(block: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        shard = Shard(table)
-        k = len(shard.words)
-        yield from pa.table([pa.array(np.full(k, block)), pa.array(np.arange(k)), shard.langs.cast(pa.string()), shard.words.cast(pa.string()), pa.array(shard.counts())], names=["block", "slot", "lang", "word", "n"]).to_batches(1 << 16)
+        slots = Slots(Shard(table), bits)
+        cuts = slots.cuts(bits, parts)
+        rows = []
+        for part in np.flatnonzero(np.diff(cuts)).tolist():
+            keys = slots.keys[cuts[part] : cuts[part + 1]] - U64(part * ((1 << bits) // parts))
+            rows.append((part, len(keys), packed([np.diff(keys, prepend=U64(0)), np.minimum(slots.counts[cuts[part] : cuts[part + 1]], (1 << 32) - 1)])))
+        part, n, payload = zip(*rows, strict=True) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array(n, pa.int32()), pa.array(payload, pa.binary())], names=["part", "block", "n", "payload"])
 
-    return blocks.each(packed, run, "block long, slot long, lang string, word string, n long")
+    return blocks.each(blocks_, run, "part int, block long, n int, payload binary")
 
 
-def _pairs(asked: DataFrame) -> DataFrame:
-    """(block, pair, n): each block's distinct pairs of words that are frequent."""
+def _answer(asked: DataFrame, bits: int, parts: int, least: int) -> DataFrame:
+    """(block, part, often): a bit for each slot that a block asked for; a part's counters are one array."""
 
-    def run(block: int, table: pa.Table, slots: pa.ListScalar) -> Iterator[pa.RecordBatch]:
-        shard = Shard(table)
-        ok = np.zeros(len(shard.words), dtype=bool)
-        if slots.is_valid:
-            ok[slots.values.to_numpy(zero_copy_only=False)] = True
-        pair, n = np.unique(shard.pair_hashes(shard.pairs(ok)), return_counts=True)
-        yield from pa.table([pa.array(np.full(len(pair), block)), pa.array(pair), pa.array(n)], names=["block", "pair", "n"]).to_batches(1 << 16)
+    def run(rows: pa.Table) -> pa.Table:
+        sums = np.zeros((1 << bits) // parts, np.int64)
+        sent = list(zip(rows["payload"].to_pylist(), rows["n"].to_pylist(), strict=True))
+        for payload, n in sent:
+            gaps, counts = unpacked(payload, n, 2)
+            sums[np.cumsum(gaps, dtype=np.int64)] += counts
+        often = sums >= least
+        bits_of = [pa.compress(np.packbits(often[np.cumsum(unpacked(payload, n, 2)[0], dtype=np.int64)]).tobytes(), codec="zstd", asbytes=True) for payload, n in sent]
+        del sums, often
+        blocks.trim()
+        return pa.table([rows["block"], rows["part"], pa.array(bits_of, pa.binary())], names=["block", "part", "often"])
 
-    return blocks.each(asked, run, "block long, pair long, n long")
+    return asked.groupBy("part").applyInArrow(run, "block long, part int, often binary")
 
 
-def _phrases(asked: DataFrame, longest: int) -> DataFrame:
-    """(lang, phrase, words, a): each block's distinct phrases of 2 words and more, all of whose pairs are frequent."""
+def _often(slots: Slots, bits: int, parts: int, part: pa.ListScalar, often: pa.ListScalar) -> np.ndarray:
+    """Which of a shard's keys are frequent, by the answers to it."""
+    cuts, out = slots.cuts(bits, parts), np.zeros(len(slots.keys), dtype=bool)
+    for p, answer in zip(part.as_py() or (), often.as_py() or (), strict=True):
+        n = int(cuts[p + 1] - cuts[p])
+        out[cuts[p] : cuts[p + 1]] = np.unpackbits(np.frombuffer(pa.decompress(answer, decompressed_size=-(-n // 8), codec="zstd", asbytes=True), np.uint8), count=n)
+    return out
 
-    def run(block: int, table: pa.Table, pairs: pa.ListScalar) -> Iterator[pa.RecordBatch]:
-        if not pairs.is_valid:
-            return
-        shard = Shard(table)
-        at = shard.pairs(np.ones(len(shard.words), dtype=bool))
-        at = at[np.isin(shard.pair_hashes(at), pairs.values.to_numpy(zero_copy_only=False))]
-        joined = np.zeros(len(shard.ids), dtype=bool)
-        joined[at + 1] = True
-        for length, ends, count in Automaton(shard.ids, joined, longest).substrings():
-            for i in range(0, len(ends), 1 << 16):
-                some = ends[i : i + (1 << 16)]
-                parts = [shard.words.take(pa.array(shard.ids[some - d])) for d in range(length - 1, -1, -1)]
-                phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())).cast(pa.string())
-                langs = shard.langs.take(pa.array(shard.ids[some])).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([langs, phrase, pa.array(np.full(len(some), length)), pa.array(count[i : i + (1 << 16)])], names=["lang", "phrase", "words", "a"])
 
-    return blocks.each(asked, run, "lang string, phrase string, words long, a long")
+def _phrases(answered: DataFrame, bits: int, parts: int, longest: int, own: int) -> DataFrame:
+    """(part, payload): each block's phrases of 1 to longest words that may be frequent, with their counts, as tables dealt by a hash.
+
+    Phrases of 0 words stand for all words of a language."""
+
+    def run(block: int, table: pa.Table, part: pa.ListScalar, often: pa.ListScalar) -> Iterator[pa.RecordBatch]:
+        shard = Shard(table)
+        slots = Slots(shard, bits)
+        reach, word = slots.reach(_often(slots, bits, parts, part, often))
+        hashes, ids = shard.hashes(), np.flatnonzero(np.bincount(shard.ids[word], minlength=len(shard.words)))
+        text = lambda n, ids, phrase, count: (pa.array(np.full(len(ids), n)), shard.langs.take(pa.array(ids)), phrase, pa.array(count))
+        columns, dealt = [text(1, ids, shard.words.take(pa.array(ids)), shard.counts()[ids])], [hashes[ids]]
+        for n, ends, count in Automaton(shard.ids, np.minimum(reach, longest - 1), longest).substrings():
+            words = [shard.ids[ends - d] for d in range(n - 1, -1, -1)]
+            columns.append(text(n, words[-1], pc.binary_join_element_wise(*[shard.words.take(pa.array(w)) for w in words], pa.scalar(" ", pa.large_string())), count))
+            h = hashes[words[0]]
+            for w in words[1:]:
+                h = mix(h * _GRAM + hashes[w])
+            dealt.append(h)
+        some = pa.concat_tables([pa.table(c, names=["words", "lang", "phrase", "a"]) for c in columns])
+        of = (np.concatenate(dealt) % U64(own)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        some, cuts = some.take(pa.array(order)), np.searchsorted(of[order], np.arange(own + 1))
+        full = np.flatnonzero(np.diff(cuts)).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([blocks.encode(some.slice(cuts[p], cuts[p + 1] - cuts[p])) for p in full], pa.binary())], names=["part", "payload"])
+        langs, of_lang = np.unique(shard.langs.to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+        totals = np.bincount(of_lang, weights=shard.counts(), minlength=len(langs)).astype(np.int64)
+        if len(langs):
+            whole = pa.table([pa.array(np.zeros(len(langs), np.int64)), pa.array(langs.tolist(), pa.large_string()), pa.array([""] * len(langs), pa.large_string()), pa.array(totals)], names=["words", "lang", "phrase", "a"])
+            yield pa.RecordBatch.from_arrays([pa.array([block % own], pa.int32()), pa.array([blocks.encode(whole)], pa.binary())], names=["part", "payload"])
+
+    return blocks.each(answered, run, "part int, payload binary")
+
+
+def _summed(sent: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, words, a) of phrases that reach the least count, and of all words of each language (a row for each part)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        tables = [blocks.decode(x.as_buffer()) for x in rows["payload"]]
+        every = pa.concat_tables([t.set_column(1, "lang", t["lang"].cast(pa.large_string())) for t in tables])
+        sums = every.group_by(["lang", "phrase", "words"]).aggregate([("a", "sum")])
+        sums = sums.filter(pc.or_(pc.greater_equal(sums["a_sum"], least), pc.equal(sums["words"], 0)))
+        del tables, every
+        blocks.trim()
+        return pa.table([sums["lang"].cast(pa.string()), sums["phrase"].cast(pa.string()), sums["words"], sums["a_sum"]], names=["lang", "phrase", "words", "a"])
+
+    return sent.groupBy("part").applyInArrow(run, "lang string, phrase string, words long, a long")
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, scope: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, a) of all phrases of 1 to longest words that occur at least least times, and (lang, n) of all words; docs: lang, text."""
     work = Scratch(docs.sparkSession, scope)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), "text").where(F.length("text") > 0)
-    packed = blocks.store(texts, work, "phrases-blocks")
-    words = work.keep(blocks.totals(_words(packed), packed, ["lang", "word"], a="sum(n)"), "phrases-words")
-    totals = work.keep(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
-    often = words.where(F.col("a") >= least)
-    single = work.keep(often.groupBy("lang", "word").agg(F.max("a").alias("a")).select("lang", F.col("word").alias("phrase"), F.lit(1).cast("long").alias("words"), "a"), "phrases-single")
-    pairs = blocks.totals(_pairs(blocks.reply(packed, often.select("block", "slot"), slots="slot")), packed, ["pair"], a="sum(n)")
-    kept = work.keep(pairs.where(F.col("a") >= least).select("block", "pair"), "phrases-pairs")
-    found = _phrases(blocks.reply(packed, kept, pairs="pair"), longest).groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
-    longer = work.keep(found, "phrases-longer")
-    work.drop(packed, words, kept)
-    return single.unionByName(longer), totals
+    kept = blocks.store(texts, work, "phrases-blocks")
+    size = (kept.agg(F.sum(F.length("payload"))).first()[0] or 0) * ZSTD
+    bits = max((size // SLOT_BYTES).bit_length(), PARTS.bit_length())
+    parts = max((1 << bits) // SLOTS, PARTS)
+    answers = work.keep(_answer(_ask(kept, bits, parts), bits, parts, least), "phrases-answers")
+    sent = _phrases(blocks.reply(kept, answers, part="part", often="often"), bits, parts, longest, max(size // PART_BYTES, PARTS))
+    found = work.keep(_summed(sent, least), "phrases")
+    work.drop(kept, answers)
+    return found.where("words > 0"), found.where("words = 0").groupBy("lang").agg(F.sum("a").alias("n"))
 
 
 def subsumed(phrases: DataFrame) -> DataFrame:
