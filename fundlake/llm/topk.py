@@ -28,15 +28,23 @@ no candidate; ties go to the smaller id. Vectors that are null or hold null or
 non-finite components take no part.
 
 Edge cases: fewer candidates than k give all of them. Vectors of unlike length
-are compared as if the shorter went on with zeros. Rows that repeat an id are
-candidates each; a repeated query id gets one list (of all rows' scores, best
-first). Null ids take no part. An empty table gives an empty result.
+are compared as if the shorter went on with zeros; in memory, vectors are filled
+up at most to the next power of two, and a block is bounded by bytes, so one
+very wide vector makes no other larger. Seeds are no wider than half of the
+candidates; if even one is too large to be shared there are no seeds, so no
+floors and one cell, and the result is the same. Scores are exact whatever the
+components' size; one outside 64 bits counts as the largest (smallest) such
+number. A finite component that is not finite after scaling counts as
+non-finite. Rows that repeat an id are candidates each; a repeated query id gets
+one list (of all rows' scores, best first). Null ids take no part. An empty
+table gives an empty result. Other columns do not matter.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -59,11 +67,63 @@ CELLS = 1 << 22
 #: Candidates of a block scored before the others.
 LOCAL_SEEDS = 256
 _EXACT = float(1 << 53)
+#: Share of the product of two lengths by which a bound may be off in floating point, and more.
+SLACK = 1e-9
 
 
-def usable(vector: str) -> Column:
+def usable(vector: str, scale: float = SCALE) -> Column:
     """Neither null nor holding a null or non-finite component."""
-    return F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < float("inf")))
+
+
+def integers(vector: str, scale: float = SCALE) -> Column:
+    """floor(scale * x) as doubles; beyond 2**52 all are whole numbers."""
+    whole = lambda y: F.when(F.abs(y) < float(1 << 52), F.floor(y).cast("double")).otherwise(y)
+    return F.transform(vector, lambda x: whole(x.cast("double") * scale))
+
+
+class Vectors:
+    """Vectors of unlike length: their components one after the other, and how many each has."""
+
+    def __init__(self, column: pa.Array | pa.ChunkedArray):
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        self.n = np.diff(column.offsets.to_numpy())
+        self.flat = column.flatten().to_numpy(zero_copy_only=False).astype(float)
+        self.start = np.cumsum(self.n) - self.n
+
+    def dense(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """Some rows as a matrix, cut or filled up with zeros."""
+        n = np.minimum(self.n[rows], width)
+        if len(rows) and (n == width).all() and len(rows) == len(self.n) and (self.n == width).all():
+            return self.flat.reshape(len(rows), width)
+        out = np.zeros((len(rows), width))
+        row = np.repeat(np.arange(len(rows)), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        out[row, at] = self.flat[np.repeat(self.start[rows], n) + at]
+        return out
+
+    def classes(self) -> Iterator[tuple[np.ndarray, int]]:
+        """Rows by the power of two that their length reaches, with the greatest length."""
+        size = np.ceil(np.log2(np.maximum(self.n, 1)))
+        for x in np.unique(size):
+            rows = np.flatnonzero(size == x)
+            yield rows, max(int(self.n[rows].max()), 1)
+
+    def stats(self, width: int, segments: int) -> np.ndarray:
+        """``summary`` of the vectors as if filled up to a width."""
+        parts = min(segments, width)
+        sizes = np.full(parts, width // parts) + (np.arange(parts) < width % parts)
+        at = np.arange(len(self.flat)) - np.repeat(self.start, self.n)
+        cell = np.repeat(np.arange(len(self.n)), self.n) * parts + np.searchsorted(np.cumsum(sizes), at, side="right")
+        cells, size = len(self.n) * parts, np.tile(sizes, len(self.n))
+        with np.errstate(all="ignore"):
+            mean = np.bincount(cell, weights=self.flat, minlength=cells) / size
+            off = np.bincount(cell, weights=(self.flat - mean[cell]) ** 2, minlength=cells).astype(float)
+            empty = size - np.bincount(cell, minlength=cells)
+            off[empty > 0] += empty[empty > 0] * mean[empty > 0] ** 2
+            out = np.empty((len(self.n), 2 * parts))
+            out[:, 0::2], out[:, 1::2] = (mean * np.sqrt(size)).reshape(-1, parts), np.sqrt(off).reshape(-1, parts)
+        return out
 
 
 def summary(x: np.ndarray, segments: int) -> np.ndarray:
@@ -71,17 +131,23 @@ def summary(x: np.ndarray, segments: int) -> np.ndarray:
     parts = np.array_split(np.arange(x.shape[1]), min(segments, x.shape[1]))
     out = np.empty((len(x), 2 * len(parts)))
     for i, p in enumerate(parts):
-        mean = x[:, p].mean(axis=1)
-        out[:, 2 * i] = mean * math.sqrt(len(p))
-        out[:, 2 * i + 1] = np.sqrt(np.maximum(((x[:, p] - mean[:, None]) ** 2).sum(axis=1), 0))
+        with np.errstate(all="ignore"):
+            mean = x[:, p].mean(axis=1)
+            out[:, 2 * i] = mean * math.sqrt(len(p))
+            out[:, 2 * i + 1] = np.sqrt(np.maximum(((x[:, p] - mean[:, None]) ** 2).sum(axis=1), 0))
     return out
 
 
 def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer inner products of each row of q with the row of c beside it, or of all with all."""
-    if q.size and c.size and np.abs(q).max() * np.abs(c).max() * q.shape[-1] < _EXACT:
-        return (q @ c.T).astype(np.int64) if q.ndim == 2 else (c @ q).astype(np.int64)
-    return np.array([[int(sum(int(a) * int(b) for a, b in zip(x, y, strict=True))) for y in c] for x in np.atleast_2d(q)], dtype=object).reshape((len(q), len(c)) if q.ndim == 2 else (len(c),)).astype(np.int64)
+    """Integer inner products of all rows of q with all of c; beyond 64 bits the nearest such number."""
+    with np.errstate(all="ignore"):
+        large = ~(np.abs(q).max(axis=1, initial=0)[:, None] * np.abs(c).max(axis=1, initial=0)[None, :] * q.shape[1] < _EXACT)
+        out = (q @ c.T).astype(np.int64)
+    whole: dict[tuple[int, int], list[int]] = {}
+    row = lambda of, x, i: whole.setdefault((of, i), [int(v) for v in x[i]])
+    for i, j in zip(*np.nonzero(large), strict=True):
+        out[i, j] = max(min(sum(map(mul, row(0, q, i), row(1, c, j))), (1 << 63) - 1), -(1 << 63))
+    return out
 
 
 def floors(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
@@ -96,6 +162,8 @@ def floors(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: in
 def best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, candidate, score) of each query's k best among the candidates of a block, none below its least."""
     levels = [(summary(q, s), summary(c, s)) for s in RESOLUTIONS]
+    with np.errstate(all="ignore"):
+        lengths = [np.sqrt((x**2).sum(axis=1)) for x in (q, c)]
     ids, others, scores = [], [], []
     step = max(1, CELLS // max(len(c), 1))
     seeds = np.arange(0, len(c), max(1, len(c) // LOCAL_SEEDS))
@@ -104,16 +172,18 @@ def best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int,
         floor = floors(qid[rows], q[rows], cid[seeds], c[seeds], k)
         if least is not None:
             floor = np.maximum(floor, least[rows])
-        # Bounds of the coarse resolution for all; the finer one only where that leaves a candidate.
-        bound = levels[0][0][rows] @ levels[0][1].T
-        slack = 1e-6 * (1 + np.abs(bound).max(initial=0))
+        # Bounds of the coarse resolution for all; the finer one only where that leaves a candidate. What is no number rules nothing out.
+        with np.errstate(all="ignore"):
+            bound = levels[0][0][rows] @ levels[0][1].T
         for i in range(bound.shape[0]):
-            left = np.flatnonzero(bound[i] >= floor[i] - slack)
-            for a, b in levels[1:]:
-                if len(left) > 2 * k:
-                    left = left[b[left] @ a[at + i] >= floor[i] - slack]
+            with np.errstate(all="ignore"):
+                reach = floor[i] - SLACK * (1 + lengths[0][at + i] * lengths[1])
+                left = np.flatnonzero(~(bound[i] < reach))
+                for a, b in levels[1:]:
+                    if len(left) > 2 * k:
+                        left = left[~(b[left] @ a[at + i] < reach[left])]
             left = left[cid[left] != qid[at + i]]
-            s = _exact(q[at + i], c[left]) if len(left) else np.zeros(0, np.int64)
+            s = _exact(q[at + i : at + i + 1], c[left])[0] if len(left) else np.zeros(0, np.int64)
             left, s = left[s >= floor[i]], s[s >= floor[i]]
             if len(left) > k:
                 keep = s >= np.partition(s, -k)[-k]
@@ -127,46 +197,34 @@ def best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int,
     return join(ids), join(others), join(scores)
 
 
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    values = column.combine_chunks()
-    n = np.diff(values.offsets.to_numpy())
-    flat = values.flatten().to_numpy(zero_copy_only=False).astype(float)
-    if len(n) and (n == width).all():
-        return flat.reshape(len(n), width)
-    out = np.zeros((len(n), width))
-    rows = np.repeat(np.arange(len(n)), n)
-    out[rows, np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)] = flat
-    return out
-
-
 def _meet(k: int):
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
+        found = [(np.zeros(0, np.int64),) * 3]
         if queries.num_rows and candidates.num_rows:
-            width = int(max(np.diff(x["v"].combine_chunks().offsets.to_numpy()).max() for x in (queries, candidates)))
-            q, c = (_matrix(x["v"], max(width, 1)) for x in (queries, candidates))
-            found = best(queries["id"].to_numpy(), q, candidates["id"].to_numpy(), c, k, queries["least"].to_numpy())
-        else:
-            found = (np.zeros(0, np.int64),) * 3
-        return pa.table([pa.array(x, pa.int64()) for x in found], names=["query_id", "vec_id", "score"])
+            q, c = Vectors(queries["v"]), Vectors(candidates["v"])
+            qid, cid, least = queries["id"].to_numpy(), candidates["id"].to_numpy(), queries["least"].to_numpy()
+            for some, a in q.classes():
+                for others, b in c.classes():
+                    width = min(a, b)  # what goes beyond meets zeros
+                    found.append(best(qid[some], q.dense(some, width), cid[others], c.dense(others, width), k, least[some]))
+        return pa.table([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True)], names=["query_id", "vec_id", "score"])
 
     return run
 
 
 def nearest(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The pivot (a row of statistics) nearest to each row."""
-    return ((pivots**2).sum(axis=1)[None, :] - 2 * (x @ pivots.T)).argmin(axis=1)
+    with np.errstate(all="ignore"):
+        return ((pivots**2).sum(axis=1)[None, :] - 2 * (x @ pivots.T)).argmin(axis=1)
 
 
 def reached(q: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray) -> np.ndarray:
     """Which cells (columns) may hold a score of at least least for each query (row), by the ranges of the cells' statistics."""
     up, down = np.maximum(q, 0), np.minimum(q, 0)
-    bound = up @ high.T + down @ low.T
-    return bound >= least[:, None] - 1e-6 * (1 + np.abs(bound).max(initial=0))
-
-
-def _matrices(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
-    x = _matrix(pa.chunked_array([batch["v"]]), width)
-    return x, summary(x, PLACING)
+    with np.errstate(all="ignore"):
+        bound = up @ high.T + down @ low.T
+        size = np.abs(q) @ np.maximum(np.abs(low), np.abs(high)).T
+        return ~(bound < least[:, None] - SLACK * (1 + size))
 
 
 def _placed(rows: DataFrame, pivots: np.ndarray, width: int) -> DataFrame:
@@ -175,7 +233,7 @@ def _placed(rows: DataFrame, pivots: np.ndarray, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell = nearest(_matrices(batch, width)[1], shared.value)
+            cell = nearest(Vectors(batch["v"]).stats(width, PLACING), shared.value)
             yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(cell, pa.int64())], names=["id", "v", "cell"])
 
     return rows.mapInArrow(run, "id long, v array<double>, cell long")
@@ -186,7 +244,7 @@ def _ranges(placed: DataFrame, cells: int, width: int) -> tuple[np.ndarray, np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, cell = _matrices(batch, width)[1], batch["cell"].to_numpy()
+            x, cell = Vectors(batch["v"]).stats(width, PLACING), batch["cell"].to_numpy()
             order = np.argsort(cell, kind="stable")
             held, first = np.unique(cell[order], return_index=True)
             if len(held):
@@ -202,46 +260,53 @@ def _ranges(placed: DataFrame, cells: int, width: int) -> tuple[np.ndarray, np.n
     return low, high
 
 
+def _loads(rows: DataFrame, cells: int, most: int) -> np.ndarray:
+    """How many blocks, of so many rows and of BLOCK_BYTES at most, each cell's rows fill."""
+    out = np.zeros(cells)
+    for x in rows.groupBy("cell").agg(F.count("*").alias("n"), F.sum(F.size("v")).alias("sum")).collect():  # at most CELLS_MOST rows
+        out[x.cell] = max(x.n / most, 8 * x.sum / BLOCK_BYTES)
+    return out
+
+
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 20, scale: float = SCALE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score; both inputs have vec_id and embedding."""
     work = Scratch(vectors.sparkSession)
     spark = vectors.sparkSession
-    integers = lambda d: d.where(usable("embedding") & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("id"), F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("v"))
-    q, c = work.keep(integers(queries), "topk-queries"), work.keep(integers(vectors), "topk-vectors")
+    whole = lambda d: d.where(usable("embedding", scale) & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("id"), integers("embedding", scale).alias("v"))
+    q, c = work.keep(whole(queries), "topk-queries"), work.keep(whole(vectors), "topk-vectors")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    known = [d.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first() for d in (q, c)]
-    width = max(1, *(x.width or 0 for x in known))
-    most = max(1, min(BLOCK, BLOCK_BYTES // (8 * width)))
+    known = [d.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.sum(F.size("v")).alias("sum"), F.percentile_approx(F.size("v"), 0.5).alias("half")).first() for d in (q, c)]
+    if not known[1].n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    width, half = max(1, *(x.width or 0 for x in known)), max(known[1].half, 1)
     # Blocks of candidates are smaller where they would be too few for the cluster.
-    rows = max(1, min(most, -(-known[1].n // parts)))
-    few = c.orderBy(F.xxhash64("id"), "id", "v").limit(min(SEEDS, SEED_BYTES // (8 * width))).toArrow()
-    ids, seeds = few["id"].to_numpy(), _matrix(few["v"], width)
-    pivots = summary(seeds[: max(1, min(CELLS_MOST, known[1].n // rows))], PLACING)
+    rows = max(1, min(BLOCK, BLOCK_BYTES * known[1].n // (8 * max(known[1].sum, 1)), -(-known[1].n // parts)))
+    few = c.where(F.size("v") <= half).orderBy(F.xxhash64("id"), "id", "v").limit(min(SEEDS, SEED_BYTES // (8 * half))).toArrow()
+    ids, near = few["id"].to_numpy(), Vectors(few["v"])
+    seeds, pivots = near.dense(np.arange(len(ids)), half) if len(ids) else np.zeros((0, 1)), near.stats(width, PLACING)[: max(1, min(CELLS_MOST, known[1].n // rows))]
     if not len(pivots):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        pivots = np.zeros((1, 2 * min(PLACING, width)))
     placed = work.keep(_placed(c, pivots, width), "topk-cells")
     low, high = _ranges(placed, len(pivots), width)
-    counts = np.zeros(len(pivots), np.int64)
-    for x in placed.groupBy("cell").count().collect():  # at most CELLS_MOST rows
-        counts[x.cell] = x["count"]
-    blocks = -(-counts // rows)
+    blocks = np.ceil(_loads(placed, len(pivots), rows)).astype(np.int64)
     shared = spark.sparkContext.broadcast((ids, seeds, pivots, low, high, blocks))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, seeds, pivots, low, high, blocks = shared.value
         every = [(np.int64(p) << 32) + np.arange(n) for p, n in enumerate(blocks.tolist())]
         for batch in batches:
-            x, stats = _matrices(batch, width)
-            least = floors(batch["id"].to_numpy(), x, ids, seeds, k)
+            x, qid = Vectors(batch["v"]), batch["id"].to_numpy()
+            stats, least = x.stats(width, PLACING), np.full(len(qid), -np.inf)
+            for some, most in x.classes() if len(ids) >= k else ():
+                w = min(most, seeds.shape[1])
+                least[some] = floors(qid[some], x.dense(some, w), ids, seeds[:, :w], k)
             wanted = [np.concatenate([every[p] for p in np.flatnonzero(hit)] or [np.zeros(0, np.int64)]) for hit in reached(stats, low, high, least)]
             yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(least), pa.array(nearest(stats, pivots), pa.int64()), pa.array(wanted, pa.list_(pa.int64()))], names=["id", "v", "least", "cell", "blocks"])
 
     asked = work.keep(q.mapInArrow(ask, "id long, v array<double>, least double, cell long, blocks array<long>"), "topk-asked")
     # Queries of a cell stay together, as they ask for much the same: cells are gathered to batches, and one with many is cut by a hash.
-    per = np.zeros(len(pivots), np.int64)
-    for x in asked.groupBy("cell").count().collect():  # at most CELLS_MOST rows
-        per[x.cell] = x["count"]
-    batches = spark.createDataFrame([(i, int(b), int(-(-n // most))) for i, (b, n) in enumerate(zip((np.cumsum(per) - 1) // most, per, strict=True)) if n] or [(0, 0, 1)], "cell long, batch long, cuts long")
+    load = _loads(asked, len(pivots), BLOCK)
+    batches = spark.createDataFrame([(i, int(b), int(np.ceil(n))) for i, (b, n) in enumerate(zip(np.ceil(np.cumsum(load)), load, strict=True)) if n] or [(0, 0, 1)], "cell long, batch long, cuts long")
     batch = (F.shiftleft(F.col("batch"), 32) + F.pmod(F.xxhash64("id", F.lit(1)), F.col("cuts"))).alias("a")
     left = asked.join(F.broadcast(batches), "cell").select("id", "v", "least", batch, F.explode("blocks").alias("b"))
     meetings = work.keep(left.select("a", "b").distinct(), "topk-meetings")
