@@ -24,9 +24,13 @@ weight; a target stops at ``MAX_COPIES`` times its source's size and the excess
 is shared again by weight until none is above.
 
 Edge cases: a null or empty text has size 0 and nothing is taken of it. Null
-doc_ids are documents like others. Repeated rows (same id, same text) share one
-hash, and so take the same copies; their sizes count each. An empty table gives
-an empty result. Sources with no words have target 0. Other columns pass by;
+doc_ids are documents like others. Rows with the same id (or none) and the same
+text share one hash, and so take the same copies, unless all of them together
+weigh more than ``HEAVY`` of what is due: then each has a hash of its own place in
+the input, so that a group is taken in part and its source meets its target as
+if all were different. Reruns over the same files with the same settings agree;
+which of equal rows are taken makes no other difference. Very long texts are
+documents of the first tier. An empty table gives an empty result. Sources with no words have target 0. Other columns pass by;
 columns named like those that are added are replaced. Up to ``MAX_SOURCES``
 sources' goals are broadcast; beyond, documents meet them in a join that deals
 each source to ``SALTS`` tasks.
@@ -46,6 +50,8 @@ MAX_COPIES = 3
 TIERS = (0.05, 0.01, 0.002)
 #: Sources whose goals and thresholds are broadcast (some 20 MB), and tasks a source is dealt to beyond.
 MAX_SOURCES, SALTS = 100_000, 64
+#: Share of what is due from which equal rows are told apart.
+HEAVY = 0.0005
 #: Newton steps at most; far from the goal each moves the multiplier by 1.
 STEPS = 64
 #: Groups of overlapping constraints whose dense Hessian is solved at once.
@@ -180,6 +186,20 @@ def copies_of(docs: DataFrame, goals: DataFrame, most: int, work: Scratch) -> Da
     return marks
 
 
+def _hashed(rows: DataFrame, heavy: DataFrame, n: int) -> DataFrame:
+    """rows (g, key, at, ...) with u, a hash in [0, _BIN ** 2): of the key, or of key and place for the n heavy keys."""
+    u = F.shiftrightunsigned("key", 40)
+    if n == 0:
+        return rows.withColumn("u", u)
+    told = heavy.withColumn("_heavy", F.lit(True))
+    if n <= MAX_SOURCES:
+        joined = rows.join(F.broadcast(told), ["g", "key"], "left")
+    else:
+        dealt = told.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("_salt", F.pmod(F.col("at"), F.lit(SALTS)).cast("int")).join(dealt, ["g", "key", "_salt"], "left").drop("_salt")
+    return joined.withColumn("u", F.when(F.col("_heavy"), F.shiftrightunsigned(F.xxhash64("key", "at"), 40)).otherwise(u)).drop("_heavy")
+
+
 ADDED = ("size", "source_size", "target", "taken", "rate", "copies")
 
 
@@ -188,19 +208,22 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     work = Scratch(docs.sparkSession, scope)
     docs = docs.drop(*ADDED)
     names = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # names of other columns may be anything
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("at", F.monotonically_increasing_id())  # names of other columns may be anything
     own = {c: F.col(f"c{names.index(c)}") for c in ("doc_id", "text", "source")}
     key = F.xxhash64(F.coalesce(own["doc_id"].cast("string"), F.lit("null")), F.coalesce(own["text"], F.lit("")))
     g = F.coalesce(F.concat(F.lit("="), own["source"].cast("string")), F.lit("null"))
-    rows = plain.withColumns({"g": g, "size": word_count(own["text"]), "u": F.shiftrightunsigned(key, 40), "source": own["source"].cast("string")})
-    sized = work.keep(rows.select("source", "g", "size", "u"), "mix-sizes")
+    rows = plain.withColumns({"g": g, "size": word_count(own["text"]), "key": key, "source": own["source"].cast("string")})
+    sized = work.keep(rows.select("source", "g", "size", "key", "at"), "mix-sizes")
     sizes = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.first("g").alias("g")), weights, most)
     rate = F.least(newton(F.col("source_size").cast("double"), F.col("target")), F.lit(float(most)))
     goals = work.keep(sizes.select("g", "source_size", F.col("target").alias("due"), rate.alias("rate")), "mix-rates")
-    marks = work.keep(copies_of(sized.select("g", "size", "u"), goals, most, work), "mix-marks")
+    repeated = sized.groupBy("g", "key").agg(F.count("*").alias("m"), F.sum("size").alias("tokens")).where("m > 1").join(goals, "g")
+    heavy = work.keep(repeated.where(F.col("tokens") > HEAVY * F.col("due")).select("g", "key"), "mix-heavy")
+    n = heavy.count()
+    marks = work.keep(copies_of(_hashed(sized, heavy, n).select("g", "size", "u"), goals, most, work), "mix-marks")
     # The documents meet only the few rows of goals and marks.
     few = goals.count() <= MAX_SOURCES
-    met = _meet(rows, goals, ["g"], "u", few).withColumn("tier", _tier(F.col("size"), F.col("due")))
+    met = _meet(_hashed(rows, heavy, n), goals, ["g"], "u", few).withColumn("tier", _tier(F.col("size"), F.col("due")))
     met = _meet(met, marks, ["g", "tier"], "u", few)
     copies = F.when(F.col("size") == 0, 0).otherwise(F.least(F.col("base") + (F.col("u") < F.col("low")).cast("long"), F.lit(most))).cast("int")
     out = met.withColumn("copies", copies).withColumn("taken", (F.col("size") * F.col("copies")).cast("long"))
