@@ -104,8 +104,9 @@ def report(docs: DataFrame) -> DataFrame:
     score = F.coalesce(F.array_max(F.transform("spans", lambda x: x.score)), F.lit(0.0))
     return detect(docs).select(
         "doc_id",
-        *[F.size(k[0]).cast("long").alias(f"n_{k[0]}") for k in KINDS],
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(said(base).cast("binary"), 256).alias("base_sha256"),
         said("spans").alias("spans"),
+        *[F.size(k[0]).cast("long").alias(f"n_{k[0]}") for k in KINDS if k[0] not in BASE],
         score.alias("max_score"),
     )
