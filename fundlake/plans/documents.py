@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundlake.operators import curation, tables
 from fundlake.plans.registry import Tables, query
 from fundlake.sources import documents as D
 from fundlake.sources import html
@@ -74,6 +75,54 @@ def q_layout_rows(t: Tables) -> DataFrame:
     return D.layout_rows(spans).select("doc_id", "page_no", "y", F.array_join(F.transform("items", lambda i: i.text), " ").alias("line"))
 
 
+_PLACED = """SELECT l_orderkey AS doc_id, 0 AS page_no, s.x AS x, l_linenumber * 12 + CASE WHEN l_linenumber > 3 THEN 60 ELSE 0 END + s.dy AS y, s.t AS text, s.r AS rgt FROM (
+  SELECT *, unnest([{'x': 10.0::DOUBLE, 'dy': 0.0::DOUBLE, 't': l_returnflag || ' regel ' || l_linenumber, 'r': 10.0::DOUBLE + 5 * length(l_returnflag || ' regel ' || l_linenumber)},
+    {'x': 200.0::DOUBLE - 5 * length(q), 'dy': 1.5::DOUBLE, 't': q, 'r': 200.0::DOUBLE}, {'x': 300.0::DOUBLE - 5 * length(p), 'dy': -1.5::DOUBLE, 't': p, 'r': 300.0::DOUBLE},
+    {'x': 10.0::DOUBLE, 'dy': -11.0::DOUBLE, 't': CASE WHEN l_linenumber IN (1, 4) THEN 'Een kop over alle kolommen van de tabel' END, 'r': NULL::DOUBLE}]) AS s
+  FROM (SELECT *, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q, CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) AS p FROM lineitem)) WHERE s.t IS NOT NULL"""
+_CELLS = f"""WITH a AS (SELECT doc_id, page_no, x, y, trim(text) AS text, coalesce(rgt, x + 5 * length(text)) AS rgt FROM ({_PLACED})),
+b AS (SELECT *, coalesce(y - lag(y) OVER (PARTITION BY doc_id, page_no ORDER BY y, x, text), 'Infinity'::DOUBLE) AS d FROM a),
+c AS (SELECT *, count(*) FILTER (WHERE d > 4) OVER o AS row_no, count(*) FILTER (WHERE d > 25) OVER o AS block FROM b WINDOW o AS (PARTITION BY doc_id, page_no ORDER BY y, x, text)),
+e AS (SELECT *, count(*) OVER (PARTITION BY doc_id, page_no, row_no) AS n FROM c),
+f AS (SELECT *, max(CASE WHEN n > 1 THEN rgt END) OVER (PARTITION BY doc_id, page_no, block ORDER BY x, rgt, y, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e),
+g AS (SELECT *, greatest(count(*) FILTER (WHERE n > 1 AND coalesce(x > reach + 8, true)) OVER (PARTITION BY doc_id, page_no, block ORDER BY x, rgt, y, text) - 1, 0) AS col_no FROM f),
+h AS (SELECT doc_id, page_no, block, row_no, col_no, string_agg(text, ' ' ORDER BY x, y, text) AS text FROM g GROUP BY ALL)"""
+
+
+def _placed(t: Tables) -> DataFrame:
+    """Lines of orders as they stand on a page: a label, two numbers set to the right, each a little off in height; headings; two tables from the fourth line on."""
+    k, text = F.col("l_linenumber"), lambda c: c.cast("long").cast("string")
+    label = F.concat("l_returnflag", F.lit(" regel "), k.cast("string"))
+    place = lambda x, dy, value, right: F.struct(x.alias("x"), F.lit(dy).alias("dy"), value.alias("text"), right.alias("right"))
+    left = lambda edge, value: F.lit(edge) - 5 * F.length(value)
+    q, p = text(F.col("l_quantity")), text(F.floor("l_extendedprice"))
+    spans = F.array(place(F.lit(10.0), 0.0, label, F.lit(10.0) + 5 * F.length(label)), place(left(200.0, q), 1.5, q, F.lit(200.0)), place(left(300.0, p), -1.5, p, F.lit(300.0)), place(F.lit(10.0), -11.0, F.when(k.isin(1, 4), "Een kop over alle kolommen van de tabel"), F.lit(None).cast("double")))
+    height = k * 12 + F.when(k > 3, 60).otherwise(0)
+    rows = t.lineitem.select(F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("page_no"), height.alias("h"), F.explode(spans).alias("s")).where("s.text IS NOT NULL")
+    return rows.select("doc_id", "page_no", "s.x", (F.col("h") + F.col("s.dy")).alias("y"), "s.text", "s.right")
+
+
+@query(f"""{_CELLS},
+w AS (SELECT doc_id, page_no, block, max(col_no) AS last, count(DISTINCT row_no) AS n_rows FROM h GROUP BY ALL HAVING max(col_no) > 0 AND count(DISTINCT row_no) > 1),
+m AS (SELECT doc_id, page_no, block, row_no, last, r.c AS col_no FROM (SELECT DISTINCT doc_id, page_no, block, row_no FROM h) JOIN w USING (doc_id, page_no, block), range(0, 10) r(c) WHERE r.c <= last),
+x AS (SELECT doc_id, page_no, block, row_no, string_agg(coalesce(text, ''), '|' ORDER BY m.col_no) AS line FROM m LEFT JOIN h USING (doc_id, page_no, block, row_no, col_no) GROUP BY ALL)
+SELECT doc_id, page_no, (row_number() OVER (PARTITION BY doc_id, page_no ORDER BY block) - 1)::INTEGER AS table_no, lines FROM (SELECT doc_id, page_no, block, string_agg(line, chr(10) ORDER BY row_no) AS lines FROM x GROUP BY ALL)""")
+def q_layout_tables(t: Tables) -> DataFrame:
+    """SRC-14: tables out of spans, by gaps in their projections on both axes."""
+    found = tables.tables(_placed(t))
+    return found.select("doc_id", "page_no", "table_no", F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "\n").alias("lines"))
+
+
+@query("""SELECT p_partkey AS doc_id, (p_partkey % 900 + 1 + 0.25)::DOUBLE AS fee FROM part WHERE p_partkey % 2 = 0""")
+def q_layout_fees(t: Tables) -> DataFrame:
+    """SRC-14, EX-29: from spans of the pages that name the fee to its last number."""
+    k, row = F.col("p_partkey"), lambda y, *texts: [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), (F.lit(c) if isinstance(c, str) else c).alias("text")) for x, c in zip((10.0, 200.0, 320.0), texts, strict=False)]
+    kind = F.when(k % 2 == 0, "Performance fee").otherwise("Beheerkosten")
+    spans = F.array(*row(5.0, "Jaarverslag, toelichting op de kosten"), *row(50.0, "Kosten", "2022", "2023"), *row(62.0, "Overig", "12,5", "13"), *row(74.0, kind, "7,5", F.concat((k % 900 + 1).cast("string"), F.lit(",25"))), *row(86.0, "Totaal", "1", "2"))
+    pages = t.part.select(k.alias("doc_id"), F.lit(3).alias("page_no"), F.explode(spans).alias("s")).select("doc_id", "page_no", "s.*")
+    return curation.table_fees(tables.tables(tables.keyword_pages(pages, ("performance fee", "prestatievergoeding"))))
+
+
 @query("""SELECT p_partkey AS doc_id, x.n AS name, x.a AS allocation_pct, x.t AS notes FROM (SELECT p_partkey, unnest([
 {'n': 'Fonds ' || p_partkey, 'a': (p_partkey % 90 + 0.5)::DOUBLE, 't': 'eerste regel tweede ' || p_partkey}, {'n': 'Leeg', 'a': NULL, 't': NULL}]) AS x FROM part)""")
 def q_markdown_records(t: Tables) -> DataFrame:
