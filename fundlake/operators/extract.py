@@ -39,6 +39,19 @@ REGION_LABELS = (
 )
 
 
+# Words about which regions, weights and styles are looked for.
+REGION_FOCUS = ("aandelen", "zakelijke waarden", "equity", "aandelenportefeuille", "regio")
+WEIGHT_FOCUS = ("aandelen", "zakelijke waarden", "equity", "aandelenportefeuille", "regio", "allocatie")
+STYLE_FOCUS = ("actief beheer", "passief", "indexvolgend", "tracking error", "benchmark")
+# Words of the two styles, of denial, and those that decide.
+ACTIVE_WORDS = ("actief beheer", "actieve", "actief")
+PASSIVE_WORDS = ("passief", "indexvolgend", "tracker", "passieve")
+DENIALS = ("geen actief", "niet actief", "niet meer actief", "0% van de technische voorzieningen", "uitsluitend passief")
+PARTLY_PASSIVE = ("deels passief",)
+NO_ACTIVE = ("niet meer actief belegd", "niet actief belegd", "geen actief beheer")
+ONLY_PASSIVE = ("volledig passief", "geheel passief", "uitsluitend passief")
+
+
 def _when(value: Column, low: float, high: float) -> Column:
     return F.when(value.between(low, high), value)
 
@@ -86,8 +99,6 @@ def regions_named(text: Column) -> Column:
     """EX-07 (lower case): up to three labels by how many windows of 300 characters about a word name them.
 
     Global leads if both North America and Europe are named; the Netherlands give way to Global among more than two."""
-    # Words about which regions are looked for.
-    words = ("aandelen", "zakelijke waarden", "equity", "aandelenportefeuille", "regio")
     named = lambda w: F.filter(F.array(*[F.when(contains_any(w, ws), F.lit(label)) for label, ws in REGION_LABELS]), lambda x: x.isNotNull())
     has = lambda a, v: F.array_contains(a, v)
 
@@ -102,16 +113,14 @@ def regions_named(text: Column) -> Column:
         top = F.when(has(top, "Global") & has(top, "Netherlands") & (F.size(top) > 2), F.array_remove(top, "Netherlands")).otherwise(top)
         return F.when(F.size(top) > 0, F.array_join(F.slice(top, 1, 3), ", "))
 
-    return let(let(let(F.flatten(F.transform(keyword_windows(text, words, 300, 300), named)), ranked), led), given_way)
+    return let(let(let(F.flatten(F.transform(keyword_windows(text, REGION_FOCUS, 300, 300), named)), ranked), led), given_way)
 
 
 def region_weights(text: Column) -> Column:
     """EX-08 (lower case): (region, weight) pairs, the first valid percentage of each region.
 
     First all windows with the number after the region's word, then all with it before; within a window by word."""
-    # Words about which weights are looked for.
-    words = ("aandelen", "zakelijke waarden", "equity", "aandelenportefeuille", "regio", "allocatie")
-    around = keyword_windows(text, words, 0, 1000)
+    around = keyword_windows(text, WEIGHT_FOCUS, 0, 1000)
 
     def found(pattern: str) -> Column:
         def of(w: Column) -> Column:
@@ -133,31 +142,32 @@ def weights_text(weights: Column) -> Column:
 
 def management_style(text: Column) -> Column:
     """EX-09 (lower case): active against passive by score; a side leads by half as much again, else mixed."""
-    # Words of the two styles, and of their denial.
-    around = keyword_windows(text, ("actief beheer", "passief", "indexvolgend", "tracking error", "benchmark"), 200, 200)
-    denied = lambda w: contains_any(w, ("geen actief", "niet actief", "niet meer actief", "0% van de technische voorzieningen", "uitsluitend passief"))
-    actively = lambda w: contains_any(w, ("actief beheer", "actieve", "actief"))
-    passively = lambda w: contains_any(w, ("passief", "indexvolgend", "tracker", "passieve"))
-    partly = lambda w: w.contains("deels passief")
-    strong = lambda *words: F.when(contains_any(text, words), 5).otherwise(0)
+    around = keyword_windows(text, STYLE_FOCUS, 200, 200)
+    denied = lambda w: contains_any(w, DENIALS)
+    actively = lambda w: contains_any(w, ACTIVE_WORDS)
+    passively = lambda w: contains_any(w, PASSIVE_WORDS)
+    partly = lambda w: contains_any(w, PARTLY_PASSIVE)
+    strong = lambda words: F.when(contains_any(text, words), 5).otherwise(0)
 
     def scores(near: Column) -> Column:
-        passive = strong("niet meer actief belegd", "niet actief belegd", "geen actief beheer") + strong("volledig passief", "geheel passief", "uitsluitend passief")
+        passive = strong(NO_ACTIVE) + strong(ONLY_PASSIVE)
         passive = passive + 2 * count_where(near, lambda w: actively(w) & denied(w)) + count_where(near, passively)
         active = count_where(near, lambda w: actively(w) & ~denied(w)) + count_where(near, lambda w: passively(w) & partly(w))
         return F.struct(passive.alias("passive"), active.alias("active"))
 
-    def style(x: Column) -> Column:
-        return (
-            F.when((x.passive == 0) & (x.active == 0), None)
-            .when(x.passive > x.active * 1.5, "Passive")
-            .when(x.active > x.passive * 1.5, "Active")
-            .when((x.active > 0) & (x.passive > 0), "Mixed (Active & Passive)")
-            .when(x.passive >= x.active, "Passive")
-            .when(text.isNotNull(), "Active")
-        )
+    return F.when(text.isNotNull(), let(let(F.filter(around, lambda w: contains_any(w, EQUITY)), scores), lambda x: style_of(x.passive, x.active)))
 
-    return let(let(F.filter(around, lambda w: contains_any(w, EQUITY)), scores), style)
+
+def style_of(passive: Column, active: Column) -> Column:
+    """The style that two scores speak for; null if both are 0."""
+    return (
+        F.when((passive == 0) & (active == 0), None)
+        .when(passive > active * 1.5, "Passive")
+        .when(active > passive * 1.5, "Active")
+        .when((active > 0) & (passive > 0), "Mixed (Active & Passive)")
+        .when(passive >= active, "Passive")
+        .otherwise("Active")
+    )
 
 
 def esg_score(text: Column) -> Column:
@@ -375,9 +385,12 @@ _ENTITY = r".*?(?:is|bij)\s+([A-Z][A-Za-z\s&]+?)(?=\.|,| en| is| verzorgt)"
 
 
 def _entity(text: Column, label: str, known: tuple[str, ...], words: tuple[str, ...]) -> Column:
-    said = F.replace(strip(group(text, rf"(?ius)(?:{label}){_ENTITY}")), F.lit("\n"), F.lit(" "))
-    context = lambda k: F.lower(group(text, rf"(?iud)(.{{0,50}}\b{quote(k)}\b.{{0,50}})"))
-    return F.coalesce(F.when((F.length(said) > 2) & (F.length(said) < 50), said), *[F.when(contains_any(context(k), words), F.lit(k)) for k in known])
+    # What follows the first label is searched once, and only names that the text has are looked at.
+    said = let(F.get(F.split(text, rf"(?ius)(?:{label})", 2), 1), lambda rest: F.replace(strip(group(rest, rf"(?ius)^{_ENTITY}")), F.lit("\n"), F.lit(" ")))
+    named = F.transform(F.regexp_extract_all(text, F.lit(rf"(?iud)\b({'|'.join(map(quote, known))})\b"), F.lit(1)), F.lower)
+    around = lambda k: F.lower(F.call_function("regexp_extract", text, F.concat(F.lit(r"(?iud)(.{0,50}\b"), F.replace(k, F.lit("&"), F.lit(r"\&")), F.lit(r"\b.{0,50})")), F.lit(1)))
+    beside = let(named, lambda names: F.get(F.filter(F.array(*map(F.lit, known)), lambda k: F.array_contains(names, F.lower(k)) & contains_any(around(k), words)), 0))
+    return let(said, lambda s: F.coalesce(F.when((F.length(s) > 2) & (F.length(s) < 50), s), beside))
 
 
 def administrator(text: Column) -> Column:

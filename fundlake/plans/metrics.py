@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.operators import curation as C
+from fundlake.operators import annotate as A
 from fundlake.operators import extract as X
 from fundlake.plans.registry import Tables, query
 
@@ -64,22 +65,80 @@ def q_strategy_notes(t: Tables) -> DataFrame:
     return _texts(t, _NOTES).select(K, X.strategy_notes(F.col("t")).alias("notes"))
 
 
-_REGIONS = f"CASE {K} % 4 WHEN 0 THEN 'onze aandelen staan in noord-amerika en europa' WHEN 1 THEN 'de aandelen staan in nederland' WHEN 2 THEN 'geen regio genoemd' ELSE 'equity in emerging markets, wereldwijd, ook in nederland' END"
+# Reports: every document with passages put before and after it, so that what is looked for stands in noise.
+_HEADS = ("Onze aandelen staan in Noord-Amerika 45,5% en europa (20 %), 100% japan; wereldwijd, passief volgens de benchmark. ", "Zakelijke waarden: europees\n33% en 7,5 % opkomende markten, geen actief beheer, indexvolgend. ", "Regio nederland 12% en 3% azië; equity actief beheer tegen een benchmark, ook deels passief. ", "Geen woord over beleggen. ", "Allocatie: overig 150%, other 0%, pacific 9,25%. Aandelenportefeuille: usa 61 procent, 61% usa. ")
+_TAILS = (" De equity is deels passief, de tracking error laag; dutch en europe 5%", " niet meer actief belegd in aandelen wereldwijd, japan", "", " verenigde staten 40% aandelen\n emerging markets 8%")
 
 
-@query(f"SELECT {K}, CASE {K} % 4 WHEN 0 THEN 'Global, Europe, North America' WHEN 1 THEN 'Netherlands' WHEN 3 THEN 'Global, Emerging Markets' END AS regions FROM part")
+def _list(values: tuple[str, ...]) -> str:
+    return "[" + ", ".join("'" + v.replace("\n", "' || chr(10) || '") + "'" for v in values) + "]"
+
+
+_REPORTS = f"SELECT doc_id, lower({_list(_HEADS)}[(doc_id % {len(_HEADS)} + 1)::INT] || text || {_list(_TAILS)}[(doc_id % {len(_TAILS)} + 1)::INT]) AS t FROM documents WHERE text IS NOT NULL"
+
+
+def _marks(t: Tables) -> DataFrame:
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("doc_id") % len(values) + 1).cast("int"))
+    return A.annotations(t.documents.select("doc_id", F.concat(pick(_HEADS), "text", pick(_TAILS)).alias("text")), by="doc_id")
+
+
+def _windows(words: tuple[str, ...], before: int, after: int) -> str:
+    """Windows w about every place of a word in the reports, by word (o) and place."""
+    parts = [f"SELECT doc_id, {i} AS o, '{w}' AS kw, unnest(list_slice(ps, 1, len(ps) - 1)) AS p, unnest(range(1, len(ps))) AS k, t FROM (SELECT *, string_split(t, '{w}') AS ps FROM r)" for i, w in enumerate(words)]
+    return f"""r AS ({_REPORTS}),
+places AS (SELECT doc_id, o, kw, t, k, (sum(length(p)) OVER (PARTITION BY doc_id, o ORDER BY k) + (k - 1) * length(kw))::BIGINT AS s FROM ({' UNION ALL '.join(parts)})),
+win AS (SELECT doc_id, o, s, substr(t, greatest(s - {before}, 0) + 1, s + length(kw) + {after} - greatest(s - {before}, 0)) AS w FROM places)"""
+
+
+_LABELLED = ", ".join(f"('{label}', {i}, '{'|'.join(ws)}')" for i, (label, ws) in enumerate(X.REGION_LABELS))
+
+
+@query(f"""WITH {_windows(X.REGION_FOCUS, 300, 300)},
+hits AS (SELECT doc_id, label, count(*) AS n, min([o, s, i]) AS f FROM win, (VALUES {_LABELLED}) v(label, i, words) WHERE regexp_matches(w, words) GROUP BY 1, 2),
+top AS (SELECT doc_id, list(label ORDER BY n DESC, f) AS a FROM hits GROUP BY 1),
+led AS (SELECT doc_id, CASE WHEN list_contains(a, 'North America') AND list_contains(a, 'Europe') AND NOT list_contains(a, 'Global') THEN list_prepend('Global', a) ELSE a END AS a FROM top),
+given AS (SELECT doc_id, CASE WHEN list_contains(a, 'Global') AND list_contains(a, 'Netherlands') AND len(a) > 2 THEN list_filter(a, lambda x: x <> 'Netherlands') ELSE a END AS a FROM led)
+SELECT doc_id, array_to_string(a[:3], ', ') AS regions FROM given""")
 def q_regions_named(t: Tables) -> DataFrame:
     """EX-07, ARR-02: labels about a word for equity; some lead, some give way."""
-    return _texts(t, _REGIONS).select(K, X.regions_named(F.col("t")).alias("regions"))
+    return A.regions_named(_marks(t))
 
 
-_WEIGHTS = f"concat('aandelen: europa ', {_s('1 + ' + K + ' % 90')}, '%, japan ', {_s('1 + ' + K + ' % 40')}, ',5%, europa 99%')"
+_WORDS = ", ".join(f"({i}, '{w}', '{region}')" for i, (w, region) in enumerate(X.REGIONS.items()))
+_SHARE = r"([0-9]{1,2}(?:[.,][0-9]{1,2})?)\s*%"
 
 
-@query(f"SELECT {K}, 'Europe: ' || (1 + {K} % 90)::VARCHAR || '.0, Pacific/Other: ' || (1 + {K} % 40)::VARCHAR || '.5' AS weights FROM part")
+@query(f"""WITH {_windows(X.WEIGHT_FOCUS, 0, 1000)},
+x AS (SELECT doc_id, o, s, i, region, regexp_extract(w, word || '.{{0,30}}?' || $${_SHARE}$$, 1) AS a, regexp_extract(w, $${_SHARE}$$ || '.{{0,30}}?' || word, 1) AS b FROM win, (VALUES {_WORDS}) v(i, word, region) WHERE contains(w, word)),
+y AS (SELECT doc_id, region, try_cast(replace(v, ',', '.') AS DOUBLE) AS weight, [back, o, s, i] AS place FROM (SELECT doc_id, region, a AS v, 0 AS back, o, s, i FROM x UNION ALL SELECT doc_id, region, b, 1, o, s, i FROM x)),
+z AS (SELECT doc_id, region, arg_min(weight, place) AS weight, min(place) AS place FROM y WHERE weight > 0 AND weight <= 100 GROUP BY 1, 2)
+SELECT doc_id, string_agg(region || ': ' || weight::VARCHAR, ', ' ORDER BY place) AS weights FROM z GROUP BY 1""")
 def q_region_weights(t: Tables) -> DataFrame:
     """EX-08, JN-29: every region word against every window; a region's first weight stays."""
-    return _texts(t, _WEIGHTS).select(K, X.weights_text(X.region_weights(F.col("t"))).alias("weights"))
+    return A.region_weights(_marks(t)).select("doc_id", X.weights_text(F.col("weights")).alias("weights"))
+
+
+_ANY = lambda words: "'" + "|".join(words) + "'"
+
+
+@query(f"""WITH {_windows(X.STYLE_FOCUS, 200, 200)},
+c AS (SELECT doc_id, regexp_matches(w, {_ANY(X.ACTIVE_WORDS)}) AS a, regexp_matches(w, {_ANY(X.PASSIVE_WORDS)}) AS p, regexp_matches(w, {_ANY(X.DENIALS)}) AS d, contains(w, '{X.PARTLY_PASSIVE[0]}') AS x FROM win WHERE regexp_matches(w, {_ANY(X.EQUITY)})),
+n AS (SELECT doc_id, 2 * count(*) FILTER (WHERE a AND d) + count(*) FILTER (WHERE p) AS passive, count(*) FILTER (WHERE a AND NOT d) + count(*) FILTER (WHERE p AND x) AS active FROM c GROUP BY 1),
+m AS (SELECT r.doc_id, coalesce(passive, 0) + CASE WHEN regexp_matches(t, {_ANY(X.NO_ACTIVE)}) THEN 5 ELSE 0 END + CASE WHEN regexp_matches(t, {_ANY(X.ONLY_PASSIVE)}) THEN 5 ELSE 0 END AS passive, coalesce(active, 0) AS active FROM r LEFT JOIN n USING (doc_id))
+SELECT doc_id, CASE WHEN passive > active * 1.5 THEN 'Passive' WHEN active > passive * 1.5 THEN 'Active' ELSE 'Mixed (Active & Passive)' END AS style FROM m WHERE passive + active > 0""")
+def q_style_windows(t: Tables) -> DataFrame:
+    """EX-09: windows about words of a style that name equity; denials count against the style."""
+    return A.management_style(_marks(t))
+
+
+@query(f"""WITH r AS ({_REPORTS}),
+words AS (SELECT unnest({_list(A.VOCABULARY)}) AS word),
+hits AS (SELECT doc_id, word, unnest(list_slice(ps, 1, len(ps) - 1)) AS p, unnest(range(1, len(ps))) AS k FROM (SELECT doc_id, word, string_split(t, word) AS ps FROM r, words WHERE contains(t, word)))
+SELECT doc_id, word, count(*) AS n, (sum(s))::BIGINT AS places FROM (SELECT doc_id, word, sum(length(p)) OVER (PARTITION BY doc_id, word ORDER BY k) + (k - 1) * length(word) AS s FROM hits) GROUP BY 1, 2""")
+def q_annotations(t: Tables) -> DataFrame:
+    """EX-01 to EX-35: the table that extractors share: every place of every word, words within words too."""
+    words = _marks(t).where("kind = 'word'")
+    return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"), F.sum("start").alias("places"))
 
 
 _FLAT = f"concat('kerncijfers 2024 2023 2022 \\nBeleidsdekkingsgraad ', {_s('100 + ' + K + ' % 40')}, ',5% 111,2% -', {_s(K + ' % 9')}, ',1% \\n')"
