@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlake.operators import merge
+from fundlake.operators import merge, scan
 from fundlake.plans.registry import Tables, query
 from fundlake.sources import documents as D
 
@@ -200,14 +200,13 @@ def q_sentence_context(t: Tables) -> DataFrame:
 def q_carry_forward(t: Tables) -> DataFrame:
     """WIN-10."""
     asked = t.conversations.select("conv_id", "turn", F.when(F.col("role") == "user", F.length("text")).alias("asked"))
-    return asked.withColumn("asked", merge.carry(asked, ["conv_id"], "turn", "asked"))
+    return scan.carried(asked, ["conv_id"], [F.asc("turn")], "asked")
 
 
 @query("SELECT source, doc_id FROM (SELECT source, doc_id, sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id DESC) - n_chars AS before FROM documents) WHERE before <= 15000")
 def q_running_budget(t: Tables) -> DataFrame:
     """WIN-13: from the back, as long as what came before is within the budget."""
-    w = Window.partitionBy("source").orderBy(F.desc("doc_id")).rowsBetween(Window.unboundedPreceding, -1)
-    return t.documents.select("source", "doc_id", F.coalesce(F.sum("n_chars").over(w), F.lit(0)).alias("b")).where("b <= 15000").drop("b")
+    return scan.budgeted(t.documents.select("source", "doc_id", "n_chars"), ["source"], [F.desc("doc_id")], F.col("n_chars"), 15000).select("source", "doc_id")
 
 
 _STOP = "max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -216,8 +215,7 @@ _STOP = "max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITIO
 @query(f"SELECT user_id, event_id FROM (SELECT user_id, event_id, {_STOP} AS s FROM events) WHERE s = 0")
 def q_stop_marker(t: Tables) -> DataFrame:
     """WIN-12: rows before the first that stops."""
-    w = Window.partitionBy("user_id").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    return t.events.select("user_id", "event_id", F.max((F.col("event_type") == "purchase").cast("int")).over(w).alias("s")).where("s = 0").drop("s")
+    return scan.until(t.events.select("user_id", "event_id", "event_type", "ts"), ["user_id"], [F.asc("ts")], F.col("event_type") == "purchase").select("user_id", "event_id")
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
