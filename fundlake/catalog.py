@@ -35,6 +35,11 @@ class Catalog:
         for name in schemas.TABLES:
             self.table(name).createOrReplaceTempView(name)
 
+    def drop_views(self) -> None:
+        """Take the views out of the session; frames made from them stay good."""
+        for name in schemas.TABLES:
+            self.spark.catalog.dropTempView(name)
+
     def sql(self, text: str, args: Mapping[str, object] | None = None) -> DataFrame:
         """SRC-01, SRC-02, FLT-11: a query over the views, with named parameters and never with pasted values."""
         return self.spark.sql(text, args=dict(args or {}))
@@ -84,3 +89,9 @@ class Timed:
             held[1].unpersist()
         self._held[name] = now, make().cache()
         return self._held[name][1]
+
+    def clear(self) -> None:
+        """Let go of everything that is held."""
+        for _, df in self._held.values():
+            df.unpersist()
+        self._held = {}

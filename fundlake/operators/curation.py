@@ -9,7 +9,7 @@ from fundlake.functions import dates, names
 from fundlake.functions import numbers as N
 from fundlake.functions.text import contains_any, first_where, group, groups, strip
 from fundlake.operators import extract as X
-from fundlake.operators import contain, merge, resolve
+from fundlake.operators import contain, merge, resolve, scan
 from fundlake.operators.lineage import cut
 from fundlake.sources import documents as D
 
@@ -67,7 +67,8 @@ def merge_regulator(funds: DataFrame, sheet: DataFrame, columns: list[str], sour
     updated = merge.update(funds, last, ["id"], columns)
     top = funds.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
     fresh = rows.where("id IS NULL").drop("id").dropDuplicates(["name"])
-    numbered = fresh.crossJoin(F.broadcast(top)).withColumn("id", F.col("top") + F.row_number().over(Window.orderBy("name"))).drop("top").withColumn("data_source", F.lit(source))
+    placed = scan.positions(fresh, [F.asc("name")], "_place").join(F.broadcast(top), F.col("_place").isNotNull())  # one row beside each
+    numbered = placed.withColumn("id", F.col("top") + F.col("_place")).drop("top", "_place").withColumn("data_source", F.lit(source))
     return updated.unionByName(numbered, allowMissingColumns=True).select(*funds.columns)
 
 

@@ -7,6 +7,7 @@ where said; a source is expected to hold a key once unless an order is given.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,14 @@ def _matched(target: DataFrame, source: DataFrame, keys: Sequence[str], columns:
     return target.join(s, list(keys), how)
 
 
+#: How a column of a matched row changes.
+_CHANGES = {
+    "overwrite": lambda c: F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)),
+    "found": lambda c: F.coalesce(f"_s_{c}", c),
+    "fill": lambda c: F.coalesce(c, f"_s_{c}"),
+}
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """SNK-07, SNK-08: some columns of matched rows are overwritten (nulls too), new keys come with nulls elsewhere."""
     joined = _matched(target, source, keys, columns, "full")
@@ -57,13 +66,8 @@ def update(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: S
     """Change columns of matched rows; no row comes or goes.
 
     overwrite: nulls too (SNK-09, SNK-10). found: only by values (SNK-11, SNK-12, SNK-15). fill: only nulls (SNK-13)."""
-    change = {
-        "overwrite": lambda c: F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)),
-        "found": lambda c: F.coalesce(f"_s_{c}", c),
-        "fill": lambda c: F.coalesce(c, f"_s_{c}"),
-    }[mode]
     joined = _matched(target, source, keys, columns, "left")
-    return joined.select(*[change(c).alias(c) if c in columns else F.col(c) for c in target.columns])
+    return joined.select(*[_CHANGES[mode](c).alias(c) if c in columns else F.col(c) for c in target.columns])
 
 
 def filled(target: DataFrame, source: DataFrame, keys: Sequence[str], column: str) -> Column | DataFrame:
@@ -71,6 +75,23 @@ def filled(target: DataFrame, source: DataFrame, keys: Sequence[str], column: st
     return _matched(target, source, keys, [column], "inner").agg(F.count_if(F.col(column).isNull() & F.col(f"_s_{column}").isNotNull()).alias("n_filled"))
 
 
+def tracked(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str], mode: str = "overwrite") -> DataFrame:
+    """``upsert`` (mode upsert) or ``update`` with a column _change: inserted, updated, filled or kept, told by the same join that makes the change.
+
+    Counted in flight (``plans.pipeline.store``) it says what a write did without a second pass. Updated: any of the columns is unlike before; filled: and was null."""
+    if mode == "upsert":
+        joined = _matched(target.withColumn("_own", F.lit(True)), source, keys, columns, "full")
+        new = {c: F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)) for c in columns}
+    else:
+        joined = _matched(target.withColumn("_own", F.lit(True)), source, keys, columns, "left")
+        new = {c: _CHANGES[mode](c) for c in columns}
+    unlike = {c: ~new[c].eqNullSafe(F.col(c)) for c in columns}
+    some = reduce(lambda a, b: a | b, unlike.values())
+    filled_ = reduce(lambda a, b: a & b, [~unlike[c] | F.col(c).isNull() for c in columns])
+    change = F.when(F.col("_own").isNull(), "inserted").when(~some, "kept").when(filled_, "filled").otherwise("updated")
+    return joined.select(*[new[c].alias(c) if c in columns else F.col(c) for c in target.columns], change.alias("_change"))
+
+
 def update_like(target: DataFrame, patterns: DataFrame, name: str, column: str) -> DataFrame:
     """SNK-14: (pattern, value, ord) for all rows whose name has the pattern; of several the last counts.
 

@@ -1,4 +1,4 @@
-"""Running values over groups that no task could hold (WIN-10, WIN-12, WIN-13).
+"""Running values over groups that no task could hold (WIN-10, WIN-12, WIN-13; places in a sort of a whole table).
 
 A window with PARTITION BY sorts a group in one task. Here rows are dealt by
 ranges of (group, order) instead, so a large group is cut into blocks in its
@@ -74,3 +74,8 @@ def carried(df: DataFrame, by: Sequence[str], order: Sequence[Column], column: s
     """WIN-10: a column's last value so far that isn't null."""
     run = scan(df, by, order, blocks, _held=("last", F.col(column)))
     return run.select(*[F.col("_held").alias(c) if c == column else F.col(c) for c in df.columns])
+
+
+def positions(df: DataFrame, order: Sequence[Column], name: str = "position", blocks: int | None = None) -> DataFrame:
+    """df with each row's place in a sort of the whole table, from 1."""
+    return scan(df, [], order, blocks, **{name: ("count", F.lit(1))})

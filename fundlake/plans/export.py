@@ -9,6 +9,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fundlake.operators import scan
+
 
 def move_after(df: DataFrame, column: str, anchor: str) -> DataFrame:
     """PRJ-05: a column right after another, if both are there."""
@@ -48,12 +50,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def markdown_table(df: DataFrame, columns: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """SNK-24: the lines of a table, bars in values taken out, as (n, line)."""
-    from pyspark.sql import Window
-
     cells = [F.replace(F.coalesce(F.col(c).cast("string"), F.lit("NaN")), F.lit("|"), F.lit("")) for c in columns]
-    body = df.select(F.row_number().over(Window.orderBy(*order)).alias("n"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
-    spark = df.sparkSession
-    head = spark.createDataFrame([(-1, "| " + " | ".join(columns) + " |"), (0, "|" + "---|" * len(columns))], "n int, line string")
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    body = scan.positions(df, [F.asc(c) if isinstance(c, str) else c for c in order], "_n").select(F.col("_n").alias("n"), line.alias("line"))
+    head = df.sparkSession.createDataFrame([(-1, "| " + " | ".join(columns) + " |"), (0, "|" + "---|" * len(columns))], "n long, line string")
     return head.union(body).orderBy("n")
 
 

@@ -6,14 +6,32 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 log = logging.getLogger("fundlake")
 Stage = Callable[[SparkSession, dict[str, DataFrame]], dict[str, DataFrame]]
 
 
-def run(spark: SparkSession, tables: dict[str, DataFrame], stages: Sequence[tuple[str, Stage | None]]) -> dict[str, DataFrame]:
-    """Each stage gets the tables so far and gives those it adds or replaces; a stage that is None is skipped with a warning."""
+CHANGES = ("inserted", "updated", "filled", "kept")
+
+
+def store(df: DataFrame, path: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """SNK-05, SNK-13, AGG-25: a table written once and read back, with its rows and other counts taken while they pass.
+
+    A column _change (``merge.tracked``) is counted by its values and not stored."""
+    told = {}
+    if "_change" in df.columns:
+        told = {c: F.count_if(F.col("_change") == c).alias(c) for c in CHANGES}
+    seen = Observation()
+    df.observe(seen, F.count("*").alias("rows"), *told.values(), *[c.alias(n) for n, c in counts.items()]).drop("_change").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.drop("_change").schema).parquet(path), dict(seen.get)
+
+
+def run(spark: SparkSession, tables: dict[str, DataFrame], stages: Sequence[tuple[str, Stage | None]], root: str | None = None, counts: dict[str, dict[str, int]] | None = None) -> dict[str, DataFrame]:
+    """Each stage gets the tables so far and gives those it adds or replaces; a stage that is None is skipped with a warning.
+
+    root: a folder where each stage's tables are written, each once; their counts go to the log, and to counts by stage and table if asked for."""
     tables = dict(tables)
     for name, stage in stages:
         if stage is None:
@@ -21,7 +39,14 @@ def run(spark: SparkSession, tables: dict[str, DataFrame], stages: Sequence[tupl
             continue
         began = time.monotonic()
         try:
-            tables |= stage(spark, tables)
+            made = stage(spark, tables)
+            if root is not None:
+                for table, df in made.items():
+                    made[table], found = store(df, f"{root}/{name}/{table}")
+                    log.info("%s: %s: %s", name, table, ", ".join(f"{n} {k}" for k, n in found.items()))
+                    if counts is not None:
+                        counts[f"{name}.{table}"] = found
+            tables |= made
         except Exception:
             log.exception("failed %s", name)
             raise
@@ -31,8 +56,6 @@ def run(spark: SparkSession, tables: dict[str, DataFrame], stages: Sequence[tupl
 
 def equity_strategy(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Report texts (fund_id, text) to regional weights: extract, then impute, in one plan without stored steps."""
-    from pyspark.sql import functions as F
-
     from fundlake.operators import extract as X
     from fundlake.operators.regions import regional_weights
 

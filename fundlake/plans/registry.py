@@ -14,18 +14,23 @@ SQL: dict[str, str] = {}
 class Tables:
     """The tables of a directory, read when named."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, name: str = ""):
+        self.spark, self.path, self.name = spark, path, name
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
 
-def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Query]:
-    """Register a function of tables under its name, with its SQL."""
+def query(sql: str | None = None, before: Callable[[SparkSession, str], None] | None = None) -> Callable[[Callable[[Tables], DataFrame]], Query]:
+    """Register a function of tables under its name, with its SQL; before: called with the name ahead of each run."""
 
     def register(f: Callable[[Tables], DataFrame]) -> Query:
-        QUERIES[f.__name__] = run = lambda spark, path: f(Tables(spark, path))
+        def run(spark: SparkSession, path: str) -> DataFrame:
+            if before is not None:
+                before(spark, f.__name__)
+            return f(Tables(spark, path, f.__name__))
+
+        QUERIES[f.__name__] = run
         if sql:
             SQL[f.__name__] = sql
         return run

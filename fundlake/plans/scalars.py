@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.functions import dates, names
+from fundlake.functions import dates, names, variants
 from fundlake.functions import numbers as N
 from fundlake.functions import text as X
 from fundlake.plans import export
@@ -175,3 +175,25 @@ def q_list_rules(t: Tables) -> DataFrame:
 def q_row_functions(t: Tables) -> DataFrame:
     """UDF-01, UDF-02: what ran by row in a lambda, or by file in a process pool, is a Column expression on all cores."""
     return t.customer.select(K, F.length("c_name").alias("n"), F.upper("c_mktsegment").alias("seg"))
+
+
+# Replies of a service: nested, in a fence, broken, a list, or with values of another type.
+_REPLIES = """CASE event_id % 6 WHEN 0 THEN concat('```json\n{"fund": {"id": ', event_id, ', "name": "Fonds ', event_id, '", "values": [{"y": 2023, "v": 1.5}, {"y": 2024, "v": "n.v.t."}, {"y": ', event_id, '}]}}\n```')
+  WHEN 1 THEN concat('{"fund": {"id": "', event_id, '", "values": []}}') WHEN 2 THEN '{"fund": {"id":' WHEN 3 THEN concat('[{"id": ', event_id, '}]') WHEN 4 THEN concat('  {"fund": {"id": null, "values": [{"y": 1, "v": ', event_id, '.25}]}}') END"""
+_REPLY = f"SELECT event_id, try_cast(trim(regexp_replace(r, '```(json)?', '', 'g'), chr(32) || chr(10)) AS JSON) AS j FROM (SELECT event_id, {_REPLIES.replace('concat(', 'concat(').replace(chr(92) + 'n', chr(10))} AS r FROM events)"
+
+
+@query(f"SELECT event_id, j IS NOT NULL AS valid, TRY_CAST(json_extract_string(j, '$.fund.id') AS BIGINT) AS id, json_extract_string(j, '$.fund.name') AS name, json_extract_string(j, '$.fund.values[1].v') AS second FROM ({_REPLY})")
+def q_variant_fields(t: Tables) -> DataFrame:
+    """JSN-01, JSN-02, SRC-31: fields of replies of unknown shape, by path and type."""
+    v = variants.reply(F.expr(_REPLIES))
+    rows = t.events.select("event_id", v.alias("v"))
+    return rows.select("event_id", F.col("v").isNotNull().alias("valid"), variants.field(F.col("v"), "$.fund.id", "long").alias("id"), variants.field(F.col("v"), "$.fund.name").alias("name"), variants.field(F.col("v"), "$.fund.values[1].v").alias("second"))
+
+
+@query(f"""SELECT event_id, i::INTEGER AS pos, TRY_CAST(json_extract_string(j, '$.fund.values[' || i || '].y') AS BIGINT) AS year, TRY_CAST(json_extract_string(j, '$.fund.values[' || i || '].v') AS DOUBLE) AS value
+FROM ({_REPLY}), range(0, 3) r(i) WHERE i < json_array_length(j, '$.fund.values')""")
+def q_variant_entries(t: Tables) -> DataFrame:
+    """JSN-03, SRC-30: the entries of a list within each reply."""
+    rows = t.events.select("event_id", variants.reply(F.expr(_REPLIES)).alias("v"))
+    return variants.entries(rows, "v", "$.fund.values").select("event_id", "pos", variants.field(F.col("value"), "$.y", "long").alias("year"), variants.field(F.col("value"), "$.v", "double").alias("value"))

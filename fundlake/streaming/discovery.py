@@ -47,10 +47,15 @@ def watch(source: DataFrame, path: str, checkpoint: str, key: str = "url", once:
 
     Started again with the same checkpoint, it goes on where it stopped."""
     spark = source.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     new = source
     if known is not None:
         old = spark.read.parquet(known).select(F.col(key).alias("_old")).distinct().withColumn("_known", F.lit(True))
         new = source.join(old, F.col(key).eqNullSafe(F.col("_old")), "left").where("_known IS NULL").select(*source.columns)
     writer = first_seen(new, key, time, forget).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKS)
+    try:  # the stream has the settings of its start; the session keeps its own
+        return (writer.trigger(availableNow=True) if once else writer).start()
+    finally:
+        spark.conf.set(provider, before)

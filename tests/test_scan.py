@@ -59,3 +59,9 @@ def test_edges(spark, rows):
     assert sorted(r.s for r in scan.scan(two, ["a", "b"], [F.asc("k")], 4, s=("sum", F.col("v"))).collect()) == [5, 7, 11]
     with pytest.raises(ValueError, match="running value"):
         scan.scan(rows, ["g"], [F.asc("k")], 4, s=("avg", F.col("v")))
+
+
+def test_positions(spark, rows):
+    got = {r.k: r.n for r in scan.positions(rows.where("k IS NOT NULL"), [F.desc("k")], "n", 9).collect()}
+    assert got == {k: i for i, k in enumerate(sorted(got, reverse=True), 1)} and len(got) == 4002
+    assert scan.positions(rows.limit(0), [F.asc("k")]).collect() == []
