@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fundlake.catalog import Catalog, Timed
 from fundlake.operators import curation, merge
+from fundlake.operators.keyed import KeyedTable
 from fundlake.operators.lineage import folder
 from fundlake.plans import export, pipeline
 from fundlake.plans.registry import Tables, query
@@ -186,6 +187,19 @@ def q_tracked_upsert(t: Tables) -> DataFrame:
     return pipeline.store(merge.tracked(target, source, ["k"], ["v"], "upsert"), _place(t, "upsert"))[0]
 
 
+@query(f"WITH {_COUNTED}, n AS (SELECT k, CASE WHEN hit THEN b ELSE a END AS v FROM j) SELECT k, CASE WHEN k % 11 = 0 THEN coalesce(v, -1.0) ELSE v END AS v FROM n", before=_tidy)
+def q_keyed_changes(t: Tables) -> DataFrame:
+    """SNK-07, SNK-08, SNK-13: an upsert and a fill of a table kept by key, part by part."""
+    k, v = F.col("c_custkey"), F.col("c_acctbal")
+    table = KeyedTable(t.spark, _place(t, "keyed"), "k long, v double", ["k"], 8)
+    table.replace(t.customer.where("c_custkey % 5 <> 0").select(k.alias("k"), F.when(k % 3 != 0, v).alias("v")))
+    table.upsert(t.customer.where("c_custkey % 2 = 0").select(k.alias("k"), F.when(k % 7 == 0, v).otherwise(v + 1).alias("v")), ["v"])
+    table.update(t.customer.where("c_custkey % 11 = 0").select(k.alias("k"), F.lit(-1.0).alias("v")), ["v"], "fill")
+    out = table.frame()
+    table.close()
+    return out
+
+
 @query("SELECT 'supplier' AS sheet, s_suppkey AS id, s_name AS name, s_acctbal AS amount FROM supplier UNION ALL SELECT 'nation', n_nationkey, n_name, NULL FROM nation", before=_tidy)
 def q_workbooks(t: Tables) -> DataFrame:
     """SNK-22, SRC-06: tables as workbooks, written in parallel and read by file and sheet."""
