@@ -180,7 +180,10 @@ def q_resolved_links(t: Tables) -> DataFrame:
     return links.select("page_id", "href", resolve(F.col("url"), F.col("href")).alias("url"))
 
 
-@query("SELECT x.id::BIGINT AS id, x.name AS name FROM (SELECT unnest([{'id': 1, 'name': 'Fonds A'}, {'id': 2, 'name': 'Fonds B'}]) AS x)")
+@query("SELECT s_suppkey AS id, CASE s_suppkey WHEN 1 THEN 'Fonds A' WHEN 2 THEN 'Fonds B' ELSE s_name END AS name FROM supplier UNION ALL SELECT -1, 'Fonds C'")
 def q_literal_rows(t: Tables) -> DataFrame:
-    """SRC-25: rows written out in the program."""
-    return t.spark.createDataFrame([(1, "Fonds A"), (2, "Fonds B")], "id long, name string")
+    """SRC-25: rows written out in the program change those of a table, or join them."""
+    from fundlake.operators import merge
+
+    written = t.spark.createDataFrame([(1, "Fonds A"), (2, "Fonds B"), (-1, "Fonds C")], "id long, name string")
+    return merge.upsert(t.supplier.select(F.col("s_suppkey").cast("long").alias("id"), F.col("s_name").alias("name")), written, ["id"], ["name"])

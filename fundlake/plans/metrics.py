@@ -141,6 +141,32 @@ def q_annotations(t: Tables) -> DataFrame:
     return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"), F.sum("start").alias("places"))
 
 
+_SAID = ("De actuele dekkingsgraad was 104,5% en de beleidsdekkingsgraad steeg naar\n111% . Het fonds is artikel 8 SFDR en sluit tabak en kernwapens uit. ", "Jaarverslag over 2023: beleidsdekkingsgraad van ongeveer 99 %, performance fee 2.500, indexatie van 3,2% en later 4%. Donkergroen, geen kansspelen. ", "In 2022 (annual report) daalde co2 met 30 % reductie voor 2030. Prestatievergoeding: circa 1,25 miljoen. ", "De maanddekkingsgraad is 45% en later 120,1%. Art. 9 van de SFDR, lichtgroen. Vermindering van 50% co2 tegen 2040; toeslag 12%, verhoogd met 1,5 %. ", "2021, 2022 en 2022, global compact en steenkolen. ")
+_SAYING = f"SELECT doc_id, {_list(_SAID)}[(doc_id % {len(_SAID)} + 1)::INT] || text || {_list(_SAID[::-1])}[(doc_id % 7 % {len(_SAID)} + 1)::INT] AS t FROM documents WHERE text IS NOT NULL"
+_KINDS = ", ".join(f"CASE WHEN regexp_matches(low, '\\b({words})\\b') THEN '{kind}' END" for kind, words in X.EXCLUSIONS)
+_RATIO = lambda label: f"try_cast(replace(replace(nullif(regexp_extract(low, '(?:{label}).{{0,150}}?([0-9]{{2,3}}(?:[.,][0-9])?\\s*%)', 1), ''), '%', ''), ',', '.') AS DOUBLE)"
+_RISE = "(?i)(?:verhog(?:ing|en)|indexatie|toeslag|verhoogd).*?(?:met\\s*)?([0-9,.]+)\\s*%"
+
+
+@query(f"""WITH d AS (SELECT doc_id, t, lower(t) AS low FROM ({_SAYING})),
+e AS (SELECT *, {_RATIO(X.COVERAGE['maanddekkingsgraad_pct'])} AS maand, {_RATIO(X.COVERAGE['beleidsdekkingsgraad_pct'])} AS beleid,
+  regexp_extract(t, '(?i)\\b((?:artikel\\s*|art\\.\\s*)[89])\\s*(?:van de\\s*)?(?:sfdr)?\\b', 1) AS art,
+  list_filter(list_transform(regexp_extract_all(t, '{_RISE}', 1), lambda x: try_cast(replace(x, ',', '.') AS DOUBLE)), lambda x: x BETWEEN 0 AND 10) AS rises,
+  regexp_extract_all(low, '\\b(202[0-4])\\b', 1) AS years FROM d),
+y AS (SELECT doc_id, arg_min(y, [-n, i]) AS common FROM (SELECT doc_id, y, count(*) AS n, min(i) AS i FROM (SELECT doc_id, unnest(years) AS y, unnest(range(len(years))) AS i FROM e) GROUP BY 1, 2) GROUP BY 1)
+SELECT e.doc_id, CASE WHEN maand BETWEEN 60 AND 250 THEN maand END AS maand, CASE WHEN beleid BETWEEN 60 AND 250 THEN beleid END AS beleid,
+  CASE WHEN contains(art, '8') THEN 'Artikel 8 (Lichtgroen)' WHEN contains(art, '9') THEN 'Artikel 9 (Donkergroen)' WHEN regexp_matches(low, '\\blichtgroen') THEN 'Artikel 8 (Lichtgroen)' WHEN regexp_matches(low, '\\bdonkergroen') THEN 'Artikel 9 (Donkergroen)' END AS sfdr,
+  nullif(concat_ws(', ', {_KINDS}), '') AS exclusions, rises[1] AS rise,
+  coalesce(nullif(regexp_extract(low, '(?:jaarverslag|annual report).{{0,15}}(202[0-4])', 1), ''), nullif(regexp_extract(low, '(202[0-4]).{{0,15}}(?:jaarverslag|annual report)', 1), ''), common)::INTEGER AS year
+FROM e LEFT JOIN y USING (doc_id)""")
+def q_report_metrics(t: Tables) -> DataFrame:
+    """EX-12, EX-31, EX-33, EX-36, EX-37 over whole documents with passages before and after."""
+    pick = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k % len(values) + 1).cast("int"))
+    c, low = F.col("t"), F.lower("t")
+    rows = t.documents.where("text IS NOT NULL").select("doc_id", F.concat(pick(_SAID, F.col("doc_id")), "text", pick(_SAID[::-1], F.col("doc_id") % 7)).alias("t"))
+    return rows.select("doc_id", X.coverage_ratio(low, X.COVERAGE["maanddekkingsgraad_pct"]).alias("maand"), X.coverage_ratio(low, X.COVERAGE["beleidsdekkingsgraad_pct"]).alias("beleid"), X.sfdr_class(c).alias("sfdr"), X.exclusions(c).alias("exclusions"), X.indexation_of_site(c).alias("rise"), X.report_year(low).alias("year"))
+
+
 _FLAT = f"concat('kerncijfers 2024 2023 2022 \\nBeleidsdekkingsgraad ', {_s('100 + ' + K + ' % 40')}, ',5% 111,2% -', {_s(K + ' % 9')}, ',1% \\n')"
 
 

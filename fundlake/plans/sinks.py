@@ -225,12 +225,17 @@ def q_stream_discovery(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("user_id", "event_type")
 
 
-@query("SELECT x.site AS site, x.url AS url, x.step::INTEGER AS step FROM (SELECT unnest([{'site': 's', 'url': '/0', 'step': 0}]) AS x) UNION ALL SELECT 's', '/' || i, i::INTEGER FROM range(1, 13) r(i) UNION ALL SELECT 's', '/bestuur', 1")
+@query("""WITH RECURSIVE links AS (SELECT '/p/' || p_partkey AS page, unnest(['/p/' || (p_partkey + 1), '/bestuur/' || p_partkey]) AS url FROM part),
+steps AS (SELECT s_suppkey AS site, '/p/' || s_suppkey AS url, 0 AS step FROM supplier UNION ALL SELECT site, links.url, step + 1 FROM steps JOIN links ON page = steps.url WHERE step < 4),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY step, contains(url, 'bestuur') DESC, url) AS n FROM steps)
+SELECT site, url, step FROM ranked WHERE n <= 6""")
 def q_crawl(t: Tables) -> DataFrame:
-    """STM-03: a walk over landed links, priority words first, ended by the budget of pages alone."""
-    chain = t.spark.range(0, 60, 1, 2).select(F.concat(F.lit("/"), F.col("id").cast("string")).alias("page"), F.concat(F.lit("/"), (F.col("id") + 1).cast("string")).alias("url"))
-    links = chain.union(t.spark.createDataFrame([("/0", "/bestuur"), ("/1", "/0")], "page string, url string"))
-    return curation.walk_links(links, t.spark.createDataFrame([("s", "/0")], "site string, url string"), 14, priority=("bestuur",)).select("site", "url", "step")
+    """STM-03: a walk from every supplier's page over links between the pages of parts, priority words first, ended by the budget of pages alone."""
+    k = F.col("p_partkey")
+    page = lambda kind, key: F.concat(F.lit(f"/{kind}/"), key.cast("string"))
+    links = t.part.select(page("p", k).alias("page"), F.explode(F.array(page("p", k + 1), page("bestuur", k))).alias("url"))
+    start = t.supplier.select(F.col("s_suppkey").alias("site"), page("p", F.col("s_suppkey")).alias("url"))
+    return curation.walk_links(links, start, 6, priority=("bestuur",)).select("site", "url", "step")
 
 
 @query("SELECT s_suppkey AS id, CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey % 8 = 0 END AS ok FROM supplier")
