@@ -86,3 +86,17 @@ def test_frequent_keys_are_joined_apart(spark, monkeypatch):
     df, table = spark.createDataFrame(rows, "k long, x long"), spark.createDataFrame([(k, f"v{k}") for k in range(20)], "k long, v string")
     got = sorted((tuple(r) for r in components.spread_join(df, table, "k", len(rows)).select("k", "x", "v").collect()), key=str)
     assert got == sorted(((k, x, f"v{k}" if k is not None and k < 20 else None) for k, x in rows), key=str)
+
+
+@pytest.mark.parametrize("k", [5, 12, 40])
+def test_pairs_at_the_threshold(spark, k):
+    """Sets of 7k shingles that share 6k have a similarity of 0.75 exactly; those that share one less stay apart."""
+    rows = []
+    for pair in range(150):
+        shared = 6 * k - pair % 2
+        own = [f"p{pair}w{i}" for i in range(7 * k + 4)]
+        other = own[: shared + 4] + [f"p{pair}v{i}" for i in range(7 * k - shared)]
+        rows += [(2 * pair, " ".join(own)), (2 * pair + 1, " ".join(other))]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for pair in range(150):
+        assert got[2 * pair + 1] == (2 * pair if pair % 2 == 0 else 2 * pair + 1)
