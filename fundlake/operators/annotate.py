@@ -51,9 +51,17 @@ def tree(words: Iterable[str]) -> str:
     return f"(?:{'|'.join(parts)})" + ("?" if ends else "")
 
 
-def places(c: Column, pattern: str) -> Column:
-    """(start, found) of every place at which a pattern matches, also within a match; a pattern that matches the empty text is not for this."""
-    ahead = f"(?=({pattern}))"
+def guard(words: Sequence[str]) -> str:
+    """A pattern that stands ahead of any of some words, and of little else: their first letters, by place."""
+    size = min(map(len, words))
+    return "(?=" + "".join("[" + "".join(quote(x) for x in sorted({w[i] for w in words})) + "]" for i in range(size)) + ")"
+
+
+def places(c: Column, pattern: str, ahead_of: str = "") -> Column:
+    """(start, found) of every place at which a pattern matches, also within a match; a pattern that matches the empty text is not for this.
+
+    ahead_of: a cheap pattern that holds wherever the other matches, tried first."""
+    ahead = f"{ahead_of}(?=({pattern}))"
     found = F.regexp_extract_all(c, F.lit(ahead), F.lit(1))
 
     def located(found: Column) -> Column:
@@ -84,7 +92,7 @@ def _mark(start: Column, end: Column, kind: str, word: Column, value: Column | N
 
 def _words(t: Column) -> Column:
     each = lambda p: F.transform(_within(VOCABULARY, p["found"]), lambda w: _mark(p["start"], p["start"] + F.length(w), "word", w))
-    return F.flatten(F.transform(places(t, tree(VOCABULARY)), each))
+    return F.flatten(F.transform(places(t, tree(VOCABULARY), guard(VOCABULARY)), each))
 
 
 def _shares(t: Column) -> Column:
@@ -114,13 +122,15 @@ def _weights(t: Column) -> Column:
         near = F.filter(_within(tuple(REGIONS), part(1)), lambda w: gap - F.length(w) <= NEAR)
         return F.transform(near, lambda w: _mark(p["start"], p["start"] + F.length(p["found"]), "weight", w, N.comma_decimal(part(3))))
 
-    return F.flatten(F.transform(places(t, pattern.replace("(", "(?:").replace("(?:?:", "(?:")), each))
+    return F.flatten(F.transform(places(t, pattern.replace("(", "(?:").replace("(?:?:", "(?:"), guard(list(REGIONS))), each))
 
 
 def annotations(docs: DataFrame, by: str | None = None) -> DataFrame:
     """(doc_id, start, end, kind, word, value) of lower-cased texts, in code points, end exclusive; by: the column that the rows are dealt by."""
     t = docs.select("doc_id", F.lower("text").alias("t")).where("t IS NOT NULL")
-    marks = F.concat(*[f(F.col("t")).cast(f"array<{_MARK}>") for f in (_words, _shares, _weights)])
+    none = F.array().cast(f"array<{_MARK}>")
+    shares = F.when(F.col("t").contains("%"), F.concat(_shares(F.col("t")).cast(f"array<{_MARK}>"), _weights(F.col("t")).cast(f"array<{_MARK}>"))).otherwise(none)
+    marks = F.concat(_words(F.col("t")).cast(f"array<{_MARK}>"), shares)
     rows = t.select("doc_id", F.explode(marks).alias("m")).select("doc_id", "m.*")
     return rows if by is None else rows.repartition(by)
 
