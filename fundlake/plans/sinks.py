@@ -220,7 +220,7 @@ def q_stream_discovery(t: Tables) -> DataFrame:
     key = F.concat_ws("/", F.col("user_id").cast("string"), "event_type")
     for _ in range(2):
         source = t.spark.readStream.schema(t.events.schema).parquet(f"{t.path}/event[s].parquet").select(key.alias("url"), "user_id", "event_type")
-        run = discovery.watch(source, path, keep)
+        run = discovery.watch_keyed(source, path, keep)
         run.awaitTermination()
     return t.spark.read.parquet(path).select("user_id", "event_type")
 

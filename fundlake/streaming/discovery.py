@@ -1,8 +1,9 @@
 """Incremental discovery (STM-01): addresses not seen before are appended, batch by batch.
 
-As a batch job (``append_new``) it is an anti-join with the table so far. As a
-stream (``watch``) the keys seen are kept in Spark's state store, dealt by key
-and kept on disk by RocksDB, so a micro-batch reads only its own keys' state and
+As a batch job (``append_new``) it is an anti-join with the table so far, and
+``watch`` does that for each batch of a stream, so others may write to the table
+too. Where the table is the stream's own (``watch_keyed``) the keys seen are kept
+in Spark's state store, dealt by key and kept on disk by RocksDB, so a micro-batch reads only its own keys' state and
 never the table. The sink lists the files of each finished batch, and a batch
 that is run again after a failure takes the place of itself: nothing comes twice.
 A key's state can end some time after its row (``forget``); then an address that
@@ -42,8 +43,14 @@ def first_seen(source: DataFrame, key: str = "url", time: str | None = None, for
     return source.withWatermark(time, forget).dropDuplicatesWithinWatermark([key])
 
 
-def watch(source: DataFrame, path: str, checkpoint: str, key: str = "url", once: bool = True, known: str | None = None, time: str | None = None, forget: str | None = None) -> StreamingQuery:
-    """Append new keys of a stream of found rows to the table at path; known: a table whose keys are no news.
+def watch(source: DataFrame, path: str, checkpoint: str, key: str = "url", once: bool = True) -> StreamingQuery:
+    """Keep the table at path up to date from a stream of found rows, whoever else writes to it."""
+    writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: append_new(batch.sparkSession, batch, path, key))
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def watch_keyed(source: DataFrame, path: str, checkpoint: str, key: str = "url", once: bool = True, known: str | None = None, time: str | None = None, forget: str | None = None) -> StreamingQuery:
+    """Append new keys of a stream of found rows to the table at path, which only this stream writes; known: another table whose keys are no news.
 
     Started again with the same checkpoint, it goes on where it stopped."""
     spark = source.sparkSession

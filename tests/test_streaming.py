@@ -20,7 +20,7 @@ def arrive(spark, folder, rows):
 
 def run(spark, place, **more):
     source = spark.readStream.schema(FOUND).option("maxFilesPerTrigger", 1).parquet(place("in"))
-    q = discovery.watch(source, place("out"), place("checkpoint"), **more)
+    q = discovery.watch_keyed(source, place("out"), place("checkpoint"), **more)
     q.awaitTermination(120)
     assert q.exception() is None
     return [p for p in q.recentProgress if p["numInputRows"]]
@@ -71,7 +71,7 @@ def test_forgotten_keys_are_news(spark, place):
     def more(*rows):
         spark.createDataFrame([(u, datetime.datetime(2026, 1, 1, h, m)) for u, h, m in rows], timed).coalesce(1).write.mode("append").parquet(place("in"))
         source = spark.readStream.schema(timed).option("maxFilesPerTrigger", 1).parquet(place("in"))
-        q = discovery.watch(source, place("out"), place("checkpoint"), time="at", forget="1 hour")
+        q = discovery.watch_keyed(source, place("out"), place("checkpoint"), time="at", forget="1 hour")
         q.awaitTermination(120)
         return [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
 
