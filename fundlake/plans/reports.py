@@ -116,15 +116,16 @@ def q_name_clean(t: Tables) -> DataFrame:
 
 
 _WANTED = "(SELECT DISTINCT concat('Pensioenfonds ', p_name) AS name FROM part)"
-_FUNDS = "(SELECT s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN concat('Stichting ', p_name, ' NL') ELSE p_name END AS name FROM supplier JOIN part ON s_suppkey * 7 = p_partkey)"
+_FUNDS = "(SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN concat('Stichting ', p_name, ' NL ', p_partkey) ELSE concat(p_name, ' ', p_partkey) END AS name FROM part UNION ALL SELECT 1000000000 + s_suppkey, s_name FROM supplier)"
 
 
 @query(f"WITH w AS (SELECT name, {_CLEAN.format('name')} AS c FROM {_WANTED}), f AS (SELECT id, {_CLEAN.format('name')} AS d FROM {_FUNDS}) SELECT name, (SELECT min(id) FROM f WHERE c = d OR (length(c) > 5 AND contains(d, c)) OR (length(d) > 5 AND contains(c, d))) AS id FROM w")
 def q_containment_match(t: Tables) -> DataFrame:
     """JN-14, JN-15."""
     wanted = t.part.select(F.concat(F.lit("Pensioenfonds "), "p_name").alias("name")).distinct()
-    own = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("Stichting "), "p_name", F.lit(" NL"))).otherwise(F.col("p_name"))
-    funds = t.supplier.join(t.part, F.col("s_suppkey") * 7 == F.col("p_partkey")).select(F.col("s_suppkey").alias("id"), own.alias("name"))
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    own = F.when(k % 2 == 0, F.concat(F.lit("Stichting "), "p_name", F.lit(" NL "), key)).otherwise(F.concat("p_name", F.lit(" "), key))
+    funds = t.part.select(k.alias("id"), own.alias("name")).union(t.supplier.select(F.lit(1000000000) + F.col("s_suppkey"), "s_name"))
     return resolve.match_regulator(wanted, funds)
 
 
