@@ -1,7 +1,8 @@
 """Which fund does this name mean: exact, by containment, by alias, by likeness (JN-14 to JN-27).
 
 All rules meet by keys (``contain``, ``alike``): none tests every pair. Names are
-made distinct and cleaned once before they meet. Of several hits the smallest id
+made distinct and cleaned once before they meet. Tables of names are larger than
+their files, so joins of them are told to merge, not to broadcast. Of several hits the smallest id
 counts; a rule gives (name, id, n), n being the number of rows that it hit.
 """
 
@@ -27,12 +28,13 @@ Clean = Callable[[Column], Column]
 
 def _texts(names: DataFrame, funds: DataFrame, clean: Clean, own: Clean) -> tuple[DataFrame, DataFrame]:
     """(name, a) and, once for each text, (b, id, n): its smallest id and its rows."""
-    b = funds.select("id", own(F.col("fund")).alias("b")).where("b IS NOT NULL").groupBy("b").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-    return names.select("name", clean(F.col("name")).alias("a")).where("a IS NOT NULL"), b
+    once = lambda c: F.explode(F.array(c))  # noqa: E731  # else each filter on the text cleans it anew
+    b = funds.select("id", once(own(F.col("fund"))).alias("b")).where("b IS NOT NULL").groupBy("b").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    return names.select("name", once(clean(F.col("name"))).alias("a")).where("a IS NOT NULL"), b
 
 
 def _hits(a: DataFrame, pairs: DataFrame, b: DataFrame) -> DataFrame:
-    return a.join(pairs, "a").join(b, "b").groupBy("name").agg(F.min("id").alias("id"), F.sum("n").alias("n"))
+    return a.join(pairs.hint("merge"), "a").join(b.hint("merge"), "b").groupBy("name").agg(F.min("id").alias("id"), F.sum("n").alias("n"))
 
 
 def equal(clean: Clean) -> Rule:
@@ -40,7 +42,7 @@ def equal(clean: Clean) -> Rule:
 
     def rule(names: DataFrame, funds: DataFrame) -> DataFrame:
         a, b = _texts(names, funds, clean, clean)
-        return a.join(b, F.col("a") == F.col("b")).select("name", "id", "n")
+        return a.join(b.hint("merge"), F.col("a") == F.col("b")).select("name", "id", "n")
 
     return rule
 
@@ -83,7 +85,7 @@ def _pairs(a: DataFrame, b: DataFrame, least: int | None, own_least: int | None,
     if own_least is not None:
         out.append(holding(right.where(F.length("b") >= own_least).select(F.col("b").alias("part")), left.where(F.length("a") >= own_least).select(F.col("a").alias("whole"))).select(F.col("whole").alias("a"), F.col("part").alias("b")))
     if same:
-        out.append(left.join(right, F.col("a") == F.col("b")))
+        out.append(left.join(right.hint("merge"), F.col("a") == F.col("b")))
     return out[0] if len(out) == 1 else reduce(DataFrame.union, out).distinct()
 
 
@@ -122,7 +124,7 @@ def first_match(wanted: DataFrame, funds: DataFrame, rules: Sequence[Rule]) -> D
     names = wanted.select("name").distinct()
     f = funds.select("id", F.col("name").alias("fund"))
     hits = reduce(DataFrame.union, [rule(names, f).select("name", "id", F.lit(i).alias("rule")) for i, rule in enumerate(rules)])
-    return names.join(hits.groupBy("name").agg(F.min_by("id", F.struct("rule", "id")).alias("id")), "name", "left")
+    return names.join(hits.groupBy("name").agg(F.min_by("id", F.struct("rule", "id")).alias("id")).hint("merge"), "name", "left")
 
 
 def match_regulator(wanted: DataFrame, funds: DataFrame) -> DataFrame:

@@ -52,6 +52,19 @@ def test_a_frequent_run_is_dealt_out(spark):
     assert {r["part"]: r["count"] for r in met.groupBy("part").count().collect()} == {"fond": 3000, "f": 3000, "onds 29": 111}
 
 
+@pytest.mark.parametrize(("few", "letters"), [(0, "ab c"), (0, "abcdefgh é"), (400, "ab"), (1500, "ab c")])
+def test_holding_of_many(spark, monkeypatch, few, letters):
+    """Texts too many to go to every task, or only some sizes of them; no exploded table is broadcast, whatever Spark takes it for."""
+    monkeypatch.setattr(contain, "FEW", few)
+    parts, wholes = [*made(letters, 9, 120, 21), None, "", "a"], [*made(letters, 14, 150, 22), None, "", "aaaaaaaa"]
+    met = contain.holding(spark.createDataFrame([(x,) for x in parts], "part string"), spark.createDataFrame([(x,) for x in wholes], "whole string"))
+    got = met.collect()
+    assert len(got) == len(set(got))
+    assert {tuple(x) for x in got} == {(x, y) for x in parts if x is not None for y in wholes if y is not None and x in y}
+    if few == 0:
+        assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 def test_contained_pairs(spark):
     wanted = [*made("ab c", 9, 150, 4), "Stichting abcabc", "abcabc", None, "ab", "ab"]
     own = [*made("ab c", 9, 150, 5), "abcabc pensioenfonds", None, "ab", ""]
