@@ -90,7 +90,8 @@ def billions(v: Column, unit: Column) -> Column:
 
 def millions(v: Column) -> Column:
     """NUM-12: over a million it is euros, over a thousand it is thousands."""
-    return F.when(v > 1e6, F.bround(v / 1e6, 2)).when(v > 1e3, F.bround(v / 1e3, 2)).otherwise(v)
+    cents = lambda x: F.rint(x * 100) / 100  # noqa: E731  # the double itself is rounded; bround rounds its shortest decimal form
+    return F.when(v > 1e6, cents(v / 1e6)).when(v > 1e3, cents(v / 1e3)).otherwise(v)
 
 
 def total_cost(v: Column) -> Column:

@@ -333,8 +333,8 @@ _FEE = r"(\d{1,4}(?:[.,]\d{3})*(?:[.,]\d+)?)\b"
 
 
 def performance_fee(page: Column) -> Column:
-    """EX-29, first pass over a page's text, in millions."""
-    return N.millions(N.dutch_number(group(F.replace(page, F.lit("\n"), F.lit(" ")), rf"(?iu)(?:performance\s*fee|prestatievergoeding|prestatiebeloning)[^\d]{{0,35}}?{_FEE}")))
+    """EX-29, first pass over a page's text, in millions. Unlike the reference's, a number without points may have any digits before its decimals."""
+    return N.millions(N.dutch_number(group(F.replace(page, F.lit("\n"), F.lit(" ")), rf"(?iu)(?:performance\s*fee|prestatievergoeding|prestatiebeloning)[^\d]{{0,35}}?{_FEE.replace('{1,4}', '+')}")))
 
 
 def performance_fee_of_row(cells: Column) -> Column:

@@ -52,6 +52,8 @@ def one(spark, f, text):
         (X.assets_of_page, "Belegd vermogen van ruim € 120 miljoen", 0.12),
         (X.largest_amount, "totaal vermogen 2 mld en belegd vermogen 3 mld", 3.0),
         (X.performance_fee, "performance fee\n1.250.000", 1.25),
+        (X.performance_fee, "performance fee bedroeg 12345 euro", 12.34),
+        (X.performance_fee, "performance fee bedroeg 12345.250.000 euro", 12345.25),
         (X.benchmarks, "als benchmark de msci world index en ftse epra index.", "Ftse Epra Index, Msci World Index"),
         (X.benchmarks, "niets", "None explicitly identified"),
         (X.report_year, "over 2023 jaarverslag", 2023),
