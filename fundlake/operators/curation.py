@@ -89,11 +89,12 @@ def by_row_alias(funds: DataFrame, rows: DataFrame, aliases: DataFrame) -> DataF
     r = rows.select("row_no", F.lower("label").alias("l"), "cells")
     of_row = contain.join_holding(aliases.select("in_row").distinct(), F.col("in_row"), r, F.col("l")).groupBy("in_row").agg(last)
     ruled = contain.join_holding(aliases.select("in_name", "in_row"), F.col("in_name"), own, F.col("n")).join(of_row, "in_row").groupBy("n").agg(F.max("x").alias("ruled"))
-    labels = r.withColumn("b", names.clean_name(F.col("l"))).groupBy("b").agg(last)
-    cleaned = own.withColumn("a", names.clean_name(F.col("n")))
-    plain = cleaned.join(resolve.text_pairs(cleaned, labels, 4), "a").join(labels, "b").groupBy("n").agg(F.max("x").alias("plain"))
+    once = lambda c: F.explode(F.array(names.clean_name(F.col(c))))  # noqa: E731  # else each filter on the name cleans it anew
+    labels = r.withColumn("b", once("l")).groupBy("b").agg(last)
+    cleaned = own.withColumn("a", once("n"))
+    plain = cleaned.join(resolve.text_pairs(cleaned, labels, 4).hint("merge"), "a").join(labels.hint("merge"), "b").groupBy("n").agg(F.max("x").alias("plain"))
     best = F.coalesce("ruled.cells", "plain.cells")
-    return f.join(ruled, "n", "left").join(plain, "n", "left").where("ruled IS NOT NULL OR plain IS NOT NULL").select("id", best.alias("cells"))
+    return f.join(ruled.hint("merge"), "n", "left").join(plain.hint("merge"), "n", "left").where("ruled IS NOT NULL OR plain IS NOT NULL").select("id", best.alias("cells"))
 
 
 def table_fees(tables: DataFrame) -> DataFrame:
