@@ -184,14 +184,14 @@ def match_file(funds: DataFrame, files: DataFrame) -> DataFrame:
     each = f.select("name", "words", F.explode("words").alias("word"))
     low = files.select("path", F.lower("path").alias("low")).distinct()
     met = holding(each.select(F.col("word").alias("part")), low.select(F.col("low").alias("whole")))
-    at = met.select(F.col("part").alias("word"), F.col("whole").alias("low")).join(low, "low")
+    at = met.select(F.col("part").alias("word"), F.col("whole").alias("low")).join(low.hint("merge"), "low")
     per = at.groupBy("word").agg(F.count("*").alias("paths"), F.min("path").alias("path"))
-    known = each.join(per, "word", "left")
+    known = each.join(per.hint("merge"), "word", "left")
     rarest = known.groupBy("name", "words").agg(F.min_by("word", F.struct(F.coalesce("paths", F.lit(0)), "word")).alias("word"))
-    full = rarest.join(at, "word").where(F.forall("words", lambda w: F.col("low").contains(w))).groupBy("name").agg(F.min("path").alias("path"))
+    full = rarest.join(at.hint("merge"), "word").where(F.forall("words", lambda w: F.col("low").contains(w))).groupBy("name").agg(F.min("path").alias("path"))
     some = known.where(F.length("word") > 4).groupBy("name").agg(F.min("path").alias("any")).where("any IS NOT NULL")
-    best = some.join(full, "name", "full").select("name", F.coalesce("path", "any").alias("path"))
-    return funds.select("id", "name").join(best, "name").select("id", "path")
+    best = some.join(full.hint("merge"), "name", "full").select("name", F.coalesce("path", "any").alias("path"))
+    return funds.select("id", "name").join(best.hint("merge"), "name").select("id", "path")
 
 
 def first_file(funds: DataFrame, files: DataFrame) -> DataFrame:
