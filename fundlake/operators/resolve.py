@@ -153,7 +153,7 @@ def match_unique(wanted: DataFrame, funds: DataFrame) -> DataFrame:
     def slashes(names: DataFrame, f: DataFrame) -> DataFrame:
         parts = names.where(F.col("name").contains("/")).select("name", F.posexplode(F.split("name", "/")).alias("pos", "part")).select("name", "pos", F.trim("part").alias("part"))
         found = only(in_fund(F.lower, F.lower))(parts.select(F.col("part").alias("name")).distinct(), f).withColumnRenamed("name", "part")
-        return parts.join(found, "part").groupBy("name").agg(F.min_by("id", "pos").alias("id"))
+        return parts.join(found.hint("merge"), "part").groupBy("name").agg(F.min_by("id", "pos").alias("id"))
 
     before = lambda c: F.lower(F.when(c.contains("("), F.rtrim(F.split_part(c, F.lit("("), F.lit(1)))))
     return first_match(wanted, funds, [equal(lambda c: c), only(in_fund(F.lower, F.lower, 1)), equal(F.lower), only(in_fund(before, F.lower, 1)), slashes])

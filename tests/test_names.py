@@ -218,3 +218,11 @@ KEYED = "q_match_planning q_match_short q_unmatched q_row_alias q_like_first q_m
 def test_no_plan_tests_all_pairs(spark, name):
     plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables aren't here")
+@pytest.mark.parametrize("name", "q_match_planning q_match_unique q_match_file".split())
+def test_no_plan_broadcasts_many_names(spark, monkeypatch, name):
+    """Spark takes these tables for small, by their files."""
+    monkeypatch.setattr(contain, "FEW", 0)
+    assert "Broadcast" not in QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
